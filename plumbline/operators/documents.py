@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,12 +32,24 @@ EMAIL = r"\b[\w.+-]+@(?:[\w-]+\.)+[a-z]{2,}\b"
 OWN_DOMAINS = (".example", "gov.scot", "nhs.scot", "nhs.net", "nhs.uk", "spso.org.uk")
 EXCERPT_WIDTH = 20
 
-# (kind, severity, pattern with flags, allowed e-mail domains)
+
+
+@dataclass(frozen=True)
+class Kind:
+    """A kind of personal data. `needs` is a cheap pattern without which there can be no match."""
+
+    name: str
+    severity: str
+    pattern: str
+    needs: str
+    own_domains: tuple[str, ...] = ()
+
+
 PII_KINDS = (
-    ("chi_number", "high", f"(?U:{CHI_NUMBER})", ()),
-    ("ni_number", "high", f"(?U:{NI_NUMBER})", ()),
-    ("labelled_personal_field", "high", f"(?iU:{LABELLED_FIELD})", ()),
-    ("email_address", "low", f"(?iU:{EMAIL})", OWN_DOMAINS),
+    Kind("chi_number", "high", f"(?U:{CHI_NUMBER})", r"\p{Nd}{6}"),
+    Kind("ni_number", "high", f"(?U:{NI_NUMBER})", r"[A-Z]{2}\s?\p{Nd}{2}"),
+    Kind("labelled_personal_field", "high", f"(?iU:{LABELLED_FIELD})", "[:=]"),
+    Kind("email_address", "low", f"(?iU:{EMAIL})", "@", OWN_DOMAINS),
 )
 FINDING = "struct<kind:string,severity:string,excerpt:string>"
 
@@ -115,16 +129,19 @@ def heading_sections(body: Column, title: Column) -> Column:
     return let(F.split(body, LINE_BREAK), split_at_headings)
 
 
-def _findings_of(text: Column, kind: str, severity: str, pattern: str, allowed, width: int) -> Column:
+def _findings_of(text: Column, kind: Kind, width: int) -> Column:
     # the look-arounds capture `width` characters either side without consuming them
-    around = rf"(?<=((?s:.{{{width}}}))|\A((?s:.{{0,{width - 1}}})))(?:{pattern})(?=((?s:.{{0,{width}}})))"
+    around = (
+        rf"(?<=((?s:.{{{width}}}))|\A((?s:.{{0,{width - 1}}})))(?:{kind.pattern})(?=((?s:.{{0,{width}}})))"
+    )
     names = ("value", "before", "at_start", "after")
     hits = F.arrays_zip(
         *[F.regexp_extract_all(text, F.lit(around), F.lit(g)).alias(n) for g, n in enumerate(names)]
     )
-    if allowed:
+    if kind.own_domains:
         hits = F.filter(
-            hits, lambda h: ~_ends_with_any(F.lower(F.substring_index(h.getField("value"), "@", -1)), allowed)
+            hits,
+            lambda h: ~_ends_with_any(F.lower(F.substring_index(h.getField("value"), "@", -1)), kind.own_domains),
         )
 
     def finding(h: Column) -> Column:
@@ -132,20 +149,20 @@ def _findings_of(text: Column, kind: str, severity: str, pattern: str, allowed,
         before = F.coalesce(F.nullif(h.getField("before"), F.lit("")), h.getField("at_start"))
         excerpt = F.concat(F.lit("..."), before, F.lit("[REDACTED]"), h.getField("after"), F.lit("..."))
         return F.struct(
-            F.lit(kind).alias("kind"),
-            F.lit(severity).alias("severity"),
+            F.lit(kind.name).alias("kind"),
+            F.lit(kind.severity).alias("severity"),
             F.translate(excerpt, "\n", " ").alias("excerpt"),
         )
 
-    # most texts hold none: one plain search decides
-    return F.when(text.rlike(pattern), F.transform(hits, finding)).otherwise(
+    # most texts hold none: two plain searches, the cheap one first, decide
+    return F.when(text.rlike(kind.needs) & text.rlike(kind.pattern), F.transform(hits, finding)).otherwise(
         F.array().cast(f"array<{FINDING}>")
     )
 
 
 def find_personal_data(text: Column, kinds=PII_KINDS, width: int = EXCERPT_WIDTH) -> Column:
     """All findings of all kinds, each with its surroundings and the value masked."""
-    return F.concat(*[_findings_of(text, *kind, width) for kind in kinds])
+    return F.concat(*[_findings_of(text, kind, width) for kind in kinds])
 
 
 def _ends_with_any(c: Column, suffixes) -> Column:
@@ -244,12 +261,18 @@ def error_rows(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("error").isNotNull()).select("source_path", "error")
 
 
+def with_findings(df: DataFrame, text: str = "raw_text", kinds=PII_KINDS) -> DataFrame:
+    """Add `findings` and `quarantined`.
+
+    The generator keeps the scan from being evaluated again in every filter above it.
+    """
+    scanned = df.select("*", F.explode(F.array(find_personal_data(F.col(text), kinds))).alias("findings"))
+    return scanned.withColumn("quarantined", is_quarantined(F.col("findings")))
+
+
 def scan(parsed: DataFrame) -> DataFrame:
     """Readable documents with their findings and whether they are held back."""
-    readable = parsed.where(F.col("error").isNull()).drop("error")
-    return readable.withColumn("findings", find_personal_data(F.col("raw_text"))).withColumn(
-        "quarantined", is_quarantined(F.col("findings"))
-    )
+    return with_findings(parsed.where(F.col("error").isNull()).drop("error"))
 
 
 def quarantine_rows(scanned: DataFrame) -> DataFrame:

@@ -27,6 +27,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use all cores on an input with fewer splits than cores, as one small file has.
+
+    At scale a table has far more splits than cores, and this is the table itself.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def day(c: Column | str) -> Column:
     """Dates as text, so that both engines give the same value."""
     return F.date_format(c, "yyyy-MM-dd")

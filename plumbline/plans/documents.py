@@ -1 +1,664 @@
-"""Queries to come."""
+"""Queries of the document track. A text's lines, eight to a page, stand for an extracted file;
+short plain lines are set in capitals so that some of them read as headings, and the shortest
+become page numbers and contents entries."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from plumbline.functions import text as tx
+from plumbline.operators import documents, pages, passages
+from plumbline.operators.shape import merged_filter, top_rows, upper_median
+from plumbline.plans.base import query, spread, table
+
+LINES_PER_PAGE = 8
+MAX_TOKENS, OVERLAP = 120, 30
+
+
+def paged_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per document with its pages as an array."""
+    lines = F.transform(
+        F.split("text", "\n"),
+        lambda x: F.when(F.length(x).between(1, 4), F.format_string("Page %d of 9", F.length(x)))
+        .when(F.length(x).between(5, 7), F.format_string("%s ..... %d", x, F.length(x)))
+        .when(x.rlike("^[ -~]{1,60}$"), F.upper(F.regexp_replace(x, r"[.,;]+$", "")))
+        .otherwise(x),
+    )
+    starts = F.sequence(F.lit(1), F.size("_lines"), F.lit(LINES_PER_PAGE))
+    page_texts = F.transform(
+        starts, lambda i: F.array_join(F.slice("_lines", i, F.lit(LINES_PER_PAGE)), "\n")
+    )
+    return (
+        spread(table(spark, folder, "documents"), "doc_id")
+        .withColumn("_lines", lines)
+        .select("doc_id", "lang", "source", F.format_string("Document %d", "doc_id").alias("title"), page_texts.alias("pages"))
+    )
+
+
+SPACE_SET = "' ' || chr(9) || chr(10) || chr(13)"
+LINES = f"""raw_lines as (
+    select doc_id, unnest(string_split(text, chr(10))) as x, generate_subscripts(string_split(text, chr(10)), 1) as pos
+    from documents),
+  lines as (
+    select doc_id, pos, (pos - 1) // {LINES_PER_PAGE} + 1 as page,
+      trim(case when length(x) between 1 and 4 then 'Page ' || length(x) || ' of 9'
+        when length(x) between 5 and 7 then x || ' ..... ' || length(x) when regexp_full_match(x, '[ -~]{{1,60}}') then upper(regexp_replace(x, '[.,;]+$', '')) else x end,
+           {SPACE_SET}) as line
+    from raw_lines),
+  page_counts as (select doc_id, max(page) as n_pages from lines group by doc_id),
+  repeated as (
+    select l.doc_id, line, count(distinct page) as n_pages_with from lines l join page_counts p using (doc_id)
+    where line <> '' and length(line) < 120
+    group by l.doc_id, line, n_pages having count(distinct page) >= greatest(3, n_pages // 2))"""
+NOISE = r"""(regexp_matches({0}, '^\s*(page\s*)?[0-9]{{1,3}}(\s*(of|/)\s*[0-9]{{1,3}})?\s*$', 'i')
+      or regexp_matches({0}, '[.]\s?[.]\s*[0-9]{{1,3}}\s*$')
+      or regexp_matches({0}, '^([0-9]{{1,2}}([.][0-9]{{1,2}}){{0,2}}[.]?|(Annex|Appendix|Part|Section|Chapter|Schedule)\s+[\p{{L}}\p{{N}}_.]+)\s+([-–:]\s+)?[A-Za-z(].{{2,100}}\s[0-9]{{1,3}}$')
+      or upper({0}) in ('DRAFT', 'CONFIDENTIAL', 'OFFICIAL', 'OFFICIAL-SENSITIVE', 'SAMPLE'))"""
+HEADING = r"""(length({0}) <= 90 and {0} <> '' and not regexp_matches({0}, '[.,;]$')
+      and (regexp_matches({0}, '^([0-9]{{1,2}}([.][0-9]{{1,2}}){{0,2}})[.]?\s+([A-Z][^.!?]{{2,80}})$')
+        or regexp_matches({0}, '^(Annex|Appendix|Part|Section|Chapter|Schedule)\s+[\p{{L}}\p{{N}}_.]+\b.{{0,70}}$')
+        or (len(regexp_extract_all({0}, '\S+')) between 1 and 8 and upper({0}) = {0} and lower({0}) <> {0})))"""
+CLEAN = f"""{LINES},
+  kept_lines as (
+    select l.* from lines l where line <> '' and not {NOISE.format("line")}
+      and not exists (select 1 from repeated r where r.doc_id = l.doc_id and r.line = l.line)),
+  clean_pages as (
+    select doc_id, page, regexp_replace(string_agg(line, chr(10) order by pos),
+      '([\\p{{L}}\\p{{N}}_])-\\n([\\p{{L}}\\p{{N}}_])', '\\1\\2', 'g') as page_text
+    from kept_lines group by doc_id, page)"""
+ORDERED = f"""{CLEAN},
+  split_lines as (
+    select doc_id, page, unnest(string_split(page_text, chr(10))) as line,
+      generate_subscripts(string_split(page_text, chr(10)), 1) as pos from clean_pages),
+  flow as (
+    select *, row_number() over w - 1 as i, lead(line) over w as next_line from split_lines
+    window w as (partition by doc_id order by page, pos)),
+  flagged as (
+    select *, {HEADING.format("line")} and not coalesce(regexp_matches(next_line, '^\\s*\\p{{Ll}}'), false) as is_heading
+    from flow)"""
+SECTIONS = f"""{ORDERED},
+  grouped as (
+    select *, sum(is_heading::int) over (partition by doc_id order by i) as grp from flagged),
+  marked as (
+    select *, lag(page) over (partition by doc_id, grp order by i) as page_before from grouped where not is_heading),
+  bodies as (
+    select doc_id, grp, min(page) as page,
+      trim(regexp_replace(string_agg(case when page <> page_before then '⟦p' || page || '⟧ ' else '' end || line, ' ' order by i),
+        '[ \\t]+', ' ', 'g'), {SPACE_SET}) as body
+    from marked group by doc_id, grp),
+  heads as (select doc_id, grp, line as heading from grouped where is_heading),
+  sections as (
+    select b.doc_id, row_number() over (partition by b.doc_id order by b.grp) - 1 as section_no,
+      'Document ' || b.doc_id || case when heading is null or heading = 'Document ' || b.doc_id then '' else ' > ' || heading end as section_path,
+      body, page
+    from bodies b left join heads h using (doc_id, grp) where body <> '')"""
+
+
+def clean(spark, folder) -> DataFrame:
+    return paged_documents(spark, folder).withColumn("pages", pages.clean_pages(F.col("pages")))
+
+
+def flow_lines(spark, folder) -> DataFrame:
+    return clean(spark, folder).select("doc_id", pages.numbered_lines(F.col("pages")).alias("lines"))
+
+
+@query("doc_repeated_lines", f"with {LINES} select doc_id, line from repeated")
+def doc_repeated_lines(spark, folder):
+    """One pass over each row: no shuffle, whatever line or document is hot."""
+    found = pages.repeated_lines(pages.trimmed_lines(F.col("pages")))
+    return paged_documents(spark, folder).select("doc_id", F.explode(found).alias("line"))
+
+
+@query(
+    "doc_noise_lines",
+    f"""with {LINES} select doc_id, pos - 1 as pos, line from lines where line <> '' and {NOISE.format("line")}
+        union all select page_id, -1, url from pages where {NOISE.format("url")}""",
+)
+def doc_noise_lines(spark, folder):
+    lines = paged_documents(spark, folder).select("doc_id", F.posexplode(F.flatten(pages.trimmed_lines(F.col("pages")))).alias("pos", "line"))
+    urls = table(spark, folder, "pages").select(F.col("page_id").alias("doc_id"), F.lit(-1).alias("pos"), F.col("url").alias("line"))
+    return lines.where("line <> ''").unionByName(urls).where(pages.is_noise_line(F.col("line")))
+
+
+@query("doc_dehyphenate", f"with {CLEAN} select doc_id, page, md5(page_text) as digest, length(page_text) as chars from clean_pages")
+def doc_dehyphenate(spark, folder):
+    cleaned = clean(spark, folder).select("doc_id", F.posexplode("pages").alias("_i", "t")).where("t <> ''")
+    return cleaned.select("doc_id", (F.col("_i") + 1).cast("bigint").alias("page"), F.md5("t").alias("digest"), F.length("t").alias("chars"))
+
+
+@query("win_next_line", f"with {ORDERED} select doc_id, i, page, md5(line) as line, md5(next_line) as next_line from flagged")
+def win_next_line(spark, folder):
+    """Look-ahead inside the row's line array; nothing is partitioned by document."""
+    pairs = F.transform(
+        "lines",
+        lambda x, i: F.struct(
+            x.getField("page").alias("page"), x.getField("line").alias("line"), pages.next_line(F.col("lines"), i).alias("next_line")
+        ),
+    )
+    rows = flow_lines(spark, folder).select("doc_id", F.posexplode(pairs).alias("i", "p"))
+    return rows.select("doc_id", "i", "p.page", F.md5("p.line").alias("line"), F.md5("p.next_line").alias("next_line"))
+
+
+@query("doc_heading_flag", f"with {ORDERED} select doc_id, i, page, line as heading from flagged where is_heading")
+def doc_heading_flag(spark, folder):
+    starts = tx.let(F.col("lines"), lambda ls: F.transform(pages.section_starts(ls), lambda i: F.struct(i.alias("i"), F.get(ls, i).alias("x"))))
+    rows = flow_lines(spark, folder).select("doc_id", F.inline(starts))
+    return rows.select("doc_id", "i", "x.page", F.col("x.line").alias("heading"))
+
+
+@query("win_section_islands", f"with {SECTIONS} select doc_id, count(*) as sections, min(page) as first_page, max(page) as last_page from sections group by doc_id")
+def win_section_islands(spark, folder):
+    sections = pages.page_sections(F.col("pages"), F.col("title"), merge_tiny=False)
+    rows = clean(spark, folder).select("doc_id", F.inline(sections))
+    return rows.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("sections"), F.min("page").alias("first_page"), F.max("page").alias("last_page")
+    )
+
+
+def sections_of(spark, folder, merge_tiny: bool) -> DataFrame:
+    built = pages.page_sections(F.col("pages"), F.col("title"), merge_tiny=merge_tiny)
+    return clean(spark, folder).select("doc_id", "lang", "source", "title", built.alias("sections"))
+
+
+@query("doc_page_sections", f"with {SECTIONS} select doc_id, section_no, section_path, page, md5(body) as digest, length(body) as chars from sections")
+def doc_page_sections(spark, folder):
+    rows = sections_of(spark, folder, False).select("doc_id", F.posexplode("sections").alias("section_no", "s"))
+    return rows.select(
+        "doc_id",
+        "section_no",
+        F.array_join("s.heading_path", " > ").alias("section_path"),
+        "s.page",
+        F.md5("s.text").alias("digest"),
+        F.length("s.text").alias("chars"),
+    )
+
+
+# The fold as a recursive query: step through a document's sections with the text still pending.
+FOLDED = f"""{SECTIONS},
+  folding as (
+    select doc_id, -1::bigint as section_no, ''::varchar as pending, null::varchar as done from (select distinct doc_id from sections)
+    union all
+    select s.doc_id, s.section_no,
+      case when n < 4 then joined else '' end, case when n >= 4 then joined end
+    from (select s.doc_id, s.section_no, joined,
+            len(regexp_extract_all(regexp_replace(joined, '\\s*⟦p[0-9]+⟧\\s*', ' ', 'g'), '\\S+')) as n
+          from (select s.doc_id, s.section_no, trim(f.pending || ' ' || s.body, {SPACE_SET}) as joined
+                from folding f join sections s on s.doc_id = f.doc_id and s.section_no = f.section_no + 1) s) s),
+  ends as (select doc_id, max(section_no) as last_no, max(section_no) filter (where done is not null) as last_done from folding group by doc_id),
+  folded as (
+    select f.doc_id, f.section_no, f.done || case when f.section_no = e.last_done and p.pending <> '' then ' ' || p.pending else '' end as body
+    from folding f join ends e using (doc_id) join folding p on p.doc_id = f.doc_id and p.section_no = e.last_no
+    where f.done is not null
+    union all
+    select f.doc_id, f.section_no, f.pending from folding f join ends e using (doc_id)
+    where e.last_done is null and f.section_no = e.last_no and f.pending <> ''),
+  final_sections as (
+    select f.doc_id, row_number() over (partition by f.doc_id order by f.section_no) - 1 as section_no, s.section_path, s.page, f.body
+    from folded f join sections s using (doc_id, section_no))"""
+
+
+@query(
+    "doc_fold_tiny",
+    f"with recursive {FOLDED} select doc_id, section_no, section_path, page, md5(body) as digest, length(body) as chars from final_sections",
+)
+def doc_fold_tiny(spark, folder):
+    rows = sections_of(spark, folder, True).select("doc_id", F.posexplode("sections").alias("section_no", "s"))
+    return rows.select(
+        "doc_id",
+        "section_no",
+        F.array_join("s.heading_path", " > ").alias("section_path"),
+        "s.page",
+        F.md5("s.text").alias("digest"),
+        F.length("s.text").alias("chars"),
+    )
+
+
+def as_markdown(spark, folder) -> DataFrame:
+    """Conversations as Markdown: the first word of every line that has three or more tells the level."""
+    marked = F.transform(
+        F.split("text", "\n"),
+        lambda x: F.when(F.length(x) < 60, F.concat(F.repeat(F.lit("#"), F.length(x) % 4 + 1), F.lit(" "), x)).otherwise(x),
+    )
+    return table(spark, folder, "conversations").select(
+        F.format_string("%d-%d", "conv_id", "turn").alias("doc_id"), F.array_join(marked, "\n").alias("body")
+    )
+
+
+MARKDOWN = f"""md_lines as (
+    select conv_id || '-' || turn as doc_id, unnest(string_split(text, chr(10))) as x,
+      generate_subscripts(string_split(text, chr(10)), 1) as i from conversations),
+  md as (select doc_id, i, length(x) < 60 and trim(x, {SPACE_SET}) <> '' as is_heading, length(x) % 4 + 1 as lvl, trim(x, {SPACE_SET}) as x from md_lines),
+  md_grouped as (select *, sum(is_heading::int) over (partition by doc_id order by i) as grp from md),
+  md_heads as (select doc_id, grp, lvl, x from md_grouped where is_heading),
+  md_paths as (
+    select doc_id, 0::hugeint as grp, []::varchar[] as path from (select distinct doc_id from md)
+    union all
+    select h.doc_id, h.grp, list_append(p.path[1:h.lvl - 1], h.x)
+    from md_paths p join md_heads h on h.doc_id = p.doc_id and h.grp = p.grp + 1),
+  md_sections as (
+    select doc_id, grp, trim(string_agg(x, chr(10) order by i), {SPACE_SET}) as body
+    from md_grouped where not is_heading group by doc_id, grp)"""
+
+
+@query(
+    "doc_heading_sections",
+    f"""with recursive {MARKDOWN} select doc_id, row_number() over (partition by doc_id order by grp) - 1 as section_no,
+      case when len(path) = 0 then doc_id else array_to_string(path, ' > ') end as section_path,
+      length(body) as chars
+    from md_sections join md_paths using (doc_id, grp) where body <> ''""",
+)
+def doc_heading_sections(spark, folder):
+    sections = documents.heading_sections(F.col("body"), F.col("doc_id"))
+    rows = as_markdown(spark, folder).select("doc_id", F.posexplode(sections).alias("section_no", "s"))
+    return rows.select("doc_id", "section_no", F.array_join("s.heading_path", " > ").alias("section_path"), F.length("s.text").alias("chars"))
+
+
+# ------------------------------------------------------------------ personal data
+
+EMAIL_SQL = r"[\p{L}\p{N}_.+-]+@(?:[\p{L}\p{N}_-]+\.)+[a-zA-Z]{2,}"
+CARD_SQL = r"\b[0-9]{16}\b"
+# The rules on the given texts: card numbers hold a document back, e-mails are noted.
+KINDS = (
+    documents.Kind("card_number", "high", r"(?U:\b\d{16}\b)", r"\p{Nd}{16}"),
+    documents.Kind("email_address", "low", f"(?iU:{documents.EMAIL})", "@", ("mail5.example.com",)),
+)
+
+
+def scanned_documents(spark, folder) -> DataFrame:
+    docs = spread(table(spark, folder, "documents"), "doc_id").select(
+        "doc_id", F.col("source").alias("source_path"), F.sha2("text", 256).alias("content_hash"), F.col("text").alias("raw_text")
+    )
+    return documents.with_findings(docs, "raw_text", KINDS)
+
+
+HITS = f"""cards as (
+    select doc_id, 'card_number' as kind, 'high' as severity, len(regexp_extract_all(text, '{CARD_SQL}')) as n from documents),
+  mails as (
+    select doc_id, 'email_address' as kind, 'low' as severity,
+      len(list_filter(regexp_extract_all(text, '{EMAIL_SQL}'), lambda m: not ends_with(lower(m), 'mail5.example.com'))) as n from documents),
+  hits as (select * from cards where n > 0 union all select * from mails where n > 0)"""
+
+
+@query("doc_pii_counts", f"with {HITS} select doc_id, kind, severity, n from hits")
+def doc_pii_counts(spark, folder):
+    rows = scanned_documents(spark, folder).select("doc_id", F.inline("findings"))
+    return rows.groupBy("doc_id", "kind", "severity").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "doc_quarantine",
+    f"with {HITS} select doc_id, source as source_path, sha256(text) as content_hash from documents where doc_id in (select doc_id from cards where n > 0)",
+)
+def doc_quarantine(spark, folder):
+    return documents.quarantine_rows(scanned_documents(spark, folder)).drop("findings")
+
+
+# Excerpts by cutting the text at its matches: what stands 20 characters either side.
+EXCERPTS = f"""pieces as (
+    select doc_id, text, string_split_regex(text, '{EMAIL_SQL}') as parts, regexp_extract_all(text, '{EMAIL_SQL}') as found from documents),
+  spans as (
+    select doc_id, text, j, found[j] as value,
+      1 + list_sum(list_transform(parts[1:j], lambda x: length(x)))::bigint
+        + coalesce(list_sum(list_transform(found[1:j - 1], lambda x: length(x)))::bigint, 0) as pos_at
+    from pieces, unnest(range(1, len(found) + 1)) as r(j)),
+  excerpts as (
+    select doc_id, value, '...' || replace(substr(text, greatest(1, pos_at - 20), least(20, pos_at - 1)) || '[REDACTED]'
+      || substr(text, pos_at + length(value), 20), chr(10), ' ') || '...' as excerpt from spans)"""
+
+
+@query(
+    "doc_low_findings",
+    f"""with {HITS}, {EXCERPTS} select doc_id, 'email_address' as kind, excerpt from excerpts
+        where not ends_with(lower(value), 'mail5.example.com') and doc_id not in (select doc_id from cards where n > 0)""",
+)
+def doc_low_findings(spark, folder):
+    return documents.low_finding_rows(scanned_documents(spark, folder))
+
+
+@query("str_redact_excerpt", f"with {EXCERPTS} select doc_id, excerpt from excerpts")
+def str_redact_excerpt(spark, folder):
+    kinds = (documents.Kind("email_address", "low", f"(?iU:{documents.EMAIL})", "@"),)
+    found = documents.find_personal_data(F.col("text"), kinds)
+    return spread(table(spark, folder, "documents"), "doc_id").select("doc_id", F.inline(found)).select("doc_id", "excerpt")
+
+
+@query(
+    "doc_error_rows",
+    r"""select url as source_path, case when html not like '%<article>%' then 'no article' else 'no paragraph' end as error
+       from pages where html not like '%<article>%' or not regexp_matches(html, '<p>[^<]')""",
+)
+def doc_error_rows(spark, folder):
+    error = F.when(~F.contains("html", F.lit("<article>")), "no article").when(~F.col("html").rlike("<p>[^<]"), "no paragraph")
+    parsed = table(spark, folder, "pages").select(F.col("url").alias("source_path"), error.alias("error"))
+    return documents.error_rows(parsed)
+
+
+# ------------------------------------------------------------------ passages
+
+
+def token_sql(n: str) -> str:
+    return f"greatest(1, round_even(({n}) * 1.3::double, 0)::int)"
+
+
+def single_section(spark, folder) -> DataFrame:
+    section = F.struct(
+        F.array(F.format_string("Document %d", "doc_id")).alias("heading_path"),
+        F.col("text").alias("text"),
+        F.lit(None).cast("int").alias("page"),
+    )
+    return spread(table(spark, folder, "documents"), "doc_id").select(
+        "doc_id",
+        F.format_string("Document %d", "doc_id").alias("title"),
+        F.col("source").alias("source_type"),
+        F.col("lang").alias("status"),
+        F.array(section).alias("sections"),
+    )
+
+
+STEP = int(MAX_TOKENS / 1.3)
+UNITS = f"""paras as (
+    select doc_id, p, trim(x, {SPACE_SET}) as para from (
+      select doc_id, unnest(string_split_regex(text, '\\n\\s*\\n')) as x,
+        generate_subscripts(string_split_regex(text, '\\n\\s*\\n'), 1) as p from documents) where trim(x, {SPACE_SET}) <> ''),
+  sents as (
+    select doc_id, p, s, trim(x, {SPACE_SET}) as sent from (
+      select doc_id, p, unnest(parts) as x, generate_subscripts(parts, 1) as s from (
+        select doc_id, p, case when {token_sql("len(regexp_extract_all(para, '\\S+'))")} <= {MAX_TOKENS} then [para]
+          else string_split(regexp_replace(para, '([.!?])\\s+([A-Z0-9"''(⟦])', '\\1' || chr(1) || '\\2', 'g'), chr(1)) end as parts
+        from paras)) where trim(x, {SPACE_SET}) <> ''),
+  pieces0 as (
+    select doc_id, p, s, ws, len(ws) as n, sent from (select *, regexp_extract_all(sent, '\\S+') as ws from sents)),
+  units0 as (
+    select doc_id, p, s, 0 as c, sent as unit from pieces0 where {token_sql("n")} <= {MAX_TOKENS}
+    union all
+    select doc_id, p, s, c, array_to_string(ws[c * {STEP} + 1:(c + 1) * {STEP}], ' ')
+    from pieces0, unnest(range(0, (n + {STEP} - 1) // {STEP})) as r(c) where {token_sql("n")} > {MAX_TOKENS}),
+  units as (
+    select doc_id, row_number() over (partition by doc_id order by p, s, c) - 1 as i, unit,
+      len(regexp_extract_all(unit, '\\S+')) as w from units0)"""
+PACKED = f"""{UNITS},
+  prefix as (select doc_id, list_prepend(0::bigint, list(total order by i)) as sums, count(*) as n
+    from (select doc_id, i, sum(w) over (partition by doc_id order by i)::bigint as total from units) group by doc_id),
+  packing as (
+    select doc_id, 0::bigint as i, 0::bigint as first, null::bigint as from_i, null::bigint as to_i from prefix
+    union all
+    select q.doc_id, q.i + 1,
+      case when q.overflow then coalesce(list_filter(range(q.first, q.i), lambda s:
+          {token_sql("q.sums[q.i + 1] - q.sums[s + 1]")} <= {OVERLAP} and {token_sql("q.sums[q.i + 2] - q.sums[s + 1]")} <= {MAX_TOKENS})[1], q.i)
+        else q.first end,
+      case when q.overflow then q.first end, case when q.overflow then q.i - 1 end
+    from (select k.doc_id, k.i, k.first, p.sums, k.i > k.first and {token_sql("p.sums[k.i + 2] - p.sums[k.first + 1]")} > {MAX_TOKENS} as overflow
+          from packing k join prefix p using (doc_id) where k.i < p.n) q),
+  runs as (
+    select doc_id, from_i, to_i from packing where from_i is not null
+    union all select k.doc_id, k.first, p.n - 1 from packing k join prefix p on p.doc_id = k.doc_id and k.i = p.n),
+  chunks as (
+    select r.doc_id, row_number() over (partition by r.doc_id order by r.from_i) - 1 as chunk_index, from_i, to_i,
+      (select string_agg(unit, chr(10) || chr(10) order by i) from units u where u.doc_id = r.doc_id and u.i between from_i and to_i) as body,
+      {token_sql("(select sum(w) from units u where u.doc_id = r.doc_id and u.i between from_i and to_i)::bigint")} as token_count
+    from runs r)"""
+
+
+@query("doc_units", f"with {UNITS} select doc_id, i, w, md5(unit) as digest from units")
+def doc_units(spark, folder):
+    found = passages.units(F.col("text"), MAX_TOKENS)
+    rows = spread(table(spark, folder, "documents"), "doc_id").select("doc_id", F.posexplode(found).alias("i", "unit"))
+    return rows.select("doc_id", "i", tx.word_count(F.col("unit")).alias("w"), F.md5("unit").alias("digest"))
+
+
+@query("doc_pack", f"with recursive {PACKED} select doc_id, from_i, to_i from runs")
+def doc_pack(spark, folder):
+    units = passages.units(F.col("text"), MAX_TOKENS)
+    counts = tx.let(units, lambda us: F.transform(us, tx.word_count))
+    packed = tx.let(counts, lambda ws: passages.pack(ws, MAX_TOKENS, OVERLAP))
+    rows = spread(table(spark, folder, "documents"), "doc_id").select("doc_id", F.inline(packed))
+    return rows.select("doc_id", F.col("first").alias("from_i"), F.col("last").alias("to_i"))
+
+
+@query(
+    "doc_chunks",
+    f"""with recursive {PACKED} select doc_id || '-' || lpad(chunk_index::varchar, 4, '0') as chunk_id, doc_id, chunk_index,
+      'Document ' || doc_id as section_path, token_count, md5('Document ' || doc_id || chr(10) || chr(10) || body) as digest from chunks""",
+)
+def doc_chunks(spark, folder):
+    cut = passages.passages(single_section(spark, folder), MAX_TOKENS, OVERLAP)
+    return cut.select("chunk_id", "doc_id", "chunk_index", "section_path", "token_count", F.md5("text").alias("digest"))
+
+
+def page_chunks(spark, folder) -> DataFrame:
+    """Passages of the paged documents: sections, tiny ones folded, packed, with pages."""
+    return passages.passages(
+        sections_of(spark, folder, True).withColumnsRenamed({"source": "source_type", "lang": "status"}), MAX_TOKENS, OVERLAP
+    )
+
+
+@query("win_chunk_index", f"with recursive {PACKED} select doc_id, max(chunk_index) as last_index, count(*) as chunks from chunks group by doc_id")
+def win_chunk_index(spark, folder):
+    cut = passages.passages(single_section(spark, folder), MAX_TOKENS, OVERLAP)
+    return cut.groupBy("doc_id").agg(F.max("chunk_index").alias("last_index"), F.count(F.lit(1)).alias("chunks"))
+
+
+CHUNK_TABLE = f"""{PACKED}, chunk_table as (
+    select c.doc_id, chunk_index, c.doc_id || '-' || lpad(chunk_index::varchar, 4, '0') as chunk_id, d.source as source_type, d.lang as status, token_count,
+      'Document ' || c.doc_id || chr(10) || chr(10) || body as text
+    from chunks c join documents d using (doc_id))"""
+
+
+def chunk_table(spark, folder) -> DataFrame:
+    return passages.passages(single_section(spark, folder), MAX_TOKENS, OVERLAP)
+
+
+@query(
+    "agg_token_summary",
+    f"""with recursive {CHUNK_TABLE} select count(distinct doc_id) as documents, count(*) as chunks, min(token_count) as tokens_min,
+      percentile_disc(0.5) within group (order by token_count desc) as tokens_median, max(token_count) as tokens_max from chunk_table""",
+)
+def agg_token_summary(spark, folder):
+    return chunk_table(spark, folder).agg(
+        F.count_distinct("doc_id").alias("documents"),
+        F.count(F.lit(1)).alias("chunks"),
+        F.min("token_count").alias("tokens_min"),
+        upper_median("token_count").alias("tokens_median"),
+        F.max("token_count").alias("tokens_max"),
+    )
+
+
+@query(
+    "agg_chunk_stats",
+    f"""with recursive {CHUNK_TABLE} select source_type, count(*) as chunks, min(token_count) as min_tokens,
+      quantile_disc(token_count, 0.5) as median_tokens, max(token_count) as max_tokens from chunk_table group by source_type""",
+)
+def agg_chunk_stats(spark, folder):
+    return chunk_table(spark, folder).groupBy("source_type").agg(
+        F.count(F.lit(1)).alias("chunks"),
+        F.min("token_count").alias("min_tokens"),
+        F.percentile_approx("token_count", 0.5).alias("median_tokens"),
+        F.max("token_count").alias("max_tokens"),
+    )
+
+
+@query(
+    "agg_tiny_chunks",
+    f"""with recursive {CHUNK_TABLE} select doc_id, count(*) as chunks, count(*) filter (where token_count < 20) as tiny_chunks
+      from chunk_table where status = 'en' group by doc_id""",
+)
+def agg_tiny_chunks(spark, folder):
+    """Passages under 20 tokens per document, most first."""
+    return (
+        chunk_table(spark, folder)
+        .where(F.col("status") == "en")
+        .groupBy("doc_id")
+        .agg(F.count(F.lit(1)).alias("chunks"), F.count_if(F.col("token_count") < 20).alias("tiny_chunks"))
+        .orderBy(F.desc("tiny_chunks"), "doc_id")
+    )
+
+
+@query(
+    "agg_sample_listing",
+    f"""with recursive {CHUNK_TABLE} select chunk_id, token_count, left(text, 120) as text from chunk_table
+      where status = 'en' order by chunk_id limit 5""",
+)
+def agg_sample_listing(spark, folder):
+    chunks = chunk_table(spark, folder).where(F.col("status") == "en")
+    return top_rows(chunks.select("chunk_id", "token_count", F.left("text", F.lit(120)).alias("text")), 5, "chunk_id")
+
+
+@query("agg_docs_by_type", "select source as source_type, lang as status, count(*) as documents from documents group by all order by all")
+def agg_docs_by_type(spark, folder):
+    docs = table(spark, folder, "documents").select(F.col("source").alias("source_type"), F.col("lang").alias("status"))
+    return docs.groupBy("source_type", "status").agg(F.count(F.lit(1)).alias("documents")).orderBy("source_type", "status")
+
+
+@query(
+    "agg_page_spread",
+    f"""with {CLEAN} select doc_id, count(*) as lines, count(distinct page) as distinct_pages, min(page) as first_page, max(page) as last_page
+      from kept_lines group by doc_id""",
+)
+def agg_page_spread(spark, folder):
+    lines = paged_documents(spark, folder).select("doc_id", "pages")
+    trimmed = pages.trimmed_lines(F.col("pages"))
+    kept = tx.let(
+        trimmed,
+        lambda ls: tx.let(
+            pages.repeated_lines(ls),
+            lambda rep: F.transform(
+                ls, lambda p, i: F.struct((i + 1).cast("bigint").alias("page"), F.filter(p, lambda x: (x != "") & ~F.array_contains(rep, x) & ~pages.is_noise_line(x)).alias("kept"))
+            ),
+        ),
+    )
+    rows = lines.select("doc_id", F.inline(kept)).select("doc_id", "page", F.size("kept").alias("n")).where("n > 0")
+    return rows.groupBy("doc_id").agg(
+        F.sum("n").alias("lines"), F.count_distinct("page").alias("distinct_pages"), F.min("page").alias("first_page"), F.max("page").alias("last_page")
+    )
+
+
+@query("doc_page_chunks")
+def doc_page_chunks(spark, folder):
+    """The whole document track in one map-only plan. Checked against brute force in tests/."""
+    cut = page_chunks(spark, folder)
+    return cut.select("chunk_id", "doc_id", "chunk_index", "section_path", "token_count", "page", F.md5("text").alias("digest"))
+
+
+@query("flt_merged_equality", "select doc_id, source, n_chars from documents where lang = 'de' and source = 'src3'")
+def flt_merged_equality(spark, folder):
+    condition = merged_filter({"source": "src3", "lang": "de"}, defaults={"lang": "en"})
+    return table(spark, folder, "documents").where(condition).select("doc_id", "source", "n_chars")
+
+
+# ------------------------------------------------------------------ text functions
+
+
+@query(
+    "str_normalise_ws",
+    f"""select doc_id, length(x) as chars, md5(x) as digest from (
+      select doc_id, trim(regexp_replace(regexp_replace(regexp_replace(replace(replace(text, chr(13) || chr(10), chr(10)), chr(160), ' '),
+        '[ \\t]+', ' ', 'g'), ' *\\n *', chr(10), 'g'), '\\n{{3,}}', chr(10) || chr(10), 'g'), {SPACE_SET}) as x from documents)""",
+)
+def str_normalise_ws(spark, folder):
+    x = table(spark, folder, "documents").select("doc_id", tx.normalise_whitespace(F.col("text")).alias("x"))
+    return x.select("doc_id", F.length("x").alias("chars"), F.md5("x").alias("digest"))
+
+
+@query(
+    "str_normalise_evidence",
+    f"""select page_id, length(x) as chars, md5(x) as digest from (
+      select page_id, lower(trim(regexp_replace(replace(replace(replace(replace(replace(html, '*', ''), '’', ''''), '‘', ''''), '“', '"'), '”', '"'),
+        '\\s+', ' ', 'g'), {SPACE_SET})) as x from pages)""",
+)
+def str_normalise_evidence(spark, folder):
+    x = table(spark, folder, "pages").select("page_id", tx.normalise_evidence(F.col("html")).alias("x"))
+    return x.select("page_id", F.length("x").alias("chars"), F.md5("x").alias("digest"))
+
+
+@query("str_token_count", f"select doc_id, {token_sql(r'''len(regexp_extract_all(text, '\S+'))''')} as tokens from documents")
+def str_token_count(spark, folder):
+    return table(spark, folder, "documents").select("doc_id", tx.token_count(F.col("text")).alias("tokens"))
+
+
+EXACT_SQL = r"""(regexp_matches({0}, '\p{{Nd}}') or len(list_filter(string_split_regex({0}, '[.?!]+\s*'), lambda s:
+    len(list_filter(regexp_extract_all(regexp_replace(s, '\bI''[\p{{L}}\p{{N}}_]+', 'I', 'g'), '[A-Za-z][A-Za-z&-]*'),
+      lambda w, i: w not in ('NHS', 'GP', 'A&E', 'I') and (
+        (length(replace(replace(w, '-', ''), '&', '')) >= 2 and replace(replace(w, '-', ''), '&', '') = upper(replace(replace(w, '-', ''), '&', '')))
+        or regexp_matches(substr(replace(replace(w, '-', ''), '&', ''), 2), '[A-Z]')
+        or (i > 1 and regexp_matches(w, '^[A-Z]'))))) > 0)) > 0)"""
+
+
+@query("str_exact_terms", f"select conv_id, turn, {EXACT_SQL.format('text')} as exact_terms from conversations")
+def str_exact_terms(spark, folder):
+    return table(spark, folder, "conversations").select("conv_id", "turn", tx.has_exact_terms(F.col("text")).alias("exact_terms"))
+
+
+@query(
+    "str_route_query",
+    f"""select conv_id, turn, case role when 'system' then 'FULL_TEXT' else case when {EXACT_SQL.format('text')} then 'HYBRID' else 'ANN' end end as route
+      from conversations""",
+)
+def str_route_query(spark, folder):
+    asked = F.when(F.col("role") == "system", "FULL_TEXT").otherwise("AUTO")
+    return table(spark, folder, "conversations").select("conv_id", "turn", tx.route_query(F.col("text"), asked).alias("route"))
+
+
+ALIASES = {"%ring%": ("the", "der", "la"), "%widget%": ("zu", "les"), "%bolt%": ("para", "de")}
+
+
+@query(
+    "str_alias_case",
+    "select conv_id, turn, case "
+    + " ".join(
+        f"when list_has_any(string_split_regex(lower(trim(text, ' ')), '[^a-z]+'), {list(group)}) then '{pattern}'"
+        for pattern, group in ALIASES.items()
+    )
+    + " end as pattern from conversations",
+)
+def str_alias_case(spark, folder):
+    return table(spark, folder, "conversations").select("conv_id", "turn", tx.alias_pattern(F.col("text"), ALIASES).alias("pattern"))
+
+
+@query(
+    "str_passage",
+    """select page_id, length(p) as chars, md5(p) as digest, md5(s) as section from (select page_id,
+      left(case when position('<p>' in html) > 0 then substr(html, position('<p>' in html) + 3) else html end, 1200) as p,
+      case when position('=' in url) > 0 then substr(url, position('=' in url) + 1) else url end as s from pages)""",
+)
+def str_passage(spark, folder):
+    """Text after a blank line and section after ` > `, on texts that hold those separators."""
+    rows = table(spark, folder, "pages").select(
+        "page_id",
+        tx.passage(F.replace("html", F.lit("<p>"), F.lit("\n\n"))).alias("p"),
+        tx.section_of(F.replace("url", F.lit("="), F.lit(" > "))).alias("s"),
+    )
+    # the separators were longer or shorter before: put them back to compare with the originals
+    return rows.select(
+        "page_id",
+        F.length(F.left(F.replace("p", F.lit("\n\n"), F.lit("<p>")), F.lit(1200))).alias("chars"),
+        F.md5(F.left(F.replace("p", F.lit("\n\n"), F.lit("<p>")), F.lit(1200))).alias("digest"),
+        F.md5(F.replace("s", F.lit(" > "), F.lit("="))).alias("section"),
+    )
+
+
+@query(
+    "str_hashes",
+    "select doc_id, sha256(text) as content_hash, left(sha256(text), 12) as fingerprint, sha1(text) as cache_key from documents",
+)
+def str_hashes(spark, folder):
+    return table(spark, folder, "documents").select(
+        "doc_id",
+        F.sha2("text", 256).alias("content_hash"),
+        tx.fingerprint(F.col("text")).alias("fingerprint"),
+        F.sha1("text").alias("cache_key"),
+    )
+
+
+@query(
+    "str_alternatives",
+    "select conv_id, turn, contains(lower(text), 'therefore') or contains(lower(text), 'nicht') or contains(lower(text), 'para') as found from conversations",
+)
+def str_alternatives(spark, folder):
+    fact = F.lit("Therefore | NICHT|para")
+    return table(spark, folder, "conversations").select("conv_id", "turn", tx.has_alternative(F.col("text"), fact).alias("found"))
+
+
+@query("str_last_segment", "select page_id, string_split(url, '/')[-1] as last from pages")
+def str_last_segment(spark, folder):
+    return table(spark, folder, "pages").select("page_id", tx.last_segment(F.replace("url", F.lit("/"), F.lit("__"))).alias("last"))
