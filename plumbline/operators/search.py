@@ -104,7 +104,7 @@ def _result_schema(queries: DataFrame, corpus: DataFrame) -> str:
 def _scan_corpus(queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
     held = queries.toArrow()
     query_ids = held.column("query_id")
-    matrix = _unit_rows(_matrix(held.column("vector")))
+    matrix = _unit_rows(_matrix(held.column("vector"))) if held.num_rows else None
     shared = corpus.sparkSession.sparkContext.broadcast((query_ids, matrix))
     id_type = pa.int64() if corpus.schema["id"].dataType.simpleString() == "bigint" else pa.string()
 
@@ -112,7 +112,7 @@ def _scan_corpus(queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
         names, unit = shared.value
         best: pd.DataFrame | None = None
         for batch in batches:
-            if not batch.num_rows:
+            if not batch.num_rows or not len(names):
                 continue
             ids = np.asarray(batch.column("id").to_pylist())
             found = _score_block(unit, _matrix(batch.column("vector")), ids, k)

@@ -1 +1,194 @@
-"""Queries to come."""
+"""Queries of retrieval evaluation. Every labelled document asks for itself: its evidence is the
+end of its first line (of another document's when it is toxic, so nothing can be found). Two
+configurations rank the ten documents around it in different orders."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from plumbline.functions.text import token_count
+from plumbline.operators import relevance
+from plumbline.plans.base import query, table
+from plumbline.plans.documents import token_sql
+
+STEPS = {"far": 7, "near": 3}  # both coprime with 10: each gives every rank once
+
+
+def first_line_end(c: str):
+    return F.right(F.substring_index(c, "\n", 1), F.lit(25))
+
+
+def questions_and_labels(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    marked = table(spark, folder, "labels")
+    own = marked.join(docs, "doc_id").select("doc_id", "quality", "toxic", first_line_end("text").alias("evidence"))
+    own = own.withColumn("evidence", F.when(F.col("toxic") == 1, F.concat(F.lit("no such text "), "evidence")).otherwise(F.col("evidence")))
+    questions = own.select(
+        F.col("doc_id").alias("id"),
+        F.when(F.col("quality") == 1, "exact").otherwise("paraphrase").alias("kind"),
+        F.concat(F.lit("Where is "), "evidence").alias("question"),
+    )
+    labels = own.select(F.col("doc_id").alias("question_id"), "doc_id", "evidence")
+    # a second label: the document after it may hold the evidence as well
+    return questions, labels.unionByName(labels.withColumn("doc_id", F.col("doc_id") + 1))
+
+
+def rankings(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    ids = table(spark, folder, "labels").select(F.col("doc_id").alias("question_id"))
+    orders = F.array(*[F.struct(F.lit(n).alias("config"), F.lit(s).alias("step")) for n, s in STEPS.items()])
+    grid = ids.select("question_id", F.inline(orders)).withColumn("off", F.explode(F.sequence(F.lit(0), F.lit(9))))
+    ranked = grid.select(
+        "config",
+        "question_id",
+        ((F.col("step") * F.col("off") + F.col("question_id")) % 10 + 1).cast("int").alias("rank"),
+        (F.col("question_id") + F.col("off") - 4).alias("doc_id"),
+    )
+    return ranked.join(docs, "doc_id")
+
+
+def norm_sql(c: str) -> str:
+    return (
+        f"lower(trim(regexp_replace(replace(replace(replace(replace(replace({c}, '*', ''), '’', ''''), '‘', ''''), '“', '\"'), '”', '\"'), "
+        f"'\\s+', ' ', 'g'), ' '))"
+    )
+
+
+SETS = f"""own as (
+    select doc_id, quality, case when toxic = 1 then 'no such text ' else '' end || right(string_split(text, chr(10))[1], 25) as evidence
+    from labels join documents using (doc_id)),
+  questions as (select doc_id as id, case when quality = 1 then 'exact' else 'paraphrase' end as kind, 'Where is ' || evidence as question from own),
+  labelled as (select doc_id as question_id, doc_id, evidence from own union all select doc_id, doc_id + 1, evidence from own),
+  ranked as (
+    select config, l.doc_id as question_id, ((step * off + l.doc_id) % 10 + 1)::int as rank, d.doc_id, d.text
+    from labels l, (values {', '.join(f"('{n}', {s})" for n, s in STEPS.items())}) as o(config, step), range(10) as r(off)
+    join documents d on true where d.doc_id = l.doc_id + off - 4),
+  judged as (
+    select r.config, r.question_id, r.rank, r.doc_id, r.text, bool_or(l.doc_id is not null) as doc_match,
+      bool_or(coalesce(contains({norm_sql('r.text')}, {norm_sql('l.evidence')}), false)) as relevant
+    from ranked r left join labelled l on l.question_id = r.question_id and l.doc_id = r.doc_id group by all),
+  per_question as (
+    select c.config, q.id as question_id, kind, question, min(rank) filter (where relevant) as first_relevant_rank,
+      coalesce(bool_or(rank <= 5 and doc_match), false) as doc_hit_at_5,
+      coalesce(string_agg(doc_id::varchar, ', ' order by rank) filter (where rank <= 5), '') as top_docs
+    from questions q cross join (select distinct config from ranked) c
+    left join judged j on j.question_id = q.id and j.config = c.config group by all)"""
+RATES = (
+    ", ".join(
+        f"avg(case when first_relevant_rank <= {k} then 1.0::double else 0.0::double end) as recall_at_{k}" for k in relevance.KS
+    )
+    + ", avg(coalesce(1 / first_relevant_rank, 0.0::double)) as mrr"
+    + ", avg(case when doc_hit_at_5 then 1.0::double else 0.0::double end) as doc_recall_at_5, count(*) as n_questions"
+)
+
+
+def per_question(spark, folder) -> DataFrame:
+    questions, labels = questions_and_labels(spark, folder)
+    return relevance.per_question(questions, labels, rankings(spark, folder))
+
+
+def rounded(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.round(c, 9) for c, t in df.dtypes if t == "double"})
+
+
+def rounded_sql(sql: str, columns) -> str:
+    return "select * replace (" + ", ".join(f"round({c}, 9) as {c}" for c in columns) + f") from ({sql})"
+
+
+RATE_NAMES = [*(f"recall_at_{k}" for k in relevance.KS), "mrr", "doc_recall_at_5"]
+
+
+@query(
+    "jon_evidence_contains",
+    f"with {SETS} select distinct question_id, l.doc_id, md5(evidence) as evidence from labelled l join documents d on d.doc_id = l.doc_id where contains({norm_sql('d.text')}, {norm_sql('evidence')})",
+)
+def jon_evidence_contains(spark, folder):
+    """Equality on the document, evidence as a residual test: no pair outside its document."""
+    _, labels = questions_and_labels(spark, folder)
+    pairs = relevance.relevant_pairs(labels, table(spark, folder, "documents"))
+    return pairs.select("question_id", "doc_id", F.md5("evidence").alias("evidence"))
+
+
+FOUND = f"select question_id from labelled l join documents d on d.doc_id = l.doc_id where contains({norm_sql('d.text')}, {norm_sql('evidence')})"
+
+
+@query("jon_answerable_semi", f"with {SETS} select id, kind from questions where id in ({FOUND})")
+def jon_answerable_semi(spark, folder):
+    questions, labels = questions_and_labels(spark, folder)
+    return relevance.answerable(questions, labels, table(spark, folder, "documents")).select("id", "kind")
+
+
+@query("jon_unanswerable_anti", f"with {SETS} select id, kind from questions where id not in ({FOUND})")
+def jon_unanswerable_anti(spark, folder):
+    questions, labels = questions_and_labels(spark, folder)
+    return relevance.unanswerable(questions, labels, table(spark, folder, "documents")).select("id", "kind")
+
+
+@query("evr_first_rank", f"with {SETS} select config, question_id, first_relevant_rank from per_question")
+def evr_first_rank(spark, folder):
+    return per_question(spark, folder).select("config", "question_id", "first_relevant_rank")
+
+
+@query("evr_per_question", f"with {SETS} select config, question_id, kind, md5(question) as question, first_relevant_rank, doc_hit_at_5, top_docs from per_question")
+def evr_per_question(spark, folder):
+    rows = per_question(spark, folder).withColumn("question", F.md5("question"))
+    return rows.select("config", "question_id", "kind", "question", "first_relevant_rank", "doc_hit_at_5", "top_docs")
+
+
+@query("evr_recall", f"with {SETS} " + rounded_sql(f"select config, {', '.join(RATE_NAMES[:4])} from (select config, {RATES} from per_question group by config)", RATE_NAMES[:4]))
+def evr_recall(spark, folder):
+    return rounded(relevance.metrics(per_question(spark, folder)).select("config", *RATE_NAMES[:4]))
+
+
+@query("evr_mrr", f"with {SETS} select config, round(mrr, 9) as mrr from (select config, {RATES} from per_question group by config)")
+def evr_mrr(spark, folder):
+    return rounded(relevance.metrics(per_question(spark, folder)).select("config", "mrr"))
+
+
+@query("evr_doc_recall", f"with {SETS} select config, round(doc_recall_at_5, 9) as doc_recall_at_5 from (select config, {RATES} from per_question group by config)")
+def evr_doc_recall(spark, folder):
+    return rounded(relevance.metrics(per_question(spark, folder)).select("config", "doc_recall_at_5"))
+
+
+@query("evr_by_kind", f"with {SETS} " + rounded_sql(f"select config, kind, {RATES} from per_question group by config, kind", RATE_NAMES))
+def evr_by_kind(spark, folder):
+    return rounded(relevance.metrics_by_kind(per_question(spark, folder)))
+
+
+LONG = [*RATE_NAMES, "n_questions"]
+
+
+@query(
+    "evr_metrics_long",
+    f"""with {SETS}, levels as (
+      select config, '' as prefix, {RATES} from per_question group by config
+      union all select config, kind || '_', {RATES} from per_question group by config, kind)
+      """
+    + " union all ".join(f"select config, prefix || '{n}' as metric, round({n}::double, 9) as value from levels" for n in LONG),
+)
+def evr_metrics_long(spark, folder):
+    return rounded(relevance.metrics_long(per_question(spark, folder)))
+
+
+@query("evr_compare_configs", f"with {SETS} " + rounded_sql(f"select config, {RATES} from per_question group by config", RATE_NAMES))
+def evr_compare_configs(spark, folder):
+    """All configurations in one job: the configuration is a column."""
+    return rounded(relevance.metrics(per_question(spark, folder)))
+
+
+TOKENS = token_sql(r"len(regexp_extract_all(text, '\S+'))")
+
+
+@query(
+    "evr_context_cost",
+    f"""with {SETS}, pool as (select config, doc_id, {TOKENS} as tokens from documents cross join (select distinct config from ranked)),
+      sizes as (select config, count(*) as n_chunks, (percentile_disc(0.5) within group (order by tokens desc))::int as median_chunk_tokens from pool group by config),
+      reads as (select config, question_id, sum(case when rank <= 5 then {TOKENS} else 0 end) as n from ranked group by config, question_id)
+      select config, n_chunks, median_chunk_tokens, round(avg(n), 9) as mean_tokens_top5 from sizes join reads using (config)
+      group by config, n_chunks, median_chunk_tokens""",
+)
+def evr_context_cost(spark, folder):
+    names = F.array(*[F.lit(n) for n in STEPS])
+    pool = table(spark, folder, "documents").select(F.explode(names).alias("config"), token_count(F.col("text")).alias("token_count"))
+    return rounded(relevance.context_cost(pool, rankings(spark, folder)))
