@@ -75,7 +75,13 @@ def rows_as_objects(output: Column, row_schema: str) -> Column:
     arrays = F.from_json(F.get_json_object(output, "$.rows"), "array<array<string>>")
     objects = F.from_json(F.get_json_object(output, "$.rows"), f"array<struct<{row_schema}>>")
     names = F.transform(columns, lambda c: F.coalesce(F.get_json_object(c, "$.name"), c))
-    named = F.transform(
-        arrays, lambda r: F.from_json(F.to_json(F.map_from_arrays(names, r)), f"struct<{row_schema}>")
-    )
+    fields = [f.split()[0] for f in row_schema.split(",")]
+
+    def build(listed: Column) -> Column:
+        return F.transform(
+            arrays,
+            lambda r: F.struct(*[F.get(r, F.array_position(listed, F.lit(f)).cast("int") - 1).alias(f) for f in fields]),
+        )
+
+    named = let(names, lambda listed: build(listed))
     return F.when(columns.isNotNull(), named).otherwise(objects)

@@ -8,13 +8,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The characters counted as white space (Unicode White_Space plus the four
-# information separators), as a set for trim() and as a class both Java and RE2 understand.
+# information separators), as a set for trim() and as a regular expression.
 SPACE_CHARS = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
     "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
-SPACE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-NOT_SPACE = SPACE.replace("[", "[^", 1)
+SPACE = r"(?U:[\s\x1c-\x1f])"
+NOT_SPACE = r"(?U:[^\s\x1c-\x1f])"
 LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]"
 
 # Inline page marker, tokens per word, acronyms too common to be exact terms,
@@ -42,6 +42,13 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def replace_all(c: Column, pairs: dict[str, str]) -> Column:
+    """Plain replacements. A byte search each, which beats translate() on long texts."""
+    for old, new in pairs.items():
+        c = F.replace(c, F.lit(old), F.lit(new))
+    return c
+
+
 def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(SPACE_CHARS))
 
@@ -70,7 +77,7 @@ def token_count(c: Column) -> Column:
 
 def normalise_whitespace(c: Column) -> Column:
     """CRLF to LF, runs of blanks to one, none around line breaks, at most one empty line."""
-    c = F.translate(F.replace(c, F.lit("\r\n"), F.lit("\n")), "\xa0", " ")
+    c = replace_all(c, {"\r\n": "\n", "\xa0": " "})
     c = F.regexp_replace(c, "[ \t]+", " ")
     c = F.regexp_replace(c, " *\n *", "\n")
     return strip(F.regexp_replace(c, "\n{3,}", "\n\n"))
@@ -78,7 +85,7 @@ def normalise_whitespace(c: Column) -> Column:
 
 def normalise_evidence(c: Column) -> Column:
     """Form in which evidence is compared: no emphasis stars, straight quotes, lower case."""
-    c = F.translate(c, "’‘“”*", "''\"\"")
+    c = replace_all(c, {"*": "", "’": "'", "‘": "'", "“": '"', "”": '"'})
     return F.lower(strip(F.regexp_replace(c, SPACE + "+", " ")))
 
 

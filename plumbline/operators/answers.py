@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.jsonops import is_successful, tool_failed
 from plumbline.functions.text import has_alternative
+from plumbline.operators.joins import join_sized
 
 EMERGENCY = "emergency"
 MENTAL_HEALTH = "mental_health"
@@ -127,8 +128,9 @@ def covers(expected: Column, called: Column) -> Column:
 def score_cases(cases: DataFrame, answers: DataFrame) -> DataFrame:
     """Score every answer (eval_run, case_id, answer, tool_calls, guard, ...) against its case."""
     measures = [c for c in ("steps", "seconds", "tool_retries") if c in answers.columns]
-    joined = cases.withColumnRenamed("guard", "_expected_guard").join(
-        answers.withColumnRenamed("case_id", "id"), "id"
+    given = answers.withColumnRenamed("case_id", "id")
+    joined = join_sized(
+        given, cases.withColumnRenamed("guard", "_expected_guard"), "id", spread=["eval_run", "answer"]
     )
     called = F.transform("tool_calls", lambda c: c.getField("name"))
     urgent = F.when(F.col("guard").isin(EMERGENCY, MENTAL_HEALTH), F.col("guard"))

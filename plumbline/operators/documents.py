@@ -18,6 +18,7 @@ from plumbline.functions.text import (
     title_from_file,
 )
 from plumbline.operators.pages import SECTION, clean_pages, page_sections
+from plumbline.operators.shape import with_once
 
 # A Markdown heading, the fence of front matter, and the identifiers searched for.
 # CHI: birth date DDMMYY and four digits. NI: two letters, six digits, a letter.
@@ -130,9 +131,11 @@ def heading_sections(body: Column, title: Column) -> Column:
 
 
 def _findings_of(text: Column, kind: Kind, width: int) -> Column:
-    # the look-arounds capture `width` characters either side without consuming them
+    # the look-arounds capture `width` characters either side without consuming them; the first
+    # one lets the search look back only where there is a match
     around = (
-        rf"(?<=((?s:.{{{width}}}))|\A((?s:.{{0,{width - 1}}})))(?:{kind.pattern})(?=((?s:.{{0,{width}}})))"
+        rf"(?={kind.pattern})(?<=((?s:.{{{width}}}))|\A((?s:.{{0,{width - 1}}})))"
+        rf"(?:{kind.pattern})(?=((?s:.{{0,{width}}})))"
     )
     names = ("value", "before", "at_start", "after")
     hits = F.arrays_zip(
@@ -197,6 +200,7 @@ def parse_markdown(files: DataFrame) -> DataFrame:
         return meta_value(F.col("_meta"), key)
 
     df = df.withColumn("title", F.coalesce(meta("title"), file_name(F.col("source_path"))))
+    df = with_once(df, sections=heading_sections(F.col("_body"), F.col("title")))
     return df.select(
         F.coalesce(meta("doc_id"), file_stem(F.col("source_path"), ".md")).alias("doc_id"),
         "source_path",
@@ -204,7 +208,7 @@ def parse_markdown(files: DataFrame) -> DataFrame:
         "title",
         "content_hash",
         normalise_whitespace(F.col("_body")).alias("raw_text"),
-        heading_sections(F.col("_body"), F.col("title")).alias("sections"),
+        "sections",
         F.coalesce(meta("status"), F.lit("current")).alias("status"),
         F.try_to_date(meta("effective_date"), "yyyy-MM-dd").alias("effective_date"),
         F.try_to_date(meta("review_date"), "yyyy-MM-dd").alias("review_date"),
@@ -231,12 +235,9 @@ def parse_pages(paged: DataFrame, manifest: DataFrame | None = None) -> DataFram
         df = df.join(info, F.col("_name") == F.col("_file"), "left")
     else:
         df = df.withColumns({f"_{c}": F.lit(None).cast("string") for c in ("title", "url", "licence")})
-    df = df.withColumns(
-        {
-            "title": F.coalesce(F.nullif("_title", F.lit("")), title_from_file(F.col("_name"), ".pdf")),
-            "_clean": clean_pages(F.col("pages")),
-        }
-    )
+    df = df.withColumn("title", F.coalesce(F.nullif("_title", F.lit("")), title_from_file(F.col("_name"), ".pdf")))
+    df = with_once(df, _clean=clean_pages(F.col("pages")))
+    df = with_once(df, sections=page_sections(F.col("_clean"), F.col("title")))
     return df.select(
         F.concat(F.lit("policy-"), file_stem(F.col("_name"), ".pdf")).alias("doc_id"),
         F.col("path").alias("source_path"),
@@ -244,7 +245,7 @@ def parse_pages(paged: DataFrame, manifest: DataFrame | None = None) -> DataFram
         "title",
         "content_hash",
         normalise_whitespace(F.array_join("_clean", "\n\n")).alias("raw_text"),
-        page_sections(F.col("_clean"), F.col("title")).alias("sections"),
+        "sections",
         F.lit("current").alias("status"),
         F.lit(None).cast("date").alias("effective_date"),
         F.lit(None).cast("date").alias("review_date"),
@@ -262,11 +263,8 @@ def error_rows(parsed: DataFrame) -> DataFrame:
 
 
 def with_findings(df: DataFrame, text: str = "raw_text", kinds=PII_KINDS) -> DataFrame:
-    """Add `findings` and `quarantined`.
-
-    The generator keeps the scan from being evaluated again in every filter above it.
-    """
-    scanned = df.select("*", F.explode(F.array(find_personal_data(F.col(text), kinds))).alias("findings"))
+    """Add `findings` and `quarantined`."""
+    scanned = with_once(df, findings=find_personal_data(F.col(text), kinds))
     return scanned.withColumn("quarantined", is_quarantined(F.col("findings")))
 
 

@@ -1,36 +1,47 @@
-"""A join that spreads hot keys."""
+"""Joins that hold whatever share of the rows one key has."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.session import BROADCAST_ROWS, is_small
+
 SALTS = 32
 HOT_SHARE = 1000  # a key with more than 1/1000 of all rows is hot, so there are under 1000
 
 
-def skew_safe_join(rows: DataFrame, unique: DataFrame, key: str, spread: str, how: str = "inner") -> DataFrame:
-    """Join `rows` to a side with one row per key, whatever share of the rows one key holds.
+def join_sized(rows: DataFrame, other: DataFrame, key: str, spread: list[str], how: str = "inner", limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Join on `key`: by broadcast when `other` was measured and is small, else skew-safe."""
+    if is_small(other, limit):
+        return rows.join(F.broadcast(other), key, how)
+    return skew_safe_join(rows, other, key, spread, how)
+
+
+def skew_safe_join(rows: DataFrame, other: DataFrame, key: str, spread: list[str], how: str = "inner") -> DataFrame:
+    """Join by shuffle so that no key of `rows` fills one task.
 
     Hot keys are counted with a partial aggregate; there can be at most HOT_SHARE of them, so the
-    list may be broadcast. Their rows are salted by `spread` and the matching row is copied per
-    salt; all other keys join as they are.
+    list may be broadcast. Their rows are salted by a hash of `spread` and the rows they meet are
+    copied per salt; all other keys join as they are. Rows without a key meet nothing and are
+    salted too.
     """
     limit = rows.agg(F.count(F.lit(1)) / HOT_SHARE).scalar()
     hot = (
-        rows.groupBy(F.col(key).alias("_hot"))
+        rows.where(F.col(key).isNotNull())
+        .groupBy(F.col(key).alias("_hot"))
         .agg(F.count(F.lit(1)).alias("_n"))
         .where((F.col("_n") > limit) & (F.col("_n") > SALTS))
         .select("_hot")
     )
     hot = F.broadcast(hot)
-    salted = rows.join(hot, F.col(key) == F.col("_hot"), "left").withColumn(
-        "_salt",
-        F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64(spread), F.lit(SALTS))).otherwise(F.lit(0)).cast("int"),
+    salted = rows.join(hot, F.col(key) == F.col("_hot"), "left")
+    to_salt = F.col("_hot").isNotNull() | F.col(key).isNull()
+    salted = salted.withColumn(
+        "_salt", F.when(to_salt, F.pmod(F.xxhash64(*spread), F.lit(SALTS))).otherwise(F.lit(0)).cast("int")
     ).drop("_hot")
     copies = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    other = (
-        unique.join(hot, F.col(key) == F.col("_hot"), "left")
-        .select(*unique.columns, F.explode(copies).alias("_salt"))
+    copied = other.join(hot, F.col(key) == F.col("_hot"), "left").select(
+        *other.columns, F.explode(copies).alias("_salt")
     )
-    return salted.join(other, [key, "_salt"], how).drop("_salt")
+    return salted.join(copied, [key, "_salt"], how).drop("_salt")

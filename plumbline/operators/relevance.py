@@ -43,10 +43,12 @@ def per_question(questions: DataFrame, labels: DataFrame, rankings: DataFrame, d
     met = rankings.join(
         pair, (F.col("question_id") == F.col("_q")) & (F.col("doc_id") == F.col("_d")), "left"
     )
+    # texts of unlabelled documents, most of them, are not normalised at all
+    holds = F.when(F.col("_d").isNotNull(), contains_evidence(F.col("text"), F.col("evidence"))).otherwise(F.lit(False))
     per_rank = met.groupBy("config", "question_id", "rank").agg(
         F.any_value("doc_id").alias("doc_id"),
         F.bool_or(F.col("_d").isNotNull()).alias("doc_match"),
-        F.bool_or(F.coalesce(contains_evidence(F.col("text"), F.col("evidence")), F.lit(False))).alias("relevant"),
+        F.bool_or(holds).alias("relevant"),
     )
     # at most `depth` entries per question: later ranks are NULL and not collected
     shown = F.sort_array(F.collect_list(F.when(F.col("rank") <= depth, F.struct("rank", "doc_id"))))

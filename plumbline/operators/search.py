@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.text import has_exact_terms, let
 from plumbline.functions.vectors import MIN_NORM, cosine
-from plumbline.operators.joins import skew_safe_join
+from plumbline.operators.joins import join_sized, skew_safe_join
+from plumbline.operators.shape import with_once
 from plumbline.session import is_small
 
 # Columns a search returns, columns published to the index.
@@ -189,18 +190,21 @@ def approximate_topk(queries: DataFrame, corpus: DataFrame, k: int, dims: int, b
     """Cosine top k among rows that share a band of signature bits with the query.
 
     Candidates come from an equality join on (band, bits). A pair is taken at its first common
-    band only, so pairs need no de-duplication. Queries are broadcast after a count.
+    band only, so pairs need no de-duplication. Few queries are broadcast, after measuring them;
+    with many, hot buckets are salted.
     """
     q = queries.select(
         "query_id", F.col("vector").alias("_qv"), signatures(F.col("vector"), dims, bands, bits).alias("_qs")
     )
     c = corpus.select("id", "vector", signatures(F.col("vector"), dims, bands, bits).alias("_cs"))
-    q = q.select("*", F.posexplode("_qs").alias("_band", "_sig"))
-    c = c.select("*", F.posexplode("_cs").alias("_band", "_sig"))
-    if is_small(q, QUERY_BLOCK * bands):
-        q = F.broadcast(q)
+    buckets = lambda sigs: F.posexplode(sigs).alias("_band", "_sig")
+    bucket = (F.col("_band") * (1 << bits) + F.col("_sig")).alias("_bucket")
+    q = q.select("*", buckets("_qs")).select("query_id", "_qv", "_qs", bucket)
+    c = c.select("*", buckets("_cs")).select("id", "vector", "_cs", "_band", bucket)
     first_common = F.array_position(F.zip_with("_qs", "_cs", lambda a, b: a == b), F.lit(True)) - 1
-    pairs = c.join(q, ["_band", "_sig"]).where(F.col("_band") == first_common)
+    pairs = join_sized(c, q, "_bucket", spread=["id"], limit=QUERY_BLOCK * bands).where(
+        F.col("_band") == first_common
+    )
     scored = pairs.select("query_id", "id", F.round(cosine(F.col("_qv"), F.col("vector")), SCORE_DIGITS).alias("score"))
     return rank_rows(scored, k)
 
@@ -233,37 +237,47 @@ def term_counts(text: Column) -> Column:
 
 def keyword_index(corpus: DataFrame) -> DataFrame:
     """(id, text) -> (id, length in terms, term counts). Built per row; store it to search often."""
-    return corpus.select("id", F.size(terms(F.col("text"))).alias("length"), term_counts(F.col("text")).alias("terms"))
+    counted = with_once(corpus.select("id", "text"), terms=term_counts(F.col("text")))
+    length = F.aggregate("terms", F.lit(0), lambda n, t: n + t.getField("tf"))
+    return counted.select("id", length.alias("length"), "terms")
 
 
 def bm25_topk(queries: DataFrame, index: DataFrame, k: int, k1: float = BM25_K1, b: float = BM25_B) -> DataFrame:
     """BM25 of queries (query_id, text) over a keyword index.
 
-    Only postings of query terms leave the rows. All terms of a text are met in one task, so its
-    scores are summed before the shuffle on (query, text).
+    Only postings of query terms leave the rows.
     """
     asked = queries.select("query_id", F.explode(F.array_distinct(terms(F.col("text")))).alias("term"))
     wanted = asked.select("term").distinct()
-    if is_small(asked, QUERY_TERMS):
-        asked, wanted = F.broadcast(asked), F.broadcast(wanted)
 
     # the entry with an empty term counts the texts and their total length
     everything = F.array(F.struct(F.lit("").alias("term"), F.lit(0).alias("tf")))
     entries = index.select("length", F.inline(F.concat(everything, "terms")))
-    frequency = entries.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("length").alias("total"))
+    counted = wanted.unionByName(wanted.sparkSession.createDataFrame([("",)], "term string"))
+    small = is_small(asked, QUERY_TERMS)
+    # Either way all terms of a text stay in one task until their scores are summed, or are met
+    # by term with the frequent terms salted.
+    frequency = (
+        entries.join(F.broadcast(counted), "term", "left_semi")
+        if small
+        else skew_safe_join(entries, counted, "term", spread=["length", "tf"], how="left_semi")
+    )
+    frequency = frequency.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("length").alias("total"))
     corpus_size = frequency.where(F.col("term") == "")
     n, mean_length = corpus_size.select("df").scalar(), corpus_size.select(F.col("total") / F.col("df")).scalar()
-    weights = frequency.join(wanted, "term", "left_semi").select(
+    weights = frequency.where(F.col("term") != "").select(
         "term", F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf")
     )
     asked_weighted = asked.join(weights, "term")
-    if is_small(queries, QUERY_BLOCK):
-        asked_weighted = F.broadcast(asked_weighted)
     postings = index.select("id", "length", F.inline("terms"))
     saturation = F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("length") / mean_length))
+    met = (
+        postings.join(F.broadcast(asked_weighted), "term")
+        if small
+        else skew_safe_join(postings, asked_weighted, "term", spread=["id"])
+    )
     scored = (
-        postings.join(asked_weighted, "term")
-        .groupBy("query_id", "id")
+        met.groupBy("query_id", "id")
         .agg(F.round(F.sum(F.col("idf") * saturation), SCORE_DIGITS).alias("score"))
     )
     return rank_rows(scored, k)
@@ -369,4 +383,4 @@ def encode_texts(missing: DataFrame, encode: Callable, batch_size: int = 64) ->
 def attach_vectors(texts: DataFrame, cache: DataFrame) -> DataFrame:
     """Every text with its cached vector; a text that was copied a million times is no hot key."""
     keyed = texts.withColumn("key", text_key(F.col("text")))
-    return skew_safe_join(keyed, cache.select("key", "vector"), "key", spread="id").drop("key")
+    return skew_safe_join(keyed, cache.select("key", "vector"), "key", spread=["id"]).drop("key")

@@ -10,6 +10,19 @@ DEFAULT_FILTERS = {"status": "current"}  # fixed value: superseded documents sta
 ROW_CAP = 20  # fixed value: rows a lookup returns
 
 
+def with_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are evaluated once per row, whatever is built on them.
+
+    Spark puts a plain column's expression into every filter above it, also into the ones it
+    derives itself from explode(). Nothing is moved below a generator, so one that emits a
+    single element pins the value.
+    """
+    for name, value in columns.items():
+        kept = [c for c in df.columns if c != name]
+        df = df.select(*kept, F.explode(F.array(value)).alias(name))
+    return df
+
+
 def merged_filter(filters: dict | None = None, defaults: dict = DEFAULT_FILTERS) -> Column:
     """Equality filters over the defaults; a caller may add filters or override a default."""
     out = F.lit(True)

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.session import is_small
+from plumbline.operators.joins import join_sized
 
 # The published column names and ours, the code of the national total, the code
 # of "all specialties", and the qualifier that marks a derived (aggregate) row.
@@ -89,13 +89,11 @@ def merge_lookups(*sources: tuple[DataFrame, str, str], constants: dict[str, str
 def look_up(df: DataFrame, lookup: DataFrame, code: str, name: str) -> DataFrame:
     """Add `name` for `code`; unknown codes keep their row and get NULL.
 
-    `lookup` has one row per code, so no row is multiplied. It is broadcast only when it was
-    counted and found small; otherwise Spark joins by shuffle and AQE splits hot codes.
+    `lookup` has one row per code, so no row is multiplied. It is broadcast when it was measured
+    and is small; otherwise hot codes are salted.
     """
-    side = lookup.select(F.col("code").alias("_code"), F.col("name").alias(name))
-    if is_small(side):
-        side = F.broadcast(side)
-    return df.join(side, F.col(code) == F.col("_code"), "left").drop("_code")
+    side = lookup.select(F.col("code").alias(code), F.col("name").alias(name))
+    return join_sized(df, side, code, spread=df.columns, how="left")
 
 
 def to_silver(raw: DataFrame, boards: DataFrame, specialties: DataFrame, order: str = "_id") -> DataFrame:

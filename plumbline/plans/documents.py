@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import text as tx
 from plumbline.operators import documents, pages, passages
-from plumbline.operators.shape import merged_filter, top_rows, upper_median
+from plumbline.operators.shape import merged_filter, top_rows, upper_median, with_once
 from plumbline.plans.base import query, spread, table
 
 LINES_PER_PAGE = 8
@@ -29,11 +29,9 @@ def paged_documents(spark: SparkSession, folder: str) -> DataFrame:
     page_texts = F.transform(
         starts, lambda i: F.array_join(F.slice("_lines", i, F.lit(LINES_PER_PAGE)), "\n")
     )
-    return (
-        spread(table(spark, folder, "documents"), "doc_id")
-        .withColumn("_lines", lines)
-        .select("doc_id", "lang", "source", F.format_string("Document %d", "doc_id").alias("title"), page_texts.alias("pages"))
-    )
+    docs = with_once(spread(table(spark, folder, "documents"), "doc_id"), _lines=lines)
+    named = docs.select("doc_id", "lang", "source", F.format_string("Document %d", "doc_id").alias("title"), "_lines")
+    return with_once(named, pages=page_texts).drop("_lines")
 
 
 SPACE_SET = "' ' || chr(9) || chr(10) || chr(13)"
@@ -96,11 +94,11 @@ SECTIONS = f"""{ORDERED},
 
 
 def clean(spark, folder) -> DataFrame:
-    return paged_documents(spark, folder).withColumn("pages", pages.clean_pages(F.col("pages")))
+    return with_once(paged_documents(spark, folder), pages=pages.clean_pages(F.col("pages")))
 
 
 def flow_lines(spark, folder) -> DataFrame:
-    return clean(spark, folder).select("doc_id", pages.numbered_lines(F.col("pages")).alias("lines"))
+    return with_once(clean(spark, folder), lines=pages.numbered_lines(F.col("pages"))).select("doc_id", "lines")
 
 
 @query("doc_repeated_lines", f"with {LINES} select doc_id, line from repeated")
@@ -158,7 +156,7 @@ def win_section_islands(spark, folder):
 
 def sections_of(spark, folder, merge_tiny: bool) -> DataFrame:
     built = pages.page_sections(F.col("pages"), F.col("title"), merge_tiny=merge_tiny)
-    return clean(spark, folder).select("doc_id", "lang", "source", "title", built.alias("sections"))
+    return with_once(clean(spark, folder), sections=built).select("doc_id", "lang", "source", "title", "sections")
 
 
 @query("doc_page_sections", f"with {SECTIONS} select doc_id, section_no, section_path, page, md5(body) as digest, length(body) as chars from sections")

@@ -208,7 +208,7 @@ def jon_cache_attach(spark, folder):
     """Rows meet one entry per distinct text; a text with very many copies is spread by salt."""
     keyed = table(spark, folder, "documents").select(F.col("doc_id").alias("id"), search.text_key(F.col("text")).alias("key"))
     cache = keyed.groupBy("key").agg(F.min("id").alias("first_id"))
-    return skew_safe_join(keyed, cache, "key", spread="id").select("id", "first_id")
+    return skew_safe_join(keyed, cache, "key", spread=["id"]).select("id", "first_id")
 
 
 @query("sea_embed_hashing")

@@ -5,10 +5,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-# Sizes up to which data may be held by every executor (broadcast) or by the driver.
-BROADCAST_ROWS = 200_000
+# Sizes up to which data may be held whole by every executor. Both are measured, not assumed.
+BROADCAST_ROWS = 50_000
+BROADCAST_BYTES = 64 << 20
 
 
 def local_session(cores: str | int = "*", memory: str = "12g", app: str = "plumbline") -> SparkSession:
@@ -43,6 +45,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_small(df, rows: int = BROADCAST_ROWS) -> bool:
-    """True when `df` has at most `rows` rows. Reads only until the bound is passed."""
-    return df.limit(rows + 1).count() <= rows
+def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """True when `df` has at most `rows` rows and, written as JSON, at most `size` bytes.
+
+    Reads no more than `rows` + 1 rows.
+    """
+    bytes_of = F.octet_length(F.to_json(F.struct(*df.columns)))
+    n, total = df.limit(rows + 1).agg(F.count(F.lit(1)), F.sum(bytes_of)).first()
+    return n <= rows and (total or 0) <= size
