@@ -103,18 +103,18 @@ def replace_changed(stored_path: str, incoming: DataFrame, diff: DataFrame, buck
         else with_bucket(incoming.limit(0), buckets, key)
     )
     state = apply_diff(stored, with_bucket(incoming, buckets, key), diff, key)
-    staging = scratch_path(spark, "staged")
-    state.write.partitionBy(BUCKET).parquet(staging)
-    new = spark.read.parquet(staging)
-    present = {r[0] for r in new.select(BUCKET).distinct().collect()} if state.columns else set()
+    present = {r[0] for r in state.select(BUCKET).distinct().collect()}
+    # Dynamic overwrite stages the new files and swaps directories when the job commits, so the
+    # job may read the files it replaces. A bucket is spread over several tasks.
     (
-        new.repartition(BUCKET, F.pmod(F.xxhash64(key), F.lit(16)))
+        state.repartition(BUCKET, F.pmod(F.xxhash64(key), F.lit(16)))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BUCKET)
         .parquet(stored_path)
     )
-    # a bucket left without rows has nothing to overwrite it with
+    # A bucket left without rows has nothing to overwrite it with. Should this be cut off, the
+    # next run finds the same documents removed and deletes them then.
     for bucket in set(touched) - present:
         _delete(spark, f"{stored_path}/{BUCKET}={bucket}")
 
@@ -125,15 +125,23 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 
 def store_run(layout: Layout, documents: DataFrame, chunks: DataFrame, quarantine: DataFrame, diff: DataFrame, run_at) -> None:
-    """Write one ingest run: documents and chunks by bucket, quarantine once per content."""
+    """Write one ingest run: chunks and documents by bucket, quarantine once per content.
+
+    The diff is written down first, as it reads the table that is about to change. Documents come
+    last: their hashes say what is done, so a run that is cut off is simply applied again.
+    """
     spark = documents.sparkSession
+    pinned = scratch_path(spark, "diff")
+    diff.write.parquet(pinned)
+    diff = spark.read.parquet(pinned)
     stamp = F.lit(run_at).cast("timestamp")
-    for table, rows in (("bronze_documents", documents), ("silver_chunks", chunks)):
-        typed = conform(rows.withColumn("ingested_at", stamp), schema_of(table))
-        replace_changed(layout.path(table), typed, diff)
     held = conform(quarantine.withColumn("detected_at", stamp), schema_of("ops_pii_quarantine"))
     known = read(spark, layout.path("ops_pii_quarantine"), schema_of("ops_pii_quarantine"))
-    append(held.join(known, ["doc_id", "content_hash"], "left_anti").select(held.columns), layout.path("ops_pii_quarantine"))
+    new = held.join(known.select("doc_id", "content_hash"), ["doc_id", "content_hash"], "left_anti")
+    append(new.select(held.columns), layout.path("ops_pii_quarantine"))
+    for table, rows in (("silver_chunks", chunks), ("bronze_documents", documents)):
+        typed = conform(rows.withColumn("ingested_at", stamp), schema_of(table))
+        replace_changed(layout.path(table), typed, diff)
 
 
 __all__ = [
