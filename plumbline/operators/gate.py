@@ -19,6 +19,11 @@ GATE_METRICS = (
 HEALTH_LIMITS = (("tool_errors", 0.0), ("tool_retries", 2.0), ("mean_seconds", 15.0))
 
 
+def _even(x: Column) -> Column:
+    """Ready for three decimals: odd sixteenths, the only exact ties, go to the even digit."""
+    return F.when((x * 16) % 2 == 1, F.bround(x, 3)).otherwise(x)
+
+
 def gate_checks(runs: DataFrame, metrics=GATE_METRICS) -> DataFrame:
     """Runs (role, n_cases, metrics) -> one row per check: did it pass, and the reason line.
 
@@ -49,9 +54,9 @@ def gate_checks(runs: DataFrame, metrics=GATE_METRICS) -> DataFrame:
         sign = F.when(passed, ">=" if higher else "<=").otherwise("<" if higher else ">")
         reason = F.concat(
             F.when(passed, "ok  ").otherwise("FAIL"),
-            F.format_string(f" {name}: candidate worst %.3f ", cand),
+            F.format_string(f" {name}: candidate worst %.3f ", _even(cand)),
             sign,
-            F.format_string(" production worst %.3f", prod),
+            F.format_string(" production worst %.3f", _even(prod)),
         )
         checks.append(check(passed, reason, i))
     missed = F.col("missed")

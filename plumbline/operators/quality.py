@@ -107,32 +107,29 @@ def rejects(judged: DataFrame) -> DataFrame:
     return judged.where(F.col(REASONS) != "")
 
 
-def _result_rows(counted: DataFrame, named: Sequence[tuple[str, str, str]]) -> DataFrame:
-    """One wide row of counts -> one row per rule."""
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("expectation"),
-                F.lit(severity).alias("severity"),
-                F.col(column).alias("failed_rows"),
-                F.col("_total").alias("total_rows"),
-            )
-            for name, severity, column in named
-        ]
-    )
-    return counted.select(F.inline(rows)).withColumn(
-        "pass_rate",
-        F.when(F.col("total_rows") > 0, 1 - F.col("failed_rows") / F.col("total_rows")).otherwise(F.lit(1.0)),
+def _entry(name: str, severity: str, failed: Column, total: Column, detail: Column) -> Column:
+    return F.struct(
+        F.lit(name).alias("expectation"),
+        F.lit(severity).alias("severity"),
+        failed.cast("bigint").alias("failed_rows"),
+        total.cast("bigint").alias("total_rows"),
+        F.when(total > 0, 1 - failed / total).otherwise(F.lit(1.0)).alias("pass_rate"),
+        detail.alias("detail"),
     )
 
 
+def _counts(rules: Sequence[Rule]) -> list[Column]:
+    failed = [F.count_if(r.failed).alias(f"_f{i}") for i, r in enumerate(rules)]
+    return [F.count(F.lit(1)).alias("_total"), *failed]
+
+
+def _rule_entries(rules: Sequence[Rule]) -> list[Column]:
+    return [_entry(r.name, r.severity, F.col(f"_f{i}"), F.col("_total"), F.lit("")) for i, r in enumerate(rules)]
+
+
 def rule_results(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Failed rows per rule over all rows, counted in one pass over the data."""
-    counted = df.agg(
-        F.count(F.lit(1)).alias("_total"),
-        *[F.count_if(r.failed).alias(f"_f{i}") for i, r in enumerate(rules)],
-    )
-    return _result_rows(counted, [(r.name, r.severity, f"_f{i}") for i, r in enumerate(rules)])
+    return df.agg(*_counts(rules)).select(F.inline(F.array(*_rule_entries(rules)))).drop("detail")
 
 
 def unique_key_result(df: DataFrame, rules: Sequence[Rule], key: Sequence[str] = KEY) -> DataFrame:
@@ -148,34 +145,40 @@ def unique_key_result(df: DataFrame, rules: Sequence[Rule], key: Sequence[str] =
         F.coalesce(F.sum("_n"), F.lit(0)).alias("_total"),
         F.coalesce(F.sum(F.when(F.col("_passing"), F.col("_n") - 1)), F.lit(0)).alias("_dup"),
     )
-    return _result_rows(counted, [(UNIQUE, "drop", "_dup")])
+    entry = _entry(UNIQUE, "drop", F.col("_dup"), F.col("_total"), F.lit(""))
+    return counted.select(F.inline(F.array(entry))).drop("detail")
+
+
+def _freshness_entry(latest: Column, today: dt.date, max_age_days: int) -> Column:
+    age = F.date_diff(F.lit(today), latest)
+    stale = F.when(F.coalesce(age <= max_age_days, F.lit(False)), 0).otherwise(1)
+
+    def text(c: Column) -> Column:
+        return F.coalesce(c.cast("string"), F.lit("None"))
+
+    detail = F.concat(F.lit("latest month "), text(latest), F.lit(", "), text(age), F.lit(" days old"))
+    return _entry("fresh_data", "warn", stale, F.lit(1), detail)
 
 
 def freshness(df: DataFrame, today: dt.date, max_age_days: int = MAX_AGE_DAYS, period: str = "month_ending") -> DataFrame:
     """Table-level warning: the newest period is older than `max_age_days`."""
-    newest = df.agg(F.max(period).cast("date").alias("_latest")).withColumn(
-        "_age", F.date_diff(F.lit(today), "_latest")
-    )
-    ok = F.coalesce(F.col("_age") <= max_age_days, F.lit(False))
-
-    def text(c: str) -> Column:
-        return F.coalesce(F.col(c).cast("string"), F.lit("None"))
-
-    return newest.select(
-        F.lit("fresh_data").alias("expectation"),
-        F.lit("warn").alias("severity"),
-        F.when(ok, 0).otherwise(1).cast("bigint").alias("failed_rows"),
-        F.lit(1).cast("bigint").alias("total_rows"),
-        F.when(ok, 1.0).otherwise(0.0).alias("pass_rate"),
-        F.concat(F.lit("latest month "), text("_latest"), F.lit(", "), text("_age"), F.lit(" days old")).alias("detail"),
-    )
+    newest = df.agg(F.max(period).cast("date").alias("_latest"))
+    return newest.select(F.inline(F.array(_freshness_entry(F.col("_latest"), today, max_age_days))))
+
 
+def results(df: DataFrame, rules: Sequence[Rule], key: Sequence[str] = KEY, today: dt.date | None = None, period: str = "month_ending") -> DataFrame:
+    """All results of a run in long form, ready to append to the history table.
 
-def results(df: DataFrame, rules: Sequence[Rule], key: Sequence[str] = KEY, today: dt.date | None = None) -> DataFrame:
-    """All results of a run in long form, ready to append to the history table."""
-    out = rule_results(df, rules).unionByName(unique_key_result(df, rules, key))
-    out = out.withColumn("detail", F.lit(""))
+    Rules and freshness come from one pass. The newest period of the rows that pass is that of
+    the rows that stay, as a duplicate has the period of the row that replaces it.
+    """
+    passing = F.lit(True)
+    for r in rules:
+        if r.severity == "drop":
+            passing = passing & ~r.failed
+    newest = F.max(F.when(passing, F.col(period))).cast("date").alias("_latest")
+    entries = _rule_entries(rules)
     if today is not None:
-        passing = with_reasons(df, rules).where(F.col(REASONS) == "")
-        out = out.unionByName(freshness(passing, today))
-    return out
+        entries.append(_freshness_entry(F.col("_latest"), today, MAX_AGE_DAYS))
+    counted = df.agg(*_counts(rules), newest).select(F.inline(F.array(*entries)))
+    return counted.unionByName(unique_key_result(df, rules, key).withColumn("detail", F.lit("")))

@@ -62,7 +62,7 @@ def to_date(c: Column, pattern: str = "yyyyMMdd") -> Column:
 
 def to_number(c: Column, type_name: str = "double") -> Column:
     """Number of a text, NULL when it is not one."""
-    return F.when(c.rlike(NUMBER), F.trim(c).try_cast("double")).cast(type_name)
+    return F.when(c.rlike(NUMBER), F.trim(c).try_cast("double")).try_cast(type_name)
 
 
 def share(part: Column, whole: Column) -> Column:

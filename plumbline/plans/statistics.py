@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 
 from plumbline.operators import quality, waits
 from plumbline.operators.shape import only_ids, top_rows
-from plumbline.plans.base import day, query, table
+from plumbline.plans.base import day, query, spread, table
 from plumbline.sources.tables import conform
 
 TODAY = dt.date(2001, 3, 31)
 
 
 def raw_waits(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "orders").selectExpr(
+    return spread(table(spark, folder, "orders"), "o_orderkey").selectExpr(
         "o_orderkey as _id",
         "date_format(last_day(o_orderdate), if(o_custkey % 53 = 0, 'yyyy-MM-dd', 'yyyyMMdd')) as MonthEnding",
         "case when o_custkey % 27 = 0 then 'S92000003' when o_custkey % 101 = 0 then '' "
@@ -114,6 +114,7 @@ def lookups(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
         table(spark, folder, "orders")
         .where("o_orderpriority not like '4%'")
         .selectExpr("left(o_orderpriority, 1) as code", "substr(o_orderpriority, 3) as name")
+        .distinct()
     )
     return boards, waits.merge_lookups((specialties, "code", "name"))
 

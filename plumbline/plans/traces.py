@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import jsonops
 from plumbline.operators import traces as tr
-from plumbline.plans.base import instant, query, table
+from plumbline.plans.base import instant, query, spread, table
 
 
 def traces(spark: SparkSession, folder: str) -> DataFrame:
@@ -49,7 +49,7 @@ def traces(spark: SparkSession, folder: str) -> DataFrame:
         span(F.lit("completions"), start, F.floor(ms / 2), "CHAT", ok),
         span(F.col("event_type"), start, F.floor(ms / 3), "TOOL", F.when(F.col("k") % 10 == 0, "STATUS_CODE_ERROR").otherwise(ok)),
     )
-    return table(spark, folder, "events").withColumn("k", k).select(
+    return spread(table(spark, folder, "events"), "event_id").withColumn("k", k).select(
         F.col("event_id").cast("string").alias("trace_id"),
         F.col("ts").alias("request_time"),
         ms.alias("execution_duration_ms"),
@@ -185,4 +185,4 @@ def jsn_rows_to_structs(spark, folder):
         F.lit('"], ["k", "'), F.get_json_object("props", "$.k"), F.lit('"]]}'),
     )
     rows = jsonops.rows_as_objects(output, "name string, size string")
-    return table(spark, folder, "events").select("event_id", F.inline(rows))
+    return spread(table(spark, folder, "events"), "event_id").select("event_id", F.inline(rows))

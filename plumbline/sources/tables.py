@@ -124,6 +124,21 @@ def _delete(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def stored_digest(spark: SparkSession, path: str) -> str | None:
+    """Digest of the source a table was loaded from; None when there is no table yet."""
+    if not exists(spark, path):
+        return None
+    return spark.read.parquet(path).agg(F.max("source_sha256")).first()[0]
+
+
+def log_run(layout: Layout, run: str, params: dict[str, object], metrics: DataFrame, rows: DataFrame) -> None:
+    """Append one evaluation run: its metrics with the parameters, and its rows per question."""
+    pairs = [F.lit(str(x)) for kv in sorted(params.items()) for x in kv]
+    stamped = metrics.withColumns({"run": F.lit(run), "params": F.create_map(*pairs)})
+    append(stamped, layout.path("ops_eval_runs"))
+    append(rows.withColumn("run", F.lit(run)), layout.path("ops_eval_rows"))
+
+
 def store_run(layout: Layout, documents: DataFrame, chunks: DataFrame, quarantine: DataFrame, diff: DataFrame, run_at) -> None:
     """Write one ingest run: chunks and documents by bucket, quarantine once per content.
 
@@ -145,6 +160,6 @@ def store_run(layout: Layout, documents: DataFrame, chunks: DataFrame, quarantin
 
 
 __all__ = [
-    "DDL", "Layout", "append", "conform", "create", "exists", "overwrite", "read", "replace_changed",
-    "rows_of", "schema_of", "store_run", "with_bucket",
+    "DDL", "Layout", "append", "conform", "create", "exists", "log_run", "overwrite", "read", "replace_changed",
+    "rows_of", "schema_of", "store_run", "stored_digest", "with_bucket",
 ]

@@ -1,7 +1,8 @@
 import pytest
 
 from plumbline.operators import relevance
-from plumbline.sources import files
+from plumbline.session import scratch_path
+from plumbline.sources import files, tables
 
 QUESTIONS = (
     '{"id": "q1", "question": "How long?", "relevant": [{"doc_id": "d1", "evidence": "6  MONTHS"}, {"doc_id": "d2", "evidence": "half a year"}]}\n'
@@ -67,3 +68,14 @@ def test_context_cost(spark):
     ranked = ranks(spark, [("a", "q1", i, "d", "one two three four five") for i in range(1, 8)])
     row = relevance.context_cost(pool, ranked).first()
     assert (row["n_chunks"], row["median_chunk_tokens"], row["mean_tokens_top5"]) == (4, 3, 30.0)
+
+
+def test_runs_are_logged(spark, setup):
+    questions, labels = setup
+    layout = tables.Layout(scratch_path(spark, "base"))
+    rows = relevance.per_question(questions, labels, ranks(spark, [("a", "q1", 1, "d1", "6 months")]))
+    for run, k in (("index-ann", 5), ("index-auto", 10)):
+        tables.log_run(layout, run, {"k": k, "experiment": "index"}, relevance.metrics(rows), rows)
+    runs = {r["run"]: r for r in tables.read(spark, layout.path("ops_eval_runs")).collect()}
+    assert runs["index-ann"]["params"] == {"k": "5", "experiment": "index"} and runs["index-auto"]["mrr"] == 0.5
+    assert tables.read(spark, layout.path("ops_eval_rows")).count() == 4
