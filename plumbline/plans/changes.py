@@ -137,7 +137,7 @@ def snk_roundtrip_overwrite(spark, folder):
     now_documents(spark, folder).write.parquet(path)
     stored = tables.read(spark, path)
     old = earlier_documents(spark, folder).select("content_hash").distinct()
-    tables.overwrite(stored.join(old, "content_hash", "left_anti").select("doc_id", "content_hash"), path)
+    tables.overwrite(stored.join(old, "content_hash", "left_anti").select("doc_id", "content_hash"), path, staged=True)
     return tables.read(spark, path)
 
 
@@ -155,7 +155,7 @@ def snk_schema_evolution(spark, folder):
     path = scratch_path(spark, "table")
     tables.append(earlier_documents(spark, folder).select("doc_id", "content_hash"), path)
     tables.append(now_documents(spark, folder).select("doc_id", "content_hash", F.length("text").alias("chars")), path)
-    return tables.read(spark, path)
+    return tables.read(spark, path, merge=True)
 
 
 @query("stm_triggered_sync", f"with {STATES} select chunk_id, doc_id, chunk_index, md5(text) as digest from now_chunks")

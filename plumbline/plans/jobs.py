@@ -86,6 +86,7 @@ def ingest_documents(
     max_tokens: int = passages.MAX_TOKENS,
     overlap_tokens: int = passages.OVERLAP_TOKENS,
     full_refresh: bool = False,
+    buckets: int = tables.BUCKETS,
 ) -> DataFrame:
     """Files -> documents, passages and quarantine, for what changed only. Returns the counts.
 
@@ -107,5 +108,5 @@ def ingest_documents(
     # only what changed is cut into passages
     cut = passages.passages(changes.rows_of(clean, changes.to_write(diff)), max_tokens, overlap_tokens)
     stats = changes.write_stats(diff, cut, held, errors)
-    tables.store_run(layout, clean, cut, held, diff, run_at)
+    tables.store_run(layout, clean, cut, held, diff, run_at, buckets)
     return stats

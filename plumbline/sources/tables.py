@@ -14,6 +14,7 @@ from plumbline.operators.shape import conform
 from plumbline.session import scratch_path
 
 BUCKET = "bucket"
+BUCKETS = 64
 
 # Columns and types of the stored tables.
 DDL = {
@@ -57,11 +58,16 @@ def exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def read(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """A stored table; files written before a column was added give NULL for it."""
+def read(spark: SparkSession, path: str, schema: T.StructType | None = None, merge: bool = False) -> DataFrame:
+    """A stored table, empty when there is none and a schema is given.
+
+    `merge` is for tables that gained columns over time: files written before read as NULL there.
+    It opens every file's footer, so it is only for the histories.
+    """
     if schema is not None and not exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.option("mergeSchema", True).parquet(path)
+    reader = spark.read.option("mergeSchema", merge)
+    return reader.parquet(path)
 
 
 def create(spark: SparkSession, path: str, schema: T.StructType) -> None:
@@ -70,11 +76,14 @@ def create(spark: SparkSession, path: str, schema: T.StructType) -> None:
         spark.createDataFrame([], schema).write.parquet(path)
 
 
-def overwrite(df: DataFrame, path: str) -> None:
-    """Replace data and schema. The rows are staged first, so `df` may read the table itself."""
-    staging = scratch_path(df.sparkSession, "staged")
-    df.write.parquet(staging)
-    df.sparkSession.read.parquet(staging).write.mode("overwrite").parquet(path)
+def overwrite(df: DataFrame, path: str, staged: bool = False) -> None:
+    """Replace data and schema. With `staged` the rows are written aside first, so that `df` may
+    read the table it replaces; Spark refuses that otherwise."""
+    if staged:
+        staging = scratch_path(df.sparkSession, "staged")
+        df.write.parquet(staging)
+        df = df.sparkSession.read.parquet(staging)
+    df.write.mode("overwrite").parquet(path)
 
 
 def append(df: DataFrame, path: str) -> None:
@@ -86,11 +95,12 @@ def with_bucket(df: DataFrame, buckets: int, key: str = "doc_id") -> DataFrame:
     return df.withColumn(BUCKET, F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int"))
 
 
-def replace_changed(stored_path: str, incoming: DataFrame, diff: DataFrame, buckets: int = 64, key: str = "doc_id") -> None:
+def replace_changed(stored_path: str, incoming: DataFrame, diff: DataFrame, buckets: int = BUCKETS, key: str = "doc_id") -> None:
     """Apply a diff to a bucketed table, rewriting only the buckets it touches, in one commit.
 
     Rows of other buckets are neither read nor written: the buckets are directories and the
-    list of touched ones, at most `buckets` numbers, prunes the scan.
+    list of touched ones, at most `buckets` numbers, prunes the scan. Give a large table more
+    buckets, so that a small change touches a small part.
     """
     spark = incoming.sparkSession
     hit = with_bucket(to_write(diff, key).union(to_delete(diff, key)).distinct(), buckets, key)
@@ -105,9 +115,10 @@ def replace_changed(stored_path: str, incoming: DataFrame, diff: DataFrame, buck
     state = apply_diff(stored, with_bucket(incoming, buckets, key), diff, key)
     present = {r[0] for r in state.select(BUCKET).distinct().collect()}
     # Dynamic overwrite stages the new files and swaps directories when the job commits, so the
-    # job may read the files it replaces. A bucket is spread over several tasks.
+    # job may read the files it replaces. The hint gives files of the advisory size: a large
+    # bucket is split over tasks, small ones share a task.
     (
-        state.repartition(BUCKET, F.pmod(F.xxhash64(key), F.lit(16)))
+        state.hint("rebalance", BUCKET)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BUCKET)
@@ -139,7 +150,7 @@ def log_run(layout: Layout, run: str, params: dict[str, object], metrics: DataFr
     append(rows.withColumn("run", F.lit(run)), layout.path("ops_eval_rows"))
 
 
-def store_run(layout: Layout, documents: DataFrame, chunks: DataFrame, quarantine: DataFrame, diff: DataFrame, run_at) -> None:
+def store_run(layout: Layout, documents: DataFrame, chunks: DataFrame, quarantine: DataFrame, diff: DataFrame, run_at, buckets: int = BUCKETS) -> None:
     """Write one ingest run: chunks and documents by bucket, quarantine once per content.
 
     The diff is written down first, as it reads the table that is about to change. Documents come
@@ -156,7 +167,7 @@ def store_run(layout: Layout, documents: DataFrame, chunks: DataFrame, quarantin
     append(new.select(held.columns), layout.path("ops_pii_quarantine"))
     for table, rows in (("silver_chunks", chunks), ("bronze_documents", documents)):
         typed = conform(rows.withColumn("ingested_at", stamp), schema_of(table))
-        replace_changed(layout.path(table), typed, diff)
+        replace_changed(layout.path(table), typed, diff, buckets)
 
 
 __all__ = [

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.operators.search import PUBLISHED_COLUMNS
-from plumbline.sources.tables import read
+from plumbline.sources.tables import BUCKET, BUCKETS, read, replace_changed
 
 VERSION = "_version"
 
@@ -16,23 +16,35 @@ def publish_feed(feed: DataFrame, folder: str, version: int) -> None:
     feed.withColumn(VERSION, F.lit(version).cast("bigint")).write.mode("append").parquet(folder)
 
 
-def sync(spark: SparkSession, feed: str, target: str, checkpoint: str, key: str = "chunk_id", columns: tuple[str, ...] = PUBLISHED_COLUMNS) -> None:
-    """Take all changes not seen yet and append them to the target's log, once per batch.
+def sync(spark: SparkSession, feed: str, target: str, checkpoint: str, key: str = "chunk_id", columns: tuple[str, ...] = PUBLISHED_COLUMNS, buckets: int = BUCKETS) -> None:
+    """Take all changes not seen yet and bring the target to their state.
 
-    A batch overwrites its own directory of the log, so a batch that runs twice after a failure
-    leaves the same rows. `current` reads the state.
+    A batch is reduced to the newest change per key with a partial aggregate, then only the
+    buckets it touches are rewritten. Doing so twice gives the same table, so a batch that is
+    repeated after a failure does no harm.
     """
     schema = spark.read.parquet(feed).schema
-    published = [c for c in schema.names if c in columns]
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        kept = batch.where(F.col("_change_type") != "update_preimage").select(*published, "_change_type", VERSION)
-        kept.withColumn("_key", F.col(key)).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+    published = [c for c in schema.names if c in columns and c != key]
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        lasting = F.col("_change_type") != "delete"
+        # of two changes in one version the row that stays wins: a feed holds an update as a pair
+        newest = (
+            batch.where(F.col("_change_type") != "update_preimage")
+            .groupBy(key)
+            .agg(F.max_by(F.struct("_change_type", *published), F.struct(VERSION, lasting)).alias("r"))
+            .select(key, "r.*")
+            .persist()
+        )
+        status = F.when(lasting, "changed").otherwise("removed").alias("status")
+        rows = newest.where(lasting).drop("_change_type")
+        replace_changed(target, rows, newest.select(key, status), buckets, key)
+        newest.unpersist()
 
     query = (
         spark.readStream.schema(schema)
         .parquet(feed)
-        .writeStream.foreachBatch(write)
+        .writeStream.foreachBatch(apply)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -41,14 +53,5 @@ def sync(spark: SparkSession, feed: str, target: str, checkpoint: str, key: str
 
 
 def current(spark: SparkSession, target: str) -> DataFrame:
-    """Published rows: the newest change per key, unless it is a delete.
-
-    One partial aggregate on the key; of two changes in one version the insert wins, as a feed
-    never holds both for one key.
-    """
-    log = read(spark, target).drop("batch")
-    columns = [c for c in log.columns if c not in ("_change_type", "_key", VERSION)]
-    newest = log.groupBy("_key").agg(
-        F.max_by(F.struct("_change_type", *columns), F.struct(VERSION, F.col("_change_type") != "delete")).alias("r")
-    )
-    return newest.where(F.col("r._change_type") != "delete").select("r.*").drop("_change_type")
+    """The published rows."""
+    return read(spark, target).drop(BUCKET)

@@ -177,5 +177,5 @@ def test_run_history_grows(spark, scored, tmp_path):
     first = answers.summarise(scored.drop("seconds", "steps", "tool_retries")).where("eval_run = 'r1'")
     tables.append(first, path)
     tables.append(answers.summarise(scored).where("eval_run = 'r2'"), path)
-    rows = {r["eval_run"]: r for r in tables.read(spark, path).collect()}
+    rows = {r["eval_run"]: r for r in tables.read(spark, path, merge=True).collect()}
     assert rows["r1"]["mean_seconds"] is None and rows["r2"]["mean_seconds"] == 2.0
