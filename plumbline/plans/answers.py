@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import jsonops
 from plumbline.operators import answers, gate
-from plumbline.plans.base import query, table
+from plumbline.plans.base import longs, query, table
 
 RUNS = 6
 PATTERNS = {
@@ -117,6 +117,7 @@ OUTCOME = f"""{LOG},
 
 
 @query("jsn_is_successful", f"with {LOG} select case_id, run, {success_sql('out1')} as first_ok, {success_sql('out2')} as second_ok from log")
+@longs("run")
 def jsn_is_successful(spark, folder):
     second = jsonops.is_successful(F.get("tool_calls", F.lit(1)).getField("result"))
     return log(spark, folder).select(
@@ -125,6 +126,7 @@ def jsn_is_successful(spark, folder):
 
 
 @query("jsn_tool_failed", f"with {LOG} select case_id, run, {failed_sql('out1')} as first_failed, {failed_sql('out2')} as second_failed from log")
+@longs("run")
 def jsn_tool_failed(spark, folder):
     return log(spark, folder).select(
         "case_id",
@@ -140,6 +142,7 @@ def log_classify(spark, folder):
 
 
 @query("log_grounding", f"with {OUTCOME} select case_id, run, grounded from outcome")
+@longs("run")
 def log_grounding(spark, folder):
     return log(spark, folder).select("case_id", "run", answers.is_grounded(F.col("tool_calls")).alias("grounded"))
 
@@ -152,6 +155,7 @@ SHOWN = (
 
 
 @query("log_outcome", f"with {OUTCOME} select case_id, run, stopped, guard, md5({SHOWN}) as shown from guarded")
+@longs("run")
 def log_outcome(spark, folder):
     rows = answers.with_outcome(log(spark, folder), PATTERNS)
     return rows.select("case_id", "run", "stopped", "guard", F.md5("shown_answer").alias("shown"))
@@ -191,6 +195,7 @@ SCORE_COLUMNS = (
 
 
 @query("log_score_case", f"with {SCORED} select {', '.join(SCORE_COLUMNS)} from scored")
+@longs("facts_found", "violations", "steps")
 def log_score_case(spark, folder):
     return scored(spark, folder).select(*SCORE_COLUMNS)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +24,19 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def longs(*columns: str):
+    """Give counters and positions as BIGINT, the type they have on the SQL side."""
+
+    def wrap(function):
+        @functools.wraps(function)
+        def cast(spark, folder):
+            return function(spark, folder).withColumns({c: F.col(c).cast("bigint") for c in columns})
+
+        return cast
+
+    return wrap
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.operators import changes
-from plumbline.plans.base import query, table
+from plumbline.plans.base import longs, query, table
 from plumbline.session import scratch_path
 from plumbline.sources import tables
 from plumbline.streaming import feed as feeds
@@ -159,6 +159,7 @@ def snk_schema_evolution(spark, folder):
 
 
 @query("stm_triggered_sync", f"with {STATES} select chunk_id, doc_id, chunk_index, md5(text) as digest from now_chunks")
+@longs("chunk_index")
 def stm_triggered_sync(spark, folder):
     """Two triggered runs over the change feed, and a third that finds nothing to do."""
     feed, target, checkpoint = (scratch_path(spark, n) for n in ("feed", "published", "progress"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from plumbline.functions import text as tx
 from plumbline.operators import documents, pages, passages
 from plumbline.operators.shape import merged_filter, top_rows, upper_median, with_once
-from plumbline.plans.base import query, spread, table
+from plumbline.plans.base import longs, query, spread, table
 
 LINES_PER_PAGE = 8
 MAX_TOKENS, OVERLAP = 120, 30
@@ -113,6 +113,7 @@ def doc_repeated_lines(spark, folder):
     f"""with {LINES} select doc_id, pos - 1 as pos, line from lines where line <> '' and {NOISE.format("line")}
         union all select page_id, -1, url from pages where {NOISE.format("url")}""",
 )
+@longs("pos")
 def doc_noise_lines(spark, folder):
     lines = paged_documents(spark, folder).select("doc_id", F.posexplode(F.flatten(pages.trimmed_lines(F.col("pages")))).alias("pos", "line"))
     urls = table(spark, folder, "pages").select(F.col("page_id").alias("doc_id"), F.lit(-1).alias("pos"), F.col("url").alias("line"))
@@ -120,12 +121,14 @@ def doc_noise_lines(spark, folder):
 
 
 @query("doc_dehyphenate", f"with {CLEAN} select doc_id, page, md5(page_text) as digest, length(page_text) as chars from clean_pages")
+@longs("chars")
 def doc_dehyphenate(spark, folder):
     cleaned = clean(spark, folder).select("doc_id", F.posexplode("pages").alias("_i", "t")).where("t <> ''")
     return cleaned.select("doc_id", (F.col("_i") + 1).cast("bigint").alias("page"), F.md5("t").alias("digest"), F.length("t").alias("chars"))
 
 
 @query("win_next_line", f"with {ORDERED} select doc_id, i, page, md5(line) as line, md5(next_line) as next_line from flagged")
+@longs("i", "page")
 def win_next_line(spark, folder):
     """Look-ahead inside the row's line array; nothing is partitioned by document."""
     pairs = F.transform(
@@ -139,6 +142,7 @@ def win_next_line(spark, folder):
 
 
 @query("doc_heading_flag", f"with {ORDERED} select doc_id, i, page, line as heading from flagged where is_heading")
+@longs("i", "page")
 def doc_heading_flag(spark, folder):
     starts = tx.let(F.col("lines"), lambda ls: F.transform(pages.section_starts(ls), lambda i: F.struct(i.alias("i"), F.get(ls, i).alias("x"))))
     rows = flow_lines(spark, folder).select("doc_id", F.inline(starts))
@@ -146,6 +150,7 @@ def doc_heading_flag(spark, folder):
 
 
 @query("win_section_islands", f"with {SECTIONS} select doc_id, count(*) as sections, min(page) as first_page, max(page) as last_page from sections group by doc_id")
+@longs("first_page", "last_page")
 def win_section_islands(spark, folder):
     sections = pages.page_sections(F.col("pages"), F.col("title"), merge_tiny=False)
     rows = clean(spark, folder).select("doc_id", F.inline(sections))
@@ -160,6 +165,7 @@ def sections_of(spark, folder, merge_tiny: bool) -> DataFrame:
 
 
 @query("doc_page_sections", f"with {SECTIONS} select doc_id, section_no, section_path, page, md5(body) as digest, length(body) as chars from sections")
+@longs("section_no", "page", "chars")
 def doc_page_sections(spark, folder):
     rows = sections_of(spark, folder, False).select("doc_id", F.posexplode("sections").alias("section_no", "s"))
     return rows.select(
@@ -200,6 +206,7 @@ FOLDED = f"""{SECTIONS},
     "doc_fold_tiny",
     f"with recursive {FOLDED} select doc_id, section_no, section_path, page, md5(body) as digest, length(body) as chars from final_sections",
 )
+@longs("section_no", "page", "chars")
 def doc_fold_tiny(spark, folder):
     rows = sections_of(spark, folder, True).select("doc_id", F.posexplode("sections").alias("section_no", "s"))
     return rows.select(
@@ -246,6 +253,7 @@ MARKDOWN = f"""md_lines as (
       length(body) as chars
     from md_sections join md_paths using (doc_id, grp) where body <> ''""",
 )
+@longs("section_no", "chars")
 def doc_heading_sections(spark, folder):
     sections = documents.heading_sections(F.col("body"), F.col("doc_id"))
     rows = as_markdown(spark, folder).select("doc_id", F.posexplode(sections).alias("section_no", "s"))
@@ -399,6 +407,7 @@ PACKED = f"""{UNITS},
 
 
 @query("doc_units", f"with {UNITS} select doc_id, i, w, md5(unit) as digest from units")
+@longs("i", "w")
 def doc_units(spark, folder):
     found = passages.units(F.col("text"), MAX_TOKENS)
     rows = spread(table(spark, folder, "documents"), "doc_id").select("doc_id", F.posexplode(found).alias("i", "unit"))
@@ -406,6 +415,7 @@ def doc_units(spark, folder):
 
 
 @query("doc_pack", f"with recursive {PACKED} select doc_id, from_i, to_i from runs")
+@longs("from_i", "to_i")
 def doc_pack(spark, folder):
     units = passages.units(F.col("text"), MAX_TOKENS)
     counts = tx.let(units, lambda us: F.transform(us, tx.word_count))
@@ -419,6 +429,7 @@ def doc_pack(spark, folder):
     f"""with recursive {PACKED} select doc_id || '-' || lpad(chunk_index::varchar, 4, '0') as chunk_id, doc_id, chunk_index,
       'Document ' || doc_id as section_path, token_count, md5('Document ' || doc_id || chr(10) || chr(10) || body) as digest from chunks""",
 )
+@longs("chunk_index")
 def doc_chunks(spark, folder):
     cut = passages.passages(single_section(spark, folder), MAX_TOKENS, OVERLAP)
     return cut.select("chunk_id", "doc_id", "chunk_index", "section_path", "token_count", F.md5("text").alias("digest"))
@@ -432,6 +443,7 @@ def page_chunks(spark, folder) -> DataFrame:
 
 
 @query("win_chunk_index", f"with recursive {PACKED} select doc_id, max(chunk_index) as last_index, count(*) as chunks from chunks group by doc_id")
+@longs("last_index")
 def win_chunk_index(spark, folder):
     cut = passages.passages(single_section(spark, folder), MAX_TOKENS, OVERLAP)
     return cut.groupBy("doc_id").agg(F.max("chunk_index").alias("last_index"), F.count(F.lit(1)).alias("chunks"))
@@ -553,6 +565,7 @@ def flt_merged_equality(spark, folder):
       select doc_id, trim(regexp_replace(regexp_replace(regexp_replace(replace(replace(text, chr(13) || chr(10), chr(10)), chr(160), ' '),
         '[ \\t]+', ' ', 'g'), ' *\\n *', chr(10), 'g'), '\\n{{3,}}', chr(10) || chr(10), 'g'), {SPACE_SET}) as x from documents)""",
 )
+@longs("chars")
 def str_normalise_ws(spark, folder):
     x = table(spark, folder, "documents").select("doc_id", tx.normalise_whitespace(F.col("text")).alias("x"))
     return x.select("doc_id", F.length("x").alias("chars"), F.md5("x").alias("digest"))
@@ -564,6 +577,7 @@ def str_normalise_ws(spark, folder):
       select page_id, lower(trim(regexp_replace(replace(replace(replace(replace(replace(html, '*', ''), '’', ''''), '‘', ''''), '“', '"'), '”', '"'),
         '\\s+', ' ', 'g'), {SPACE_SET})) as x from pages)""",
 )
+@longs("chars")
 def str_normalise_evidence(spark, folder):
     x = table(spark, folder, "pages").select("page_id", tx.normalise_evidence(F.col("html")).alias("x"))
     return x.select("page_id", F.length("x").alias("chars"), F.md5("x").alias("digest"))
@@ -619,6 +633,7 @@ def str_alias_case(spark, folder):
       left(case when position('<p>' in html) > 0 then substr(html, position('<p>' in html) + 3) else html end, 1200) as p,
       case when position('=' in url) > 0 then substr(url, position('=' in url) + 1) else url end as s from pages)""",
 )
+@longs("chars")
 def str_passage(spark, folder):
     """Text after a blank line and section after ` > `, on texts that hold those separators."""
     rows = table(spark, folder, "pages").select(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from plumbline.functions import lookups
 from plumbline.operators import waits
 from plumbline.operators.shape import ROW_CAP, top_rows
-from plumbline.plans.base import day, query, table
+from plumbline.plans.base import day, longs, query, table
 from plumbline.plans.statistics import JUDGED, kept_waits
 from plumbline.session import scratch_path
 from plumbline.sources import tables
@@ -142,6 +142,7 @@ def _literal(v) -> str:
       select call, month_ending, board, patient_type, specialty, number_waiting, waiting_over_12_weeks, pct_over_12_weeks,
         median_wait_days, median_wait_weeks, row from met where row <= {ROW_CAP}""",
 )
+@longs("row")
 def fn_lateral_batch(spark, folder):
     """Nine calls answered in one scan of the table."""
     out = lookups.waiting_times_batch(latest(spark, folder), CALLS, ALIASES)

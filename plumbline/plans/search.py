@@ -10,7 +10,7 @@ from plumbline.functions import vectors
 from plumbline.operators import search
 from plumbline.operators.joins import skew_safe_join
 from plumbline.operators.shape import merged_filter
-from plumbline.plans.base import query, spread, table
+from plumbline.plans.base import longs, query, spread, table
 
 DIMS, BANDS, BITS = 64, 8, 4
 
@@ -64,6 +64,7 @@ def top_sql(source: str, k: int) -> str:
     "sea_cosine_topk",
     f"with {MEANS}, scored as (select query_id, id, {cosine_sql('qv', 'v')} as score from cent, vec_corpus) {top_sql('scored', 10)}",
 )
+@longs("rank")
 def sea_cosine_topk(spark, folder):
     return search.exact_topk(centroids(spark, folder), vector_corpus(spark, folder), 10)
 
@@ -73,6 +74,7 @@ def sea_cosine_topk(spark, folder):
     f"""with {MEANS}, part as (select id, v from vec_corpus join documents on doc_id = id where lang = 'en'),
       scored as (select query_id, id, {cosine_sql('qv', 'v')} as score from cent, part) {top_sql('scored', 5)}""",
 )
+@longs("rank")
 def sea_filtered_topk(spark, folder):
     """The filter is on the corpus, below the ranking: five rows per question remain five."""
     corpus = full_corpus(spark, folder)
@@ -96,6 +98,7 @@ def signature_sql(v: str) -> str:
       scored as (select query_id, id, {cosine_sql('qv', 'v')} as score from q, c
         where {' or '.join(f'qs[{b + 1}] = cs[{b + 1}]' for b in range(BANDS))}) {top_sql('scored', 10)}""",
 )
+@longs("rank")
 def sea_ann(spark, folder):
     return search.approximate_topk(centroids(spark, folder), vector_corpus(spark, folder), 10, DIMS, BANDS, BITS)
 
@@ -135,6 +138,7 @@ def bm25_sql(queries: str, corpus: str, name: str) -> str:
     f"""with asked as (select item_id as query_id, text as qtext from benchmark), corpus as (select doc_id as id, text from documents),
       {bm25_sql('asked', 'corpus', 'words')} {top_sql('words', 10)}""",
 )
+@longs("rank")
 def sea_fulltext_bm25(spark, folder):
     items = table(spark, folder, "benchmark").select(F.col("item_id").alias("query_id"), "text")
     docs = spread(table(spark, folder, "documents"), "doc_id").select(F.col("doc_id").alias("id"), "text")
@@ -149,6 +153,7 @@ HYBRID = f"""{MEANS}, corpus as (select id, v, text from vec_corpus join documen
 
 
 @query("sea_hybrid_rrf", f"with {HYBRID} {top_sql('fused', 10)}")
+@longs("rank")
 def sea_hybrid_rrf(spark, folder):
     return search.search(asked(spark, folder), full_corpus(spark, folder), 10, "HYBRID")
 
@@ -164,6 +169,7 @@ def _auto_oracle() -> str:
 
 
 @query("sea_auto", _auto_oracle())
+@longs("rank")
 def sea_auto(spark, folder):
     return search.search(asked(spark, folder), full_corpus(spark, folder), 10, "AUTO")
 
@@ -174,6 +180,7 @@ def sea_auto(spark, folder):
       near as (select query_id, id, {cosine_sql('qv', 'v')} as score from cent, corpus), top as ({top_sql('near', 10)})
       select query_id, rank, top.id as chunk_id, source as source_type, md5(text) as digest, n_chars::int as page, score from top join corpus using (id)""",
 )
+@longs("rank")
 def jon_rank_attach(spark, folder):
     """Ranked ids back to their rows; the page column arrives as text and leaves as integer."""
     corpus = full_corpus(spark, folder)
@@ -196,6 +203,7 @@ def jon_rank_attach(spark, folder):
     """with cached as (select sha1(text) as key from documents where doc_id in (select doc_id from labels where quality = 1))
       select distinct sha1(text) as key, length(text) as chars from documents where sha1(text) not in (select key from cached)""",
 )
+@longs("chars")
 def jon_cache_missing(spark, folder):
     docs = table(spark, folder, "documents")
     good = table(spark, folder, "labels").where("quality = 1").select("doc_id")
@@ -229,6 +237,7 @@ def sea_embed_hashing(spark, folder):
       select vec_id, sqrt(list_dot_product(embedding::double[], embedding::double[])) as norm,
         unnest(embedding::double[]) as x, generate_subscripts(embedding, 1) as i from embeddings)""",
 )
+@longs("i")
 def mth_l2_normalise(spark, folder):
     unit = vectors.l2_normalise(F.col("embedding"))
     rows = table(spark, folder, "embeddings").select("vec_id", F.posexplode(unit).alias("i", "x"))
