@@ -69,31 +69,23 @@ def write_stats(diff: DataFrame, chunks: DataFrame, quarantined: DataFrame | Non
 def change_feed(before: DataFrame, after: DataFrame, key: str = "chunk_id") -> DataFrame:
     """Rows to delete, insert and update (before and after image) between two snapshots.
 
-    Both snapshots are tagged and meet in one shuffle on the key, which is unique per snapshot.
+    The snapshots are compared by digest, so only keys and digests are shuffled; the rows
+    themselves are fetched for the keys that changed. Keys are unique per snapshot.
     """
     columns = [c for c in after.columns if c != key]
-    image = F.struct(*columns)
-    none = F.lit(None)
-    old = before.select(key, image.alias("_old"))
-    tagged = old.withColumn("_new", none.cast(old.schema["_old"].dataType)).unionByName(
-        after.select(key, image.alias("_new")).withColumn("_old", none.cast(old.schema["_old"].dataType))
-    )
-    met = tagged.groupBy(key).agg(
-        F.any_value("_old", True).alias("_old"), F.any_value("_new", True).alias("_new")
-    )
 
-    def row(kind: str, side: str) -> Column:
-        return F.struct(F.lit(kind).alias("_change_type"), F.col(side).alias("_row"))
+    def digests(df: DataFrame) -> DataFrame:
+        return df.select(key, F.sha2(F.to_json(F.struct(*columns)), 256).alias("_digest"))
 
-    changes = (
-        F.when(F.col("_old").isNull(), F.array(row("insert", "_new")))
-        .when(F.col("_new").isNull(), F.array(row("delete", "_old")))
-        .when(
-            ~F.col("_old").eqNullSafe(F.col("_new")),
-            F.array(row("update_preimage", "_old"), row("update_postimage", "_new")),
-        )
-    )
-    return met.select(key, F.inline(changes)).select(key, "_change_type", "_row.*")
+    diff = classify(digests(before), digests(after), key, "_digest").select(key, "status")
+
+    def rows(df: DataFrame, names: dict[str, str]) -> DataFrame:
+        kinds = F.coalesce(*[F.when(F.col("status") == s, F.lit(kind)) for s, kind in names.items()])
+        hit = diff.where(F.col("status").isin(*names)).select(key, kinds.alias("_change_type"))
+        return df.join(hit, key).select(key, "_change_type", *columns)
+
+    gone = rows(before, {"removed": "delete", "changed": "update_preimage"})
+    return gone.unionByName(rows(after, {"new": "insert", "changed": "update_postimage"}))
 
 
 def replay(state: DataFrame, feed: DataFrame, key: str = "chunk_id") -> DataFrame:

@@ -182,3 +182,15 @@ def results(df: DataFrame, rules: Sequence[Rule], key: Sequence[str] = KEY, toda
         entries.append(_freshness_entry(F.col("_latest"), today, MAX_AGE_DAYS))
     counted = df.agg(*_counts(rules), newest).select(F.inline(F.array(*entries)))
     return counted.unionByName(unique_key_result(df, rules, key).withColumn("detail", F.lit("")))
+
+
+def results_of_judged(judged: DataFrame, rules: Sequence[Rule], today: dt.date, period: str = "month_ending") -> DataFrame:
+    """The same results from rows that were judged and stored, in one pass without a shuffle by key."""
+    newest = F.max(F.when(F.col(REASONS) == "", F.col(period))).cast("date").alias("_latest")
+    replaced = F.count_if(F.col(REASONS) == UNIQUE).alias("_dup")
+    entries = [
+        *_rule_entries(rules),
+        _entry(UNIQUE, "drop", F.col("_dup"), F.col("_total"), F.lit("")),
+        _freshness_entry(F.col("_latest"), today, MAX_AGE_DAYS),
+    ]
+    return judged.agg(*_counts(rules), replaced, newest).select(F.inline(F.array(*entries)))

@@ -32,10 +32,11 @@ def unanswerable(questions: DataFrame, labels: DataFrame, passages: DataFrame) -
     return questions.join(found, questions["id"] == found["question_id"], "left_anti")
 
 
-def per_question(questions: DataFrame, labels: DataFrame, rankings: DataFrame, depth: int = DEPTH) -> DataFrame:
+def per_question(questions: DataFrame, labels: DataFrame, rankings: DataFrame, depth: int = DEPTH, configs: list[str] | None = None) -> DataFrame:
     """First relevant rank, document hit and top documents per configuration and question.
 
-    Questions without any ranked row stay in, as misses.
+    Questions without any ranked row stay in, as misses. Name the configurations to spare the
+    pass that looks for them.
     """
     pair = labels.select(
         F.col("question_id").alias("_q"), F.col("doc_id").alias("_d"), "evidence"
@@ -59,7 +60,10 @@ def per_question(questions: DataFrame, labels: DataFrame, rankings: DataFrame, d
     )
     wanted = questions.select(F.col("id").alias("question_id"), "kind", "question")
     # configurations are few: give every question one row for each of them
-    named = rankings.agg(F.sort_array(F.collect_set("config"))).scalar()
+    if configs is None:
+        named = rankings.agg(F.sort_array(F.collect_set("config"))).scalar()
+    else:
+        named = F.array(*[F.lit(c) for c in configs])
     grid = wanted.withColumn("config", F.explode(named))
     return (
         grid.join(scored, ["config", "question_id"], "left")

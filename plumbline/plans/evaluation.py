@@ -85,7 +85,7 @@ RATES = (
 
 def per_question(spark, folder) -> DataFrame:
     questions, labels = questions_and_labels(spark, folder)
-    return relevance.per_question(questions, labels, rankings(spark, folder))
+    return relevance.per_question(questions, labels, rankings(spark, folder), configs=list(STEPS))
 
 
 def rounded(df: DataFrame) -> DataFrame:

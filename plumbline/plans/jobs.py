@@ -35,7 +35,7 @@ def load_waits(
     """Monthly file -> bronze, silver, rejects, quality history and latest-month table.
 
     The whole load is skipped when the file is the one loaded last. All history is rebuilt, as
-    past months are revised. The judged rows are written once, for silver and rejects to share.
+    past months are revised. The judged rows are written once, for silver, rejects and results to share.
     """
     bronze_path = layout.path("bronze_ongoing_waits")
     digest = files.source_digest(spark, sources["ongoing_waits"])
@@ -58,7 +58,7 @@ def load_waits(
     tables.overwrite(waits.with_lineage(quality.kept(judged).drop("_id"), **stamp), silver_path)
     tables.overwrite(waits.with_lineage(quality.rejects(judged).drop("_id"), run_id=run_id), layout.path("ops_rejects"))
     history = waits.with_lineage(
-        quality.results(silver, rules, today=today), run_id=run_id, run_at=run_at, table_name=silver_path
+        quality.results_of_judged(judged, rules, today), run_id=run_id, run_at=run_at, table_name=silver_path
     )
     tables.append(history, layout.path("ops_dq_results"))
     tables.overwrite(waits.latest_waits(tables.read(spark, silver_path)), layout.path(lookups.WAITS))

@@ -253,7 +253,7 @@ def test_text_functions(spark):
 
 @pytest.mark.parametrize(
     "question, exact",
-    [("What is 111 for?", True), ("How do I get my CHI record?", True), ("Where is Kilbrannan?", True), ("Use the contactSCOTLAND app", True),
+    [("What is 111 for?", True), ("How do I get my CHI record?", True), ("Where is Northbury?", True), ("Use the callBOARD app", True),
      ("Can my GP refer me to the NHS A&E?", False), ("I'm late. Can I rebook?", False), ("Where do I park? Is it free?", False), ("", False)],
 )
 def test_exact_terms(spark, question, exact):

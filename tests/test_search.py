@@ -99,8 +99,8 @@ def test_fusion_and_routing(spark, vectors_frame):
     lists = [spark.createDataFrame(r, "query_id bigint, id bigint, rank int") for r in ([(1, 10, 1), (1, 11, 2)], [(1, 11, 1), (1, 12, 2)])]
     fused = search.fuse(lists, 10).orderBy("rank").collect()
     assert [r["id"] for r in fused] == [11, 10, 12] and fused[0]["score"] == round(1 / 62 + 1 / 61, 6)
-    texts = F.when(F.col("query_id") < 2, "Where is Larbank?").otherwise("where is it?")
-    corpus = corpus.withColumn("text", F.concat_ws(" ", F.lit("it is in larbank"), F.col("id")))
+    texts = F.when(F.col("query_id") < 2, "Where is Eastport?").otherwise("where is it?")
+    corpus = corpus.withColumn("text", F.concat_ws(" ", F.lit("it is in eastport"), F.col("id")))
     queries = queries.withColumn("text", texts)
     auto = search.search(queries, corpus, 5, "AUTO")
     hybrid = search.search(queries.where("query_id < 2"), corpus, 5, "HYBRID")

@@ -62,6 +62,13 @@ def test_every_defect_is_found(silver):
     assert got["count_present"] == (1, 9) and got["known_board"] == (1, 9) and got["fresh_data"] == (0, 1)
 
 
+def test_results_from_stored_rows_are_the_same(silver):
+    _, _, df = silver
+    rules = quality.waits_rules(TODAY)
+    stored = quality.results_of_judged(quality.judge(df, rules), rules, TODAY)
+    assert sorted(map(str, stored.collect())) == sorted(map(str, quality.results(df, rules, today=TODAY).collect()))
+
+
 def test_flags_and_share(silver):
     _, _, df = silver
     first = df.where("_id = 1").first()
