@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import math
+import re
+from collections import Counter
 from collections.abc import Callable, Iterator
+from hashlib import md5
 
 import numpy as np
 import pandas as pd
@@ -344,15 +347,11 @@ def hashing_encoder(dims: int = 64) -> Callable[[list[str]], list[list[float]]]:
     """Deterministic bag-of-words encoder: signed term hashes, L2-normalised. Needs no model."""
 
     def encode(texts: list[str]) -> list[list[float]]:
-        import re
-        import zlib
-
         out = np.zeros((len(texts), dims))
         for row, text in enumerate(texts):
-            codes = [zlib.crc32(t.encode()) for t in re.findall(r"[^\W_]+", text.lower())]
-            if codes:
-                codes = np.asarray(codes, dtype=np.int64)
-                np.add.at(out[row], codes % dims, np.where((codes >> 16) & 1, 1.0, -1.0))
+            for term, n in Counter(re.findall(r"[^\W_]+", text.lower())).items():
+                code = int.from_bytes(md5(term.encode()).digest()[:4])
+                out[row, code % dims] += n if code >> 16 & 1 else -n
         return _unit_rows(out).tolist()
 
     return encode

@@ -165,8 +165,8 @@ def stm_triggered_sync(spark, folder):
     feed, target, checkpoint = (scratch_path(spark, n) for n in ("feed", "published", "progress"))
     before, after = line_chunks(earlier_documents(spark, folder)), line_chunks(now_documents(spark, folder))
     feeds.publish_feed(before.withColumn("_change_type", F.lit("insert")), feed, 1)
-    feeds.sync(spark, feed, target, checkpoint)
+    feeds.sync(spark, feed, target, checkpoint, buckets=8)
     feeds.publish_feed(changes.change_feed(before, after), feed, 2)
-    feeds.sync(spark, feed, target, checkpoint)
-    feeds.sync(spark, feed, target, checkpoint)
+    feeds.sync(spark, feed, target, checkpoint, buckets=8)
+    feeds.sync(spark, feed, target, checkpoint, buckets=8)
     return feeds.current(spark, target).select("chunk_id", "doc_id", "chunk_index", F.md5("text").alias("digest"))

@@ -383,7 +383,7 @@ UNITS = f"""paras as (
   units as (
     select doc_id, row_number() over (partition by doc_id order by p, s, c) - 1 as i, unit,
       len(regexp_extract_all(unit, '\\S+')) as w from units0)"""
-PACKED = f"""{UNITS},
+PACK_STEPS = f"""
   prefix as (select doc_id, list_prepend(0::bigint, list(total order by i)) as sums, count(*) as n
     from (select doc_id, i, sum(w) over (partition by doc_id order by i)::bigint as total from units) group by doc_id),
   packing as (
@@ -405,6 +405,8 @@ PACKED = f"""{UNITS},
       {token_sql("(select sum(w) from units u where u.doc_id = r.doc_id and u.i between from_i and to_i)::bigint")} as token_count
     from runs r)"""
 
+PACKED = f"{UNITS},{PACK_STEPS}"
+
 
 @query("doc_units", f"with {UNITS} select doc_id, i, w, md5(unit) as digest from units")
 @longs("i", "w")
@@ -543,9 +545,55 @@ def agg_page_spread(spark, folder):
     )
 
 
-@query("doc_page_chunks")
+MARKERS = "'\\s*⟦p[0-9]+⟧\\s*', ' ', 'g'"
+
+
+def words_sql(c: str) -> str:
+    return f"len(regexp_extract_all(regexp_replace({c}, {MARKERS}), '\\S+'))"
+
+
+# The units of every folded section, named `<document>:<section>` for the packing steps.
+PAGE_UNITS = f"""sec as (select doc_id, section_no, section_path, page, body, doc_id || ':' || section_no as sec_id from final_sections),
+  paras as (
+    select sec_id, page, p, trim(x, {SPACE_SET}) as para from (
+      select sec_id, page, unnest(string_split_regex(body, '\\n\\s*\\n')) as x,
+        generate_subscripts(string_split_regex(body, '\\n\\s*\\n'), 1) as p from sec) where trim(x, {SPACE_SET}) <> ''),
+  sents as (
+    select sec_id, page, p, s, trim(x, {SPACE_SET}) as sent from (
+      select sec_id, page, p, unnest(parts) as x, generate_subscripts(parts, 1) as s from (
+        select sec_id, page, p, case when {token_sql(words_sql("para"))} <= {MAX_TOKENS} then [para]
+          else string_split(regexp_replace(para, '([.!?])\\s+([A-Z0-9"''(⟦])', '\\1' || chr(1) || '\\2', 'g'), chr(1)) end as parts
+        from paras)) where trim(x, {SPACE_SET}) <> ''),
+  pieces0 as (select *, regexp_extract_all(sent, '\\S+') as ws, {token_sql(words_sql("sent"))} as t from sents),
+  units0 as (
+    select sec_id, page, p, s, 0 as c, sent as unit from pieces0 where t <= {MAX_TOKENS}
+    union all
+    select sec_id, page, p, s, c, array_to_string(ws[c * {STEP} + 1:(c + 1) * {STEP}], ' ')
+    from pieces0, unnest(range(0, (len(ws) + {STEP} - 1) // {STEP})) as r(c) where t > {MAX_TOKENS}),
+  located as (
+    select *, regexp_extract(unit, '^\\s*⟦p([0-9]+)⟧', 1) as own_page,
+      last_value(case when contains(unit, '⟦p') then regexp_extract_all(unit, '⟦p([0-9]+)⟧', 1)[-1] end ignore nulls)
+        over (partition by sec_id order by p, s, c rows between unbounded preceding and 1 preceding) as marked_before
+    from units0),
+  texts as (
+    select sec_id, p, s, c, trim(regexp_replace(regexp_replace(unit, {MARKERS}), '[ \\t]+', ' ', 'g'), {SPACE_SET}) as unit,
+      case when own_page <> '' then own_page::int else coalesce(marked_before::int, page) end as page from located),
+  placed as (select *, row_number() over (partition by sec_id order by p, s, c) - 1 as i from texts where unit <> ''),
+  units as (select sec_id as doc_id, i, unit, len(regexp_extract_all(unit, '\\S+')) as w from placed)"""
+
+
+@query(
+    "doc_page_chunks",
+    f"""with recursive {FOLDED}, {PAGE_UNITS}, {PACK_STEPS},
+      numbered as (
+        select sec.doc_id, row_number() over (partition by sec.doc_id order by section_no, k.chunk_index) - 1 as chunk_index,
+          section_path, token_count, u.page, md5(section_path || chr(10) || chr(10) || k.body) as digest
+        from chunks k join sec on sec.sec_id = k.doc_id join placed u on u.sec_id = k.doc_id and u.i = k.from_i)
+      select doc_id || '-' || lpad(chunk_index::varchar, 4, '0') as chunk_id, doc_id, chunk_index::int as chunk_index,
+        section_path, token_count, page::int as page, digest from numbered""",
+)
 def doc_page_chunks(spark, folder):
-    """The whole document track in one map-only plan. Checked against brute force in tests/."""
+    """The whole document track in one map-only plan: clean, cut, fold, pack, locate."""
     cut = page_chunks(spark, folder)
     return cut.select("chunk_id", "doc_id", "chunk_index", "section_path", "token_count", "page", F.md5("text").alias("digest"))
 

@@ -219,7 +219,27 @@ def jon_cache_attach(spark, folder):
     return skew_safe_join(keyed, cache, "key", spread=["id"]).select("id", "first_id")
 
 
-@query("sea_embed_hashing")
+def hashed_sql(source: str, name: str) -> str:
+    """CTE of (id, dim, x): the hashing encoder on (id, text), stored as FLOAT."""
+    return f"""{name} as (
+    select id, dim, (x / sqrt(sum(x * x) over (partition by id)))::float::double as x from (
+      select id, code % {DIMS} as dim, sum(case when (code >> 16) & 1 = 1 then 1.0::double else -1.0::double end) as x from (
+        select id, ('0x' || left(md5(term), 8))::bigint as code from (
+          select id, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')) as term from {source})) group by id, dim))"""
+
+
+@query(
+    "sea_embed_hashing",
+    f"""with {hashed_sql("(select item_id as id, text from benchmark)", "qv")}, {hashed_sql("(select doc_id as id, text from documents)", "dv")},
+      dots as (select qv.id as query_id, dv.id, sum(qv.x * dv.x) as s from qv join dv using (dim) group by 1, 2),
+      qn as (select id, sqrt(sum(x * x)) as n from qv group by id), dn as (select id, sqrt(sum(x * x)) as n from dv group by id),
+      near as (
+        select b.item_id as query_id, d.doc_id as id, coalesce(round(s / (qn.n * dn.n), 6), 0) as score
+        from benchmark b cross join documents d left join dots on query_id = item_id and dots.id = doc_id
+        left join qn on qn.id = item_id left join dn on dn.id = doc_id)
+      {top_sql('near', 5)}""",
+)
+@longs("rank")
 def sea_embed_hashing(spark, folder):
     """Distinct texts through the encoder once, vectors attached to all copies, neighbours ranked."""
     docs = spread(table(spark, folder, "documents"), "doc_id").select(F.col("doc_id").alias("id"), "text")
