@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import lookups
 from plumbline.operators import changes, documents, passages, quality, waits
-from plumbline.session import scratch_path
+from plumbline.session import pinned
 from plumbline.sources import files, tables
 from plumbline.sources.tables import Layout
 
@@ -50,9 +50,7 @@ def load_waits(
     rules = quality.waits_rules(today)
     silver = waits.to_silver(raw, boards, specialties)
 
-    judged_path = scratch_path(spark, "judged")
-    quality.judge(silver, rules).write.parquet(judged_path)
-    judged = spark.read.parquet(judged_path)
+    judged = pinned(quality.judge(silver, rules), "judged")
     stamp = {"run_id": run_id, "loaded_at": run_at}
     silver_path = layout.path("silver_ongoing_waits")
     tables.overwrite(waits.with_lineage(quality.kept(judged).drop("_id"), **stamp), silver_path)
@@ -93,18 +91,15 @@ def ingest_documents(
     A file that cannot be read keeps its stored version and is reported. One that is held back
     counts as removed.
     """
-    parsed_path = scratch_path(spark, "parsed")
-    documents.parse_markdown(markdown).unionByName(documents.parse_pages(paged, manifest)).write.parquet(parsed_path)
-    parsed = spark.read.parquet(parsed_path)
+    found = documents.parse_markdown(markdown).unionByName(documents.parse_pages(paged, manifest))
+    parsed = pinned(found, "parsed")
     errors = documents.error_rows(parsed)
     scanned = documents.scan(parsed)
     clean = documents.clean_documents(scanned)
     held = documents.quarantine_rows(scanned)
     state = tables.read(spark, layout.path("bronze_documents"), tables.schema_of("bronze_documents"))
     state = state.join(errors.select("source_path").distinct(), "source_path", "left_anti")
-    diff_path = scratch_path(spark, "diff")
-    changes.classify(state, clean, full_refresh=full_refresh).write.parquet(diff_path)
-    diff = spark.read.parquet(diff_path)
+    diff = pinned(changes.classify(state, clean, full_refresh=full_refresh), "diff")
     # only what changed is cut into passages
     cut = passages.passages(changes.rows_of(clean, changes.to_write(diff)), max_tokens, overlap_tokens)
     stats = changes.write_stats(diff, cut, held, errors)

@@ -11,6 +11,7 @@ from plumbline.operators import search
 from plumbline.operators.joins import skew_safe_join
 from plumbline.operators.shape import merged_filter
 from plumbline.plans.base import longs, query, spread, table
+from plumbline.session import pinned
 
 DIMS, BANDS, BITS = 64, 8, 4
 
@@ -20,8 +21,13 @@ def centroids(spark: SparkSession, folder: str) -> DataFrame:
     parts = table(spark, folder, "embeddings").select("label", F.posexplode("embedding").alias("i", "x"))
     means = parts.groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).alias("m"))
     # collects as many entries as there are dimensions
-    return means.groupBy("label").agg(F.sort_array(F.collect_list(F.struct("i", "m"))).alias("v")).select(
-        F.col("label").cast("bigint").alias("query_id"), F.transform("v", lambda e: e.getField("m")).alias("vector")
+    gathered = means.groupBy("label").agg(F.sort_array(F.collect_list(F.struct("i", "m"))).alias("v"))
+    # one small row per label: written once, as a search reads its questions more than once
+    return pinned(
+        gathered.select(
+            F.col("label").cast("bigint").alias("query_id"), F.transform("v", lambda e: e.getField("m")).alias("vector")
+        ),
+        "questions",
     )
 
 

@@ -11,7 +11,7 @@ from pyspark.sql.utils import AnalysisException
 
 from plumbline.operators.changes import apply_diff, rows_of, to_delete, to_write
 from plumbline.operators.shape import conform
-from plumbline.session import scratch_path
+from plumbline.session import pinned
 
 BUCKET = "bucket"
 BUCKETS = 64
@@ -80,9 +80,7 @@ def overwrite(df: DataFrame, path: str, staged: bool = False) -> None:
     """Replace data and schema. With `staged` the rows are written aside first, so that `df` may
     read the table it replaces; Spark refuses that otherwise."""
     if staged:
-        staging = scratch_path(df.sparkSession, "staged")
-        df.write.parquet(staging)
-        df = df.sparkSession.read.parquet(staging)
+        df = pinned(df, "staged")
     df.write.mode("overwrite").parquet(path)
 
 
@@ -103,8 +101,8 @@ def replace_changed(stored_path: str, incoming: DataFrame, diff: DataFrame, buck
     buckets, so that a small change touches a small part.
     """
     spark = incoming.sparkSession
-    hit = with_bucket(to_write(diff, key).union(to_delete(diff, key)).distinct(), buckets, key)
-    touched = [r[0] for r in hit.select(BUCKET).distinct().collect()]
+    changed = with_bucket(diff.where(F.col("status") != "unchanged"), buckets, key)
+    touched = [r[0] for r in changed.select(BUCKET).distinct().collect()]
     if not touched:
         return
     stored = (
@@ -113,7 +111,8 @@ def replace_changed(stored_path: str, incoming: DataFrame, diff: DataFrame, buck
         else with_bucket(incoming.limit(0), buckets, key)
     )
     state = apply_diff(stored, with_bucket(incoming, buckets, key), diff, key)
-    present = {r[0] for r in state.select(BUCKET).distinct().collect()}
+    folders = {b: f"{stored_path}/{BUCKET}={b}" for b in touched}
+    before = {b: _files(spark, folder) for b, folder in folders.items()}
     # Dynamic overwrite stages the new files and swaps directories when the job commits, so the
     # job may read the files it replaces. The hint gives files of the advisory size: a large
     # bucket is split over tasks, small ones share a task.
@@ -124,15 +123,26 @@ def replace_changed(stored_path: str, incoming: DataFrame, diff: DataFrame, buck
         .partitionBy(BUCKET)
         .parquet(stored_path)
     )
-    # A bucket left without rows has nothing to overwrite it with. Should this be cut off, the
-    # next run finds the same documents removed and deletes them then.
-    for bucket in set(touched) - present:
-        _delete(spark, f"{stored_path}/{BUCKET}={bucket}")
+    # A bucket left without rows got no new files: nothing replaced the old ones. Should this be
+    # cut off, the next run finds the same documents removed and deletes them then.
+    for b, folder in folders.items():
+        if before[b] and _files(spark, folder) == before[b]:
+            _delete(spark, folder)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def _hadoop(spark: SparkSession, path: str):
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+    return hadoop, hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _files(spark: SparkSession, folder: str) -> set[str]:
+    path, fs = _hadoop(spark, folder)
+    return {f.getPath().getName() for f in fs.listStatus(path)} if fs.exists(path) else set()
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path, fs = _hadoop(spark, folder)
+    fs.delete(path, True)
 
 
 def stored_digest(spark: SparkSession, path: str) -> str | None:
@@ -157,9 +167,7 @@ def store_run(layout: Layout, documents: DataFrame, chunks: DataFrame, quarantin
     last: their hashes say what is done, so a run that is cut off is simply applied again.
     """
     spark = documents.sparkSession
-    pinned = scratch_path(spark, "diff")
-    diff.write.parquet(pinned)
-    diff = spark.read.parquet(pinned)
+    diff = pinned(diff, "diff")
     stamp = F.lit(run_at).cast("timestamp")
     held = conform(quarantine.withColumn("detected_at", stamp), schema_of("ops_pii_quarantine"))
     known = read(spark, layout.path("ops_pii_quarantine"), schema_of("ops_pii_quarantine"))

@@ -100,6 +100,17 @@ def test_a_whole_run_is_stored(spark):
     assert tables.read(spark, layout.path("ops_pii_quarantine")).count() == 1
 
 
+def test_a_changed_document_may_lose_all_passages(spark):
+    path = scratch_path(spark, "t")
+    rows = spark.createDataFrame([("a", "x")], "doc_id string, text string")
+    new = spark.createDataFrame([("a", "new")], "doc_id string, status string")
+    tables.replace_changed(path, rows, new, buckets=4)
+    assert spark.read.parquet(path).count() == 1
+    changed = spark.createDataFrame([("a", "changed")], "doc_id string, status string")
+    tables.replace_changed(path, rows.limit(0), changed, buckets=4)
+    assert not tables.exists(spark, path) or spark.read.parquet(path).count() == 0
+
+
 def test_tables(spark):
     path = scratch_path(spark, "t")
     tables.create(spark, path, tables.schema_of("ops_pii_quarantine"))
