@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.text import contains_evidence, token_count
+from plumbline.operators.joins import skew_safe_join
 from plumbline.operators.shape import upper_median
 
 KS = (1, 3, 5, 10)  # fixed value: cut-offs of recall
@@ -17,8 +18,12 @@ DEPTH = 5  # fixed value: ranks of document recall, of the shown documents and o
 
 
 def relevant_pairs(labels: DataFrame, passages: DataFrame) -> DataFrame:
-    """Label x passage of the labelled document whose text holds the evidence."""
-    return labels.join(passages, "doc_id").where(contains_evidence(F.col("text"), F.col("evidence")))
+    """Label x passage of the labelled document whose text holds the evidence.
+
+    A document that very many labels name is met in several tasks.
+    """
+    met = skew_safe_join(labels, passages, "doc_id", spread=["question_id", "evidence"])
+    return met.where(contains_evidence(F.col("text"), F.col("evidence")))
 
 
 def answerable(questions: DataFrame, labels: DataFrame, passages: DataFrame) -> DataFrame:

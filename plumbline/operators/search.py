@@ -13,6 +13,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from plumbline.functions.text import has_exact_terms, let
 from plumbline.functions.vectors import MIN_NORM, cosine
@@ -110,7 +111,7 @@ def _scan_corpus(queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
     query_ids = held.column("query_id")
     matrix = _unit_rows(_matrix(held.column("vector"))) if held.num_rows else None
     shared = corpus.sparkSession.sparkContext.broadcast((query_ids, matrix))
-    id_type = pa.int64() if corpus.schema["id"].dataType.simpleString() == "bigint" else pa.string()
+    id_type = to_arrow_type(corpus.schema["id"].dataType)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, unit = shared.value

@@ -262,10 +262,10 @@ def _gate_oracle() -> str:
         "select 4, m = 0, case when m = 0 then 'ok   every candidate run caught every urgent case' "
         "else 'FAIL urgent cases missed in ' || m || ' candidate run(s)' end from (select count(*) filter (where role = 'candidate' and urgent_recall < 1) as m from runs)"
     )
-    return f"with {ROLES} " + " union all ".join(parts)
+    return " union all ".join(parts)
 
 
-@query("log_gate", _gate_oracle())
+@query("log_gate", f"with {ROLES} {_gate_oracle()}")
 def log_gate(spark, folder):
     return gate.gate_checks(runs(spark, folder))
 
@@ -280,7 +280,13 @@ def log_health(spark, folder):
     return gate.health_problems(runs(spark, folder), "eval_run")
 
 
-@query("log_decision", f"with {ROLES}, problems as ({HEALTH}) select 'inconclusive' as decision, (select count(*) from problems) as health_problems")
+@query(
+    "log_decision",
+    f"with {ROLES}, problems as ({HEALTH}), "
+    f"checks as ({_gate_oracle()}) select case when (select count(*) from problems) > 0 then 'inconclusive' "
+    "when (select bool_and(passed) from checks) then 'promoted' else 'kept' end as decision, "
+    "(select count(*) from problems) as health_problems",
+)
 def log_decision(spark, folder):
     return gate.decision(runs(spark, folder), "eval_run").select("decision", "health_problems")
 
