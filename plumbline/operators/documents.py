@@ -17,7 +17,7 @@ from plumbline.functions.text import (
     strip,
     title_from_file,
 )
-from plumbline.operators.pages import SECTION, clean_pages, page_sections
+from plumbline.operators.pages import clean_pages, page_sections
 from plumbline.operators.shape import with_once
 
 # A Markdown heading, the fence of front matter, and the identifiers searched for.
@@ -285,7 +285,3 @@ def low_finding_rows(scanned: DataFrame) -> DataFrame:
 
 def clean_documents(scanned: DataFrame) -> DataFrame:
     return scanned.where("not quarantined").drop("findings", "quarantined")
-
-
-def no_sections() -> Column:
-    return F.array().cast(f"array<{SECTION}>")

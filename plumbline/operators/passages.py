@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.text import (
     PAGE_MARKER_PATTERN,
-    SPACE,
     TOKENS_PER_WORD,
     drop_markers,
     let,

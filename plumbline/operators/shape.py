@@ -74,11 +74,3 @@ def share_of_total(df: DataFrame, *keys: Column, name: str = "traces") -> DataFr
 def top_rows(df: DataFrame, n: int, *order) -> DataFrame:
     """Ordered result with a limit; plans as TakeOrderedAndProject, never a full sort."""
     return df.orderBy(*order).limit(n)
-
-
-def call_matching_rows(df: DataFrame, calls: Column, matches) -> DataFrame:
-    """Pair every row with the calls it answers in one pass: no join and one scan.
-
-    `calls` is an array literal of call structs, so its length is known when planning.
-    """
-    return df.select(F.explode(F.filter(calls, matches)).alias("call"), *df.columns)

@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from plumbline.functions import lookups
 from plumbline.operators import changes, documents, passages, quality, waits

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-from plumbline.operators.changes import apply_diff, rows_of, to_delete, to_write
+from plumbline.operators.changes import apply_diff
 from plumbline.operators.shape import conform
 from plumbline.session import pinned
 
@@ -180,5 +180,5 @@ def store_run(layout: Layout, documents: DataFrame, chunks: DataFrame, quarantin
 
 __all__ = [
     "DDL", "Layout", "append", "conform", "create", "exists", "log_run", "overwrite", "read", "replace_changed",
-    "rows_of", "schema_of", "store_run", "stored_digest", "with_bucket",
+    "schema_of", "store_run", "stored_digest", "with_bucket",
 ]
