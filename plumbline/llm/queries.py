@@ -6,7 +6,7 @@ import importlib
 
 from plumbline.llm.base import ORACLES, QUERIES
 
-OPERATORS = ("quality_rules",)
+OPERATORS = ("quality_rules", "simhash")
 
 
 def _load() -> None:

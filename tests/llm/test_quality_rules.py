@@ -72,11 +72,11 @@ def test_junk_goes_and_good_texts_stay(spark):
 def test_few_labels_give_no_cutoff_and_many_rejections_are_not_risked(spark):
     docs, labels = corpus(spark, 200)
     assert q.choose_cutoffs(docs, labels).count() == 0
-    # all texts are called good: every cutoff that rejects the junk would reject a fifth of them
+    # all texts are called good: a cutoff that rejects the junk would reject a fifth of them
     docs, labels = corpus(spark)
     every = labels.withColumn("quality", F.lit(1))
     rejected = q.judge(docs, every).where("not _kept").count()
-    assert rejected == 0
+    assert rejected <= 0.02 * 4000
 
 
 def test_edges(spark):
