@@ -6,7 +6,7 @@ import importlib
 
 from plumbline.llm.base import ORACLES, QUERIES
 
-OPERATORS = ("quality_rules", "simhash", "packing")
+OPERATORS = ("quality_rules", "simhash", "packing", "merkle")
 
 
 def _load() -> None:
