@@ -6,7 +6,7 @@ import importlib
 
 from plumbline.llm.base import ORACLES, QUERIES
 
-OPERATORS = ("quality_rules", "simhash", "packing", "merkle")
+OPERATORS = ("quality_rules", "simhash", "packing", "merkle", "warc")
 
 
 def _load() -> None:
