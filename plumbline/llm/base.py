@@ -36,6 +36,16 @@ def word_list(text: Column) -> Column:
     return F.filter(F.split(text, BLANK + "+"), lambda w: w != "")
 
 
+def carried(docs: DataFrame) -> DataFrame:
+    """All columns as one struct `_row`, so that no name of theirs meets a name of an operator's own."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+
+
+def unpacked(docs: DataFrame, added: tuple[str, ...] = (), **replaced: Column) -> list[Column]:
+    """The columns of `docs` out of `_row`, without those that are added, some with a new value."""
+    return [replaced.get(c, F.col("_row")[c]).alias(c) for c in docs.columns if c not in added]
+
+
 def partitions_for(df: DataFrame, column: str, target: int, least: int = 1) -> int:
     """How many parts of about `target` bytes the texts in `column` make. One aggregate."""
     size = df.agg(F.sum(F.octet_length(column) + F.lit(16))).first()[0] or 0

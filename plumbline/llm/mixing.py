@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.text import let
-from plumbline.llm.base import query, table
+from plumbline.llm.base import carried, query, table, unpacked
 from plumbline.session import pinned
 
 RANGE_ROWS = 5000  # rows of a source that are numbered together, about
@@ -121,10 +121,15 @@ def slot_of(block: Column, quota: Column, slots: Column, period: Column) -> Colu
 
 
 def schedule(docs: DataFrame, mix: Mix | None = None) -> DataFrame:
-    """The rows of `docs`, as often as the mix has them, with a struct `_mix`: slot, place (in the slot),
-    epoch, block, release, deadline, weight. Ordering by slot and place gives the mix."""
-    mix = mix or Mix()
-    keyed = docs.withColumn("_key", _key(F.col(mix.source))).withColumn("_hash", F.xxhash64("doc_id", F.lit("mix")))
+    """The rows of `docs`, as often as the mix has them, with a struct `_mix` (which replaces a column of
+    that name): slot, place (in the slot), epoch, block, release, deadline, weight. Ordering by slot and
+    place gives the mix."""
+    return _scheduled(docs, mix or Mix()).select(*unpacked(docs, ("_mix",)), "_mix")
+
+
+def _scheduled(docs: DataFrame, mix: Mix) -> DataFrame:
+    keyed = carried(docs).withColumn("_key", _key(F.col("_row")[mix.source]))
+    keyed = keyed.withColumn("_id", F.col("_row.doc_id")).withColumn("_hash", F.xxhash64("_id", F.lit("mix")))
     total = docs.count()
     ranges = max(1, 1 << max(0, (total // RANGE_ROWS).bit_length() - 1))
     # the upper bits of the hash, so that ranges follow each other in the order of the hash
@@ -133,7 +138,7 @@ def schedule(docs: DataFrame, mix: Mix | None = None) -> DataFrame:
     sources = pinned(plan(counts.groupBy("_key").agg(F.sum("_n").alias("n")), mix), "mix-plan")
     before = Window.partitionBy("_key").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_key", "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    within = Window.partitionBy("_key", "_range").orderBy("_hash", "doc_id")
+    within = Window.partitionBy("_key", "_range").orderBy("_hash", "_id")
     numbered = keyed.withColumn("_nth", F.row_number().over(within) - 1).join(offsets, ["_key", "_range"])
     numbered = numbered.withColumn("_nth", F.col("_nth") + F.col("_before"))
     # the plan has a row per source and a slot number per slot of the period: bounded by the period
@@ -152,14 +157,12 @@ def schedule(docs: DataFrame, mix: Mix | None = None) -> DataFrame:
         F.ceil((block + 1) * p("period") / p("quota")).alias("deadline"),
         (p("quota") / p("period")).alias("weight"),
     )
-    return each.select(*[F.col(f"`{c}`") for c in docs.columns], found.alias("_mix"))
+    return each.select("_row", found.alias("_mix"))
 
 
 def mixed(docs: DataFrame, mix: Mix | None = None) -> DataFrame:
     """The documents of the mix, repeated as it asks, in its order."""
-    rows = schedule(docs, mix)
-    ordered = rows.orderBy("_mix.slot", "_mix.place")
-    return ordered.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return _scheduled(docs, mix or Mix()).orderBy("_mix.slot", "_mix.place").select(*unpacked(docs))
 
 
 @query("op5_mixing")

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.base import query, table
+from plumbline.llm.base import carried, query, table, unpacked
 from plumbline.llm.components import components
 from plumbline.session import pinned
 
@@ -239,11 +239,12 @@ def without_repeats(docs: DataFrame, banding: Banding | None = None, text: str =
     """The documents less their removed paragraphs; a document that loses none is unchanged."""
     gone = repeated_paragraphs(docs, banding, text).where("removed")
     gone = gone.groupBy(F.col("doc_id").alias("_gone_id"), F.col("text_hash").alias("_gone_hash")).agg(F.collect_set(F.col("paragraph").cast("int")).alias("_gone"))
-    rows = docs.withColumn("_hash", F.xxhash64(text))
-    joined = rows.join(gone, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_gone_id")) & (F.col("_hash") == F.col("_gone_hash")), "left")
-    rest = F.filter(F.split(text, "\n", -1), lambda _, i: ~F.array_contains("_gone", i))
-    kept = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(rest, "\n"))
-    return joined.withColumn(text, kept).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = carried(docs).withColumn("_hash", F.xxhash64(f"_row.{text}"))
+    joined = rows.join(gone, F.col("_row.doc_id").cast("bigint").eqNullSafe(F.col("_gone_id")) & (F.col("_hash") == F.col("_gone_hash")), "left")
+    value = F.col("_row")[text]
+    rest = F.filter(F.split(value, "\n", -1), lambda _, i: ~F.array_contains("_gone", i))
+    kept = F.when(F.col("_gone").isNull(), value).otherwise(F.array_join(rest, "\n"))
+    return joined.select(*unpacked(docs, **{text: kept}))
 
 
 @query("op7_paragraphs")

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.text import let
-from plumbline.llm.base import BLANK, BLANKS, query, table, word_list
+from plumbline.llm.base import BLANK, BLANKS, carried, query, table, unpacked, word_list
 from plumbline.operators.joins import join_sized
 from plumbline.session import pinned
 
@@ -222,7 +222,8 @@ def choose_cutoffs(docs: DataFrame, labels: DataFrame, control: RiskControl | No
 
 
 def judge(docs: DataFrame, labels: DataFrame, control: RiskControl | None = None) -> DataFrame:
-    """Add `_m` (counts), `_base_failed`, `_failed` (names of the rules broken) and `_kept`."""
+    """Add `_m` (counts), `_base_failed`, `_failed` (names of the rules broken) and `_kept`; columns of the
+    same names are replaced."""
     control = control or RiskControl()
     cutoffs = pinned(
         choose_cutoffs(docs, labels, control)
@@ -230,19 +231,17 @@ def judge(docs: DataFrame, labels: DataFrame, control: RiskControl | None = None
         .agg(F.map_from_entries(F.collect_list(F.struct("_rule", "_cutoff"))).alias("_cutoffs")),
         "cutoffs",
     )
-    measured = measure(docs)
-    stratum = F.coalesce(F.col(control.stratum).cast("string"), F.lit(""))
-    judged = join_sized(measured.withColumn("_stratum", stratum), cutoffs, "_stratum", ["doc_id"], "left")
+    measured = measure(carried(docs), "_row.text")
+    stratum = F.coalesce(F.col("_row")[control.stratum].cast("string"), F.lit(""))
+    judged = join_sized(measured.withColumn("_stratum", stratum), cutoffs, "_stratum", ["_row.doc_id"], "left")
     broken = [
         F.when(ratio(lambda c: F.col(f"_m.{c}")) > F.col("_cutoffs").getItem(name), F.lit(name))
         for name, (ratio, _) in control.rules.items()
     ]
-    return (
-        judged.withColumn("_base_failed", base_failed(F.col("_m.n_words"), F.col("_m.n_repeat_words")))
-        .withColumn("_failed", F.array_compact(F.array(*broken)))
-        .withColumn("_kept", ~F.col("_base_failed") & (F.size("_failed") == 0))
-        .drop("_stratum", "_cutoffs")
-    )
+    judged = judged.withColumn("_base_failed", base_failed(F.col("_m.n_words"), F.col("_m.n_repeat_words")))
+    judged = judged.withColumn("_failed", F.array_compact(F.array(*broken)))
+    added = ("_m", "_base_failed", "_failed", "_kept")
+    return judged.withColumn("_kept", ~F.col("_base_failed") & (F.size("_failed") == 0)).select(*unpacked(docs, added), *added)
 
 
 @query("op6_quality_rules")

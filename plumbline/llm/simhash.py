@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.base import query, table
+from plumbline.llm.base import carried, query, table, unpacked
 from plumbline.llm.components import components, spanning
 from plumbline.session import pinned
 
@@ -155,14 +155,26 @@ def fingerprint_links(distinct: DataFrame, distance: int = 3) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, distance: int = 3, words: int = 3, text: str = "text") -> DataFrame:
-    """(_id, _fp, _root) per row: its id, fingerprint, and the smallest id that it is linked to."""
+    """(_id, _fp, _component, _root) per row: its id, fingerprint, a fingerprint that names its component, and
+    the smallest id of the component."""
     prints = pinned(fingerprints(docs.select(F.col("doc_id").alias("_id"), text), text, words).select("_id", "_fp"), "simhash")
     least = pinned(prints.groupBy(F.col("_fp").alias("fp")).agg(F.min("_id").alias("least")), "simhash-distinct")
     tree = components(fingerprint_links(least.select("fp"), distance), "a", "b")
     joined = least.join(tree, least.fp == tree.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     roots = joined.groupBy("root").agg(F.min("least").alias("_root"))
-    named = joined.join(roots, "root").select(F.col("fp").alias("_fp"), "_root")
-    return prints.join(named, "_fp").select("_id", "_fp", "_root")
+    named = joined.join(roots, "root").select(F.col("fp").alias("_fp"), F.col("root").alias("_component"), "_root")
+    return prints.join(named, "_fp").select("_id", "_fp", "_component", "_root")
+
+
+def one_of_each(docs: DataFrame, distance: int = 3, words: int = 3, text: str = "text") -> DataFrame:
+    """One row of each component: that with the smallest id (nulls last), then the smallest fingerprint."""
+    place = F.struct(F.col("_id").isNull().alias("no_id"), F.col("_id").alias("_stays"), F.col("_fp").alias("_stays_fp"))
+    groups = near_duplicates(docs, distance, words, text).groupBy("_component").agg(F.min(place).alias("first"))
+    stays = pinned(groups.select("first._stays", "first._stays_fp"), "simhash-stays")
+    marked = fingerprints(carried(docs), f"_row.{text}", words)
+    on = F.col("_row.doc_id").eqNullSafe(F.col("_stays")) & (F.col("_fp") == F.col("_stays_fp"))
+    one = marked.join(stays, on).dropDuplicates(["_stays", "_stays_fp"])
+    return one.select(*unpacked(docs))
 
 
 @query("op10_simhash")

@@ -82,3 +82,12 @@ def test_edges(spark):
     rows = sorted((str(r._id), str(r._root)) for r in s.near_duplicates(df).collect())
     assert rows == [("5", "5"), ("5", "5"), ("9", "9"), ("None", "5")]
     assert s.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_one_of_each(spark):
+    base = " ".join(f"w{i}" for i in range(200))
+    rows = [(4, base), (2, base.replace("w7 ", "W7 ")), (2, base), (9, "other text"), (9, "other text"), (None, base), (None, "alone"), (5, None), (6, "")]
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS).withColumn("_n", F.lit(1))
+    out = s.one_of_each(df)
+    assert out.columns == df.columns
+    assert sorted((str(r.doc_id), r.text is None or r.text[:5]) for r in out.collect()) == [("2", "w0 w1"), ("5", True), ("9", "other"), ("None", "alone")]
