@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +38,20 @@ def word_list(text: Column) -> Column:
     return F.filter(F.split(text, BLANK + "+"), lambda w: w != "")
 
 
+def slices(batches, column: int, size: int = 2 << 20):
+    """The rows of Arrow batches again, with about `size` bytes of text at a time: what a task makes of
+    a slice is a multiple of its text, so this bounds the memory. A longer text is a slice of its own."""
+    for batch in batches:
+        texts = batch.column(column)
+        ends = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) + 16)
+        start = 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + size, side="right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def carried(docs: DataFrame) -> DataFrame:
     """All columns as one struct `_row`, so that no name of theirs meets a name of an operator's own."""
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))

@@ -7,10 +7,12 @@ similarity 0.8 meets in at least one with probability 0.998, and more similar on
 
 A bucket is not expanded into pairs. Each of its nodes is paired with a leader, the first in an order
 that differs from bucket to bucket, and the pair is verified by the exact Jaccard similarity of the
-sets of word shingles. Nodes unlike their leader go on to the next round among themselves, until none
-is left. Two similar nodes that are like different leaders of one bucket are connected through the
-other bands, where the leaders are others. Verified pairs make components; a component keeps its first
-paragraph (smallest document id, then position) and loses the others.
+sets of word shingles. A node that is unlike the leaders of two or more of its buckets meets, in the
+next round, the nodes that share two such buckets with it; that parts nodes which have only some common
+passage. Who is unlike the leaders there goes on to the next round among themselves, until none is left.
+Two similar nodes that are like different leaders of one bucket are connected through the other bands,
+where the leaders are others. Verified pairs make components; a component keeps its first paragraph
+(smallest document id, then position) and loses the others.
 
 Rows that are shuffled are short (bucket and node, 24 bytes); shingle sets are made for nodes in shared
 buckets only and join pairs, so a hot group is many rows of a join that can be split, never one value.
@@ -32,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.base import carried, query, table, unpacked
+from plumbline.llm.base import carried, query, slices, table, unpacked
 from plumbline.llm.components import components
 from plumbline.session import pinned
 
@@ -121,7 +123,7 @@ def signatures(docs: DataFrame, b: Banding, text: str = "text") -> DataFrame:
     factors = rng.integers(0, 1 << 63, b.bands * b.rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
     def sign(batches):
-        for batch in batches:
+        for batch in slices(batches, 2):
             p = Paragraphs(batch.column(2), b.min_words)
             if not len(p.kept):
                 continue
@@ -143,8 +145,9 @@ def signatures(docs: DataFrame, b: Banding, text: str = "text") -> DataFrame:
     return rows.mapInArrow(sign, FOUND)
 
 
-def _led(rows: DataFrame) -> DataFrame:
-    """(key, leader, node) for the nodes of each key but its leader."""
+def _led(rows: DataFrame, leaders: int) -> DataFrame:
+    """(key, leader, node, follows): for each key, the nodes with each of its first `leaders` nodes that
+    precede them; `follows` is false for the leaders among them."""
 
     def lead(batches):
         held = list(batches)
@@ -152,17 +155,18 @@ def _led(rows: DataFrame) -> DataFrame:
             return
         rows = pa.Table.from_batches(held).combine_chunks()
         key, node = rows["key"].to_numpy().view(np.uint64), _nodes(rows["node"].chunk(0))
-        order = np.lexsort((scramble(node[:, 0] ^ key), key))
+        order = np.lexsort((node[:, 1], scramble(node[:, 0] ^ key), key))
         key, node = key[order], node[order]
-        new = np.concatenate([[True], key[1:] != key[:-1]])
-        leader = node[np.flatnonzero(new)][np.cumsum(new) - 1]
-        rest = ~new
-        if rest.any():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(key[rest].view(np.int64)), _binary(leader[rest]), _binary(node[rest])], ["key", "leader", "node"]
-            )
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        first = np.repeat(first, np.diff(np.append(first, len(key))))
+        rank = np.arange(len(key)) - first
+        for n in range(leaders):
+            rest = rank > n
+            if rest.any():
+                columns = [pa.array(key[rest].view(np.int64)), _binary(node[first[rest] + n]), _binary(node[rest]), pa.array(rank[rest] >= leaders)]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "leader", "node", "follows"])
 
-    return rows.repartition("key").mapInArrow(lead, "key bigint, leader binary, node binary")
+    return rows.repartition("key").mapInArrow(lead, "key bigint, leader binary, node binary, follows boolean")
 
 
 def _shingle_sets(docs: DataFrame, places: DataFrame, b: Banding, text: str) -> DataFrame:
@@ -172,7 +176,7 @@ def _shingle_sets(docs: DataFrame, places: DataFrame, b: Banding, text: str) ->
     joined = rows.join(wanted, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_hash") == F.col("text_hash")))
 
     def sets(batches):
-        for batch in batches:
+        for batch in slices(batches, 0):
             p = Paragraphs(batch.column(0), b.min_words)
             h, begin = p.shingles(b.shingle)
             end = np.append(begin[1:], len(h))
@@ -192,11 +196,18 @@ def _shingle_sets(docs: DataFrame, places: DataFrame, b: Banding, text: str) ->
     return joined.select(text, "wanted").mapInArrow(sets, "node binary, shingles array<bigint>")
 
 
+def _shared_twice(left: DataFrame) -> DataFrame:
+    """(key, node) with a key for every two keys of a node: at most one per pair of bands."""
+    keys = left.groupBy("node").agg(F.array_sort(F.collect_list("key")).alias("keys"))
+    two = F.flatten(F.transform("keys", lambda a, i: F.transform(F.slice("keys", i + 2, F.size("keys")), lambda b: F.xxhash64(a, b))))
+    return keys.where(F.size("keys") > 1).select(F.explode(two).alias("key"), "node")
+
+
 def similar_nodes(docs: DataFrame, found: DataFrame, b: Banding, text: str) -> DataFrame:
     """(a, b): verified pairs of nodes."""
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash", "paragraph"))
     nodes = pinned(found.groupBy("node").agg(first.alias("at"), F.first("bands").alias("bands")), "nodes")
-    led = pinned(_led(nodes.select(F.explode("bands").alias("key"), "node")), "buckets")
+    led = pinned(_led(nodes.select(F.explode("bands").alias("key"), "node"), 1), "buckets")
     used = led.select("node").union(led.select("leader")).distinct()
     places = nodes.join(used, "node").select("node", "at.doc_id", "at.text_hash", "at.paragraph")
     sets = pinned(_shingle_sets(docs, places, b, text), "shingle-sets")
@@ -209,8 +220,12 @@ def similar_nodes(docs: DataFrame, found: DataFrame, b: Banding, text: str) -> D
         alike = common >= F.lit(b.similarity) * (F.size("_mine") + F.size("shingles") - common)
         checked = pinned(both.select("leader", "node", alike.alias("alike")), "pairs")
         verified.append(checked.where("alike").select(F.col("leader").alias("a"), F.col("node").alias("b")))
-        left = led.join(checked.where("not alike"), ["leader", "node"]).select("key", "node")
-        led = pinned(_led(left), "buckets")
+        # who follows and is unlike all leaders of the key
+        tried = led.join(checked, ["leader", "node"]).groupBy("key", "node").agg(F.max("alike").alias("alike"), F.max("follows").alias("follows"))
+        left = tried.where("follows and not alike").select("key", "node")
+        if len(verified) == 1:
+            left = _shared_twice(left)
+        led = pinned(_led(left, 4), "buckets")
     out = verified[0] if verified else led.select(F.col("leader").alias("a"), F.col("node").alias("b"))
     for more in verified[1:]:
         out = out.unionByName(more)
