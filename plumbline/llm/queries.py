@@ -6,7 +6,7 @@ import importlib
 
 from plumbline.llm.base import ORACLES, QUERIES
 
-OPERATORS = ("quality_rules", "simhash", "packing", "merkle", "warc", "mixing", "paragraphs")
+OPERATORS = ("quality_rules", "simhash", "packing", "merkle", "warc", "mixing", "paragraphs", "language")
 
 
 def _load() -> None:
