@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,7 +41,8 @@ def word_list(text: Column) -> Column:
 
 def slices(batches, column: int, size: int = 2 << 20):
     """The rows of Arrow batches again, with about `size` bytes of text at a time: what a task makes of
-    a slice is a multiple of its text, so this bounds the memory. A longer text is a slice of its own."""
+    a slice is a multiple of its text, so this bounds the memory. A longer text is a slice of its own.
+    Slices are copies: some string functions of Arrow read views with an offset wrongly."""
     for batch in batches:
         texts = batch.column(column)
         ends = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) + 16)
@@ -48,7 +50,7 @@ def slices(batches, column: int, size: int = 2 << 20):
         while start < batch.num_rows:
             before = ends[start - 1] if start else 0
             stop = max(start + 1, int(np.searchsorted(ends, before + size, side="right")))
-            yield batch.slice(start, stop - start)
+            yield batch.take(pa.array(np.arange(start, stop)))
             start = stop
 
 

@@ -27,6 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.base import carried, query, slices, table, unpacked
+from plumbline.operators.joins import join_sized
+from plumbline.session import pinned
 
 PIECE = 4096  # characters of a piece of the sample
 START = 10  # the byte that stands before a text
@@ -126,7 +128,7 @@ def sample(texts: DataFrame, params: Ppm) -> DataFrame:
     size = F.col("lang"), F.length("text").cast("bigint").alias("n")
     sizes = texts.select(*size).groupBy("lang").agg(F.sum("n").alias("total"))
     slot = lambda i: F.pmod(F.xxhash64("doc_id", i), F.lit(1 << 30))
-    known = texts.join(sizes, "lang")
+    known = join_sized(texts, pinned(sizes, "language-sizes"), "lang", ["doc_id"])
     share = F.lit(float(params.sample_chars) * (1 << 30))
     drawn = F.filter(F.sequence(F.lit(0), F.floor((F.length("text") - 1) / PIECE).cast("int")), lambda i: slot(i) * F.col("total") < share)
     cut = F.transform(drawn, lambda i: F.substring(F.col("text"), i * PIECE + 1, F.lit(PIECE)))

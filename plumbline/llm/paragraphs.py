@@ -7,15 +7,15 @@ similarity 0.8 meets in at least one with probability 0.998, and more similar on
 
 A bucket is not expanded into pairs. Each of its nodes is paired with a leader, the first in an order
 that differs from bucket to bucket, and the pair is verified by the exact Jaccard similarity of the
-sets of word shingles. A node that is unlike the leaders of two or more of its buckets meets, in the
-next round, the nodes that share two such buckets with it; that parts nodes which have only some common
-passage. Who is unlike the leaders there goes on to the next round among themselves, until none is left.
-Two similar nodes that are like different leaders of one bucket are connected through the other bands,
-where the leaders are others. Verified pairs make components; a component keeps its first paragraph
-(smallest document id, then position) and loses the others.
+sets of word shingles. Nodes that are unlike their leader, and not connected with it through other
+buckets, are then compared with all of the bucket's other components, in the task that holds the bucket;
+in a bucket of very many nodes only with those that share a second bucket, too. Verified pairs make
+components; a component keeps its first paragraph (smallest document id, then position) and loses the
+others.
 
-Rows that are shuffled are short (bucket and node, 24 bytes); shingle sets are made for nodes in shared
-buckets only and join pairs, so a hot group is many rows of a join that can be split, never one value.
+Rows that are shuffled by bucket are short (bucket and node, 24 bytes); shingle sets are made for nodes in
+shared buckets only and join pairs, so a hot group is many rows of a join that can be split. Only the
+second comparison brings sets together.
 
 Defined results: null and empty texts have no paragraphs and stay as they are. A paragraph repeated in
 one document is removed like one repeated elsewhere. Null ids come last when a paragraph is kept.
@@ -43,7 +43,8 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 
 @dataclass(frozen=True)
 class Banding:
-    """min_words: the shortest paragraph looked at. shingle: words of a shingle. similarity: least Jaccard."""
+    """min_words: the shortest paragraph looked at. shingle: words of a shingle. similarity: least Jaccard.
+    bucket_rows: nodes of a bucket that a task compares at once; those of a larger one are parted first."""
 
     min_words: int = 50
     shingle: int = 5
@@ -51,6 +52,7 @@ class Banding:
     bands: int = 16
     rows: int = 5
     seed: int = 1
+    bucket_rows: int = 2000
 
 
 def scramble(x: np.ndarray) -> np.ndarray:
@@ -145,9 +147,13 @@ def signatures(docs: DataFrame, b: Banding, text: str = "text") -> DataFrame:
     return rows.mapInArrow(sign, FOUND)
 
 
-def _led(rows: DataFrame, leaders: int) -> DataFrame:
-    """(key, leader, node, follows): for each key, the nodes with each of its first `leaders` nodes that
-    precede them; `follows` is false for the leaders among them."""
+def _runs(key: np.ndarray) -> np.ndarray:
+    """Where each run of equal keys begins."""
+    return np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else key.astype(np.int64)
+
+
+def _led(rows: DataFrame) -> DataFrame:
+    """(key, leader, node) for the nodes of each key but its leader."""
 
     def lead(batches):
         held = list(batches)
@@ -157,22 +163,57 @@ def _led(rows: DataFrame, leaders: int) -> DataFrame:
         key, node = rows["key"].to_numpy().view(np.uint64), _nodes(rows["node"].chunk(0))
         order = np.lexsort((node[:, 1], scramble(node[:, 0] ^ key), key))
         key, node = key[order], node[order]
-        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        first = np.repeat(first, np.diff(np.append(first, len(key))))
-        rank = np.arange(len(key)) - first
-        for n in range(leaders):
-            rest = rank > n
-            if rest.any():
-                columns = [pa.array(key[rest].view(np.int64)), _binary(node[first[rest] + n]), _binary(node[rest]), pa.array(rank[rest] >= leaders)]
-                yield pa.RecordBatch.from_arrays(columns, ["key", "leader", "node", "follows"])
+        first = _runs(key)
+        at = np.repeat(first, np.diff(np.append(first, len(key))))
+        rest = at < np.arange(len(key))
+        if rest.any():
+            columns = [pa.array(key[rest].view(np.int64)), _binary(node[at[rest]]), _binary(node[rest])]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "leader", "node"])
+
+    return rows.repartition("key").mapInArrow(lead, "key bigint, leader binary, node binary")
+
+
+def alike_among(part: list, is_open: list[bool], sets: list[np.ndarray], similarity: float):
+    """(i, j) pairs that connect each open node with what is similar to it in other components."""
+    size = np.array([len(x) for x in sets])
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
+    part = np.unique(np.array(part, object), return_inverse=True)[1]
+    for i in np.flatnonzero(is_open):
+        common = np.bincount(owner[np.isin(flat, sets[i], kind="sort")], minlength=len(sets))
+        alike = np.flatnonzero((common >= similarity * (size[i] + size - common)) & (part != part[i]))
+        yield from ((i, j) for j in alike[np.unique(part[alike], return_index=True)[1]])
+
 
-    return rows.repartition("key").mapInArrow(lead, "key bigint, leader binary, node binary, follows boolean")
+def _settled(rows: DataFrame, similarity: float) -> DataFrame:
+    """(a, b) for what is similar to the open nodes under each key of (key, node, component, open, shingles)."""
+
+    def settle(batches):
+        held = list(batches)
+        if not held:
+            return
+        rows = pa.Table.from_batches(held).combine_chunks()
+        rows = rows.take(pc.sort_indices(rows, [("key", "ascending"), ("node", "ascending")]))
+        key = rows["key"].to_numpy()
+        first = _runs(key)
+        node, part = rows["node"].to_pylist(), rows["component"].to_pylist()
+        lists = rows["shingles"].combine_chunks()
+        values, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
+        opened = rows["open"].to_pylist()
+        found = set()
+        for lo, hi in zip(first, np.append(first[1:], len(key))):
+            if any(opened[lo:hi]) and len(set(part[lo:hi])) > 1:
+                sets = [values[ends[i] : ends[i + 1]] for i in range(lo, hi)]
+                found.update((node[lo + i], node[lo + j]) for i, j in alike_among(part[lo:hi], opened[lo:hi], sets, similarity))
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*found)], ["a", "b"])
+
+    return rows.select("key", "node", "component", "open", "shingles").repartition("key").mapInArrow(settle, "a binary, b binary")
 
 
 def _shingle_sets(docs: DataFrame, places: DataFrame, b: Banding, text: str) -> DataFrame:
     """(node, shingles): the sorted distinct shingle hashes of the paragraph that stands for each node."""
     wanted = places.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("paragraph", "node")).alias("wanted"))
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("_id"), F.xxhash64(text).alias("_hash"), text).dropDuplicates(["_id", "_hash"])
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("_id"), F.xxhash64(text).alias("_hash"), text)
     joined = rows.join(wanted, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_hash") == F.col("text_hash")))
 
     def sets(batches):
@@ -193,43 +234,47 @@ def _shingle_sets(docs: DataFrame, places: DataFrame, b: Banding, text: str) ->
                     [pa.array(nodes, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(values)))], ["node", "shingles"]
                 )
 
-    return joined.select(text, "wanted").mapInArrow(sets, "node binary, shingles array<bigint>")
+    # repeated rows give a node's set more than once
+    return joined.select(text, "wanted").mapInArrow(sets, "node binary, shingles array<bigint>").dropDuplicates(["node"])
 
 
-def _shared_twice(left: DataFrame) -> DataFrame:
-    """(key, node) with a key for every two keys of a node: at most one per pair of bands."""
-    keys = left.groupBy("node").agg(F.array_sort(F.collect_list("key")).alias("keys"))
-    two = F.flatten(F.transform("keys", lambda a, i: F.transform(F.slice("keys", i + 2, F.size("keys")), lambda b: F.xxhash64(a, b))))
-    return keys.where(F.size("keys") > 1).select(F.explode(two).alias("key"), "node")
+def _parted(rows: DataFrame, nodes: DataFrame, bucket_rows: int) -> DataFrame:
+    """`rows` with those of larger buckets under one key for every other band of the node instead: similar
+    nodes share one of these with a probability of 0.997, nodes that have only a passage in common seldom."""
+    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("rows"))
+    sized = rows.join(sizes, "key")
+    large = sized.where(F.col("rows") > bucket_rows).join(nodes.select("node", "bands"), "node")
+    others = F.array_except("bands", F.array("key"))
+    large = large.select(F.explode(others).alias("other"), *rows.columns).withColumn("key", F.xxhash64("key", "other"))
+    return sized.where(F.col("rows") <= bucket_rows).select(*rows.columns).unionByName(large.drop("other"))
 
 
 def similar_nodes(docs: DataFrame, found: DataFrame, b: Banding, text: str) -> DataFrame:
-    """(a, b): verified pairs of nodes."""
+    """(a, b): edges between nodes that connect the similar ones."""
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash", "paragraph"))
     nodes = pinned(found.groupBy("node").agg(first.alias("at"), F.first("bands").alias("bands")), "nodes")
-    led = pinned(_led(nodes.select(F.explode("bands").alias("key"), "node"), 1), "buckets")
+    led = pinned(_led(nodes.select(F.explode("bands").alias("key"), "node")), "buckets")
     used = led.select("node").union(led.select("leader")).distinct()
     places = nodes.join(used, "node").select("node", "at.doc_id", "at.text_hash", "at.paragraph")
     sets = pinned(_shingle_sets(docs, places, b, text), "shingle-sets")
-    verified = []
-    while not led.isEmpty():
-        pairs = led.select("leader", "node").distinct()
-        both = pairs.join(sets, "node").withColumnRenamed("shingles", "_mine")
-        both = both.join(sets.withColumnRenamed("node", "leader"), "leader")
-        common = F.size(F.array_intersect("_mine", "shingles"))
-        alike = common >= F.lit(b.similarity) * (F.size("_mine") + F.size("shingles") - common)
-        checked = pinned(both.select("leader", "node", alike.alias("alike")), "pairs")
-        verified.append(checked.where("alike").select(F.col("leader").alias("a"), F.col("node").alias("b")))
-        # who follows and is unlike all leaders of the key
-        tried = led.join(checked, ["leader", "node"]).groupBy("key", "node").agg(F.max("alike").alias("alike"), F.max("follows").alias("follows"))
-        left = tried.where("follows and not alike").select("key", "node")
-        if len(verified) == 1:
-            left = _shared_twice(left)
-        led = pinned(_led(left, 4), "buckets")
-    out = verified[0] if verified else led.select(F.col("leader").alias("a"), F.col("node").alias("b"))
-    for more in verified[1:]:
-        out = out.unionByName(more)
-    return out
+
+    both = led.select("leader", "node").distinct().join(sets, "node").withColumnRenamed("shingles", "_mine")
+    both = both.join(sets.withColumnRenamed("node", "leader"), "leader")
+    common = F.size(F.array_intersect("_mine", "shingles"))
+    alike = common >= F.lit(b.similarity) * (F.size("_mine") + F.size("shingles") - common)
+    checked = pinned(both.select("leader", "node", alike.alias("alike")), "pairs")
+    verified = checked.where("alike").select(F.col("leader").alias("a"), F.col("node").alias("b"))
+    tree = pinned(components(verified, "a", "b"), "similar")
+    # open: who is unlike the leader, and not connected with it through other buckets
+    root_of = lambda c: tree.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
+    rows = led.join(checked, ["leader", "node"]).join(root_of("node"), "node", "left").join(root_of("leader"), "leader", "left")
+    part, leads = F.coalesce("node_root", "node"), F.coalesce("leader_root", "leader")
+    rows = pinned(rows.select("key", "node", part.alias("component"), "leader", leads.alias("leads"), (~F.col("alike") & (part != leads)).alias("open")), "bucket-rows")
+    keys = rows.where("open").select("key").distinct()
+    leaders = rows.select("key", F.col("leader").alias("node"), F.col("leads").alias("component"), F.lit(False).alias("open")).distinct()
+    rows = rows.select("key", "node", "component", "open").unionByName(leaders).join(keys, "key", "left_semi")
+    settled = _settled(_parted(rows, nodes, b.bucket_rows).join(sets, "node"), b.similarity)
+    return tree.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(settled)
 
 
 def repeated_paragraphs(docs: DataFrame, banding: Banding | None = None, text: str = "text") -> DataFrame:
