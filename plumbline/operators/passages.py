@@ -23,8 +23,8 @@ from plumbline.functions.text import (
 # Budget and overlap in tokens, where a paragraph ends, where a sentence ends.
 MAX_TOKENS = 400
 OVERLAP_TOKENS = 60
-PARAGRAPH_BREAK = r"\n\s*\n"
-SENTENCE_BREAK = r"(?<=[.!?])\s+(?=[A-Z0-9\"'(⟦])"
+PARAGRAPH_BREAK = r"(?U:\n\s*\n)"
+SENTENCE_BREAK = r"(?U:(?<=[.!?])\s+(?=[A-Z0-9\"'(⟦]))"
 
 
 def units(text: Column, max_tokens: int) -> Column:

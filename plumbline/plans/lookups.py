@@ -38,11 +38,10 @@ def latest(spark: SparkSession, folder: str) -> DataFrame:
     return tables.read(spark, path)
 
 
-def register(spark: SparkSession, folder: str, with_waits: bool = True) -> None:
+def register(spark: SparkSession, folder: str) -> None:
     sites(spark, folder).createOrReplaceTempView("site_table")
-    if with_waits:
-        latest(spark, folder).createOrReplaceTempView("waits_table")
-        lookups.create_functions(spark, "site_table", "waits_table", ALIASES, LABEL)
+    latest(spark, folder).createOrReplaceTempView("waits_table")
+    lookups.create_functions(spark, "site_table", "waits_table", ALIASES, LABEL)
 
 
 SITES = """site_table as (
@@ -88,7 +87,8 @@ WAITS_OUT = f"""month_ending, board_name as board, patient_type,
       and town ilike '%brand#1%'""",
 )
 def fn_find_by_service(spark, folder):
-    register(spark, folder)
+    sites(spark, folder).createOrReplaceTempView("site_table")
+    lookups.create_site_function(spark, "site_table")
     return lookups.call(spark, "find_clinic", {"service": "Red widget", "town": " brand#1 "})
 
 
@@ -139,13 +139,13 @@ def _literal(v) -> str:
     f"""with {LATEST}, calls as (select * from (values {', '.join(f"({i}, {', '.join(map(_literal, c))})" for i, c in enumerate(CALLS))}) as t(call, a_specialty, a_type, a_board)),
       met as (select call, {WAITS_OUT}, row_number() over (partition by call order by board_name nulls first, specialty_name nulls first, patient_type, number_waiting) as row
         from latest, calls where {waits_sql('a_specialty', 'a_type', 'a_board')})
-      select call, month_ending, board, patient_type, specialty, number_waiting, waiting_over_12_weeks, pct_over_12_weeks,
-        median_wait_days, median_wait_weeks, row from met where row <= {ROW_CAP}""",
+      select * from met where row <= {ROW_CAP}""",
 )
 @longs("row")
 def fn_lateral_batch(spark, folder):
     """Nine calls answered in one scan of the table."""
-    out = lookups.waiting_times_batch(latest(spark, folder), CALLS, ALIASES)
+    calls = spark.createDataFrame([(i, *c) for i, c in enumerate(CALLS)], "call int, specialty string, patient_type string, board string")
+    out = lookups.waiting_times_batch(latest(spark, folder), calls, ALIASES, label=LABEL)
     return out.withColumn("month_ending", day("month_ending"))
 
 

@@ -273,3 +273,11 @@ def test_files_are_listed_by_folder(spark, tmp_path):
     (tmp_path / "policies").mkdir()
     (tmp_path / "policies" / "sources.csv").write_bytes(b'\xef\xbb\xbffile_name,title,publisher,url,licence\np.pdf,"A, B",X,u,l\n')
     assert files.read_manifest(spark, str(tmp_path)).first()["title"] == "A, B"
+
+
+def test_no_break_spaces_in_page_lines(spark):
+    nbsp = "\u00a0"
+    lines = [f"1.{nbsp}Introduction", f"Page{nbsp}12", f"4.1{nbsp}Communication with Patients{nbsp}7", f"Scope ..{nbsp}4", "plain text"]
+    df = spark.createDataFrame([(x,) for x in lines], "line string")
+    got = df.select(pages.is_heading(F.col("line")), pages.is_noise_line(F.col("line"))).collect()
+    assert [tuple(r) for r in got] == [(True, False), (False, True), (True, True), (False, True), (False, False)]
