@@ -25,12 +25,12 @@ def encode(values: np.ndarray) -> list[np.ndarray]:
     n = len(values)
     v = values.astype(np.uint64)
     top = int(v[-1]) + 1 if n else 1
-    width = max(0, (top // max(n, 1)).bit_length() - 1)
+    width = min(57, max(0, (top // max(n, 1)).bit_length() - 1))
     low = np.zeros((n * width + 7) // 8 + 8, np.uint8)
-    for bit in range(width):
-        at = np.arange(n, dtype=np.int64) * width + bit
-        ones = at[(v >> np.uint64(bit)) & np.uint64(1) == 1]
-        np.bitwise_or.at(low, ones >> 3, (1 << (ones & 7)).astype(np.uint8))
+    for i in range(0, n if width else 0, 1 << 16):  # a multiple of eight values fills whole bytes
+        part = v[i : i + (1 << 16)].astype("<u8").view(np.uint8).reshape(-1, 8)[:, : (width + 7) // 8]
+        packed = np.packbits(np.unpackbits(part, axis=1, count=width, bitorder="little"), bitorder="little")
+        low[i * width // 8 : i * width // 8 + len(packed)] = packed
     places = (v >> np.uint64(width)).astype(np.int64) + np.arange(n)
     bits = np.zeros(((int(places[-1]) + 2 if n else 1) + 7) // 8 * 8, np.uint8)
     bits[places] = 1
@@ -45,16 +45,17 @@ class Sequence:
     def __init__(self, arrays: list[np.ndarray]):
         head, self.low, self.high, self.zeros = arrays
         self.n, self.width = int(head[0]), int(head[1])
+        # eight bytes from every byte on; with the place in the first byte they hold 57 bits
+        self.words = np.ndarray(len(self.low) - 7, "<u8", self.low, 0, (1,))
+        self.ones = 8 * np.arange(len(self.zeros), dtype=np.int64) - self.zeros  # before each byte
 
     def lows(self, i: np.ndarray) -> np.ndarray:
         """The low bits of the values at i."""
         if not self.width:
             return np.zeros(len(i), np.uint64)
         at = i * self.width
-        word = np.zeros(len(i), np.uint64)
-        for k in range((self.width + 14) // 8):
-            word |= self.low[(at >> 3) + k].astype(np.uint64) << np.uint64(8 * k) if k < 8 else np.uint64(0)
-        return (word >> (at & 7).astype(np.uint64)) & np.uint64((1 << self.width) - 1)
+        word = self.words[at >> 3] >> (at & 7).astype(np.uint64)
+        return word & np.uint64((1 << self.width) - 1)
 
     def before(self, high: np.ndarray) -> np.ndarray:
         """How many values have high bits below `high`: the place of the zero that ends those."""
@@ -66,9 +67,8 @@ class Sequence:
 
     def get(self, i: np.ndarray) -> np.ndarray:
         """The values at i."""
-        ones = 8 * np.arange(len(self.zeros), dtype=np.int64) - self.zeros  # before each byte
-        byte = np.searchsorted(ones, i, side="right") - 1
-        rest = i - ones[byte]
+        byte = np.searchsorted(self.ones, i, side="right") - 1
+        rest = i - self.ones[byte]
         place = byte * 8 + ZERO_PLACES[self.high[byte] ^ 0xFF, rest]
         return ((place - i).astype(np.uint64) << np.uint64(self.width)) | self.lows(i)
 
@@ -79,11 +79,14 @@ class Sequence:
         low = wanted & np.uint64((1 << self.width) - 1)
         last = self.before(high + 1)
         at, end = np.maximum(self.before(high), lo), last if hi is None else np.minimum(last, hi)
-        while (open_ := at < end).any():
-            half = (at + end) // 2
-            below = open_ & (self.lows(np.minimum(half, max(self.n - 1, 0))) < low)
-            at, end = np.where(below, half + 1, at), np.where(open_ & ~below, half, end)
-        limit = last if hi is None else np.minimum(last, hi)
+        limit = end.copy()
+        left = np.flatnonzero(at < end)
+        while len(left):
+            half = (at[left] + end[left]) // 2
+            below = self.lows(half) < low[left]
+            at[left[below]] = half[below] + 1
+            end[left[~below]] = half[~below]
+            left = left[at[left] < end[left]]
         inside = np.flatnonzero(at < limit)
         out = np.full(len(wanted), -1)
         same = self.lows(at[inside]) == low[inside]

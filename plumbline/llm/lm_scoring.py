@@ -78,6 +78,13 @@ def _by_shard(shard: np.ndarray) -> list[tuple[int, slice]]:
     return [(int(shard[a]), slice(int(a), int(b))) for a, b in zip(first, np.append(first[1:], len(shard)))]
 
 
+def pair_order(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """What sorts pairs of word numbers; numbers below 2^32 make one key."""
+    if max(first.max(initial=0), second.max(initial=0)) >> np.uint64(32):
+        return np.lexsort((second, first))
+    return np.argsort(first << np.uint64(32) | second)
+
+
 class Block:
     """The texts of one block; everything that is sent is sorted, so the order of the rows does not matter."""
 
@@ -118,7 +125,8 @@ class Block:
         v, w = local // len(self.known), local % len(self.known)
         first, second = self.number_of[v].astype(np.uint64), self.number_of[w].astype(np.uint64)
         shard = scramble(first * MIX + second) % np.uint64(self.shards)
-        self.pair_order = np.lexsort((second, first, shard))
+        order = pair_order(first, second)
+        self.pair_order = order[np.argsort(shard[order].astype(np.uint16 if self.shards <= 1 << 16 else np.uint64), kind="stable")]
         self.pair_parts = _by_shard(shard[self.pair_order])
         self.pairs = first, second, self.count[v]
 
@@ -182,23 +190,28 @@ def answer_pairs(prior: float):
             first = np.cumsum(unsqueeze(r["a"]).astype(np.int64)).astype(np.uint64)
             asked.append((r["block"], first, unsqueeze(r["b"]), unsqueeze(r["c"]), unsqueeze(r["d"])))
         v, w, n, c = (np.concatenate([x[i] for x in asked]) for i in (1, 2, 3, 4))
-        seen = n > 0
-        v, w, n, c = v[seen], w[seen], n[seen], c[seen]
-        order = np.lexsort((w, v))
+        order = pair_order(v, w)
         v, w, n, c = v[order], w[order], n[order], c[order]
-        start = np.flatnonzero(np.concatenate([[True], (v[1:] != v[:-1]) | (w[1:] != w[:-1])])) if len(v) else np.zeros(0, np.int64)
+        new = np.concatenate([[True], (v[1:] != v[:-1]) | (w[1:] != w[:-1])]) if len(v) else np.zeros(0, bool)
+        start = np.flatnonzero(new)
+        v, w, c = v[start], w[start], c[start]
         count = np.add.reduceat(n, start).astype(float) if len(v) else n.astype(float)
-        value = 1 + np.minimum(np.rint(-np.log10(count / (c[start] + prior)) * STEPS), 65534)
-        image = build(v[start], w[start], value)
+        place = np.empty(len(order), np.int64)  # which of the distinct pairs each asked one is
+        place[order] = np.cumsum(new) - 1
+        seen = count > 0
+        value = 1 + np.minimum(np.rint(-np.log10(count[seen] / (c[seen] + prior)) * STEPS), 65534)
+        image = build(v[seen], w[seen], value)
         with mmap.mmap(-1, len(image)) as memory:  # the levels are read in place from a map
             memory[:] = image
             trie = Trie(memory)
-            out, shard = [], rows["shard"][0].as_py()
-            for block, first, second, _, _ in asked:
-                at = trie.find(first, second)
-                found = np.where(at >= 0, trie.values[np.maximum(at, 0)] if len(trie.values) else 0, 0)
-                out.append((block, 1, shard, squeeze(found), b""))
+            at = trie.find(v, w)
+            found = np.zeros(len(v), np.uint16)
+            found[at >= 0] = trie.values[at[at >= 0]]
             del trie
+        out, shard, end = [], rows["shard"][0].as_py(), 0
+        for block, first, *_ in asked:
+            end += len(first)
+            out.append((block, 1, shard, squeeze(found[place[end - len(first) : end]]), b""))
         return _table(out, ANSWER)
 
     return answer
@@ -208,7 +221,7 @@ def totals(docs: DataFrame, text: str = "text", train: str = "train") -> tuple[i
     """(N, V): tokens of the training texts, ends included, and how many are distinct."""
 
     def count(batches):
-        for batch in slices(batches, 0):
+        for batch in slices(batches, 0, 8 << 20):
             known, code, _ = Words(batch.column(0)).framed()
             n = np.bincount(code, minlength=len(known))
             own = (known != BEGIN) & (n > 0)
