@@ -228,10 +228,10 @@ def parse_pages(paged: DataFrame, manifest: DataFrame | None = None) -> DataFram
     """
     df = paged.withColumn("_name", file_name(F.col("path")))
     if manifest is not None:
-        info = (
-            manifest.groupBy(F.col("file_name").alias("_file"))
-            .agg(*[F.max_by(c, F.struct(c)).alias(f"_{c}") for c in ("title", "url", "licence")])
-        )
+        # of several entries for a file the last one counts, as a whole
+        entry = F.struct(*[F.col(c).alias(f"_{c}") for c in ("title", "url", "licence")])
+        place = F.col("_row") if "_row" in manifest.columns else F.to_json(entry)
+        info = manifest.groupBy(F.col("file_name").alias("_file")).agg(F.max_by(entry, place).alias("_entry")).select("_file", "_entry.*")
         df = df.join(info, F.col("_name") == F.col("_file"), "left")
     else:
         df = df.withColumns({f"_{c}": F.lit(None).cast("string") for c in ("title", "url", "licence")})

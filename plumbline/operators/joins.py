@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.session import BROADCAST_ROWS, is_small
+from plumbline.session import BROADCAST_ROWS, is_small, pinned
 
-SALTS = 32
-HOT_SHARE = 1000  # a key with more than 1/1000 of all rows is hot, so there are under 1000
+TASK_ROWS = 1_000_000  # rows of one key that one task joins; a key with more is hot
+KEYLESS_SALTS = 256  # parts of the rows without a key, which meet nothing
 
 
 def join_sized(rows: DataFrame, other: DataFrame, key: str, spread: list[str], how: str = "inner", limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -21,27 +21,24 @@ def join_sized(rows: DataFrame, other: DataFrame, key: str, spread: list[str], h
 def skew_safe_join(rows: DataFrame, other: DataFrame, key: str, spread: list[str], how: str = "inner") -> DataFrame:
     """Join by shuffle so that no key of `rows` fills one task.
 
-    Hot keys are counted with a partial aggregate; there can be at most HOT_SHARE of them, so the
-    list may be broadcast. Their rows are salted by a hash of `spread` and the rows they meet are
-    copied per salt; all other keys join as they are. Rows without a key meet nothing and are
+    Keys with more than TASK_ROWS rows are counted with a partial aggregate and written once; they are
+    at most one in TASK_ROWS of the rows. Such a key is dealt out by a hash of `spread` into as many
+    salts as it has TASK_ROWS, so every part has about that many rows whatever its share, and the rows it
+    meets are copied per salt; all other keys join as they are. Rows without a key meet nothing and are
     salted too.
     """
-    limit = rows.agg(F.count(F.lit(1)) / HOT_SHARE).scalar()
     hot = (
         rows.where(F.col(key).isNotNull())
         .groupBy(F.col(key).alias("_hot"))
         .agg(F.count(F.lit(1)).alias("_n"))
-        .where((F.col("_n") > limit) & (F.col("_n") > SALTS))
-        .select("_hot")
+        .where(F.col("_n") > TASK_ROWS)
+        .select("_hot", F.ceil(F.col("_n") / TASK_ROWS).cast("int").alias("_salts"))
     )
-    hot = F.broadcast(hot)
+    hot = pinned(hot, "hot-keys")
+    hot = F.broadcast(hot) if is_small(hot) else hot
+    salts = F.when(F.col(key).isNull(), F.lit(KEYLESS_SALTS)).otherwise(F.coalesce("_salts", F.lit(1)))
     salted = rows.join(hot, F.col(key) == F.col("_hot"), "left")
-    to_salt = F.col("_hot").isNotNull() | F.col(key).isNull()
-    salted = salted.withColumn(
-        "_salt", F.when(to_salt, F.pmod(F.xxhash64(*spread), F.lit(SALTS))).otherwise(F.lit(0)).cast("int")
-    ).drop("_hot")
-    copies = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    copied = other.join(hot, F.col(key) == F.col("_hot"), "left").select(
-        *other.columns, F.explode(copies).alias("_salt")
-    )
+    salted = salted.withColumn("_salt", F.pmod(F.xxhash64(*spread), salts).cast("int")).drop("_hot", "_salts")
+    copies = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    copied = other.join(hot, F.col(key) == F.col("_hot"), "left").select(*other.columns, F.explode(copies).alias("_salt"))
     return salted.join(copied, [key, "_salt"], how).drop("_salt")

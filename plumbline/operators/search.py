@@ -301,13 +301,20 @@ def fuse(rankings: list[DataFrame], k: int, constant: int = RRF_CONSTANT) -> Dat
     return rank_rows(summed, k)
 
 
-def hybrid_topk(queries: DataFrame, corpus: DataFrame, k: int, depth: int = 50, near: Callable = exact_topk) -> DataFrame:
+def depth_for(k: int) -> int:
+    """How far down both lists are fused: four times as far as is asked, fifty at least."""
+    return max(50, 4 * k)
+
+
+def hybrid_topk(queries: DataFrame, corpus: DataFrame, k: int, depth: int | None = None, near: Callable = exact_topk) -> DataFrame:
+    """The best of both lists, each `depth` long (by default `depth_for(k)`)."""
+    depth = depth or depth_for(k)
     by_vector = near(queries, corpus, depth)
     by_words = bm25_topk(queries, keyword_index(corpus), depth)
     return fuse([by_vector, by_words], k)
 
 
-def auto_topk(queries: DataFrame, corpus: DataFrame, k: int, depth: int = 50) -> DataFrame:
+def auto_topk(queries: DataFrame, corpus: DataFrame, k: int, depth: int | None = None) -> DataFrame:
     """Questions with exact terms go to both lists, the others to vectors alone."""
     exact = has_exact_terms(F.col("text"))
     mixed = hybrid_topk(queries.where(exact), corpus, k, depth).withColumn("route", F.lit("HYBRID"))

@@ -70,9 +70,10 @@ def share(part: Column, whole: Column) -> Column:
 
 
 def merge_lookups(*sources: tuple[DataFrame, str, str], constants: dict[str, str] | None = None) -> DataFrame:
-    """One (code, name) row per code. A later source wins, constants win over all."""
+    """One (code, name) row per code. A later source wins, in a source the last row of its file (these are
+    small and read in one piece), constants win over all."""
     ranked = [
-        df.select(F.col(code).alias("code"), F.col(name).alias("name"), F.lit(i).alias("_rank"))
+        df.select(F.col(code).alias("code"), F.col(name).alias("name"), F.lit(i).alias("_rank"), F.monotonically_increasing_id().alias("_row"))
         for i, (df, code, name) in enumerate(sources)
     ]
     if constants:
@@ -80,10 +81,10 @@ def merge_lookups(*sources: tuple[DataFrame, str, str], constants: dict[str, str
         ranked.append(
             spark.createDataFrame(list(constants.items()), "code string, name string").withColumn(
                 "_rank", F.lit(len(sources))
-            )
+            ).withColumn("_row", F.lit(0).cast("bigint"))
         )
     union = reduce(DataFrame.unionByName, ranked)
-    return union.groupBy("code").agg(F.max_by("name", "_rank").alias("name"))
+    return union.groupBy("code").agg(F.max_by("name", F.struct("_rank", "_row")).alias("name"))
 
 
 def look_up(df: DataFrame, lookup: DataFrame, code: str, name: str) -> DataFrame:

@@ -46,37 +46,46 @@ def read_files(spark: SparkSession, root: str, folders: dict[str, str] = FOLDERS
 
 
 def read_manifest(spark: SparkSession, root: str) -> DataFrame | None:
-    """The list of published files with title, address and licence; None when there is none."""
+    """The list of published files with title, address and licence, and `_row`, the place in the file, which
+    is read in one piece; None when there is none."""
     try:
-        return spark.read.csv(f"{root.rstrip('/')}/policies/sources.csv", header=True, escape='"', multiLine=True)
+        found = spark.read.csv(f"{root.rstrip('/')}/policies/sources.csv", header=True, escape='"', multiLine=True)
+        return found.withColumn("_row", F.monotonically_increasing_id())
     except AnalysisException:
         return None
 
 
 def read_sites(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("header", True).option("escape", '"').csv(path)
+    return spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
 
 
 def _clean(c: Column) -> Column:
     return F.btrim(F.translate(c, "\xa0", " "), F.lit(SPACE_CHARS))
 
 
-def is_utf8(spark: SparkSession, path: str) -> bool:
-    """One boolean for a path: is every line valid UTF-8?"""
-    lines = spark.read.format("binaryFile").load(path)
-    return bool(lines.agg(F.bool_and(F.is_valid_utf8(F.col("content").cast("string")))).first()[0])
+def encodings(spark: SparkSession, path: str) -> dict[bool, list[str]]:
+    """The files of a path by whether their bytes are valid UTF-8: one entry per file, its path."""
+    files = spark.read.format("binaryFile").load(path)
+    rows = files.select("path", F.is_valid_utf8(F.col("content").cast("string")).alias("utf8")).collect()
+    return {kind: found for kind in (True, False) if (found := sorted(r["path"] for r in rows if r["utf8"] == kind))}
 
 
-def read_text_csv(spark: SparkSession, path: str, order: str = "_id", utf8: bool | None = None) -> DataFrame:
+def read_text_csv(spark: SparkSession, path: str, order: str = "_id", utf8: bool | None = None, multiline: bool = False) -> DataFrame:
     """A CSV with every column as trimmed text; blanks stay ''.
 
-    UTF-8 unless the bytes are not, then Windows-1252. The row number column the publisher adds
-    is kept as BIGINT: it is the only record of file order once the scan is split.
+    Each file is UTF-8 unless its bytes are not, then Windows-1252. The row number column the publisher
+    adds is kept as BIGINT: it is the only record of file order once the scan is split. `multiline`
+    reads quoted line breaks; such files are not split.
     """
-    utf8 = is_utf8(spark, path) if utf8 is None else utf8
+    kinds = encodings(spark, path) if utf8 is None else {utf8: [path]}
+    parts = [_read_encoded(spark, paths, order, kind, multiline) for kind, paths in kinds.items()]
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
+
+
+def _read_encoded(spark: SparkSession, paths: list[str], order: str, utf8: bool, multiline: bool) -> DataFrame:
     reader = spark.read.option("header", True).option("inferSchema", False).option("escape", '"')
-    reader = reader.option("encoding", "UTF-8" if utf8 else "ISO-8859-1")
-    df = reader.csv(path)
+    reader = reader.option("encoding", "UTF-8" if utf8 else "ISO-8859-1").option("multiLine", multiline)
+    df = reader.csv(paths)
 
     def name(c: str) -> str:
         c = c if utf8 else c.translate(str.maketrans(LATIN1_HIGH, CP1252_HIGH))

@@ -51,11 +51,14 @@ def schema_of(table: str) -> T.StructType:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a table with files. One that cannot be read is an error, not an empty table."""
     try:
         spark.read.parquet(path).schema
         return True
-    except AnalysisException:
-        return False
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
 
 
 def read(spark: SparkSession, path: str, schema: T.StructType | None = None, merge: bool = False) -> DataFrame:

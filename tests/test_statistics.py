@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline.operators import quality, waits
+from plumbline.operators import joins, quality, waits
 from plumbline.operators.joins import join_sized, skew_safe_join
 from plumbline.sources import files
 
@@ -128,10 +128,36 @@ def test_keep_last_with_a_hot_key(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_plain_join(spark, how):
+def test_salted_join_equals_plain_join(spark, how, monkeypatch):
+    monkeypatch.setattr(joins, "TASK_ROWS", 300)  # "hot" has seven times as many
     rows = [(i, "hot") for i in range(2000)] + [(i, None) for i in range(2000, 2500)] + [(i, f"k{i % 700}") for i in range(2500, 4000)]
     left = spark.createDataFrame(rows, "id bigint, key string")
     right = spark.createDataFrame([("hot", 1), *[(f"k{i}", i) for i in range(300)]], "key string, value int")
     expected = left.join(right, "key", how)
     for got in (skew_safe_join(left, right, "key", ["id"], how), join_sized(left, right, "key", ["id"], how)):
         assert sorted(map(str, got.select(expected.columns).collect())) == sorted(map(str, expected.collect()))
+
+
+def test_each_file_is_read_in_its_encoding(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes("_id,Name\n1,Caf\u00e9\n".encode())
+    (tmp_path / "b.csv").write_bytes("_id,Name\n2,Caf\u00e9 \u20ac\n".encode("cp1252"))
+    rows = files.read_text_csv(spark, str(tmp_path)).collect()
+    assert {r["_id"]: r["Name"] for r in rows} == {1: "Caf\u00e9", 2: "Caf\u00e9 \u20ac"}
+    (tmp_path / "c.csv").write_text('_id,Name\n3,"one\ntwo"\n')
+    rows = files.read_text_csv(spark, str(tmp_path / "c.csv"), multiline=True).collect()
+    assert [(r["_id"], r["Name"]) for r in rows] == [(3, "one\ntwo")]
+
+
+def test_the_last_row_of_a_lookup_wins(spark):
+    rows = spark.createDataFrame([("A", "old"), ("B", "b"), ("A", "new")], "c string, n string").coalesce(1)
+    assert {r["code"]: r["name"] for r in waits.merge_lookups((rows, "c", "n")).collect()} == {"A": "new", "B": "b"}
+
+
+def test_hot_keys_are_parted_by_their_size(spark, monkeypatch):
+    monkeypatch.setattr(joins, "TASK_ROWS", 100)
+    left = spark.range(10000).select("id", F.when(F.col("id") % 10 < 4, "hot").when(F.col("id") < 200, "warm").otherwise(F.col("id").cast("string")).alias("key"))
+    right = spark.createDataFrame([("hot", 1), ("warm", 2)], "key string, v int")
+    out = skew_safe_join(left, right, "key", ["id"])
+    assert out.where("key = 'hot'").count() == 4000 and out.where("key = 'warm'").count() == 120
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in plan
