@@ -54,6 +54,19 @@ def slices(batches, column: int, size: int = 2 << 20):
             start = stop
 
 
+def shared_state(spark: SparkSession, model):
+    """A function that gives `model` in a task. Its fields are sent once per executor; its class travels
+    with the function, so the package need not be importable there."""
+    state, kind = spark.sparkContext.broadcast(vars(model)), type(model)
+
+    def get():
+        found = object.__new__(kind)
+        found.__dict__.update(state.value)
+        return found
+
+    return get
+
+
 def carried(docs: DataFrame) -> DataFrame:
     """All columns as one struct `_row`, so that no name of theirs meets a name of an operator's own."""
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.base import carried, query, slices, table, unpacked
+from plumbline.llm.base import carried, query, shared_state, slices, table, unpacked
 from plumbline.operators.joins import join_sized
 from plumbline.session import pinned
 
@@ -162,11 +162,11 @@ def train(labelled: DataFrame, params: Ppm | None = None) -> Model:
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """Add lang_pred, score (the share of the best language if all were equally likely) and bits_per_byte;
     columns of these names are replaced."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = shared_state(docs.sparkSession, model)
     languages = len(model.languages)
 
     def score(batches):
-        m = shared.value
+        m = shared()
         names = np.append(m.languages.astype(object), "und")
         for batch in slices(batches, batch_text):
             texts = batch.column(batch_text)

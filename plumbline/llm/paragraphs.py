@@ -176,10 +176,18 @@ def _led(rows: DataFrame) -> DataFrame:
 def alike_among(part: list, is_open: list[bool], sets: list[np.ndarray], similarity: float):
     """(i, j) pairs that connect each open node with what is similar to it in other components."""
     size = np.array([len(x) for x in sets])
-    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
+    # who has each shingle, so that a node looks only at those that share one with it
+    values, code = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), size)[np.argsort(code, kind="stable")]
+    ends = np.cumsum(np.bincount(code, minlength=len(values)))
+    begin = np.concatenate([[0], np.cumsum(size)])
     part = np.unique(np.array(part, object), return_inverse=True)[1]
     for i in np.flatnonzero(is_open):
-        common = np.bincount(owner[np.isin(flat, sets[i], kind="sort")], minlength=len(sets))
+        own = code[begin[i] : begin[i + 1]]
+        first = np.where(own > 0, ends[own - 1], 0)
+        n = ends[own] - first
+        met = np.arange(n.sum()) + np.repeat(first - np.cumsum(n) + n, n)
+        common = np.bincount(owner[met], minlength=len(sets))
         alike = np.flatnonzero((common >= similarity * (size[i] + size - common)) & (part != part[i]))
         yield from ((i, j) for j in alike[np.unique(part[alike], return_index=True)[1]])
 

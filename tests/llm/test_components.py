@@ -1,7 +1,9 @@
 import random
 
 import numpy as np
+import pytest
 
+from plumbline.llm import components as c
 from plumbline.llm.components import components, spanning
 
 
@@ -20,13 +22,18 @@ def plain(pairs):
     return root
 
 
-def test_components(spark):
+@pytest.mark.parametrize("kind,local", [("long", 10**6), ("long", 0), ("binary", 10**6), ("binary", 0)])
+def test_components(spark, monkeypatch, kind, local):
+    monkeypatch.setattr(c, "LOCAL_EDGES", local)
     rnd = random.Random(1)
     chain = list(range(1000, 1200))
     rnd.shuffle(chain)
     pairs = list(zip(chain, chain[1:])) + [(5, x) for x in range(6, 80)] + [(2, 2), (300, 301), (301, 300)]
     pairs += [(rnd.randrange(400, 700), rnd.randrange(400, 700)) for _ in range(200)]
-    got = {r.node: r.root for r in components(spark.createDataFrame(pairs, "x long, y long"), "x", "y").collect()}
+    as_kind = (lambda x: x.to_bytes(4)) if kind == "binary" else (lambda x: x)
+    df = spark.createDataFrame([(as_kind(x), as_kind(y)) for x, y in pairs], f"x {kind}, y {kind}")
+    back = (lambda x: int.from_bytes(x)) if kind == "binary" else (lambda x: x)
+    got = {back(r.node): back(r.root) for r in components(df, "x", "y").collect()}
     expected = plain(pairs)
     assert got == {k: v for k, v in expected.items() if k in got}
     assert {k for k, v in expected.items() if v != k} <= set(got)
