@@ -126,13 +126,42 @@ def with_next(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-@query("op4_merkle")
+PIECES_SQL = (
+    "list_distinct(flatten(list_transform(string_split({0}, chr(10)), "
+    f"lambda p: regexp_extract_all(p, '(?:{BLANK.replace('[', '[^')}{{{{1,{WORD}}}}}{BLANK}*){{{{1,{WORDS}}}}}|{BLANK}+'))))"
+)
+SECTIONS_SQL = (
+    "list_transform(string_split({0}, chr(10) || chr(10)), lambda s: "
+    "list_transform(string_split(s, chr(10)), lambda p: sha256(p)))"
+)
+UNLIKE_SQL = "nullif(coalesce(list_position(list_transform(range(1, greatest(len({0}), len({1})) + 1), lambda k: coalesce({0}[k] = {1}[k], false)), false), 0) - 1, -1)"
+
+
+def _dice_sql(a: str, b: str) -> str:
+    return f"case when len({a}) + len({b}) = 0 then 1.0 else 2 * len(list_intersect({a}, {b})) / (len({a}) + len({b})) end::double"
+
+
+SQL = f"""with d as (select doc_id, coalesce(text, '') as t from documents),
+  n as (select *, coalesce(lead(t) over (order by doc_id), first_value(t) over (order by doc_id)) as following, length(t) as n_chars from d),
+  e as (select *, substr(t, 1, n_chars - n_chars // 2) || substr(following, 1, n_chars // 2) as edited from n),
+  x as (select *, {SECTIONS_SQL.format('t')} as a, {SECTIONS_SQL.format('edited')} as b,
+    {PIECES_SQL.format('t')} as ps, {PIECES_SQL.format('edited')} as es, {PIECES_SQL.format('following')} as fs from e),
+  y as (select *, list_transform(a, lambda s: sha256(array_to_string(s, ''))) as da, list_transform(b, lambda s: sha256(array_to_string(s, ''))) as db from x),
+  z as (select *, {UNLIKE_SQL.format('da', 'db')} as edit_section from y),
+  s as (select *, coalesce(a[edit_section + 1], []) as sa, coalesce(b[edit_section + 1], []) as sb from z)
+  select doc_id, n_chars, sha256(edited) as edited_sha256, sha256(array_to_string(da, '')) as fingerprint, sha256(array_to_string(db, '')) as edited_fingerprint,
+    {_dice_sql('ps', 'es')} as near_edited, {_dice_sql('ps', 'fs')} as near_next, edit_section,
+    case when edit_section is not null then {UNLIKE_SQL.format('sa', 'sb')} end as edit_paragraph from s"""
+
+
+@query("op4_merkle", SQL)
 def op4_merkle(spark, folder):
     rows = with_next(table(spark, folder, "documents"))
     n = F.length("_text")
     half = F.floor(n / 2).cast("int")
     rows = with_once(rows, _edited=F.concat(F.substring(F.col("_text"), F.lit(1), n - half), F.substring(F.col("_next"), F.lit(1), half)))
     rows = with_once(rows, _edited_pieces=pieces(F.col("_edited")), _tree=tree(F.col("_text")), _edited_tree=tree(F.col("_edited")))
+    rows = with_once(rows, _edit=first_difference(F.col("_tree"), F.col("_edited_tree")))
     return rows.select(
         F.col("_id").alias("doc_id"),
         F.length("_text").cast("bigint").alias("n_chars"),
@@ -141,5 +170,6 @@ def op4_merkle(spark, folder):
         F.col("_edited_tree.root").alias("edited_fingerprint"),
         likeness(F.col("_pieces"), F.col("_edited_pieces")).alias("near_edited"),
         likeness(F.col("_pieces"), F.col("_next_pieces")).alias("near_next"),
-        first_difference(F.col("_tree"), F.col("_edited_tree")).alias("first_difference"),
+        F.col("_edit.section").alias("edit_section"),
+        F.col("_edit.paragraph").alias("edit_paragraph"),
     )

@@ -40,13 +40,18 @@ LENGTH_GRID = tuple(float(x) for x in (7, 8, 9, 10, 11, 12, 14, 16, 20, 30))
 
 
 def default_rules() -> dict[str, tuple[Callable, tuple[float, ...]]]:
-    """Rule name to (ratio of the counts, grid of cutoffs). A ratio above the cutoff rejects."""
+    """Rule name to (ratio of the counts, grid of cutoffs). A ratio above the cutoff rejects; a text
+    without words has no ratios."""
+
+    def per(part: str, whole: str) -> Callable:
+        return lambda m: F.try_divide(m(part), m(whole))
+
     return {
-        "symbols_per_word": (lambda m: m("n_symbols") / m("n_words"), GRID),
-        "exclamations_per_word": (lambda m: m("n_exclamations") / m("n_words"), GRID),
-        "repeated_words": (lambda m: m("n_repeat_words") / m("n_words"), GRID),
-        "repeated_lines": (lambda m: m("n_dup_lines") / m("n_lines"), GRID),
-        "chars_per_word": (lambda m: m("word_chars") / m("n_words"), LENGTH_GRID),
+        "symbols_per_word": (per("n_symbols", "n_words"), GRID),
+        "exclamations_per_word": (per("n_exclamations", "n_words"), GRID),
+        "repeated_words": (per("n_repeat_words", "n_words"), GRID),
+        "repeated_lines": (per("n_dup_lines", "n_lines"), GRID),
+        "chars_per_word": (per("word_chars", "n_words"), LENGTH_GRID),
     }
 
 
@@ -181,6 +186,11 @@ def holdout(docs: DataFrame, labels: DataFrame, control: RiskControl) -> DataFra
     )
 
 
+def _cutoffs_below(value: Column, grid: tuple[float, ...]) -> Column:
+    """How many cutoffs of a grid a value is above."""
+    return F.size(F.filter(F.array(*map(F.lit, grid)), lambda c: value > c))
+
+
 def choose_cutoffs(docs: DataFrame, labels: DataFrame, control: RiskControl | None = None) -> DataFrame:
     """(_stratum, _rule, _cutoff): the cutoffs that keep the promise, at most one per stratum and rule."""
     control = control or RiskControl()
@@ -193,7 +203,7 @@ def choose_cutoffs(docs: DataFrame, labels: DataFrame, control: RiskControl | No
     levels = [
         F.struct(
             F.lit(name).alias("_rule"),
-            F.size(F.filter(F.array(*map(F.lit, grid)), lambda c, v=ratio(F.col): v > c)).alias("_level"),
+            _cutoffs_below(ratio(F.col), grid).alias("_level"),
         )
         for name, (ratio, grid) in rules.items()
     ]
@@ -244,7 +254,42 @@ def judge(docs: DataFrame, labels: DataFrame, control: RiskControl | None = None
     return judged.withColumn("_kept", ~F.col("_base_failed") & (F.size("_failed") == 0)).select(*unpacked(docs, added), *added)
 
 
-@query("op6_quality_rules")
+WORDLIKE = BLANK.replace("[", "[^")
+RATIOS = {
+    "symbols_per_word": "n_symbols / n_words",
+    "exclamations_per_word": "n_exclamations / n_words",
+    "repeated_words": "n_repeat_words / n_words",
+    "repeated_lines": "n_dup_lines / n_lines",
+    "chars_per_word": "word_chars / n_words",
+}
+
+# The whole query for tables whose strata have no more labels than holdout_rows, so that all are looked at.
+SQL = f"""with d as (select doc_id, coalesce(lang, '') as stratum, coalesce(text, '') as t from documents),
+  w as (select *, regexp_extract_all(t, '{WORDLIKE}+') as ws,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{WORDLIKE}')) as lines from d),
+  grams as (select doc_id, i, count(*) over (partition by doc_id, ws[i], ws[i + 1], ws[i + 2]) as c
+    from (select doc_id, ws, unnest(range(1, len(ws) - 1)) as i from w)),
+  covered as (select doc_id, count(distinct j) as n from (select doc_id, unnest([i, i + 1, i + 2]) as j from grams where c > 1) group by doc_id),
+  m as (select doc_id, stratum, len(ws) as n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::bigint as word_chars,
+      len(regexp_extract_all(t, '[{SYMBOLS}]')) as n_symbols, len(regexp_extract_all(t, '!')) as n_exclamations,
+      len(lines) as n_lines, len(lines) - len(list_distinct(lines)) as n_dup_lines, coalesce(n, 0) as n_repeat_words
+    from w left join covered using (doc_id)),
+  b as (select *, n_words < {MIN_WORDS} or 100 * n_repeat_words > {MAX_REPEATED} * n_words as base_failed from m),
+  rules as ({" union all ".join(f"select '{name}' as rule, {k} as nth, unnest({list(grid)}::double[]) as cutoff" for k, (name, (_, grid)) in enumerate(default_rules().items()))}),
+  r as (select doc_id, stratum, base_failed, unnest({list(RATIOS)}) as rule, unnest([{", ".join(f"case when n_words > 0 then {x} end" for x in RATIOS.values())}]) as value from b),
+  held as (select r.* from r join labels using (doc_id) where quality = 1 and not base_failed),
+  tried as (select stratum, rule, cutoff, count(*) as n, count(*) filter (value > cutoff) as k from held join rules using (rule) group by all),
+  tested as (select *, case when k >= n * {0.02 / 5} then 1 else list_sum(list_transform(range(0, k + 1), lambda i:
+      exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({0.02 / 5}) + (n - i) * ln(1 - {0.02 / 5})))) end as p from tried),
+  cutoffs as (select stratum, rule, min(cutoff) as cutoff from tested
+    where p <= 0.05 / 5 / (select count(distinct stratum) from held) group by all),
+  broken as (select doc_id, string_agg(rule, ',' order by nth) as failed_rules
+    from r join cutoffs using (stratum, rule) join (select distinct rule, nth from rules) using (rule) where value > cutoffs.cutoff group by doc_id)
+  select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    not base_failed and failed_rules is null as kept, coalesce(failed_rules, '') as failed_rules from b left join broken using (doc_id)"""
+
+
+@query("op6_quality_rules", SQL)
 def op6_quality_rules(spark, folder):
     judged = judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")

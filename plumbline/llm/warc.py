@@ -214,7 +214,17 @@ def archive(pages: DataFrame, folder: str, revisit_bytes: int = 0) -> DataFrame:
     return splits_of(write_archives(classify(pages, revisit_bytes), folder))
 
 
-@query("op8_warc")
+# Five bytes of the digest make eight characters of base32.
+BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(x, {1 + 10 * g}, 10))::bigint >> {35 - 5 * i}) & 31)::int + 1, 1)" for g in range(4) for i in range(8)
+)
+SQL = f"""with p as (select page_id, sha1(coalesce(html, '')) as x, strlen(coalesce(html, '')) as payload_bytes from pages),
+  first as (select x, min(page_id) as f from p group by x)
+  select page_id, payload_bytes, {BASE32} as payload_digest, case when page_id = f then 'response' else 'revisit' end as record_type,
+    case when page_id <> f then f end as refers_to from p join first using (x)"""
+
+
+@query("op8_warc", SQL)
 def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
     where = scratch_path(spark, "warc")
     rows = read_chunks(archive(table(spark, folder, "pages"), where), where, payload=False).where("last")

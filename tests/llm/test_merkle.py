@@ -45,10 +45,10 @@ def test_query_matches_the_plain_way(spark, monkeypatch, size):
         assert (r.fingerprint, r.edited_fingerprint) == (plain_root(t), plain_root(edited))
         assert abs(r.near_edited - dice(t, edited)) < 1e-12 and abs(r.near_next - dice(t, following)) < 1e-12
         if t == edited:
-            assert r.first_difference is None
+            assert (r.edit_section, r.edit_paragraph) == (None, None)
         else:
             a, b = [[s.split("\n") for s in x.split("\n\n")] for x in (t, edited)]
-            s, p = r.first_difference
+            s, p = r.edit_section, r.edit_paragraph
             assert a[:s] == b[:s] and (a[s] if s < len(a) else []) != (b[s] if s < len(b) else [])
             x, y = (a[s] if s < len(a) else []), (b[s] if s < len(b) else [])
             assert x[:p] == y[:p] and x[p : p + 1] != y[p : p + 1]

@@ -65,7 +65,9 @@ def corpus(spark, rows=4000):
 
 def test_junk_goes_and_good_texts_stay(spark):
     docs, labels = corpus(spark)
-    kept = {r.doc_id: r._kept for r in q.judge(docs, labels).select("doc_id", "_kept").collect()}
+    blank = spark.createDataFrame([(5000, None, "en", "s", 0), (5001, " \n", "fr", "s", 0)], DOCS)
+    kept = {r.doc_id: r._kept for r in q.judge(docs.unionByName(blank), labels).select("doc_id", "_kept").collect()}
+    assert not kept[5000] and not kept[5001]
     assert all(kept[i] == (i % 5 != 0) for i in range(4000))
 
 
