@@ -13,6 +13,14 @@ in a bucket of very many nodes only with those that share a second bucket, too.
 components; a component keeps its first paragraph (smallest document id, then position) and loses the
 others.
 
+Passages inside longer lines, or over several short ones, are found by their words, across line ends: every
+run of `min_words` words that an earlier place has, too (smaller document id, then position), is removed,
+and runs that overlap or touch are one span. Word runs of half that length, winnowed so that each passage of
+`min_words` has one at the same place, tell which texts and places can share one; only there all runs of
+`min_words` are compared, by 128 bits of their words. A run that overlaps its first holder stays, and so does
+one inside a line that goes anyway. A passage with changed words is removed where `min_words` words in
+succession are unchanged.
+
 Rows that are shuffled by bucket are short (bucket and node, 24 bytes); shingle sets are made for nodes in
 shared buckets only and join pairs, so a hot group is many rows of a join that can be split. Only the
 second comparison brings sets together.
@@ -31,7 +39,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm.base import carried, query, slices, table, unpacked
@@ -303,18 +311,193 @@ def repeated_paragraphs(docs: DataFrame, banding: Banding | None = None, text: s
     )
 
 
+class Stretches:
+    """The words of a column of texts, all after another: doc (row), line, start and end in code points, hash,
+    and first and count, where each text's words begin and how many it has."""
+
+    def __init__(self, texts: pa.Array):
+        texts = texts.cast(pa.large_binary()).fill_null(b"")
+        sizes = pc.binary_length(texts).to_numpy().astype(np.int64)
+        # a line break between texts, so that no word runs over
+        data = np.frombuffer(b"\n".join(texts.to_pylist()) + b"\n", np.uint8)
+        begin = np.cumsum(sizes + 1) - sizes - 1
+        blank = (data == 32) | ((data >= 9) & (data <= 13))
+        edge = np.flatnonzero(np.diff(np.concatenate([[True], blank]).astype(np.int8)))
+        first, last = edge[::2], edge[1::2]
+        chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+        breaks = np.concatenate([[0], np.cumsum(data == 10)])
+        self.doc = np.searchsorted(begin, first, side="right") - 1
+        at = begin[self.doc]
+        self.start, self.end = chars[first] - chars[at], chars[last] - chars[at]
+        self.line = breaks[first] - breaks[at]
+        low = (data + np.where((data >= 65) & (data <= 90), 32, 0)).astype(np.uint64)
+        self.hash = scramble(sums(scramble(low + np.uint64(1)), first, last, FACTORS[0]) + (last - first).astype(np.uint64) * MIX)
+        self.count = np.bincount(self.doc, minlength=len(sizes))
+        self.first = np.cumsum(self.count) - self.count
+
+    def grams(self, width: int, factor: int) -> tuple[np.ndarray, np.ndarray]:
+        """(at, hash) of the runs of `width` words that lie inside a text."""
+        at = np.arange(max(len(self.hash) - width + 1, 0))
+        at = at[self.doc[at] == self.doc[at + width - 1]]
+        return at, scramble(sums(self.hash, at, at + width, factor))
+
+
+FACTORS = (0xD1342543DE82EF95, 0xAF251AF3B0F025B5, 0x9FB21C651E98DF25)
+
+
+def sums(values: np.ndarray, first: np.ndarray, last: np.ndarray, factor: int) -> np.ndarray:
+    """The polynomial of values[first:last] in an odd factor, modulo 2^64, for many ranges at once."""
+    powers = lambda f: np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(values), f, np.uint64)]))
+    total = np.concatenate([[np.uint64(0)], np.cumsum(values * powers(factor)[:-1])])
+    return (total[last] - total[first]) * powers(pow(factor, -1, 1 << 64))[first]
+
+
+def _sliding(x: np.ndarray, width: int, least) -> np.ndarray:
+    """The least (np.minimum) or greatest (np.maximum) of every `width` values in succession."""
+    done = 1
+    while done < width:
+        step = min(done, width - done)
+        x = least(x[:-step], x[step:])
+        done += step
+    return x
+
+
+def seeds(s: Stretches, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(at, hash) of runs of half of `min_words`: the least of as many neighbours as begin in `min_words` words
+    is one, so that equal passages of that length have an equal seed at the same place."""
+    width = max(min_words // 2, 1)
+    window = min_words - width + 1
+    at, h = s.grams(width, FACTORS[1])
+    if len(at) < window:
+        return at[:0], h[:0]
+    # windows that lie in one text: those over two texts count as its lowest value, so that they choose nothing
+    lows = np.where(s.doc[at[: len(at) - window + 1]] == s.doc[at[window - 1 :]], _sliding(h, window, np.minimum), np.uint64(0))
+    around = np.concatenate([np.zeros(window - 1, np.uint64), lows, np.zeros(window - 1, np.uint64)])
+    chosen = _sliding(around, window, np.maximum) == h
+    return at[chosen], h[chosen]
+
+
+def _doc_key() -> Column:
+    return F.xxhash64("doc_id", "text_hash")
+
+
+PLACE = ("no_id", "doc_id", "text_hash", "word", "line", "start", "end")
+GRAMS = "doc_id bigint, text_hash bigint, word bigint, line bigint, start bigint, end bigint, k1 bigint, k2 bigint"
+
+
+def repeated_passages(docs: DataFrame, gone: DataFrame, banding: Banding | None = None, text: str = "text") -> DataFrame:
+    """The spans of `min_words` words or more in succession that an earlier place has, with the columns of
+    `repeated_paragraphs`; paragraph is the line a span begins in. `gone` has the removed paragraphs."""
+    b = banding or Banding()
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text)
+
+    def sown(batches):
+        for batch in slices(batches, 1):
+            s = Stretches(batch.column(1))
+            at, h = seeds(s, b.min_words)
+            key = batch.column(0).to_numpy()[s.doc[at]]
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(key)], ["seed", "doc_key"])
+
+    found = rows.select(_doc_key().alias("doc_key"), text).mapInArrow(sown, "seed bigint, doc_key bigint")
+    found = pinned(found, "seeds")
+    shared = found.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("seed")
+    wanted = found.join(shared, "seed").groupBy("doc_key").agg(F.collect_set("seed").alias("wanted"))
+    lines = gone.groupBy(_doc_key().alias("doc_key")).agg(F.collect_set(F.struct("start", "length")).alias("gone"))
+    joined = rows.withColumn("doc_key", _doc_key()).join(pinned(wanted.join(lines, "doc_key", "left"), "shared-seeds"), "doc_key")
+
+    def runs(batches):
+        for batch in slices(batches, 2):
+            s = Stretches(batch.column(2))
+            at, h = seeds(s, b.min_words)
+            width, n = max(b.min_words // 2, 1), len(s.hash)
+            wanted, asked = batch.column(3), batch.column(4)
+            values = wanted.flatten().to_numpy().view(np.uint64)
+            key = lambda h, d: scramble(h + d.astype(np.uint64) * MIX)
+            hit = np.isin(key(h, s.doc[at]), key(values, pc.list_parent_indices(wanted).to_numpy()))
+            # words where a run of min_words around a shared seed can begin
+            marks = np.zeros(n + 1, np.int64)
+            np.add.at(marks, np.maximum(at[hit] - (b.min_words - width), 0), 1)
+            np.add.at(marks, at[hit] + 1, -1)
+            place, k1 = s.grams(b.min_words, FACTORS[1])
+            _, k2 = s.grams(b.min_words, FACTORS[2])
+            use = np.cumsum(marks)[place] > 0
+            for d, lines in enumerate(asked.to_pylist()):
+                lo, hi = np.searchsorted(s.doc[place], [d, d + 1])
+                for x in lines or []:
+                    inside = (s.start[place[lo:hi]] >= x["start"]) & (s.end[place[lo:hi] + b.min_words - 1] <= x["start"] + x["length"])
+                    use[lo:hi] &= ~inside
+            place, k1, k2 = place[use], k1[use], k2[use]
+            ids = [batch.column(i).take(pa.array(s.doc[place])) for i in (0, 1)]
+            ints = (place - s.first[s.doc[place]], s.line[place], s.start[place], s.end[place + b.min_words - 1], k1.view(np.int64), k2.view(np.int64))
+            yield pa.RecordBatch.from_arrays([*ids, *(pa.array(x.astype(np.int64)) for x in ints)], [c.split()[0] for c in GRAMS.split(", ")])
+
+    grams = joined.select("doc_id", "text_hash", text, "wanted", "gone").mapInArrow(runs, GRAMS)
+    grams = pinned(grams.withColumn("no_id", F.col("doc_id").isNull()), "passages")
+    place = F.struct(*PLACE)
+    first = grams.groupBy("k1", "k2").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first != last")
+    same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
+    later = grams.join(first.drop("last"), ["k1", "k2"]).where(place != F.col("first"))
+    later = later.where(~same | (F.col("word") - F.col("first.word") >= b.min_words)).select(*PLACE, "first").dropDuplicates(["doc_id", "text_hash", "word"])
+    of_text = Window.partitionBy("doc_id", "text_hash").orderBy("word")
+    new = (F.col("word") - F.lag("word").over(of_text) <= b.min_words).eqNullSafe(F.lit(True))
+    later = later.withColumn("span", F.sum((~new).cast("int")).over(of_text))
+    spans = later.groupBy("doc_id", "text_hash", "span").agg(F.min(F.struct("word", "line", "start", "first")).alias("x"), F.max("end").alias("end"), F.max("word").alias("to"))
+    return spans.select(
+        "doc_id",
+        "text_hash",
+        F.col("x.line").alias("paragraph"),
+        F.col("x.start").alias("start"),
+        (F.col("end") - F.col("x.start")).alias("length"),
+        (F.col("to") - F.col("x.word") + b.min_words).alias("words"),
+        F.col("x.first.doc_id").alias("kept_doc_id"),
+        F.col("x.first.line").alias("kept_paragraph"),
+        F.lit(True).alias("removed"),
+    )
+
+
+def repeats(docs: DataFrame, banding: Banding | None = None, text: str = "text") -> DataFrame:
+    """`repeated_paragraphs` and `repeated_passages`. A passage may stand in a paragraph that stays."""
+    lines = pinned(repeated_paragraphs(docs, banding, text), "repeated-paragraphs")
+    return lines.unionByName(repeated_passages(docs, lines.where("removed"), banding, text))
+
+
+def _without(value: Column, cuts: Column) -> Column:
+    """A text without the parts (start, end) of a sorted array. A last line that goes takes the break before it."""
+
+    def cut(state: Column, c: Column) -> Column:
+        piece = F.substring(value, state["at"] + 1, F.greatest(c["start"] - state["at"], F.lit(0)))
+        return F.struct(F.greatest(state["at"], c["end"]).alias("at"), F.array_append(state["kept"], piece).alias("kept"))
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("kept"))
+    rest = lambda s: F.concat(F.array_join(s["kept"], ""), F.substring(value, s["at"] + 1, F.length(value)))
+    left = F.aggregate(cuts, start, cut, rest)
+    last_line = F.exists(cuts, lambda c: c["end"] > F.length(value))
+    return F.when(last_line & left.endswith("\n"), F.substring(left, F.lit(1), F.length(left) - 1)).otherwise(left)
+
+
 def without_repeats(docs: DataFrame, banding: Banding | None = None, text: str = "text") -> DataFrame:
     """The documents less their removed paragraphs; a document that loses none is unchanged."""
-    gone = repeated_paragraphs(docs, banding, text).where("removed")
-    gone = gone.groupBy(F.col("doc_id").alias("_gone_id"), F.col("text_hash").alias("_gone_hash")).agg(F.collect_set(F.col("paragraph").cast("int")).alias("_gone"))
+    return _less(docs, repeated_paragraphs(docs, banding, text).where("removed").withColumn("more", F.lit(1)), text)
+
+
+def without_passages(docs: DataFrame, banding: Banding | None = None, text: str = "text") -> DataFrame:
+    """The documents less their removed paragraphs and passages; a document that loses none is unchanged. A
+    paragraph goes with its line break, of a passage the blanks around it stay."""
+    lines = pinned(repeated_paragraphs(docs, banding, text).where("removed"), "removed-paragraphs")
+    passages = repeated_passages(docs, lines, banding, text).withColumn("more", F.lit(0))
+    return _less(docs, lines.withColumn("more", F.lit(1)).unionByName(passages), text)
+
+
+def _less(docs: DataFrame, cuts: DataFrame, text: str) -> DataFrame:
+    """The documents less `length` and `more` characters from each `start`."""
+    part = F.struct(F.col("start").cast("int").alias("start"), (F.col("start") + F.col("length") + F.col("more")).cast("int").alias("end"))
+    gone = cuts.groupBy(F.col("doc_id").alias("_gone_id"), F.col("text_hash").alias("_gone_hash")).agg(F.array_sort(F.collect_set(part)).alias("_gone"))
     rows = carried(docs).withColumn("_hash", F.xxhash64(f"_row.{text}"))
     joined = rows.join(gone, F.col("_row.doc_id").cast("bigint").eqNullSafe(F.col("_gone_id")) & (F.col("_hash") == F.col("_gone_hash")), "left")
     value = F.col("_row")[text]
-    rest = F.filter(F.split(value, "\n", -1), lambda _, i: ~F.array_contains("_gone", i))
-    kept = F.when(F.col("_gone").isNull(), value).otherwise(F.array_join(rest, "\n"))
-    return joined.select(*unpacked(docs, **{text: kept}))
+    return joined.select(*unpacked(docs, **{text: F.when(F.col("_gone").isNull(), value).otherwise(_without(value, F.col("_gone")))}))
 
 
 @query("op7_paragraphs")
 def op7_paragraphs(spark, folder):
-    return repeated_paragraphs(table(spark, folder, "documents")).drop("text_hash")
+    return repeats(table(spark, folder, "documents")).drop("text_hash")

@@ -102,3 +102,56 @@ def test_edges(spark):
     assert sorted((str(r.doc_id), r.text == "") for r in p.without_repeats(df).collect()) == [("7", False), ("7", False), ("8", True), ("None", True)]
     assert p.repeated_paragraphs(df.limit(0)).count() == 0
     assert len(p.Paragraphs(pa.array([], pa.string()), 50).kept) == 0
+
+
+def test_passages_in_long_lines_and_over_short_lines(spark):
+    rnd = random.Random(6)
+    own = lambda d, n: [f"d{d}é{rnd.randrange(10**9)}" for _ in range(n)]
+    a, c, e = ([f"{k}{i}" for i in range(n)] for k, n in (("a", 60), ("c", 50), ("e", 49)))
+    lines = lambda w: "\n".join(" ".join(w[i : i + 9]) for i in range(0, len(w), 9))
+    docs = [(d, " ".join(own(d, 200) + a + own(d, 150))) for d in (1, 2)]
+    docs += [(3, "\n".join([" ".join(own(3, 30)), lines(a).upper(), " ".join(own(3, 20))]))]
+    docs += [(d, "\n".join([" ".join(own(d, 12)), lines(c), " ".join(own(d, 12))])) for d in (4, 5)]
+    docs += [(d, " ".join(own(d, 80) + e + own(d, 80))) for d in (6, 7)]
+    docs += [(8, " ".join(own(8, 70) + c + own(8, 40) + c))]
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in docs], DOCS)
+    assert p.repeated_paragraphs(df).count() == 0
+    rows = p.repeats(df).collect()
+    text = dict(docs)
+    got = sorted((r.doc_id, words(text[r.doc_id][r.start : r.start + r.length]), r.words, r.kept_doc_id) for r in rows)
+    assert got == [(2, a, 60, 1), (3, a, 60, 1), (5, c, 50, 4), (8, c, 50, 4), (8, c, 50, 4)]
+    assert {r.doc_id: r.paragraph for r in rows}[3] == 1 and all(r.removed for r in rows)
+    clean = {r.doc_id: r.text for r in p.without_passages(df).collect()}
+    for d, t in docs:
+        drop = {2: set(a), 3: set(a), 5: set(c), 8: set(c)}.get(d, set())
+        assert words(clean[d]) == [x for x in words(t) if x not in drop]
+    assert all(clean[d] == text[d] for d in (1, 4, 6, 7))
+    # one word over and over: the first holder stays
+    same = spark.createDataFrame([(1, " ".join(["same"] * 130), "en", "s", 0)], DOCS)
+    assert len(words(p.without_passages(same).first().text)) == 50
+
+
+def test_every_repeated_run_is_found(spark):
+    rnd = random.Random(12)
+    pool = [f"p{i}" for i in range(400)]
+    docs = []
+    for d in range(60):
+        w = []
+        for _ in range(rnd.randrange(1, 5)):
+            at, n = rnd.randrange(300), rnd.randrange(20, 90)
+            w += pool[at : at + n] + [f"o{d}x{rnd.randrange(10**9)}" for _ in range(rnd.randrange(1, 30))]
+        docs.append((d, "".join(x + ("\n" if rnd.random() < 0.05 else " ") for x in w)))
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in docs], DOCS).repartition(4)
+    none = p.repeated_paragraphs(df).where("false")
+    got = set()
+    for r in p.repeated_passages(df, none).collect():
+        before = len(words(dict(docs)[r.doc_id][: r.start]))
+        got.update((r.doc_id, before + k) for k in range(r.words))
+    seen, expected = {}, set()
+    for d, t in docs:
+        w = words(t)
+        for i in range(len(w) - 49):
+            e, j = seen.setdefault(tuple(w[i : i + 50]), (d, i))
+            if e != d or i - j >= 50:
+                expected.update((d, i + k) for k in range(50))
+    assert len(expected) > 1000 and got == expected
