@@ -58,12 +58,10 @@ def default_rules() -> dict[str, tuple[Callable, tuple[float, ...]]]:
 @dataclass(frozen=True)
 class RiskControl:
     """risk: the share of good texts of a stratum that the rules may reject. delta: the chance that
-    any stratum is rejected more than that. holdout_rows: the expected number of labelled rows per
-    stratum that are looked at, all if there are fewer (a sample by hash of the id)."""
+    any stratum is rejected more than that. All labelled rows count."""
 
     risk: float = 0.02
     delta: float = 0.05
-    holdout_rows: int = 8000
     stratum: str = "lang"
     rules: dict = field(default_factory=default_rules)
 
@@ -154,36 +152,29 @@ def base_failed(n_words: Column, n_repeat_words: Column) -> Column:
 def binomial_tail(rejected: Column, n: Column, share: Column) -> Column:
     """P(Binomial(n, share) <= rejected), exactly; 1 where `rejected` is at least the mean.
 
-    The terms are summed from zero up to `rejected`, which is below n * share there. The first term
-    is (1 - share)^n, so n * share has to stay below 700; holdouts are bounded far under that.
+    The terms are summed from zero up to `rejected`, which is below n * share there. `log` is the logarithm of
+    a term and `sum` the sum of all so far in units of it, so that neither leaves the range of a double.
     """
     odds = share / (1 - share)
-    step = lambda acc, i: F.struct(
-        (acc["term"] * (n - i + 1) / i * odds).alias("term"),
-        (acc["sum"] + acc["term"] * (n - i + 1) / i * odds).alias("sum"),
-    )
-    first = F.pow(1 - share, n)
-    start = F.struct(first.alias("term"), first.alias("sum"))
+
+    def step(acc: Column, i: Column) -> Column:
+        ratio = (n - i + 1) / i * odds
+        return F.struct((acc["log"] + F.ln(ratio)).alias("log"), (acc["sum"] / ratio + 1).alias("sum"))
+
+    start = F.struct((n * F.log1p(-share)).alias("log"), F.lit(1.0).alias("sum"))
     terms = F.when(rejected < 1, F.array().cast("array<bigint>")).otherwise(F.sequence(F.lit(1).cast("bigint"), rejected))
-    tail = F.aggregate(terms, start, step)["sum"]
+    tail = F.aggregate(terms, start, step, lambda acc: F.exp(acc["log"] + F.ln(acc["sum"])))
     return F.when(rejected >= n * share, F.lit(1.0)).otherwise(tail)
 
 
 def holdout(docs: DataFrame, labels: DataFrame, control: RiskControl) -> DataFrame:
-    """(_id, _stratum, _good): the labelled rows to look at, about `holdout_rows` per stratum."""
+    """(_id, _stratum, _good): the labelled rows of known documents."""
     stratum = F.coalesce(F.col(control.stratum).cast("string"), F.lit(""))
     ids = docs.select(F.col("doc_id").alias("_id"), stratum.alias("_stratum")).where("_id is not null").distinct()
     marks = labels.where("doc_id is not null and quality is not null").select(
         F.col("doc_id").alias("_id"), (F.col("quality") == 1).alias("_good")
     )
-    known = marks.join(ids, "_id")
-    sizes = known.groupBy("_stratum").agg(F.count(F.lit(1)).alias("_n"))
-    slot = F.pmod(F.xxhash64("_id", F.lit("holdout")), F.lit(1 << 30))
-    return (
-        known.join(sizes, "_stratum")
-        .where(slot * F.col("_n") < F.lit(float(control.holdout_rows) * (1 << 30)))
-        .select("_id", "_stratum", "_good")
-    )
+    return marks.join(ids, "_id").select("_id", "_stratum", "_good")
 
 
 def _cutoffs_below(value: Column, grid: tuple[float, ...]) -> Column:
@@ -195,10 +186,10 @@ def choose_cutoffs(docs: DataFrame, labels: DataFrame, control: RiskControl | No
     """(_stratum, _rule, _cutoff): the cutoffs that keep the promise, at most one per stratum and rule."""
     control = control or RiskControl()
     rules = control.rules
-    sample = pinned(holdout(docs, labels, control), "holdout")
+    held = pinned(holdout(docs, labels, control).where("_good"), "holdout")
     texts = docs.select(F.col("doc_id").alias("_id"), "text")
-    looked_at = join_sized(texts, sample, "_id", ["text"])
-    m = measure(looked_at.where("_good")).select("_stratum", "_m.*")
+    looked_at = join_sized(texts, held, "_id", ["text"])
+    m = measure(looked_at).select("_stratum", "_m.*")
     m = m.where(~base_failed(F.col("n_words"), F.col("n_repeat_words")))
     levels = [
         F.struct(
@@ -263,7 +254,7 @@ RATIOS = {
     "chars_per_word": "word_chars / n_words",
 }
 
-# The whole query for tables whose strata have no more labels than holdout_rows, so that all are looked at.
+# The whole query.
 SQL = f"""with d as (select doc_id, coalesce(lang, '') as stratum, coalesce(text, '') as t from documents),
   w as (select *, regexp_extract_all(t, '{WORDLIKE}+') as ws,
     list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{WORDLIKE}')) as lines from d),

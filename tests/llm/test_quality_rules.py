@@ -50,6 +50,20 @@ def test_binomial_tail_is_exact(spark):
         assert math.isclose(r.t, 1.0 if r.k >= r.n * r.p else exact, rel_tol=1e-9)
 
 
+def test_binomial_tail_of_many_labels(spark):
+    cases = [(1590, 400000, 0.004), (1450, 400000, 0.004), (7800, 2000000, 0.004)]
+    df = spark.createDataFrame(cases, "k long, n long, p double")
+    term = lambda n, i, p: math.exp(math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p))
+    for r in df.select("*", q.binomial_tail(F.col("k"), F.col("n"), F.col("p")).alias("t")).collect():
+        assert math.isclose(r.t, math.fsum(term(r.n, i, r.p) for i in range(r.k + 1)), rel_tol=1e-6)
+
+
+def test_all_labels_count(spark):
+    docs = spark.range(20000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"), F.lit("en").alias("lang"))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    assert q.holdout(docs, labels, q.RiskControl()).count() == 20000
+
+
 def corpus(spark, rows=4000):
     rnd = random.Random(5)
     word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(rnd.randrange(2, 8)))
