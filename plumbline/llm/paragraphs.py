@@ -381,7 +381,7 @@ def _doc_key() -> Column:
     return F.xxhash64("doc_id", "text_hash")
 
 
-PLACE = ("no_id", "doc_id", "text_hash", "word", "line", "start", "end")
+PLACE = ("no_id", "doc_id", "text_hash", "word")
 GRAMS = "doc_id bigint, text_hash bigint, word bigint, line bigint, start bigint, end bigint, k1 bigint, k2 bigint"
 
 
@@ -408,19 +408,18 @@ def repeated_passages(docs: DataFrame, gone: DataFrame, banding: Banding | None
     def runs(batches):
         for batch in slices(batches, 2):
             s = Stretches(batch.column(2))
-            at, h = seeds(s, b.min_words)
-            width, n = max(b.min_words // 2, 1), len(s.hash)
+            width = max(b.min_words // 2, 1)
             wanted, asked = batch.column(3), batch.column(4)
             values = wanted.flatten().to_numpy().view(np.uint64)
             key = lambda h, d: scramble(h + d.astype(np.uint64) * MIX)
-            hit = np.isin(key(h, s.doc[at]), key(values, pc.list_parent_indices(wanted).to_numpy()))
-            # words where a run of min_words around a shared seed can begin
-            marks = np.zeros(n + 1, np.int64)
-            np.add.at(marks, np.maximum(at[hit] - (b.min_words - width), 0), 1)
-            np.add.at(marks, at[hit] + 1, -1)
             place, k1 = s.grams(b.min_words, FACTORS[1])
+            if not len(place):
+                continue
             _, k2 = s.grams(b.min_words, FACTORS[2])
-            use = np.cumsum(marks)[place] > 0
+            # a run's own seed is the least of its parts: two equal runs have an equal one
+            at, h = s.grams(width, FACTORS[1])
+            own = _sliding(h, b.min_words - width + 1, np.minimum)[np.searchsorted(at, place)]
+            use = np.isin(key(own, s.doc[place]), key(values, pc.list_parent_indices(wanted).to_numpy()))
             for d, lines in enumerate(asked.to_pylist()):
                 lo, hi = np.searchsorted(s.doc[place], [d, d + 1])
                 for x in lines or []:
@@ -432,12 +431,12 @@ def repeated_passages(docs: DataFrame, gone: DataFrame, banding: Banding | None
             yield pa.RecordBatch.from_arrays([*ids, *(pa.array(x.astype(np.int64)) for x in ints)], [c.split()[0] for c in GRAMS.split(", ")])
 
     grams = joined.select("doc_id", "text_hash", text, "wanted", "gone").mapInArrow(runs, GRAMS)
-    grams = pinned(grams.withColumn("no_id", F.col("doc_id").isNull()), "passages")
-    place = F.struct(*PLACE)
-    first = grams.groupBy("k1", "k2").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first != last")
+    # rows of a run pass in order of place, so a task holds one of them, however many there are
+    in_order = Window.partitionBy("k1", "k2").orderBy(*PLACE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    met = grams.withColumn("no_id", F.col("doc_id").isNull()).withColumn("first", F.first(F.struct(*PLACE, "line")).over(in_order))
     same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
-    later = grams.join(first.drop("last"), ["k1", "k2"]).where(place != F.col("first"))
-    later = later.where(~same | (F.col("word") - F.col("first.word") >= b.min_words)).select(*PLACE, "first").dropDuplicates(["doc_id", "text_hash", "word"])
+    later = met.where(~same | (F.col("word") - F.col("first.word") >= b.min_words))
+    later = later.select("doc_id", "text_hash", "word", "line", "start", "end", F.struct("first.doc_id", "first.line").alias("first"))
     of_text = Window.partitionBy("doc_id", "text_hash").orderBy("word")
     new = (F.col("word") - F.lag("word").over(of_text) <= b.min_words).eqNullSafe(F.lit(True))
     later = later.withColumn("span", F.sum((~new).cast("int")).over(of_text))
