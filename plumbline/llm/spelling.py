@@ -5,7 +5,7 @@ Near words agree on everything outside the place of the edit, so a window of pla
 before and after it as key, brings them together: the halves of a word are two such windows. A window is
 taken for the length of the shorter word, so a word has windows for its own length and for one less. Windows
 whose key has too many words are halved, again and again, until their keys hold few words or the window
-is one place; then a key holds at most two words for each letter. So no group grows with the data, no
+is one place; then the words of a key differ in at most two letters. So no group grows with the data, no
 pair is lost, and a pair is counted only in the window of its first difference.
 
 A task takes sorted runs of keys and cuts them into blocks of words. The matrix of letter counts times its
@@ -134,16 +134,18 @@ def letter_matrix(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return out, length
 
 
-def squared_distances(letters: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """The squared distances of all pairs of rows, by their counts of letters: one matrix product."""
+def letter_counts(letters: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """How often each letter that occurs stands in each word."""
     used, code = np.unique(letters, return_inverse=True)
     code = code.reshape(letters.shape)
     flat = (np.arange(len(letters))[:, None] * len(used) + code).ravel()
     counts = np.bincount(flat, minlength=len(letters) * len(used)).reshape(len(letters), len(used))
-    counts = counts[:, used != 0].astype(np.float32 if length.max(initial=0) < 4096 else np.float64)  # exact either way
-    gram = counts @ counts.T
-    own = np.diagonal(gram)
-    return own[:, None] + own[None, :] - 2 * gram
+    return counts[:, used != 0].astype(np.float32 if length.max(initial=0) < 2048 else np.float64)  # exact either way
+
+
+def squared_distances(some: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The squared distances of some rows of counts to all: one matrix product."""
+    return (some * some).sum(axis=1)[:, None] + (counts * counts).sum(axis=1)[None, :] - 2 * (some @ counts.T)
 
 
 def one_edit(letters: np.ndarray, length: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -166,15 +168,19 @@ def one_edit(letters: np.ndarray, length: np.ndarray, a: np.ndarray, b: np.ndarr
 def near_in_block(words: list[str], group: np.ndarray, size: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of near words of one block, by place. Words meet if their group and window are the same."""
     letters, length = letter_matrix(words)
-    distance = squared_distances(letters, length)
-    a, b = np.nonzero((distance <= 2) & (group[:, None] == group[None, :]))
-    short = length[a] == size[a]
-    fits = short & (np.where(length[b] == size[a], 2, 1) == distance[a, b]) & ((length[b] > length[a]) | (a < b))
-    fits &= (size[a] == size[b]) & (lo[a] == lo[b]) & (hi[a] == hi[b])
-    a, b = a[fits], b[fits]
-    ok, first = one_edit(letters, length, a, b)
-    ok &= (first >= lo[a]) & (first < hi[a])
-    return a[ok], b[ok]
+    counts = letter_counts(letters, length)
+    found = []
+    for top in range(0, len(words), GROUP):
+        distance = squared_distances(counts[top : top + GROUP], counts)
+        a, b = np.nonzero((distance <= 2) & (group[top : top + GROUP, None] == group[None, :]))
+        far, a = distance[a, b], a + top
+        fits = (length[a] == size[a]) & (np.where(length[b] == size[a], 2, 1) == far) & ((length[b] > length[a]) | (a < b))
+        fits &= (size[a] == size[b]) & (lo[a] == lo[b]) & (hi[a] == hi[b])
+        a, b = a[fits], b[fits]
+        ok, first = one_edit(letters, length, a, b)
+        ok &= (first >= lo[a]) & (first < hi[a])
+        found.append((a[ok], b[ok]))
+    return tuple(np.concatenate(x) for x in zip(*found))
 
 
 def _blocks(key: np.ndarray, most: int):
