@@ -26,10 +26,9 @@ from pyspark.sql import functions as F
 
 from plumbline.llm.base import carried, query, table
 from plumbline.llm.license_rules import RULES, Rule
+from plumbline.llm.words import TO_WORDS
 
 REACH = 600  # bytes on each side of a keyword; no match is as long (tested)
-KEPT = "".join(chr(b) for b in range(256) if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128)
-TO_WORDS = bytes(b + 32 if 65 <= b <= 90 else b if chr(b) in KEPT else 32 for b in range(256))
 FOUND = pa.list_(pa.struct([("label", pa.string()), ("kind", pa.string()), ("first_word", pa.int64()), ("end_word", pa.int64()), ("confidence", pa.float64()), ("kept", pa.bool_())]))
 SCAN = pa.struct([("n_words", pa.int64()), ("found", FOUND)])
 

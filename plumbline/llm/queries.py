@@ -6,7 +6,7 @@ import importlib
 
 from plumbline.llm.base import ORACLES, QUERIES
 
-OPERATORS = ("quality_rules", "simhash", "packing", "merkle", "warc", "mixing", "paragraphs", "language", "lm_scoring", "quality_lm", "licenses", "spelling")
+OPERATORS = ("quality_rules", "simhash", "packing", "merkle", "warc", "mixing", "paragraphs", "language", "lm_scoring", "quality_lm", "licenses", "spelling", "lexical")
 
 
 def _load() -> None:

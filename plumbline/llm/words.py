@@ -10,6 +10,19 @@ import xxhash
 # The hashes that stand for a text's begin and end, which are no words.
 BEGIN, END = np.uint64(1), np.uint64(2)
 
+# Bytes of a text to its words of digits, letters and characters beyond ASCII: A-Z in lower case, other ASCII blank.
+TO_WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
+
+
+def word_slices(text: str | None, size: int = 4 << 20):
+    """The words of a text, as lists of bytes from slices of about `size` bytes, cut between words."""
+    low, start = (text or "").encode("utf-8", "surrogatepass").translate(TO_WORDS), 0
+    while start < len(low):
+        cut = low.find(b" ", start + size)
+        end = len(low) if cut < 0 else cut
+        yield low[start:end].split()
+        start = end
+
 
 class Words:
     """The words of a column of texts with A-Z in lower case: `known`, the hashes of the distinct ones,
