@@ -11,15 +11,15 @@ from hashlib import md5
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from plumbline.functions.text import has_exact_terms, let
+from plumbline.functions.text import has_exact_terms
 from plumbline.functions.vectors import MIN_NORM, cosine
 from plumbline.operators.joins import join_sized, skew_safe_join
-from plumbline.operators.shape import with_once
-from plumbline.session import is_small
+from plumbline.session import is_small, pinned
 
 # Columns a search returns, columns published to the index.
 HIT_COLUMNS = ("chunk_id", "doc_id", "title", "section_path", "page", "source_type", "text")
@@ -30,10 +30,12 @@ PUBLISHED_COLUMNS = (
 
 SCORE_DIGITS = 6  # scores compare, and tie, at this precision; ties go to the lower id
 QUERY_BLOCK = 4096  # queries one task holds as a matrix
-CORPUS_BLOCK = 65_536  # corpus rows one cell of the grid holds
+CORPUS_BLOCK = 16_384  # corpus rows one cell of the grid holds
+TILE_QUERIES, TILE_ROWS = 512, 4096  # what is scored at once
+BLOCK_DOCS, BLOCK_TERMS = 1024, 500_000  # documents of a block of postings, and their terms (one longer document is a block)
 BM25_K1, BM25_B = 1.2, 0.75
 RRF_CONSTANT = 60
-QUERY_TERMS = 100_000
+QUERY_TERMS = 100_000  # terms of the queries one task holds
 
 
 def rank_rows(scored: DataFrame, k: int | None = None, query: str = "query_id", item: str = "id") -> DataFrame:
@@ -43,102 +45,110 @@ def rank_rows(scored: DataFrame, k: int | None = None, query: str = "query_id",
     return ranked if k is None else ranked.where(F.col("rank") <= k)
 
 
-# ------------------------------------------------------------------ exact vectors
+# ------------------------------------------------------------------ the best rows, tile by tile
 
 
 def _unit_rows(matrix: np.ndarray) -> np.ndarray:
     return matrix / np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), MIN_NORM)
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Top k per row of a score matrix: (row, id, score), ties to the lower id.
-
-    `ids` ascend along the columns, so equal scores are taken from the left and never pile up.
-    """
-    rows, cols = [], []
-    width = scores.shape[1]
-    if width <= k:
-        rows = np.repeat(np.arange(len(scores)), width)
-        return rows, np.tile(ids, len(scores)), scores.ravel()
-    cut = np.partition(scores, width - k, axis=1)[:, width - k]
-    for r in range(len(scores)):
-        above = np.flatnonzero(scores[r] > cut[r])
-        level = np.flatnonzero(scores[r] == cut[r])[: k - len(above)]
-        picked = np.concatenate([above, level])
-        rows.append(np.full(len(picked), r))
-        cols.append(picked)
-    rows, cols = np.concatenate(rows), np.concatenate(cols)
-    return rows, ids[cols], scores[rows, cols]
-
-
-def _score_block(queries: np.ndarray, corpus: np.ndarray, ids: np.ndarray, k: int):
-    order = np.argsort(ids, kind="stable")
-    scores = np.round(queries @ _unit_rows(corpus[order]).T, SCORE_DIGITS)
-    return _best(scores, ids[order], k)
-
-
-def _matrix(column) -> np.ndarray:
-    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+def _matrix(column: pa.Array) -> np.ndarray:
+    """A column of arrays, all of one length, as a matrix."""
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 1)
 
 
-def exact_topk(queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
-    """Cosine top k: queries (query_id, vector) against corpus (id, vector).
+def _one(column: pa.Array | pa.ChunkedArray) -> pa.Array:
+    return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
 
-    Few queries (counted): every task holds them as a matrix and scans its part of the corpus
-    once, keeping k rows per query. Many: queries and corpus are cut into a grid of bounded
-    cells that meet by an equality join. Both give the same rows.
-    """
-    queries = queries.select("query_id", "vector")
-    corpus = corpus.select("id", "vector").where(F.col("vector").isNotNull())
-    if is_small(queries, QUERY_BLOCK):
-        partial = _scan_corpus(queries, corpus, k)
-    else:
-        partial = _grid(queries, corpus, k)
-    return rank_rows(partial, k)
 
+def _ids(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    column = _one(column)
+    return column.to_numpy(zero_copy_only=False) if pa.types.is_integer(column.type) else np.asarray(column.to_pylist())
+
+
+class Nearest:
+    """The k best rows of each query so far, by score and then by id. Rows are scored tile by tile and
+    a tile's best are picked before they are merged, so memory is one tile and 2k entries a query."""
+
+    NONE = np.iinfo(np.int64).min  # the key of an empty place
+
+    def __init__(self, queries: np.ndarray, k: int):
+        self.queries, self.k = queries, k
+        self.keys = np.full((len(queries), k), self.NONE)  # scores as whole numbers of 10 ** -SCORE_DIGITS
+        self.ids: np.ndarray | None = None
+
+    def add(self, column: pa.Array, ids: np.ndarray, as_rows: Callable[[pa.Array], np.ndarray]) -> None:
+        order = np.argsort(ids, kind="stable")
+        if self.ids is None:
+            self.ids = np.zeros(self.keys.shape, ids.dtype)
+        for start in range(0, len(order), TILE_ROWS):
+            tile = order[start : start + TILE_ROWS]
+            rows, own, take = as_rows(column.take(pa.array(tile))).T, ids[tile], min(self.k, len(tile))
+            for top in range(0, len(self.queries), TILE_QUERIES):
+                part = slice(top, top + TILE_QUERIES)
+                scores = np.nan_to_num(self.queries[part] @ rows, nan=-1e6, copy=False)
+                # ids ascend along the columns: equal scores are told apart by their place
+                key = np.rint(scores * 10**SCORE_DIGITS).astype(np.int64) * TILE_ROWS + (TILE_ROWS - 1 - np.arange(len(tile)))
+                at = np.argpartition(key, len(tile) - take, axis=1)[:, len(tile) - take :]
+                keys = np.concatenate([self.keys[part], np.take_along_axis(key, at, axis=1) // TILE_ROWS], axis=1)
+                merged = np.concatenate([self.ids[part], own[at]], axis=1)
+                best = np.lexsort((merged, -keys.clip(self.NONE + 1)), axis=-1)[:, : self.k]
+                self.keys[part] = np.take_along_axis(keys, best, axis=1)
+                if merged.dtype != self.ids.dtype:  # longer names
+                    self.ids = self.ids.astype(merged.dtype)
+                self.ids[part] = np.take_along_axis(merged, best, axis=1)
+
+    def found(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, id, score), by the place of the query."""
+        if self.ids is None:
+            return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+        query, place = np.nonzero(self.keys > self.NONE)
+        return query, self.ids[query, place], self.keys[query, place] / 10**SCORE_DIGITS
+
+
+def _hits(names: pa.Array, found: tuple, id_type: pa.DataType) -> list[pa.Array]:
+    query, ids, scores = found
+    return [_one(names.take(pa.array(query))), pa.array(ids.tolist(), id_type), pa.array(scores, pa.float64())]
 
-def _result_schema(queries: DataFrame, corpus: DataFrame) -> str:
-    return (
-        f"query_id {queries.schema['query_id'].dataType.simpleString()}, "
-        f"id {corpus.schema['id'].dataType.simpleString()}, score double"
-    )
 
+def _nearest(queries: DataFrame, rows: DataFrame, k: int, as_queries: Callable, as_rows: Callable) -> DataFrame:
+    """(query_id, id, score, rank): the k best rows (id, value) of each query (query_id, vector) by the product of
+    what `as_queries` and `as_rows` make of them.
 
-def _scan_corpus(queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
+    Few queries (counted): every task holds them as a matrix and scans its part of the rows once, keeping
+    k rows per query. Many: queries and rows are cut into a grid of bounded cells that meet by an equality
+    join. Both give the same rows.
+    """
+    queries = queries.select("query_id", "vector")
+    rows = rows.withColumnRenamed(next(c for c in rows.columns if c != "id"), "value")
+    kind = rows.schema["id"].dataType
+    schema = f"query_id {queries.schema['query_id'].dataType.simpleString()}, id {kind.simpleString()}, score double"
+    id_type = to_arrow_type(kind)
+    scan = _scan if is_small(queries, QUERY_BLOCK) else _grid
+    return rank_rows(scan(queries, rows, k, as_queries, as_rows, schema, id_type), k)
+
+
+def _scan(queries, rows, k, as_queries, as_rows, schema, id_type) -> DataFrame:
     held = queries.toArrow()
-    query_ids = held.column("query_id")
-    matrix = _unit_rows(_matrix(held.column("vector"))) if held.num_rows else None
-    shared = corpus.sparkSession.sparkContext.broadcast((query_ids, matrix))
-    id_type = to_arrow_type(corpus.schema["id"].dataType)
+    matrix = as_queries(_matrix(_one(held.column("vector")))) if held.num_rows else None
+    shared = rows.sparkSession.sparkContext.broadcast((held.column("query_id"), matrix))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, unit = shared.value
-        best: pd.DataFrame | None = None
+        names, matrix = shared.value
+        if not len(names):
+            return
+        best = Nearest(matrix, k)
         for batch in batches:
-            if not batch.num_rows or not len(names):
-                continue
-            ids = np.asarray(batch.column("id").to_pylist())
-            found = _score_block(unit, _matrix(batch.column("vector")), ids, k)
-            new = pd.DataFrame(dict(zip(("q", "id", "score"), found, strict=True)))
-            best = new if best is None else pd.concat([best, new])
-            best = best.sort_values(["q", "score", "id"], ascending=[True, False, True]).groupby("q").head(k)
-        if best is not None:
-            yield pa.RecordBatch.from_arrays(
-                [
-                    names.take(pa.array(best["q"].to_numpy())).combine_chunks(),
-                    pa.array(best["id"].tolist(), id_type),
-                    pa.array(best["score"].to_numpy(), pa.float64()),
-                ],
-                ["query_id", "id", "score"],
-            )
-
-    return corpus.mapInArrow(scan, _result_schema(queries, corpus))
-
-
-def _grid(queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
-    n_q, n_c = queries.count(), corpus.count()
+            if batch.num_rows:
+                best.add(batch.column("value"), _ids(batch.column("id")), as_rows)
+        yield pa.RecordBatch.from_arrays(_hits(names, best.found(), id_type), ["query_id", "id", "score"])
+
+    return rows.mapInArrow(scan, schema)
+
+
+def _grid(queries, rows, k, as_queries, as_rows, schema, id_type) -> DataFrame:
+    n_q, n_c = queries.count(), rows.count()
     q_blocks, c_blocks = math.ceil(n_q / QUERY_BLOCK), max(1, math.ceil(n_c / CORPUS_BLOCK))
 
     def block(c: str, n: int) -> Column:
@@ -148,68 +158,98 @@ def _grid(queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
     left = queries.withColumn("qb", block("query_id", q_blocks)).withColumn("cb", every(c_blocks))
-    right = corpus.withColumn("cb", block("id", c_blocks)).withColumn("qb", every(q_blocks))
-
-    def cell(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        if q.empty or c.empty:
-            return pd.DataFrame({"query_id": [], "id": [], "score": []})
-        unit = _unit_rows(np.stack(q["vector"].to_numpy()).astype(np.float64))
-        r, ids, s = _score_block(unit, np.stack(c["vector"].to_numpy()).astype(np.float64), c["id"].to_numpy(), k)
-        return pd.DataFrame({"query_id": q["query_id"].to_numpy()[r], "id": ids, "score": s})
-
-    return (
-        left.groupBy("qb", "cb")
-        .cogroup(right.groupBy("qb", "cb"))
-        .applyInPandas(cell, _result_schema(queries, corpus))
-    )
+    right = rows.withColumn("cb", block("id", c_blocks)).withColumn("qb", every(q_blocks))
+
+    def cell(q: pa.Table, c: pa.Table) -> pa.Table:
+        best = Nearest(as_queries(_matrix(_one(q.column("vector")))), k)
+        if q.num_rows and c.num_rows:
+            best.add(_one(c.column("value")), _ids(c.column("id")), as_rows)
+        return pa.Table.from_arrays(_hits(q.column("query_id"), best.found(), id_type), ["query_id", "id", "score"])
+
+    return left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInArrow(cell, schema)
+
+
+# ------------------------------------------------------------------ exact vectors
+
+
+def exact_topk(queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
+    """Cosine top k: queries (query_id, vector) against corpus (id, vector). Rows without a vector are no rows."""
+    corpus = corpus.select("id", "vector").where(F.col("vector").isNotNull())
+    return _nearest(queries, corpus, k, _unit_rows, lambda column: _unit_rows(_matrix(column)))
 
 
 # ------------------------------------------------------------------ approximate vectors
 
 
-def signatures(vector: Column, dims: int, bands: int = 8, bits: int = 4) -> Column:
-    """Sign bits of sparse random hyperplanes (one coordinate minus another), per band.
+def planes(n: int, dims: int) -> np.ndarray:
+    """n random planes over all coordinates: signs by a rule, 128 coordinates to a digest."""
+    out = np.empty((n, -(-dims // 128) * 128))
+    for p in range(n):
+        digits = "".join(md5(f"{p}:{i}".encode()).hexdigest() for i in range(out.shape[1] // 128))
+        values = np.array([int(d, 16) for d in digits])
+        out[p] = np.where(values[:, None] >> np.arange(4) & 1, 1.0, -1.0).ravel()
+    return out[:, :dims]
 
-    The planes are fixed by a rule: plane p of band b compares coordinates that lie
-    `dims / 2 + b` apart. Vectors at a small angle agree on most bits.
-    """
-    out = []
-    for b in range(bands):
-        bit_values = [
-            F.when(
-                F.get(vector, F.lit((b * bits + p) % dims))
-                > F.get(vector, F.lit((b * bits + p + dims // 2 + b) % dims)),
-                F.lit(1 << p),
-            ).otherwise(F.lit(0))
-            for p in range(bits)
-        ]
-        total = bit_values[0]
-        for v in bit_values[1:]:
-            total = total + v
-        out.append(total)
-    return F.array(*out)
-
-
-def approximate_topk(queries: DataFrame, corpus: DataFrame, k: int, dims: int, bands: int = 8, bits: int = 4) -> DataFrame:
-    """Cosine top k among rows that share a band of signature bits with the query.
-
-    Candidates come from an equality join on (band, bits). A pair is taken at its first common
-    band only, so pairs need no de-duplication. Few queries are broadcast, after measuring them;
-    with many, hot buckets are salted.
+
+def sketch_words(rows: int) -> int:
+    """64-bit words of a sketch: two for each doubling of the corpus."""
+    return max(2, 2 * math.ceil(math.log2(max(2, rows))))
+
+
+def candidates_for(rows: int, k: int) -> int:
+    """Rows a query is compared with exactly: 4 % of the corpus, between 2k and 32k (k the rows asked for)."""
+    return max(2 * k, min(32 * k, rows // 25))
+
+
+def sketch_index(corpus: DataFrame, words: int | None = None) -> DataFrame:
+    """(id, sketch): for each vector on which side of 64 x words random planes it lies, as bits. By default the
+    number of planes grows with the logarithm of the corpus. Built per row; store it to search often."""
+    corpus = corpus.select("id", "vector").where(F.col("vector").isNotNull())
+    words = words or sketch_words(corpus.count())
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sides = None
+        for batch in batches:
+            for start in range(0, batch.num_rows, TILE_ROWS):
+                part = batch.slice(start, TILE_ROWS)
+                rows = _matrix(part.column("vector"))
+                if sides is None:
+                    sides = planes(64 * words, rows.shape[1]).T
+                bits = np.packbits(rows @ sides > 0, axis=1)
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([b.tobytes() for b in bits], pa.binary())], ["id", "sketch"])
+
+    return corpus.mapInArrow(sketch, f"id {corpus.schema['id'].dataType.simpleString()}, sketch binary")
+
+
+def _signs(column: pa.Array) -> np.ndarray:
+    raw = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
+    return np.unpackbits(raw, axis=1) * 2.0 - 1.0
+
+
+def approximate_topk(queries: DataFrame, corpus: DataFrame, k: int, index: DataFrame | None = None, candidates: int | None = None) -> DataFrame:
+    """Cosine top k among the rows whose sketches look nearest.
+
+    The sketches are scanned like an exact search: a query's distances to the planes
+    times the sides of a row estimate the cosine. Only the best `candidates` rows of a query (by default
+    `candidates_for`) are fetched by id and compared by their vectors. A stored `index` of the corpus spares
+    making the sketches.
     """
-    q = queries.select(
-        "query_id", F.col("vector").alias("_qv"), signatures(F.col("vector"), dims, bands, bits).alias("_qs")
-    )
-    c = corpus.select("id", "vector", signatures(F.col("vector"), dims, bands, bits).alias("_cs"))
-    buckets = lambda sigs: F.posexplode(sigs).alias("_band", "_sig")
-    bucket = (F.col("_band") * (1 << bits) + F.col("_sig")).alias("_bucket")
-    q = q.select("*", buckets("_qs")).select("query_id", "_qv", "_qs", bucket)
-    c = c.select("*", buckets("_cs")).select("id", "vector", "_cs", "_band", bucket)
-    first_common = F.array_position(F.zip_with("_qs", "_cs", lambda a, b: a == b), F.lit(True)) - 1
-    pairs = join_sized(c, q, "_bucket", spread=["id"], limit=QUERY_BLOCK * bands).where(
-        F.col("_band") == first_common
-    )
-    scored = pairs.select("query_id", "id", F.round(cosine(F.col("_qv"), F.col("vector")), SCORE_DIGITS).alias("score"))
+    corpus = corpus.select("id", "vector").where(F.col("vector").isNotNull())
+    n = corpus.count()
+    index = sketch_index(corpus, sketch_words(n)) if index is None else index
+
+    def distances(vectors: np.ndarray) -> np.ndarray:
+        sides = planes(8 * width, vectors.shape[1])
+        return _unit_rows(vectors) @ sides.T / len(sides)
+
+    width = (index.select(F.octet_length("sketch")).first() or [0])[0]
+    if not width:
+        return exact_topk(queries, corpus, k)  # no rows
+    near = _nearest(queries, index, candidates or candidates_for(n, k), distances, _signs)
+    survivors = pinned(near.select("query_id", "id"), "candidates")
+    asked = survivors.join(queries.select("query_id", F.col("vector").alias("_qv")), "query_id")
+    met = join_sized(corpus, asked, "id", spread=["id"])
+    scored = met.select("query_id", "id", F.round(cosine(F.col("_qv"), F.col("vector")), SCORE_DIGITS).alias("score"))
     return rank_rows(scored, k)
 
 
@@ -220,71 +260,151 @@ def terms(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
 
 
-def term_counts(text: Column) -> Column:
-    """Distinct terms of a text with their counts, from runs in the sorted term list."""
-
-    def runs(ordered: Column) -> Column:
-        def counted(starts: Column) -> Column:
-            return F.transform(
-                starts,
-                lambda at, j: F.struct(
-                    F.get(ordered, at).alias("term"),
-                    (F.coalesce(F.get(starts, j + 1), F.size(ordered)) - at).alias("tf"),
-                ),
-            )
-
-        marks = F.transform(ordered, lambda x, i: F.when((i == 0) | (F.get(ordered, i - 1) != x), i))
-        return let(F.filter(marks, lambda i: i.isNotNull()), counted)
-
-    return let(F.sort_array(terms(text)), runs)
+def keyword_index(corpus: DataFrame) -> DataFrame:
+    """(id, text) -> blocks of postings, written once. A text that is null is no document.
 
+    A row is a block of up to BLOCK_DOCS documents: their ids and lengths, the block's terms, in how many of
+    its documents each occurs (`counts`) and its highest frequency in one (`peaks`), then the postings,
+    term after term: places of documents and frequencies. `least` is the smallest length. Highest frequency
+    and smallest length bound what a term can add to a score here, whatever the corpus is like. No shuffle.
+    """
+    words = corpus.where(F.col("text").isNotNull()).select("id", terms(F.col("text")).alias("terms"))
+    kind = corpus.schema["id"].dataType
+    names = ("ids", "lengths", "terms", "peaks", "counts", "docs", "tfs")
 
-def keyword_index(corpus: DataFrame) -> DataFrame:
-    """(id, text) -> (id, length in terms, term counts). Built per row; store it to search often."""
-    counted = with_once(corpus.select("id", "text"), terms=term_counts(F.col("text")))
-    length = F.aggregate("terms", F.lit(0), lambda n, t: n + t.getField("tf"))
-    return counted.select("id", length.alias("length"), "terms")
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends = np.concatenate([[0], np.cumsum(pc.list_value_length(batch.column("terms")).to_numpy(zero_copy_only=False).astype(np.int64))])
+            start = 0
+            while start < batch.num_rows:
+                stop = int(np.searchsorted(ends, ends[start] + BLOCK_TERMS, side="right")) - 1
+                stop = min(max(stop, start + 1), start + BLOCK_DOCS, batch.num_rows)
+                length = np.diff(ends[start : stop + 1])
+                held = batch.column("terms").slice(start, stop - start).flatten().dictionary_encode()
+                pair, tf = np.unique(held.indices.to_numpy().astype(np.int64) * len(length) + np.repeat(np.arange(len(length)), length), return_counts=True)
+                code, doc = np.divmod(pair, len(length))
+                term, first = np.unique(code, return_index=True)
+                values = {
+                    "ids": batch.column("id").slice(start, stop - start), "lengths": length, "terms": held.dictionary.take(pa.array(term)),
+                    "peaks": np.maximum.reduceat(tf, first) if len(first) else tf, "counts": np.diff(np.append(first, len(code))), "docs": doc, "tfs": tf,
+                }
+                lists = [v if isinstance(v, pa.Array) else pa.array(v, pa.int32()) for v in values.values()]
+                rows = [pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v) for v in lists]
+                yield pa.RecordBatch.from_arrays([pa.array([length.min()], pa.int32()), *rows], ["least", *names])
+                start = stop
+
+    numbers = ", ".join(f"{n} array<int>" for n in ("peaks", "counts", "docs", "tfs"))
+    schema = f"least int, ids array<{kind.simpleString()}>, lengths array<int>, terms array<string>, {numbers}"
+    return pinned(words.mapInArrow(pack, schema), "keyword-index")
+
+
+def _query_blocks(queries: DataFrame) -> Iterator[list[tuple]]:
+    """(query_id, its distinct terms), block by block; the driver holds one block."""
+    block, held = [], 0
+    for row in queries.select("query_id", F.array_distinct(terms(F.col("text"))).alias("terms")).toLocalIterator():
+        asked = row["terms"] or []
+        if block and (len(block) >= QUERY_BLOCK or held + len(asked) > QUERY_TERMS):
+            yield block
+            block, held = [], 0
+        block.append((row["query_id"], asked))
+        held += len(asked)
+    if block:
+        yield block
+
+
+class _Best:
+    """The k best (score, id) of a query so far, equal scores by id."""
+
+    def __init__(self, k: int):
+        self.k, self.least = k, -math.inf
+        self.scores, self.ids = np.empty(0), None
+
+    def add(self, scores: np.ndarray, ids: np.ndarray) -> None:
+        scores = np.concatenate([self.scores, scores])
+        ids = ids if self.ids is None else np.concatenate([self.ids, ids])
+        order = np.lexsort((ids, -scores))[: self.k]
+        self.scores, self.ids = scores[order], ids[order]
+        if len(order) == self.k:
+            self.least = self.scores[-1]
 
 
 def bm25_topk(queries: DataFrame, index: DataFrame, k: int, k1: float = BM25_K1, b: float = BM25_B) -> DataFrame:
     """BM25 of queries (query_id, text) over a keyword index.
 
-    Only postings of query terms leave the rows.
+    Queries are taken in blocks of bounded size. A task goes through its blocks of documents with all of
+    them: a query whose bound in a block is below its k-th best score so far skips the block, else the
+    postings of its terms are added up. Only k rows a query leave a task. A query without a term, or with
+    terms that no document has, has no row.
     """
-    asked = queries.select("query_id", F.explode(F.array_distinct(terms(F.col("text")))).alias("term"))
-    wanted = asked.select("term").distinct()
-
-    # the entry with an empty term counts the texts and their total length
-    everything = F.array(F.struct(F.lit("").alias("term"), F.lit(0).alias("tf")))
-    entries = index.select("length", F.inline(F.concat(everything, "terms")))
-    counted = wanted.unionByName(wanted.sparkSession.createDataFrame([("",)], "term string"))
-    small = is_small(asked, QUERY_TERMS)
-    # Either way all terms of a text stay in one task until their scores are summed, or are met
-    # by term with the frequent terms salted.
-    frequency = (
-        entries.join(F.broadcast(counted), "term", "left_semi")
-        if small
-        else skew_safe_join(entries, counted, "term", spread=["length", "tf"], how="left_semi")
-    )
-    frequency = frequency.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("length").alias("total"))
-    corpus_size = frequency.where(F.col("term") == "")
-    n, mean_length = corpus_size.select("df").scalar(), corpus_size.select(F.col("total") / F.col("df")).scalar()
-    weights = frequency.where(F.col("term") != "").select(
-        "term", F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf")
-    )
-    asked_weighted = asked.join(weights, "term")
-    postings = index.select("id", "length", F.inline("terms"))
-    saturation = F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("length") / mean_length))
-    met = (
-        postings.join(F.broadcast(asked_weighted), "term")
-        if small
-        else skew_safe_join(postings, asked_weighted, "term", spread=["id"])
-    )
-    scored = (
-        met.groupBy("query_id", "id")
-        .agg(F.round(F.sum(F.col("idf") * saturation), SCORE_DIGITS).alias("score"))
-    )
-    return rank_rows(scored, k)
+    spark, kind = index.sparkSession, index.schema["ids"].dataType.elementType
+    query_type = queries.schema["query_id"].dataType.simpleString()
+    id_type, out = to_arrow_type(kind), None
+    total = F.aggregate("lengths", F.lit(0).cast("bigint"), lambda n, x: n + x)
+    n, length = index.agg(F.sum(F.size("ids")), F.sum(total)).first()
+    for block in _query_blocks(queries):
+        vocabulary = sorted({t for _, asked in block for t in asked})
+        wanted = F.broadcast(spark.createDataFrame([(t,) for t in vocabulary], "term string"))
+        postings = index.select(F.explode(F.arrays_zip(F.col("terms").alias("term"), F.col("counts").alias("n"))).alias("p")).select("p.*")
+        df = dict(postings.join(wanted, "term", "left_semi").groupBy("term").agg(F.sum("n")).collect())
+        known = [t for t in vocabulary if t in df]
+        place = {t: i for i, t in enumerate(known)}
+        idf = np.array([math.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) for t in known])
+        asked = [np.array([place[t] for t in own if t in place], np.int64) for _, own in block]
+        names = spark.createDataFrame([(i, q) for i, (q, _) in enumerate(block)], f"_number int, query_id {query_type}")
+        shared = spark.sparkContext.broadcast((known, idf, asked))
+        search = _block_search(shared, k, k1, b, length / n if n else 0.0, id_type)
+        found = index.mapInArrow(search, f"_number int, id {kind.simpleString()}, score double")
+        found = rank_rows(found, k, "_number").join(F.broadcast(names), "_number").select("query_id", "id", "score", "rank")
+        out = found if out is None else out.unionByName(found)
+    return spark.createDataFrame([], f"query_id {query_type}, id {kind.simpleString()}, score double, rank int") if out is None else out
+
+
+def _block_search(shared, k: int, k1: float, b: float, mean: float, id_type: pa.DataType):
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, idf, asked = shared.value
+        names = pa.array(known, pa.string())
+        best = [_Best(k) for _ in asked]
+        for batch in batches:
+            for row in range(batch.num_rows):
+                part = lambda c: batch.column(c)[row].values  # noqa: E731, B023
+                numbers = lambda c: part(c).to_numpy().astype(np.int64)  # noqa: E731, B023
+                at = pc.index_in(part("terms"), value_set=names).fill_null(-1).to_numpy()
+                own = np.flatnonzero(at >= 0)  # the block's terms that are asked for
+                if not len(own):
+                    continue
+                count = numbers("counts")
+                start = np.cumsum(count) - count
+                here = np.full(len(known), -1)
+                here[at[own]] = np.arange(len(own))
+                peak = numbers("peaks")[own]
+                norm = k1 * (1 - b + b * numbers("lengths") / mean)
+                bound = idf[at[own]] * peak * (k1 + 1) / (peak + k1 * (1 - b + b * batch.column("least")[row].as_py() / mean))
+                docs, tfs, ids = numbers("docs"), numbers("tfs"), _ids(part("ids"))
+                shares: dict[int, tuple] = {}  # per term of the block, for the queries that ask for it
+                for query, found in zip(asked, best):
+                    local = here[query]
+                    local = local[local >= 0]
+                    # scores are rounded: the margin keeps a bound above what it bounds
+                    if not len(local) or bound[local].sum() + 10**-SCORE_DIGITS < found.least:
+                        continue
+                    for j in local:
+                        if j not in shares:
+                            s, e = start[own[j]], start[own[j]] + count[own[j]]
+                            doc, tf = docs[s:e], tfs[s:e]
+                            shares[j] = doc, idf[at[own[j]]] * tf * (k1 + 1) / (tf + norm[doc])
+                    doc, value = (np.concatenate(x) for x in zip(*[shares[j] for j in local]))
+                    score = np.bincount(doc, value, len(ids))
+                    hit = np.flatnonzero(score > 0)
+                    score = np.round(score[hit], SCORE_DIGITS)
+                    good = score >= found.least
+                    if good.any():
+                        found.add(score[good], ids[hit[good]])
+        for number, found in enumerate(best):
+            if found.ids is not None:
+                columns = [pa.array(np.full(len(found.ids), number, np.int32)), pa.array(found.ids.tolist(), id_type), pa.array(found.scores)]
+                yield pa.RecordBatch.from_arrays(columns, ["_number", "id", "score"])
+
+    return search
 
 
 # ------------------------------------------------------------------ both, and routing
@@ -315,19 +435,19 @@ def hybrid_topk(queries: DataFrame, corpus: DataFrame, k: int, depth: int | None
 
 
 def auto_topk(queries: DataFrame, corpus: DataFrame, k: int, depth: int | None = None) -> DataFrame:
-    """Questions with exact terms go to both lists, the others to vectors alone."""
-    exact = has_exact_terms(F.col("text"))
+    """Questions with exact terms go to both lists, the others (without a text too) to approximate vectors alone."""
+    exact = F.coalesce(has_exact_terms(F.col("text")), F.lit(False))
     mixed = hybrid_topk(queries.where(exact), corpus, k, depth).withColumn("route", F.lit("HYBRID"))
-    plain = exact_topk(queries.where(~exact), corpus, k).withColumn("route", F.lit("ANN"))
+    plain = approximate_topk(queries.where(~exact), corpus, k).withColumn("route", F.lit("ANN"))
     return mixed.unionByName(plain)
 
 
-def search(queries: DataFrame, corpus: DataFrame, k: int, query_type: str = "AUTO", condition: Column | None = None, dims: int = 64) -> DataFrame:
+def search(queries: DataFrame, corpus: DataFrame, k: int, query_type: str = "AUTO", condition: Column | None = None) -> DataFrame:
     """One entry for all query types. The filter meets the corpus before anything is ranked."""
     if condition is not None:
         corpus = corpus.where(condition)
     if query_type == "ANN":
-        return approximate_topk(queries, corpus, k, dims)
+        return approximate_topk(queries, corpus, k)
     if query_type == "FULL_TEXT":
         return bm25_topk(queries, keyword_index(corpus), k)
     if query_type == "HYBRID":

@@ -13,7 +13,7 @@ from plumbline.operators.shape import merged_filter
 from plumbline.plans.base import longs, query, spread, table
 from plumbline.session import pinned
 
-DIMS, BANDS, BITS = 64, 8, 4
+DIMS = 64
 
 
 def centroids(spark: SparkSession, folder: str) -> DataFrame:
@@ -40,9 +40,9 @@ def vector_corpus(spark, folder) -> DataFrame:
     return table(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"), "label")
 
 
-def full_corpus(spark, folder) -> DataFrame:
+def full_corpus(spark, folder, how: str = "inner") -> DataFrame:
     docs = table(spark, folder, "documents").select(F.col("doc_id").alias("id"), "text", "lang", "source")
-    return vector_corpus(spark, folder).join(docs, "id")
+    return vector_corpus(spark, folder).join(docs, "id", how)
 
 
 MEANS = """cent as (
@@ -87,39 +87,40 @@ def sea_filtered_topk(spark, folder):
     return search.search(centroids(spark, folder), corpus, 5, "EXACT", condition=merged_filter({"lang": "en"}, defaults={}))
 
 
-def signature_sql(v: str) -> str:
-    bands = []
-    for b in range(BANDS):
-        bits = " + ".join(
-            f"case when {v}[{(b * BITS + p) % DIMS + 1}] > {v}[{(b * BITS + p + DIMS // 2 + b) % DIMS + 1}] then {1 << p} else 0 end"
-            for p in range(BITS)
-        )
-        bands.append(f"({bits})")
-    return f"[{', '.join(bands)}]"
-
-
-@query(
-    "sea_ann",
-    f"""with {MEANS}, q as (select *, {signature_sql('qv')} as qs from cent), c as (select *, {signature_sql('v')} as cs from vec_corpus),
-      scored as (select query_id, id, {cosine_sql('qv', 'v')} as score from q, c
-        where {' or '.join(f'qs[{b + 1}] = cs[{b + 1}]' for b in range(BANDS))}) {top_sql('scored', 10)}""",
-)
+def sketch_sql(queries: str, corpus: str, name: str, k: int) -> str:
+    """CTEs from (query_id, qv) and (id, v) to (query_id, id, score): the candidates by sketch, compared exactly."""
+    digit = "('0x' || substr(md5(p || ':' || (i // 128)), (i % 128) // 4 + 1, 1))::int"
+    return f"""
+  {name}_n as (select count(*) as n, greatest(2, 2 * ceil(log2(count(*)))::int) * 64 as bits, max(len(v)) as dims from {corpus}),
+  {name}_planes as (select list(plane order by p) as planes from (
+    select p, list(case when ({digit} >> (i % 4)) & 1 = 1 then 1.0::double else -1.0::double end order by i) as plane
+    from (select unnest(range(bits)) as p, dims from {name}_n), lateral (select unnest(range(dims)) as i) group by p)),
+  {name}_rows as (select id, v, list_transform(planes, lambda pl: case when list_dot_product(v, pl) > 0 then 1.0::double else -1.0::double end) as sides
+    from {corpus}, {name}_planes),
+  {name}_asked as (select query_id, qv, list_transform(planes, lambda pl: list_dot_product(qv, pl) / sqrt(list_dot_product(qv, qv)) / len(planes)) as far
+    from {queries}, {name}_planes),
+  {name}_near as (select query_id, id, qv, v, row_number() over (partition by query_id order by round(list_dot_product(far, sides), 6) desc, id) as place
+    from {name}_asked, {name}_rows),
+  {name} as (select query_id, id, {cosine_sql('qv', 'v')} as score from {name}_near, {name}_n where place <= greatest({2 * k}, least({32 * k}, n // 25)))"""
+
+
+@query("sea_ann", f"with {MEANS}, {sketch_sql('cent', 'vec_corpus', 'sketched', 10)} {top_sql('sketched', 10)}")
 @longs("rank")
 def sea_ann(spark, folder):
-    return search.approximate_topk(centroids(spark, folder), vector_corpus(spark, folder), 10, DIMS, BANDS, BITS)
+    return search.approximate_topk(centroids(spark, folder), vector_corpus(spark, folder), 10)
 
 
 @query(
     "sea_ann_recall",
-    f"""with {MEANS}, q as (select *, {signature_sql('qv')} as qs from cent), c as (select *, {signature_sql('v')} as cs from vec_corpus),
-      near as (select query_id, id, {cosine_sql('qv', 'v')} as score, {' or '.join(f'qs[{b + 1}] = cs[{b + 1}]' for b in range(BANDS))} as candidate from q, c),
-      exact as ({top_sql('near', 10)}), approx as ({top_sql("(select * from near where candidate)", 10)})
+    f"""with {MEANS}, {sketch_sql('cent', 'vec_corpus', 'sketched', 10)}, near as (select query_id, id, {cosine_sql('qv', 'v')} as score from cent, vec_corpus),
+      exact as ({top_sql('near', 10)}), approx as ({top_sql('sketched', 10)})
       select e.query_id, count(a.id) / count(*) as recall from exact e left join approx a using (query_id, id) group by e.query_id""",
 )
 def sea_ann_recall(spark, folder):
     """Share of the exact neighbours that the approximate search finds, per question."""
-    exact = search.exact_topk(centroids(spark, folder), vector_corpus(spark, folder), 10)
-    found = search.approximate_topk(centroids(spark, folder), vector_corpus(spark, folder), 10, DIMS, BANDS, BITS)
+    questions, corpus = centroids(spark, folder), vector_corpus(spark, folder)
+    exact = search.exact_topk(questions, corpus, 10)
+    found = search.approximate_topk(questions, corpus, 10)
     met = exact.join(found.select("query_id", "id", F.lit(1).alias("hit")), ["query_id", "id"], "left")
     return met.groupBy("query_id").agg((F.count("hit") / F.count(F.lit(1))).alias("recall"))
 
@@ -147,29 +148,32 @@ def bm25_sql(queries: str, corpus: str, name: str) -> str:
 @longs("rank")
 def sea_fulltext_bm25(spark, folder):
     items = table(spark, folder, "benchmark").select(F.col("item_id").alias("query_id"), "text")
-    docs = spread(table(spark, folder, "documents"), "doc_id").select(F.col("doc_id").alias("id"), "text")
+    docs = table(spark, folder, "documents").select(F.col("doc_id").alias("id"), "text")
     return search.bm25_topk(items, search.keyword_index(docs), 10)
 
 
-HYBRID = f"""{MEANS}, corpus as (select id, v, text from vec_corpus join documents on doc_id = id), {bm25_sql('asked', 'corpus', 'words')},
-  near as (select query_id, id, {cosine_sql('qv', 'v')} as score from asked, corpus),
+def hybrid_sql(asked: str) -> str:
+    """CTEs from (query_id, qv, qtext) to `fused`; documents without a vector and vectors without a document take part."""
+    return f"""corpus as (select doc_id as id, text from documents), {bm25_sql(asked, 'corpus', 'words')},
+  near as (select query_id, id, {cosine_sql('qv', 'v')} as score from {asked}, vec_corpus),
   by_vector as ({top_sql('near', 50)}), by_words as ({top_sql('words', 50)}),
   fused as (select query_id, id, round(sum(1 / (60 + rank)), 6) as score from (
     select query_id, id, rank from by_vector union all select query_id, id, rank from by_words) group by query_id, id)"""
 
 
-@query("sea_hybrid_rrf", f"with {HYBRID} {top_sql('fused', 10)}")
+@query("sea_hybrid_rrf", f"with {MEANS}, {hybrid_sql('asked')} {top_sql('fused', 10)}")
 @longs("rank")
 def sea_hybrid_rrf(spark, folder):
-    return search.search(asked(spark, folder), full_corpus(spark, folder), 10, "HYBRID")
+    return search.search(asked(spark, folder), full_corpus(spark, folder, "full"), 10, "HYBRID")
 
 
 def _auto_oracle() -> str:
     from plumbline.plans.documents import EXACT_SQL
 
     exact = EXACT_SQL.format("qtext")
-    return f"""with {HYBRID}, routed as (select query_id, {exact} as exact_terms from asked),
-      mixed as ({top_sql('fused', 10)}), plain as ({top_sql('near', 10)})
+    return f"""with {MEANS}, numbered as (select query_id, qv, case when query_id % 2 = 0 then qtext || ' ' || query_id else qtext end as qtext from asked),
+      {hybrid_sql('numbered')}, {sketch_sql('numbered', 'vec_corpus', 'sketched', 10)}, routed as (select query_id, {exact} as exact_terms from numbered),
+      mixed as ({top_sql('fused', 10)}), plain as ({top_sql('sketched', 10)})
       select m.*, 'HYBRID' as route from mixed m join routed using (query_id) where exact_terms
       union all select p.*, 'ANN' from plain p join routed using (query_id) where not exact_terms"""
 
@@ -177,7 +181,9 @@ def _auto_oracle() -> str:
 @query("sea_auto", _auto_oracle())
 @longs("rank")
 def sea_auto(spark, folder):
-    return search.search(asked(spark, folder), full_corpus(spark, folder), 10, "AUTO")
+    """Every other question names a number, so that both routes are taken."""
+    named = F.when(F.col("query_id") % 2 == 0, F.concat_ws(" ", "text", "query_id")).otherwise(F.col("text"))
+    return search.search(asked(spark, folder).withColumn("text", named), full_corpus(spark, folder, "full"), 10, "AUTO")
 
 
 @query(
