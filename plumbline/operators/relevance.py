@@ -9,31 +9,83 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.text import contains_evidence, token_count
-from plumbline.operators.joins import skew_safe_join
+from plumbline.functions.text import contains_evidence, normalise_evidence, token_count
+from plumbline.operators.joins import join_sized, skew_safe_join
 from plumbline.operators.shape import upper_median
+from plumbline.session import pinned
 
 KS = (1, 3, 5, 10)  # fixed value: cut-offs of recall
 DEPTH = 5  # fixed value: ranks of document recall, of the shown documents and of context cost
 
 
-def relevant_pairs(labels: DataFrame, passages: DataFrame) -> DataFrame:
-    """Label x passage of the labelled document whose text holds the evidence.
+def evidence_texts(labels: DataFrame, passages: DataFrame) -> DataFrame:
+    """(doc_id, _uid, _text): the passages of labelled documents, each normalised once. Written once."""
+    named = labels.select("doc_id").distinct()
+    held = join_sized(passages.select("doc_id", "text"), named, "doc_id", spread=["text"])
+    return pinned(held.select("doc_id", F.monotonically_increasing_id().alias("_uid"), normalise_evidence(F.col("text")).alias("_text")), "texts")
+
+
+def _words(c: str) -> Column:
+    return F.split(c, " ")
 
-    A document that very many labels name is met in several tasks.
+
+def evidence_places(labels: DataFrame, passages: DataFrame) -> DataFrame:
+    """(doc_id, _norm, _uid): the distinct evidences of each document (normalised) with its passages that hold them.
+
+    A substring of three words or more has its inner words whole in any text that holds it. The one that
+    fewest passages of the document have is its anchor: evidences and passages meet by document and
+    anchor, and only these pairs are tested. Evidence without an inner word meets all passages of its
+    document. Equal evidences are one, and words and texts that very many rows share are met in several
+    tasks.
     """
-    met = skew_safe_join(labels, passages, "doc_id", spread=["question_id", "evidence"])
-    return met.where(contains_evidence(F.col("text"), F.col("evidence")))
+    texts = evidence_texts(labels, passages)
+    normalised = labels.select("doc_id", normalise_evidence(F.col("evidence")).alias("_norm"))
+    evidence = pinned(normalised.where("doc_id is not null and _norm is not null").distinct(), "evidence")
+    size = F.size(_words("_norm"))
+    inner = F.array_distinct(F.slice(_words("_norm"), F.lit(2), F.greatest(size - 2, F.lit(0))))
+    key = F.xxhash64("doc_id", "_word").alias("_key")
+    wanted = evidence.select("doc_id", "_norm", F.explode(inner).alias("_word")).select("*", key)
+    words = texts.select("doc_id", "_uid", F.explode(F.array_distinct(_words("_text"))).alias("_word")).select("_uid", key)
+    words = pinned(join_sized(words, wanted.select("_key").distinct(), "_key", spread=["_uid"]), "words")
+    seen = words.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
+    rarest = F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_key"))
+    anchors = wanted.join(seen, "_key", "left").groupBy("doc_id", "_norm").agg(rarest.alias("_rarest"))
+    anchors = anchors.where("_rarest.n > 0").select("doc_id", "_norm", F.col("_rarest._key").alias("_key"))
+    met = skew_safe_join(words, pinned(anchors, "anchors"), "_key", spread=["_uid"]).select("_uid", "_norm", F.col("doc_id").alias("_doc"))
+    short = evidence.where(size <= 2).select("doc_id", "_norm")
+    pairs = met.unionByName(skew_safe_join(texts.select("doc_id", "_uid"), short, "doc_id", spread=["_uid"]).select("_uid", "_norm", F.col("doc_id").alias("_doc")))
+    tested = skew_safe_join(pairs, texts, "_uid", spread=["_norm"])
+    holds = F.contains("_text", "_norm") & (F.col("doc_id") == F.col("_doc"))  # keys are hashes
+    return tested.where(holds).select("doc_id", "_norm", "_uid")
+
+
+def relevant_pairs(labels: DataFrame, passages: DataFrame) -> DataFrame:
+    """Label x passage (`_uid`) of the labelled document whose text holds the evidence."""
+    return _labelled(labels, evidence_places(labels, passages))
+
+
+def _labelled(labels: DataFrame, found: DataFrame) -> DataFrame:
+    """Labels with the rows found for their document and evidence. Equal labels that are very many are met in several tasks."""
+    pair = F.xxhash64("doc_id", "_norm").alias("_pair")
+    own = labels.withColumn("_norm", normalise_evidence(F.col("evidence"))).select("*", pair)
+    found = found.select(pair, F.col("doc_id").alias("_doc"), F.col("_norm").alias("_found"), *[c for c in found.columns if c not in ("doc_id", "_norm")])
+    met = skew_safe_join(own, found, "_pair", spread=["question_id"])
+    return met.where((F.col("doc_id") == F.col("_doc")) & (F.col("_norm") == F.col("_found"))).drop("_pair", "_doc", "_found", "_norm")
+
+
+def _questions_with_evidence(labels: DataFrame, passages: DataFrame) -> DataFrame:
+    found = evidence_places(labels, passages).select("doc_id", "_norm").distinct()
+    return _labelled(labels, found).select("question_id").distinct()
 
 
 def answerable(questions: DataFrame, labels: DataFrame, passages: DataFrame) -> DataFrame:
     """Questions with evidence somewhere in the corpus."""
-    found = relevant_pairs(labels, passages).select("question_id").distinct()
+    found = _questions_with_evidence(labels, passages)
     return questions.join(found, questions["id"] == found["question_id"], "left_semi")
 
 
 def unanswerable(questions: DataFrame, labels: DataFrame, passages: DataFrame) -> DataFrame:
-    found = relevant_pairs(labels, passages).select("question_id").distinct()
+    found = _questions_with_evidence(labels, passages)
     return questions.join(found, questions["id"] == found["question_id"], "left_anti")
 
 

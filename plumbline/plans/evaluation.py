@@ -104,7 +104,7 @@ RATE_NAMES = [*(f"recall_at_{k}" for k in relevance.KS), "mrr", "doc_recall_at_5
     f"with {SETS} select distinct question_id, l.doc_id, md5(evidence) as evidence from labelled l join documents d on d.doc_id = l.doc_id where contains({norm_sql('d.text')}, {norm_sql('evidence')})",
 )
 def jon_evidence_contains(spark, folder):
-    """Equality on the document, evidence as a residual test: no pair outside its document."""
+    """Evidences meet the passages of their document that have their rarest inner word."""
     _, labels = questions_and_labels(spark, folder)
     pairs = relevance.relevant_pairs(labels, table(spark, folder, "documents"))
     return pairs.select("question_id", "doc_id", F.md5("evidence").alias("evidence"))

@@ -1,6 +1,9 @@
+import random
+import re
+
 import pytest
 
-from plumbline.operators import relevance
+from plumbline.operators import joins, relevance
 from plumbline.session import scratch_path
 from plumbline.sources import files, tables
 
@@ -79,3 +82,30 @@ def test_runs_are_logged(spark, setup):
     runs = {r["run"]: r for r in tables.read(spark, layout.path("ops_eval_runs")).collect()}
     assert runs["index-ann"]["params"] == {"k": "5", "experiment": "index"} and runs["index-auto"]["mrr"] == 0.5
     assert tables.read(spark, layout.path("ops_eval_rows")).count() == 4
+
+
+def test_evidence_is_found_by_its_rarest_word(spark, monkeypatch):
+    rnd = random.Random(7)
+    words = ["a", "an", "the", "of", "Hund", "katze", "x-y", "’s", "*bold*", "12", "Größe", "end."]
+    passages = [(f"d{rnd.randrange(6)}", " ".join(rnd.choices(words, k=rnd.randint(0, 12)))) for _ in range(120)]
+    passages += [("d1", passages[0][1])] * 40 + [("d2", None), (None, "a an the"), ("d9", "the of")]
+    labels = []
+    for i in range(200):
+        text = rnd.choice(passages)[1] or ""
+        start = rnd.randint(0, len(text))
+        labels.append((f"q{i % 90}", f"d{rnd.randrange(8)}", text[start : start + rnd.randint(0, 14)].swapcase()))
+    labels += [("q1", "d1", None), ("q2", None, "the"), ("q3", "d1", "a " * 30), ("q4", "d9", "THE   of")] + [("q5", "d3", "the of a")] * 30
+    def norm(t):
+        t = t.replace("*", "").replace("’", "'")
+        return re.sub(r"\s+", " ", t).strip(" ").lower()
+    expected = sorted((q, d, e, t) for q, d, e in labels for pd, t in passages if d and d == pd and e is not None and t is not None and norm(e) in norm(t))
+    label_df = spark.createDataFrame(labels, "question_id string, doc_id string, evidence string")
+    passage_df = spark.createDataFrame(passages, "doc_id string, text string").repartition(3)
+    found = relevance.relevant_pairs(label_df, passage_df)
+    assert found.count() == len(expected)
+    assert sorted({(r["question_id"], r["doc_id"], r["evidence"]) for r in found.collect()}) == sorted({e[:3] for e in expected})
+    questions = spark.createDataFrame([(f"q{i}",) for i in range(95)], "id string")
+    held = {e[0] for e in expected}
+    monkeypatch.setattr(joins, "TASK_ROWS", 5)  # hot words, texts and labels
+    assert {r["id"] for r in relevance.answerable(questions, label_df, passage_df).collect()} == held
+    assert {r["id"] for r in relevance.unanswerable(questions, label_df, passage_df).collect()} == {f"q{i}" for i in range(95)} - held
