@@ -9,10 +9,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.session import pinned
+
 KEY = ("month_ending", "hbt", "patient_type", "specialty")
 MAX_AGE_DAYS = 120
 UNIQUE = "unique_key"
 REASONS = "failed_expectations"
+ORDERS = ("_place", "_id")  # columns that order rows, the first one there is
 
 
 @dataclass(frozen=True)
@@ -65,35 +68,39 @@ def with_reasons(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return df.withColumn(REASONS, F.concat_ws(";", *reasons))
 
 
-def mark_superseded(df: DataFrame, key: Sequence[str], order: str, among: Column) -> DataFrame:
+def order_of(df: DataFrame) -> str | None:
+    """The column that says which of two rows came later: the place in the file, else the publisher's number."""
+    return next((c for c in ORDERS if c in df.columns), None)
+
+
+def mark_superseded(df: DataFrame, key: Sequence[str], order: str | None, among: Column) -> DataFrame:
     """Add `_superseded`: a later row with the same key exists `among` the same rows.
 
-    The newest position per key is a partial aggregate. Rows find it by key AND position, so
-    the join spreads by row: a key that holds a third of all rows is no hot partition.
+    Rows are written once with a number of their own, so exactly one row of a key stays: where `order` is
+    null (before all others), equal or not given, the number decides. The last row per key is a partial
+    aggregate; rows find it by that number, so a key that holds a third of all rows is no hot partition.
     """
-    newest = (
-        df.where(among)
-        .groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)])
-        .agg(F.max(order).alias("_newest"))
-    )
-    same = F.col(order) == F.col("_newest")
-    for i, k in enumerate(key):
-        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-    joined = df.join(newest, same, "left")
-    return joined.select(*df.columns, (among & F.col("_newest").isNull()).alias("_superseded"))
+    held = df.withColumns({"_among": among, "_number": F.monotonically_increasing_id()})
+    held = pinned(held, "numbered")
+    place = F.struct(*[F.col(order)] if order else [], "_number")
+    last = held.where("_among").groupBy(*key).agg(F.max(place).alias("_last"))
+    last = last.select(F.col("_last._number").alias("_number"), F.lit(True).alias("_stays"))
+    joined = held.join(last, "_number", "left")
+    return joined.select(*df.columns, (F.col("_among") & F.col("_stays").isNull()).alias("_superseded"))
 
 
-def keep_last(df: DataFrame, key: Sequence[str], order: str) -> DataFrame:
-    """The last row per key. `order` must differ between rows of one key."""
+def keep_last(df: DataFrame, key: Sequence[str], order: str | None) -> DataFrame:
+    """The last row per key, exactly one."""
     return mark_superseded(df, key, order, F.lit(True)).where(~F.col("_superseded")).drop("_superseded")
 
 
-def judge(df: DataFrame, rules: Sequence[Rule], key: Sequence[str] = KEY, order: str = "_id") -> DataFrame:
+def judge(df: DataFrame, rules: Sequence[Rule], key: Sequence[str] = KEY, order: str | None = None) -> DataFrame:
     """Every row with the reasons it is rejected for, '' when it is kept.
 
-    Duplicates are looked for among rows that pass all drop rules only; the last one stays.
+    Duplicates are looked for among rows that pass all drop rules only; the last one stays, by `order` or
+    what `order_of` finds.
     """
-    marked = mark_superseded(with_reasons(df, rules), key, order, F.col(REASONS) == "")
+    marked = mark_superseded(with_reasons(df, rules), key, order or order_of(df), F.col(REASONS) == "")
     return marked.withColumn(
         REASONS, F.when(F.col("_superseded"), F.lit(UNIQUE)).otherwise(F.col(REASONS))
     ).drop("_superseded")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.operators.joins import join_sized
+from plumbline.operators.quality import ORDERS, REASONS
 
 # The published column names and ours, the code of the national total, the code
 # of "all specialties", and the qualifier that marks a derived (aggregate) row.
@@ -97,17 +98,17 @@ def look_up(df: DataFrame, lookup: DataFrame, code: str, name: str) -> DataFrame
     return join_sized(df, side, code, spread=df.columns, how="left")
 
 
-def to_silver(raw: DataFrame, boards: DataFrame, specialties: DataFrame, order: str = "_id") -> DataFrame:
+def to_silver(raw: DataFrame, boards: DataFrame, specialties: DataFrame) -> DataFrame:
     """Rename, type and enrich. No row is removed here; the quality rules decide that.
 
-    `order` is the column that says which of two rows came later in the file.
+    Numbers stay as they are written until the rules have seen them; `whole_counts` makes the counts whole.
+    What orders the rows (place in the file, publisher's number) is carried along, where there is any.
     """
-    df = rename(raw, RAW_COLUMNS, keep=(order,))
+    df = rename(raw, RAW_COLUMNS, keep=tuple(c for c in ORDERS if c in raw.columns))
     df = df.withColumns(
         {
             "month_ending": to_date(F.col("month_ending")),
-            **{c: to_number(F.col(c), "bigint") for c in COUNTS},
-            **{c: to_number(F.col(c)) for c in PERCENTILES},
+            **{c: to_number(F.col(c)) for c in (*COUNTS, *PERCENTILES)},
         }
     )
     df = look_up(df, boards, "hbt", "board_name")
@@ -122,6 +123,11 @@ def to_silver(raw: DataFrame, boards: DataFrame, specialties: DataFrame, order:
     )
 
 
+def whole_counts(df: DataFrame) -> DataFrame:
+    """Counts as BIGINT, as the stored tables have them."""
+    return df.withColumns({c: F.col(c).cast("bigint") for c in COUNTS})
+
+
 def latest_only(df: DataFrame, period: str) -> DataFrame:
     """Rows of the newest period. The subquery reads one column and pushes down to the scan."""
     return df.where(F.col(period) == df.agg(F.max(period)).scalar())
@@ -192,6 +198,51 @@ def blank_counts(kept: DataFrame) -> DataFrame:
     )
 
 
+def load_report(judged: DataFrame) -> DataFrame:
+    """One row describing a load, from its judged rows: raw, kept and rejected rows, and of the kept ones what
+    `run_summary` says, the most frequent unknown codes and the rows without a count per patient type.
+
+    One pass: three grouping sets count boards, specialties and patient types in partial aggregates; what
+    is left is a row per code.
+    """
+    stays = F.col(REASONS) == ""
+    rows = judged.select(
+        F.when(stays, F.col("hbt")).alias("hbt"), F.when(stays, F.col("specialty")).alias("specialty"), F.when(stays, F.col("patient_type")).alias("type"),
+        (stays & F.col("board_name").isNull()).alias("no_board"), (stays & F.col("specialty_name").isNull() & ~F.col("is_all_specialties")).alias("no_specialty"),
+        stays.alias("stays"), F.when(stays, F.col("month_ending")).alias("month"), (stays & F.col("is_scotland") & F.col("is_all_specialties")).alias("national"),
+        (stays & F.col("number_waiting").isNull()).alias("blank"),
+    )
+    count = lambda c: F.count_if(F.col(c)).alias(c)
+    codes = rows.groupingSets([["hbt"], ["specialty"], ["type"]], "hbt", "specialty", "type").agg(
+        F.count(F.lit(1)).alias("n"), F.min("month").alias("first"), F.max("month").alias("last"), F.grouping_id().alias("level"),
+        *[count(c) for c in ("stays", "national", "blank", "no_board", "no_specialty")],
+    )
+    board, specialty, kind = (F.col("level") == i for i in (3, 5, 6))
+
+    def top(level: Column, code: str, n: str) -> Column:
+        entry = F.when(level & (F.col(n) > 0), F.struct((-F.col(n)).alias("less"), F.col(code).alias("code"), F.col(n).alias("rows")))
+        best = F.slice(F.array_sort(F.collect_list(entry)), 1, 5)
+        return F.transform(best, lambda e: F.struct(e["code"].alias("code"), e["rows"].alias("rows")))
+
+    types = F.array_sort(F.collect_list(F.when(kind, F.col("type"))))
+    blank = F.array_sort(F.collect_list(F.when(kind & (F.col("blank") > 0), F.struct(F.col("type").alias("code"), F.col("blank").alias("rows")))))
+    month = lambda c: F.date_format(c, "yyyy-MM")
+    total = lambda c: F.coalesce(F.sum(F.when(kind, F.col(c))), F.lit(0)).cast("bigint")
+    return codes.agg(
+        total("n").alias("raw_rows"),
+        total("stays").alias("silver_rows"),
+        (total("n") - total("stays")).alias("rejected_rows"),
+        F.concat(month(F.min("first")), F.lit(" to "), month(F.max("last"))).alias("months"),
+        F.count_if(board & F.col("hbt").isNotNull()).alias("boards"),
+        F.count_if(specialty & F.col("specialty").isNotNull()).alias("specialties"),
+        types.alias("patient_types"),
+        total("national").alias("scotland_all_specialty_rows"),
+        top(board, "hbt", "no_board").alias("unknown_boards"),
+        top(specialty, "specialty", "no_specialty").alias("unknown_specialties"),
+        blank.alias("blank_counts"),
+    )
+
+
 def failed_map(results: DataFrame) -> DataFrame:
     """One row: rule -> failed rows, for the rules that failed. As many entries as rules."""
     entries = F.collect_list(F.struct("expectation", "failed_rows"))

@@ -34,7 +34,8 @@ def load_waits(
     """Monthly file -> bronze, silver, rejects, quality history and latest-month table.
 
     The whole load is skipped when the file is the one loaded last. All history is rebuilt, as
-    past months are revised. The judged rows are written once, for silver, rejects and results to share.
+    past months are revised. The judged rows are written once, for silver, rejects, results and the report,
+    which is returned, to share. Of two rows with one key the later in the file stays.
     """
     bronze_path = layout.path("bronze_ongoing_waits")
     digest = files.source_digest(spark, sources["ongoing_waits"])
@@ -52,17 +53,20 @@ def load_waits(
     judged = pinned(quality.judge(silver, rules), "judged")
     stamp = {"run_id": run_id, "loaded_at": run_at}
     silver_path = layout.path("silver_ongoing_waits")
-    tables.overwrite(waits.with_lineage(quality.kept(judged).drop("_id"), **stamp), silver_path)
-    tables.overwrite(waits.with_lineage(quality.rejects(judged).drop("_id"), run_id=run_id), layout.path("ops_rejects"))
-    history = waits.with_lineage(
-        quality.results_of_judged(judged, rules, today), run_id=run_id, run_at=run_at, table_name=silver_path
+    stored = waits.whole_counts(judged).drop(*quality.ORDERS)
+    tables.overwrite(waits.with_lineage(quality.kept(stored), **stamp), silver_path)
+    tables.overwrite(waits.with_lineage(quality.rejects(stored), run_id=run_id), layout.path("ops_rejects"))
+    history = pinned(
+        waits.with_lineage(quality.results_of_judged(judged, rules, today), run_id=run_id, run_at=run_at, table_name=silver_path), "results"
     )
     tables.append(history, layout.path("ops_dq_results"))
     tables.overwrite(waits.latest_waits(tables.read(spark, silver_path)), layout.path(lookups.WAITS))
     # bronze last: its digest says that the load is complete
     lineage = {"source_file": sources["ongoing_waits"], "source_sha256": digest, "ingested_at": run_at}
-    tables.overwrite(waits.with_lineage(raw, **lineage), bronze_path)
-    return {"skipped": False, "run_id": run_id}
+    tables.overwrite(waits.with_lineage(raw.drop(*quality.ORDERS), **lineage), bronze_path)
+    report = waits.load_report(judged).first().asDict(recursive=True)
+    failed = {r["expectation"]: r["failed_rows"] for r in history.where("failed_rows > 0").collect()}  # a row per rule
+    return {"skipped": False, "run_id": run_id, **report, "failed_expectations": failed}
 
 
 def serve_lookups(spark: SparkSession, layout: Layout, sites_csv: str) -> None:

@@ -50,7 +50,7 @@ SITES = """site_table as (
       replace(p_name, ' ', '_') || ';' || lower(p_type) as services from part)"""
 LATEST = f"""{JUDGED}, latest as (
     select strftime(month_ending, '%Y-%m-%d') as month_ending, board_name, is_scotland, patient_type, specialty as specialty_code,
-      specialty_name, is_all_specialties, number_waiting::int as number_waiting, waiting_over_12_weeks::int as waiting_over_12_weeks,
+      specialty_name, is_all_specialties, trunc(number_waiting)::int as number_waiting, trunc(waiting_over_12_weeks)::int as waiting_over_12_weeks,
       round(100 * share_over_12_weeks, 1) as pct_over_12_weeks, median_wait_days, p90_wait_days
     from kept where month_ending = (select max(month_ending) from kept) and board_name is not null and number_waiting is not null)"""
 

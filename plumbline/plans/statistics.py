@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from plumbline.operators import quality, waits
 from plumbline.operators.shape import only_ids, top_rows
 from plumbline.plans.base import day, query, spread, table
+from plumbline.session import scratch_path
+from plumbline.sources import files
 from plumbline.sources.tables import conform
 
 TODAY = dt.date(2001, 3, 31)
@@ -27,7 +29,7 @@ def raw_waits(spark: SparkSession, folder: str) -> DataFrame:
         "left(o_orderpriority, 1) as Specialty",
         "if(o_orderpriority like '5%', 'D', '') as SpecialtyQF",
         "case when o_custkey % 19 = 0 then '' when o_custkey % 89 = 0 then concat('-', floor(o_totalprice)) "
-        "else cast(floor(o_totalprice / 100) as string) end as NumberWaiting",
+        "else concat(floor(o_totalprice / 100), if(o_custkey % 37 = 0, '.5', '')) end as NumberWaiting",
         "if(o_custkey % 19 = 0, ':', '') as NumberWaitingQF",
         "cast(floor(o_totalprice * (o_custkey % 13) / 1190) as string) as NumberWaitingOver12Weeks",
         "'' as NumberWaitingOver12WeeksQF",
@@ -48,7 +50,7 @@ RAW = """raw as (
     substr(o_orderpriority, 1, 1) as specialty,
     case when o_orderpriority like '5%' then 'D' else '' end as specialty_qf,
     case when o_custkey % 19 = 0 then '' when o_custkey % 89 = 0 then '-' || floor(o_totalprice)::bigint
-         else floor(o_totalprice / 100)::bigint::varchar end as waiting_text,
+         else floor(o_totalprice / 100)::bigint || case when o_custkey % 37 = 0 then '.5' else '' end end as waiting_text,
     floor(o_totalprice * (o_custkey % 13) / 1190)::bigint::varchar as over_text,
     (floor(o_totalprice)::bigint % 200) || '.5' as median_text,
     case when o_custkey % 31 = 0 then 'n/a' else (o_custkey % 250)::varchar end as p90_text
@@ -66,8 +68,8 @@ SILVER = f"""{RAW}, {LOOKUPS},
     select _id,
       case when regexp_full_match(month_text, '[0-9]{{8}}') then try_strptime(month_text, '%Y%m%d')::date end as month_ending,
       hbt, patient_type, specialty, specialty_qf,
-      case when regexp_matches(waiting_text, {NUM}) then try_cast(trim(waiting_text) as double) end::bigint as number_waiting,
-      case when regexp_matches(over_text, {NUM}) then try_cast(trim(over_text) as double) end::bigint as waiting_over_12_weeks,
+      case when regexp_matches(waiting_text, {NUM}) then try_cast(trim(waiting_text) as double) end as number_waiting,
+      case when regexp_matches(over_text, {NUM}) then try_cast(trim(over_text) as double) end as waiting_over_12_weeks,
       case when regexp_matches(median_text, {NUM}) then try_cast(trim(median_text) as double) end as median_wait_days,
       case when regexp_matches(p90_text, {NUM}) then try_cast(trim(p90_text) as double) end as p90_wait_days
     from raw),
@@ -154,8 +156,8 @@ def prj_number_coerce(spark, folder):
     raw = raw_waits(spark, folder)
     return raw.select(
         "_id",
-        waits.to_number(F.col("NumberWaiting"), "bigint").alias("number_waiting"),
-        waits.to_number(F.col("NumberWaitingOver12Weeks"), "bigint").alias("waiting_over_12_weeks"),
+        waits.to_number(F.col("NumberWaiting")).alias("number_waiting"),
+        waits.to_number(F.col("NumberWaitingOver12Weeks")).alias("waiting_over_12_weeks"),
         waits.to_number(F.col("Median")).alias("median_wait_days"),
         waits.to_number(F.col("90thPercentile")).alias("p90_wait_days"),
     )
@@ -185,7 +187,7 @@ def jon_lookup_precedence(spark, folder):
     "flt_latest_month",
     f"""with {JUDGED} select strftime(month_ending, '%Y-%m-%d') as month_ending, board_name, hbt as board_code,
       is_scotland, patient_type, specialty as specialty_code, specialty_name, is_all_specialties,
-      number_waiting::int as number_waiting, waiting_over_12_weeks::int as waiting_over_12_weeks,
+      trunc(number_waiting)::int as number_waiting, trunc(waiting_over_12_weeks)::int as waiting_over_12_weeks,
       round(100 * share_over_12_weeks, 1) as pct_over_12_weeks, median_wait_days, p90_wait_days
     from kept where month_ending = (select max(month_ending) from kept)
       and board_name is not null and number_waiting is not null""",
@@ -271,6 +273,44 @@ def win_keep_last(spark, folder):
     return last.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
 
 
+@query(
+    "win_file_order",
+    """select o_custkey, o_orderpriority, max(o_orderkey)::varchar as last_order from orders group by all""",
+)
+def win_file_order(spark, folder):
+    """The last row per key of raw files, by its place in them: the publisher's number is missing or equal."""
+    rows = table(spark, folder, "orders").orderBy("o_orderkey").selectExpr(
+        "if(o_orderkey % 3 = 0, '', '7') as _id", "o_custkey", "o_orderpriority", "o_orderkey as last_order"
+    )
+    path = scratch_path(spark, "orders-csv")
+    rows.write.csv(path, header=True)
+    last = quality.keep_last(files.read_text_csv(spark, path), ("o_custkey", "o_orderpriority"), files.PLACE)
+    return last.select(F.col("o_custkey").cast("bigint").alias("o_custkey"), "o_orderpriority", "last_order")
+
+
+CODES = "select {0} as code, count(*) as n from kept where {1} group by {0} order by n desc, code limit 5"
+
+
+@query(
+    "agg_load_report",
+    f"""with {JUDGED}, b as ({CODES.format('hbt', 'board_name is null')}), s as ({CODES.format('specialty', 'specialty_name is null and not is_all_specialties')}),
+      t as (select patient_type as code, count(*) as n from kept where number_waiting is null group by 1)
+      select (select count(*) from silver) as raw_rows, count(*) as silver_rows, (select count(*) from silver) - count(*) as rejected_rows,
+        strftime(min(month_ending), '%Y-%m') || ' to ' || strftime(max(month_ending), '%Y-%m') as months,
+        count(distinct hbt) as boards, count(distinct specialty) as specialties,
+        string_agg(distinct patient_type, ',' order by patient_type) as patient_types,
+        count(*) filter (where is_scotland and is_all_specialties) as scotland_all_specialty_rows,
+        coalesce((select string_agg(code || '=' || n, ',' order by n desc, code) from b), '') as unknown_boards,
+        coalesce((select string_agg(code || '=' || n, ',' order by n desc, code) from s), '') as unknown_specialties,
+        coalesce((select string_agg(code || '=' || n, ',' order by code) from t), '') as blank_counts from kept""",
+)
+def agg_load_report(spark, folder):
+    report = waits.load_report(judged_waits(spark, folder))
+    text = lambda c: F.array_join(F.transform(c, lambda e: F.concat(e["code"], F.lit("="), e["rows"])), ",")
+    lists = {c: text(F.col(c)) for c in ("unknown_boards", "unknown_specialties", "blank_counts")}
+    return report.withColumns({**lists, "patient_types": F.array_join("patient_types", ",")})
+
+
 @query(
     "agg_run_summary",
     f"""with {JUDGED} select count(*) as silver_rows,

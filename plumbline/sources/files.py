@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from plumbline.functions.text import SPACE_CHARS
+from plumbline.session import is_small, pinned
+
+PLACE = "_place"  # orders rows as their files have them
 
 # Folders, the extension read from each, the default question kind, and what
 # Windows-1252 puts where ISO-8859-1 has control characters (0x80 to 0x9f, in order; the
@@ -63,23 +68,51 @@ def _clean(c: Column) -> Column:
     return F.btrim(F.translate(c, "\xa0", " "), F.lit(SPACE_CHARS))
 
 
-def encodings(spark: SparkSession, path: str) -> dict[bool, list[str]]:
-    """The files of a path by whether their bytes are valid UTF-8: one entry per file, its path."""
-    files = spark.read.format("binaryFile").load(path)
-    rows = files.select("path", F.is_valid_utf8(F.col("content").cast("string")).alias("utf8")).collect()
-    return {kind: found for kind in (True, False) if (found := sorted(r["path"] for r in rows if r["utf8"] == kind))}
+def text_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, start, row, value): the lines of text files as they are stored, byte ranges of a file apart. Within
+    a range `row` ascends along the file."""
+    place = (F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    return spark.read.text(path).select(*place, F.monotonically_increasing_id().alias("row"), "value")
+
 
+def numbered(lines: DataFrame) -> DataFrame:
+    """(file, number, value): lines numbered from 0 within their file, whatever ranges it was read in. Lines are
+    counted by range; a range begins where the counts before it in its file end."""
+    ranges = lines.groupBy("file", "start").agg(F.min("row").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = pinned(ranges.select("file", "start", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")), "ranges")
+    ranges = F.broadcast(ranges) if is_small(ranges) else ranges
+    number = F.col("_before") + F.col("row") - F.col("_first")
+    return lines.join(ranges, ["file", "start"]).select("file", number.alias("number"), "value")
+
+
+def file_kinds(spark: SparkSession, path: str) -> dict[tuple[bool, bool], list[str]]:
+    """The files of a path by whether they are valid UTF-8 and whether a quoted cell has a line break: one entry
+    per file, its path. Lines are judged in their tasks: no character of UTF-8 goes over a line break,
+    and a cell that does leaves an odd number of quotes on its line."""
+    quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))
+    found = text_lines(spark, path).groupBy("file").agg(
+        F.bool_and(F.is_valid_utf8("value")).alias("utf8"), F.bool_or(quotes % 2 == 1).alias("broken")
+    )
+    kinds: dict[tuple[bool, bool], list[str]] = {}
+    for r in sorted(found.collect()):
+        kinds.setdefault((r["utf8"], r["broken"]), []).append(r["file"])
+    return kinds
 
-def read_text_csv(spark: SparkSession, path: str, order: str = "_id", utf8: bool | None = None, multiline: bool = False) -> DataFrame:
+
+def read_text_csv(spark: SparkSession, path: str, order: str = "_id", utf8: bool | None = None, multiline: bool | None = None) -> DataFrame:
     """A CSV with every column as trimmed text; blanks stay ''.
 
-    Each file is UTF-8 unless its bytes are not, then Windows-1252. The row number column the publisher
-    adds is kept as BIGINT: it is the only record of file order once the scan is split. `multiline`
-    reads quoted line breaks; such files are not split.
+    Each file is UTF-8 unless its bytes are not, then Windows-1252. One with quoted line breaks is read in
+    one piece, others are split. `_place` is added: it orders the rows as the files have them, however they
+    were split. A row number column of the publisher is kept as BIGINT.
     """
-    kinds = encodings(spark, path) if utf8 is None else {utf8: [path]}
-    parts = [_read_encoded(spark, paths, order, kind, multiline) for kind, paths in kinds.items()]
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
+    kinds = file_kinds(spark, path) if utf8 is None or multiline is None else {(utf8, multiline): [path]}
+    parts = [
+        _read_encoded(spark, paths, order, own_utf8 if utf8 is None else utf8, broken if multiline is None else multiline)
+        for (own_utf8, broken), paths in (kinds or {(True, False): [path]}).items()
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def _read_encoded(spark: SparkSession, paths: list[str], order: str, utf8: bool, multiline: bool) -> DataFrame:
@@ -91,19 +124,32 @@ def _read_encoded(spark: SparkSession, paths: list[str], order: str, utf8: bool,
         c = c if utf8 else c.translate(str.maketrans(LATIN1_HIGH, CP1252_HIGH))
         return c.lstrip("﻿").replace("\xa0", " ").strip()
 
-    df = df.toDF(*[name(c) for c in df.columns])
     out = []
     for c in df.columns:
         cell = F.coalesce(F.col(f"`{c}`"), F.lit(""))
         cell = cell if utf8 else F.translate(cell, LATIN1_HIGH, CP1252_HIGH)
         cell = _clean(cell)
-        out.append((cell.try_cast("bigint") if c == order else cell).alias(c))
-    return df.select(*out)
+        out.append((cell.try_cast("bigint") if name(c) == order else cell).alias(name(c)))
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row")
+    )
+    return df.select(*out, place.alias(PLACE))
 
 
 def source_digest(spark: SparkSession, path: str) -> str | None:
-    """SHA-256 of a source file; of several files, a digest that ignores their order."""
-    digests = spark.read.format("binaryFile").load(path).select(F.sha2("content", 256).alias("d"))
+    """Digest of a source's lines and their order; of several files, one that ignores the order of the files.
+
+    Every line is hashed with its number, in the task that reads it, and the hashes are added up: the
+    digest does not depend on how a file was split. A line break of another kind changes nothing.
+    """
+    line = F.struct("number", "value")
+    per_file = numbered(text_lines(spark, path)).groupBy("file").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.xxhash64(line).cast("decimal(38,0)")).alias("sum"),
+        F.bit_xor(F.xxhash64(F.lit(1), line)).alias("mixed"),
+        F.sum(F.hash(line).cast("bigint")).alias("low"),
+    )
+    digests = per_file.select(F.sha2(F.concat_ws(":", "n", "sum", "mixed", "low"), 256).alias("d"))
     mixed = F.xxhash64("d")
     several = F.sha2(
         F.concat_ws(":", F.count(F.lit(1)), F.bit_xor(mixed), F.sum(mixed.cast("decimal(38,0)"))), 256

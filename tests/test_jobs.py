@@ -29,7 +29,10 @@ def test_waits_from_file_to_lookup(spark, sources, tmp_path):
     layout = tables.Layout(scratch_path(spark, "base"), "dev")
     def load(run, **kw):
         return jobs.load_waits(spark, layout, sources, TODAY, run, NOW, **kw)
-    assert load("r1") == {"skipped": False, "run_id": "r1"}
+    first = load("r1")
+    assert (first["skipped"], first["run_id"], first["raw_rows"], first["silver_rows"], first["rejected_rows"]) == (False, "r1", 2, 1, 1)
+    assert first["months"] == "2026-06 to 2026-06" and first["boards"] == 1 and first["patient_types"] == ["New Outpatient"]
+    assert first["scotland_all_specialty_rows"] == 1 and first["unknown_boards"] == [] and first["failed_expectations"]["non_negative_counts"] == 1
     assert load("r2") == {"skipped": True}
     assert not load("r3", full_refresh=True)["skipped"]
     assert tables.read(spark, layout.path("silver_ongoing_waits")).count() == 1

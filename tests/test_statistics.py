@@ -143,9 +143,93 @@ def test_each_file_is_read_in_its_encoding(spark, tmp_path):
     (tmp_path / "b.csv").write_bytes("_id,Name\n2,Caf\u00e9 \u20ac\n".encode("cp1252"))
     rows = files.read_text_csv(spark, str(tmp_path)).collect()
     assert {r["_id"]: r["Name"] for r in rows} == {1: "Caf\u00e9", 2: "Caf\u00e9 \u20ac"}
-    (tmp_path / "c.csv").write_text('_id,Name\n3,"one\ntwo"\n')
-    rows = files.read_text_csv(spark, str(tmp_path / "c.csv"), multiline=True).collect()
-    assert [(r["_id"], r["Name"]) for r in rows] == [(3, "one\ntwo")]
+    (tmp_path / "c.csv").write_text('_id,Name\n3,"one\ntwo"\n4,"say ""x"""\n')
+    rows = files.read_text_csv(spark, str(tmp_path / "c.csv")).collect()
+    assert [(r["_id"], r["Name"]) for r in rows] == [(3, "one\ntwo"), (4, 'say "x"')]
+    assert files.file_kinds(spark, str(tmp_path)).keys() == {(True, False), (False, False), (True, True)}
+    assert {r["_id"] for r in files.read_text_csv(spark, str(tmp_path)).collect()} == {1, 2, 3, 4}
+
+
+@pytest.fixture()
+def small_splits(spark):
+    """Files are read in ranges of about 2,000 bytes, many of them in one task."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {n: spark.conf.get(n) for n in names}
+    spark.conf.set(names[0], "2000")
+    spark.conf.set(names[1], "10")
+    yield
+    for n in names:
+        spark.conf.set(n, before[n])
+
+
+def test_lines_are_numbered_over_ranges(spark, tmp_path, small_splits):
+    for name, n in (("a", 900), ("b", 3), ("c", 0), ("d", 400)):
+        (tmp_path / f"{name}.txt").write_text("".join(f"line {name} {i}\n" for i in range(n)))
+    lines = files.text_lines(spark, str(tmp_path))
+    assert lines.select("file", "start").distinct().count() > 5
+    got = {(r["file"][-5], r["number"], r["value"]) for r in files.numbered(lines).collect()}
+    assert got == {(name, i, f"line {name} {i}") for name, n in (("a", 900), ("b", 3), ("d", 400)) for i in range(n)}
+
+
+def test_digest_follows_lines_and_their_order(spark, tmp_path, small_splits):
+    path = tmp_path / "x.csv"
+    lines = [f"row {i}" for i in range(1000)]
+    def digest(rows, size="2000"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        path.write_text("\n".join(rows) + "\n")
+        return files.source_digest(spark, str(path))
+    first = digest(lines)
+    assert first == digest(lines, "777") == digest(lines, "64m") and len(first) == 64
+    swapped = [*lines[:400], lines[401], lines[400], *lines[402:]]
+    assert len({first, digest(swapped), digest(lines[:-1]), digest([*lines, "more"]), digest([*lines[:5], "row 5!", *lines[6:]])}) == 5
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "empty.csv").write_text("")
+    assert files.source_digest(spark, str(tmp_path / "none")) is None
+
+
+@pytest.mark.parametrize("number", ["", "5", None])
+def test_last_row_of_a_file_wins_without_a_number(spark, tmp_path, small_splits, number):
+    """The publisher's number is blank, equal or not there at all."""
+    rows = [(f"k{i % 70}", str(i)) for i in range(2000)]
+    head = "key,seq" if number is None else "_id,key,seq"
+    text = [",".join(r if number is None else (number, *r)) for r in rows]
+    (tmp_path / "in.csv").write_text("\n".join([head, *text]) + "\n")
+    raw = files.read_text_csv(spark, str(tmp_path / "in.csv"))
+    assert raw.rdd.getNumPartitions() > 2 and quality.order_of(raw) == files.PLACE
+    # a join shuffles the rows in between
+    mixed = raw.repartition(5, "seq")
+    got = {r["key"]: r["seq"] for r in quality.keep_last(mixed, ("key",), files.PLACE).collect()}
+    assert got == dict(rows)
+
+
+def test_exactly_one_row_of_a_key_stays(spark):
+    rows = [("a", 1), ("a", 1), ("a", 1), ("b", None), ("b", None), ("c", None), ("c", 2), (None, 3), (None, 3)]
+    df = spark.createDataFrame(rows, "k string, _id bigint")
+    for order in ("_id", None):
+        assert sorted(r["k"] or "" for r in quality.keep_last(df, ("k",), order).collect()) == ["", "a", "b", "c"]
+    assert {r["_id"] for r in quality.keep_last(df.where("k = 'c'"), ("k",), "_id").collect()} == {2}
+    marked = quality.mark_superseded(df, ("k",), "_id", F.lit(True))
+    assert marked.count() == len(rows) and marked.where("_superseded").count() == len(rows) - 4
+
+
+def test_fractions_reach_the_rules(spark):
+    columns = {c: "" for c in waits.RAW_COLUMNS}
+    rows = [{**columns, "MonthEnding": "20260630", "HBT": "B", "NumberWaiting": a, "NumberWaitingOver12Weeks": b} for a, b in (("-0.5", "-1"), ("10.2", "10.7"), ("10.7", "10.2"))]
+    raw = spark.createDataFrame(rows)
+    none = spark.createDataFrame([], "code string, name string")
+    judged = quality.judge(waits.to_silver(raw, none, none), quality.waits_rules(TODAY), key=("number_waiting",))
+    found = {r["number_waiting"]: r for r in judged.collect()}
+    assert found[-0.5][quality.REASONS] == "non_negative_counts"
+    assert found[10.2][quality.REASONS] == "over_12_weeks_within_total" and found[10.7][quality.REASONS] == ""
+    assert found[10.7]["share_over_12_weeks"] == 10.2 / 10.7
+    assert [r["number_waiting"] for r in waits.whole_counts(quality.kept(judged)).collect()] == [10]
+
+
+def test_load_report_of_nothing(spark, silver):
+    _, _, df = silver
+    none = quality.judge(df, quality.waits_rules(TODAY)).limit(0)
+    row = waits.load_report(none).first()
+    assert (row["raw_rows"], row["silver_rows"], row["rejected_rows"], row["months"], row["boards"], row["patient_types"]) == (0, 0, 0, None, 0, [])
 
 
 def test_the_last_row_of_a_lookup_wins(spark):
