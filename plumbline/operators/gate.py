@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.text import fingerprint
+from plumbline.session import pinned
 
 PRODUCTION, CANDIDATE, PREVIOUS = "production", "candidate", "previous"
 
@@ -124,22 +127,21 @@ def register_versions(registry: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def number_rows(df: DataFrame, order: str, block: int = 1_000_000) -> DataFrame:
-    """Add `position`, 1 to n in the order of a unique integer column.
+    """Add `position`, 1 to n in the order of a unique column.
 
-    Two levels: rows are numbered within blocks of the order column, blocks by a running count
-    over one row per block.
+    Rows are dealt into ranges of about `block` rows, by bounds that Spark samples, so it does not matter
+    how the values are spread. A range starts after the counts of the ranges before it, a number for
+    each; rows are numbered within their range.
     """
-    blocked = df.withColumn("_block", F.floor(F.col(order) / block))
-    sizes = blocked.groupBy("_block").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(F.lit(0)).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    within = F.row_number().over(Window.partitionBy("_block").orderBy(order))
-    return (
-        blocked.withColumn("_within", within)
-        .join(offsets, "_block")
-        .withColumn("position", F.col("_before") + F.col("_within"))
-        .drop("_block", "_within", "_before")
-    )
+    n = df.count()
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, -(-n // block))
+    ranged = pinned(df.repartitionByRange(parts, F.col(order)).withColumn("_range", F.spark_partition_id()), "ranges")
+    sizes = sorted(tuple(r) for r in ranged.groupBy("_range").agg(F.count(F.lit(1))).collect())  # a row for each range
+    before = [0, *accumulate(size for _, size in sizes)]
+    offsets = df.sparkSession.createDataFrame([(number, start) for (number, _), start in zip(sizes, before)], "_range int, _before bigint")
+    within = F.row_number().over(Window.partitionBy("_range").orderBy(order))
+    numbered = ranged.withColumn("_within", within).join(F.broadcast(offsets), "_range")
+    return numbered.withColumn("position", F.col("_before") + F.col("_within")).drop("_range", "_within", "_before")
 
 
 def set_alias(aliases: DataFrame, alias: str, version: int) -> DataFrame:

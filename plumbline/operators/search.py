@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from plumbline.functions.text import has_exact_terms
-from plumbline.functions.vectors import MIN_NORM, cosine
+from plumbline.functions.vectors import MIN_NORM, cosine, l2_normalise
 from plumbline.operators.joins import join_sized, skew_safe_join
 from plumbline.session import is_small, pinned
 
@@ -490,9 +490,26 @@ def text_key(text: Column) -> Column:
 
 
 def missing_texts(texts: DataFrame, cache: DataFrame) -> DataFrame:
-    """Each distinct text that is not cached yet, once. Copies meet in a partial aggregate."""
-    distinct = texts.groupBy(text_key(F.col("text")).alias("key")).agg(F.any_value("text").alias("text"))
-    return distinct.join(cache.select("key"), "key", "left_anti")
+    """Each distinct text that is not cached yet, once. Keys are compared first: they alone are shuffled, and
+    texts are fetched for the missing ones only. Copies meet in a partial aggregate."""
+    keyed = texts.select(text_key(F.col("text")).alias("key"), "text").where(F.col("key").isNotNull())
+    missing = pinned(keyed.select("key").distinct().join(cache.select("key"), "key", "left_anti"), "missing")
+    fetched = join_sized(keyed, missing, "key", spread=["key"])
+    return fetched.groupBy("key").agg(F.any_value("text").alias("text"))
+
+
+def hashed_vectors(texts: DataFrame, dims: int = 64) -> DataFrame:
+    """(key, text) -> (key, vector): what `hashing_encoder` gives, as expressions. Terms are hashed to a place
+    and a sign and summed per text and place before they are shuffled."""
+    code = F.conv(F.substring(F.md5("term"), 1, 8), 16, 10).cast("bigint")
+    found = texts.select("key", F.explode_outer(terms(F.col("text"))).alias("term")).withColumn("_code", code)
+    sign = F.when(F.shiftright("_code", 16).bitwiseAND(1) == 1, 1).otherwise(-1)
+    sums = found.groupBy("key", (F.col("_code") % dims).alias("_at")).agg(F.sum(F.when(F.col("term").isNotNull(), sign)).alias("_x"))
+    # a text gathers as many entries as there are places
+    entries = F.collect_list(F.when(F.col("_at").isNotNull(), F.struct("_at", "_x")))
+    whole = sums.groupBy("key").agg(F.map_from_entries(entries).alias("_sums"))
+    raw = F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda i: F.coalesce(F.try_element_at("_sums", i.cast("bigint")), F.lit(0)).cast("double"))
+    return whole.select("key", raw.alias("_raw")).select("key", l2_normalise(F.col("_raw")).cast("array<float>").alias("vector"))
 
 
 def encode_texts(missing: DataFrame, encode: Callable, batch_size: int = 64) -> DataFrame:

@@ -161,12 +161,14 @@ def snk_schema_evolution(spark, folder):
 @query("stm_triggered_sync", f"with {STATES} select chunk_id, doc_id, chunk_index, md5(text) as digest from now_chunks")
 @longs("chunk_index")
 def stm_triggered_sync(spark, folder):
-    """Two triggered runs over the change feed, and a third that finds nothing to do."""
+    """Three triggered runs over the change feed: the third finds only changes that are older than what is there."""
     feed, target, checkpoint = (scratch_path(spark, n) for n in ("feed", "published", "progress"))
     before, after = line_chunks(earlier_documents(spark, folder)), line_chunks(now_documents(spark, folder))
     feeds.publish_feed(before.withColumn("_change_type", F.lit("insert")), feed, 1)
     feeds.sync(spark, feed, target, checkpoint, buckets=8)
     feeds.publish_feed(changes.change_feed(before, after), feed, 2)
     feeds.sync(spark, feed, target, checkpoint, buckets=8)
+    late = before.withColumn("text", F.lit("late")).withColumn("_change_type", F.lit("update_postimage"))
+    feeds.publish_feed(late.unionByName(after.withColumn("_change_type", F.lit("delete")), allowMissingColumns=True), feed, 0)
     feeds.sync(spark, feed, target, checkpoint, buckets=8)
     return feeds.current(spark, target).select("chunk_id", "doc_id", "chunk_index", F.md5("text").alias("digest"))

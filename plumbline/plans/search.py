@@ -10,7 +10,7 @@ from plumbline.functions import vectors
 from plumbline.operators import search
 from plumbline.operators.joins import skew_safe_join
 from plumbline.operators.shape import merged_filter
-from plumbline.plans.base import longs, query, spread, table
+from plumbline.plans.base import longs, query, table
 from plumbline.session import pinned
 
 DIMS = 64
@@ -254,11 +254,11 @@ def hashed_sql(source: str, name: str) -> str:
 @longs("rank")
 def sea_embed_hashing(spark, folder):
     """Distinct texts through the encoder once, vectors attached to all copies, neighbours ranked."""
-    docs = spread(table(spark, folder, "documents"), "doc_id").select(F.col("doc_id").alias("id"), "text")
+    docs = table(spark, folder, "documents").select(F.col("doc_id").alias("id"), "text")
     none = spark.createDataFrame([], "key string, vector array<float>")
-    cache = search.encode_texts(search.missing_texts(docs, none), search.hashing_encoder(DIMS))
+    cache = search.hashed_vectors(search.missing_texts(docs, none), DIMS)
     items = table(spark, folder, "benchmark").select(F.col("item_id").alias("id"), "text")
-    asked_cache = search.encode_texts(search.missing_texts(items, none), search.hashing_encoder(DIMS))
+    asked_cache = search.hashed_vectors(search.missing_texts(items, none), DIMS)
     questions = search.attach_vectors(items, asked_cache).select(F.col("id").alias("query_id"), "vector")
     return search.exact_topk(questions, search.attach_vectors(docs, cache), 5)
 

@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.operators.search import PUBLISHED_COLUMNS
-from plumbline.sources.tables import BUCKET, BUCKETS, read, replace_changed
+from plumbline.session import pinned
+from plumbline.sources.tables import BUCKET, BUCKETS, exists, read, replace_changed, with_bucket
 
 VERSION = "_version"
+DELETED = "_deleted"
 
 
 def publish_feed(feed: DataFrame, folder: str, version: int) -> None:
@@ -19,9 +21,10 @@ def publish_feed(feed: DataFrame, folder: str, version: int) -> None:
 def sync(spark: SparkSession, feed: str, target: str, checkpoint: str, key: str = "chunk_id", columns: tuple[str, ...] = PUBLISHED_COLUMNS, buckets: int = BUCKETS) -> None:
     """Take all changes not seen yet and bring the target to their state.
 
-    A batch is reduced to the newest change per key with a partial aggregate, then only the
-    buckets it touches are rewritten. Doing so twice gives the same table, so a batch that is
-    repeated after a failure does no harm.
+    A batch is reduced to the newest change per key with a partial aggregate, then only the buckets it
+    touches are rewritten. Every row keeps the version it came with, a deleted one stays as a tombstone:
+    a change that is older than what the target holds does nothing, whatever order batches come in, and
+    a batch that is repeated after a failure gives the same table.
     """
     schema = spark.read.parquet(feed).schema
     published = [c for c in schema.names if c in columns and c != key]
@@ -32,14 +35,17 @@ def sync(spark: SparkSession, feed: str, target: str, checkpoint: str, key: str
         newest = (
             batch.where(F.col("_change_type") != "update_preimage")
             .groupBy(key)
-            .agg(F.max_by(F.struct("_change_type", *published), F.struct(VERSION, lasting)).alias("r"))
+            .agg(F.max_by(F.struct(VERSION, (~lasting).alias(DELETED), *published), F.struct(VERSION, lasting)).alias("r"))
             .select(key, "r.*")
-            .persist()
         )
-        status = F.when(lasting, "changed").otherwise("removed").alias("status")
-        rows = newest.where(lasting).drop("_change_type")
-        replace_changed(target, rows, newest.select(key, status), buckets, key)
-        newest.unpersist()
+        newest = pinned(with_bucket(newest, buckets, key), "changes")
+        if exists(spark, target):
+            touched = [r[0] for r in newest.select(BUCKET).distinct().collect()]  # at most `buckets` numbers
+            held = read(spark, target).where(F.col(BUCKET).isin(touched)).select(key, F.col(VERSION).alias("_held"))
+            newest = newest.join(held, key, "left").where(F.col("_held").isNull() | (F.col(VERSION) >= F.col("_held"))).drop("_held")
+        newest = newest.drop(BUCKET)
+        rows = newest.select(key, VERSION, DELETED, *[F.when(~F.col(DELETED), F.col(c)).alias(c) for c in published])
+        replace_changed(target, rows, newest.select(key, F.lit("changed").alias("status")), buckets, key)
 
     query = (
         spark.readStream.schema(schema)
@@ -53,5 +59,5 @@ def sync(spark: SparkSession, feed: str, target: str, checkpoint: str, key: str
 
 
 def current(spark: SparkSession, target: str) -> DataFrame:
-    """The published rows."""
-    return read(spark, target).drop(BUCKET)
+    """The published rows, without tombstones."""
+    return read(spark, target).where(~F.col(DELETED)).drop(BUCKET, VERSION, DELETED)

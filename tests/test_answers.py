@@ -170,6 +170,11 @@ def test_numbers_go_over_blocks(spark):
     df = spark.createDataFrame([(i * 7,) for i in range(40)], "seq bigint")
     got = gate.number_rows(df, "seq", block=50).orderBy("seq").collect()
     assert [r["position"] for r in got] == list(range(1, 41))
+    # most numbers close together, a few far away
+    sparse = sorted({*range(3000), *(10**15 + i * 10**12 for i in range(30)), -(10**17)})
+    ranged = gate.number_rows(spark.createDataFrame([(x,) for x in sparse[::-1]], "seq bigint"), "seq", block=200)
+    assert [(r["seq"], r["position"]) for r in ranged.orderBy("seq").collect()] == [(x, i) for i, x in enumerate(sparse, 1)]
+    assert gate.number_rows(df.limit(0), "seq").count() == 0
 
 
 def test_run_history_grows(spark, scored, tmp_path):

@@ -142,3 +142,20 @@ def test_stream_takes_each_change_once(spark):
     assert written() == before
     feeds.sync(spark, feed, target, scratch_path(spark, "lost"))  # progress lost: all changes again
     assert sorted(map(tuple, feeds.current(spark, target).collect())) == [("b", "2"), ("c", "1")]
+
+
+def test_older_versions_change_nothing(spark):
+    """Batches arrive out of order: what the target holds wins by version, deleted rows too."""
+    feed, target, progress = (scratch_path(spark, n) for n in ("feed", "target", "progress"))
+    def publish(version, *rows):
+        df = spark.createDataFrame([(*r, kind) for *r, kind in rows], "chunk_id string, text string, _change_type string")
+        feeds.publish_feed(df, feed, version)
+        feeds.sync(spark, feed, target, progress, buckets=4)
+        return {r["chunk_id"]: r["text"] for r in feeds.current(spark, target).collect()}
+    assert publish(5, ("a", "5", "insert"), ("b", "5", "insert")) == {"a": "5", "b": "5"}
+    assert publish(7, ("b", "5", "delete"), ("c", "7", "insert")) == {"a": "5", "c": "7"}
+    assert publish(6, ("a", "6", "update_postimage"), ("b", "6", "update_postimage"), ("c", "6", "delete"), ("d", "6", "insert")) == {"a": "6", "c": "7", "d": "6"}
+    assert publish(4, ("a", "4", "delete"), ("d", "4", "update_postimage")) == {"a": "6", "c": "7", "d": "6"}
+    assert publish(8, ("b", "8", "insert")) == {"a": "6", "b": "8", "c": "7", "d": "6"}
+    feeds.sync(spark, feed, target, scratch_path(spark, "again"), buckets=4)  # all changes in one batch
+    assert {r["chunk_id"]: r["text"] for r in feeds.current(spark, target).collect()} == {"a": "6", "b": "8", "c": "7", "d": "6"}

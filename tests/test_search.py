@@ -241,6 +241,14 @@ def test_texts_are_encoded_once(spark):
         assert np.linalg.norm(r["vector"]) == pytest.approx(1, abs=1e-6) or not any(r["vector"])
 
 
+def test_hashing_as_expressions_equals_the_encoder(spark):
+    texts = ["one two two THREE", "", "!?", "a b c d e f g " * 40, "é ß 12"]
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "key string, text string")
+    got = {r["key"]: r["vector"] for r in search.hashed_vectors(df, 16).collect()}
+    for i, expected in enumerate(search.hashing_encoder(16)(texts)):
+        assert got[str(i)] == pytest.approx(expected, abs=1e-6)
+
+
 def test_hits_and_norms(spark):
     ranked = spark.createDataFrame([(1, "c1", 1, 0.5)], "query_id bigint, id string, rank int, score double")
     chunks = spark.createDataFrame([("c1", "d", None, "T > S", "7.0", "policy", "x")], "chunk_id string, doc_id string, title string, section_path string, page string, source_type string, text string")
