@@ -3,9 +3,11 @@
 Every text is measured by a few counts. A fixed base rule fails short and repetitive texts. Beyond
 it, each rule compares one ratio with a cutoff that is chosen per stratum (by default the language):
 the lowest cutoff of a grid for which an exact binomial test on labelled good texts shows that at
-most a `risk` share of them is rejected. The tests share the error `delta` (Bonferroni over strata,
-rules and grid), and the rules of a stratum share the risk, so with probability 1 - `delta` no
-stratum loses more than `risk` of its good texts to these rules.
+most a `risk` share of them is rejected. The tests share the error `delta`: Bonferroni over strata and
+rules. Along a grid no share is needed: a higher cutoff rejects fewer texts, so the cutoffs that break
+the promise are the lowest ones, and one of them is chosen only if the highest that breaks it passes its
+own test (a fixed sequence from the highest cutoff down). The rules of a stratum share the risk, so with
+probability 1 - `delta` no stratum loses more than `risk` of its good texts to these rules.
 
 Everything is a DataFrame expression: no Python runs on the rows.
 
@@ -13,7 +15,8 @@ Defined results: a null text has no words (all counts 0, base rule failed). A st
 enough labels gets no cutoff, so only the base rule rejects there. A null stratum is a stratum of
 its own. Labels with a null id or quality, and labels of unknown documents, are ignored; documents
 without a label are judged all the same. Repeated labels count as often as they occur, repeated
-documents are judged alike. An empty table gives an empty result; empty labels give no cutoffs.
+documents are judged alike; a labelled document that is repeated counts once for each of its rows, in the
+row's stratum. A very long text is one row, in memory a multiple of its length. An empty table gives an empty result; empty labels give no cutoffs.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.text import let
 from plumbline.llm.base import BLANK, BLANKS, carried, query, table, unpacked, word_list
-from plumbline.operators.joins import join_sized
+from plumbline.operators.joins import join_sized, skew_safe_join
 from plumbline.session import pinned
 
 # The characters counted as symbols, the least number of words, and the share of
@@ -167,14 +170,11 @@ def binomial_tail(rejected: Column, n: Column, share: Column) -> Column:
     return F.when(rejected >= n * share, F.lit(1.0)).otherwise(tail)
 
 
-def holdout(docs: DataFrame, labels: DataFrame, control: RiskControl) -> DataFrame:
-    """(_id, _stratum, _good): the labelled rows of known documents."""
+def measured_rows(docs: DataFrame, control: RiskControl) -> DataFrame:
+    """(_id, _stratum, counts): every text measured once and written without the text, under 100 bytes a row."""
     stratum = F.coalesce(F.col(control.stratum).cast("string"), F.lit(""))
-    ids = docs.select(F.col("doc_id").alias("_id"), stratum.alias("_stratum")).where("_id is not null").distinct()
-    marks = labels.where("doc_id is not null and quality is not null").select(
-        F.col("doc_id").alias("_id"), (F.col("quality") == 1).alias("_good")
-    )
-    return marks.join(ids, "_id").select("_id", "_stratum", "_good")
+    rows = docs.select(F.col("doc_id").alias("_id"), stratum.alias("_stratum"), "text")
+    return pinned(measure(rows).select("_id", "_stratum", "_m.*"), "measured")
 
 
 def _cutoffs_below(value: Column, grid: tuple[float, ...]) -> Column:
@@ -182,14 +182,13 @@ def _cutoffs_below(value: Column, grid: tuple[float, ...]) -> Column:
     return F.size(F.filter(F.array(*map(F.lit, grid)), lambda c: value > c))
 
 
-def choose_cutoffs(docs: DataFrame, labels: DataFrame, control: RiskControl | None = None) -> DataFrame:
-    """(_stratum, _rule, _cutoff): the cutoffs that keep the promise, at most one per stratum and rule."""
+def choose_cutoffs(measured: DataFrame, labels: DataFrame, control: RiskControl | None = None) -> DataFrame:
+    """(_stratum, _rule, _cutoff): the cutoffs that keep the promise, at most one per stratum and rule, from
+    `measured_rows`. Labels meet the counts by id; no text is moved."""
     control = control or RiskControl()
     rules = control.rules
-    held = pinned(holdout(docs, labels, control).where("_good"), "holdout")
-    texts = docs.select(F.col("doc_id").alias("_id"), "text")
-    looked_at = join_sized(texts, held, "_id", ["text"])
-    m = measure(looked_at).select("_stratum", "_m.*")
+    good = labels.where("doc_id is not null and quality = 1").select(F.col("doc_id").alias("_id"))
+    m = skew_safe_join(measured, good, "_id", ["n_words", "word_chars"])
     m = m.where(~base_failed(F.col("n_words"), F.col("n_repeat_words")))
     levels = [
         F.struct(
@@ -222,27 +221,42 @@ def choose_cutoffs(docs: DataFrame, labels: DataFrame, control: RiskControl | No
     return passed.groupBy("_stratum", "_rule").agg(F.min("_cutoff").alias("_cutoff"))
 
 
-def judge(docs: DataFrame, labels: DataFrame, control: RiskControl | None = None) -> DataFrame:
-    """Add `_m` (counts), `_base_failed`, `_failed` (names of the rules broken) and `_kept`; columns of the
-    same names are replaced."""
-    control = control or RiskControl()
-    cutoffs = pinned(
-        choose_cutoffs(docs, labels, control)
-        .groupBy("_stratum")
-        .agg(F.map_from_entries(F.collect_list(F.struct("_rule", "_cutoff"))).alias("_cutoffs")),
-        "cutoffs",
-    )
-    measured = measure(carried(docs), "_row.text")
-    stratum = F.coalesce(F.col("_row")[control.stratum].cast("string"), F.lit(""))
-    judged = join_sized(measured.withColumn("_stratum", stratum), cutoffs, "_stratum", ["_row.doc_id"], "left")
+def cutoffs_by_stratum(measured: DataFrame, labels: DataFrame, control: RiskControl) -> DataFrame:
+    """(_stratum, _cutoffs): a map from rule to cutoff for each stratum that has any. Written once."""
+    entries = F.map_from_entries(F.collect_list(F.struct("_rule", "_cutoff"))).alias("_cutoffs")
+    return pinned(choose_cutoffs(measured, labels, control).groupBy("_stratum").agg(entries), "cutoffs")
+
+
+def _verdict(rows: DataFrame, cutoffs: DataFrame, control: RiskControl, count: Callable[[str], Column], spread: list[str]) -> DataFrame:
+    """Add `_base_failed`, `_failed` and `_kept` to rows with `_stratum` and counts, which `count` names."""
+    judged = join_sized(rows, cutoffs, "_stratum", spread, "left")
     broken = [
-        F.when(ratio(lambda c: F.col(f"_m.{c}")) > F.col("_cutoffs").getItem(name), F.lit(name))
-        for name, (ratio, _) in control.rules.items()
+        F.when(ratio(count) > F.col("_cutoffs").getItem(name), F.lit(name)) for name, (ratio, _) in control.rules.items()
     ]
-    judged = judged.withColumn("_base_failed", base_failed(F.col("_m.n_words"), F.col("_m.n_repeat_words")))
+    judged = judged.withColumn("_base_failed", base_failed(count("n_words"), count("n_repeat_words")))
     judged = judged.withColumn("_failed", F.array_compact(F.array(*broken)))
+    return judged.withColumn("_kept", ~F.col("_base_failed") & (F.size("_failed") == 0))
+
+
+def verdicts(docs: DataFrame, labels: DataFrame, control: RiskControl | None = None) -> DataFrame:
+    """(_id, _stratum, counts, _base_failed, _failed, _kept): a row for each document, without its text. Every
+    text is measured once, for the cutoffs and the verdicts."""
+    control = control or RiskControl()
+    measured = measured_rows(docs, control)
+    return _verdict(measured, cutoffs_by_stratum(measured, labels, control), control, F.col, ["_id"]).drop("_cutoffs")
+
+
+def judge(docs: DataFrame, labels: DataFrame, control: RiskControl | None = None) -> DataFrame:
+    """The documents with `_m` (counts), `_base_failed`, `_failed` (names of the rules broken) and `_kept`; columns
+    of the same names are replaced. Texts are measured again where they are judged, which is cheaper than
+    bringing their verdicts to them."""
+    control = control or RiskControl()
+    cutoffs = cutoffs_by_stratum(measured_rows(docs, control), labels, control)
+    stratum = F.coalesce(F.col("_row")[control.stratum].cast("string"), F.lit(""))
+    rows = measure(carried(docs), "_row.text").withColumn("_stratum", stratum)
+    judged = _verdict(rows, cutoffs, control, lambda c: F.col(f"_m.{c}"), ["_row.doc_id"])
     added = ("_m", "_base_failed", "_failed", "_kept")
-    return judged.withColumn("_kept", ~F.col("_base_failed") & (F.size("_failed") == 0)).select(*unpacked(docs, added), *added)
+    return judged.select(*unpacked(docs, added), *added)
 
 
 WORDLIKE = BLANK.replace("[", "[^")
@@ -282,11 +296,11 @@ SQL = f"""with d as (select doc_id, coalesce(lang, '') as stratum, coalesce(text
 
 @query("op6_quality_rules", SQL)
 def op6_quality_rules(spark, folder):
-    judged = judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    found = verdicts(table(spark, folder, "documents"), table(spark, folder, "labels"))
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-    return judged.select(
-        "doc_id",
-        *[F.col(f"_m.{c}").alias(c) for c in names],
+    return found.select(
+        F.col("_id").alias("doc_id"),
+        *names,
         F.col("_base_failed").alias("base_failed"),
         F.col("_kept").alias("kept"),
         F.array_join("_failed", ",").alias("failed_rules"),

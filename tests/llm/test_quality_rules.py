@@ -1,7 +1,9 @@
 import math
 import random
 import re
+from collections import Counter
 
+import duckdb
 from pyspark.sql import functions as F
 
 from plumbline.llm import quality_rules as q
@@ -58,10 +60,29 @@ def test_binomial_tail_of_many_labels(spark):
         assert math.isclose(r.t, math.fsum(term(r.n, i, r.p) for i in range(r.k + 1)), rel_tol=1e-6)
 
 
-def test_all_labels_count(spark):
-    docs = spark.range(20000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"), F.lit("en").alias("lang"))
-    labels = docs.select("doc_id", F.lit(1).alias("quality"))
-    assert q.holdout(docs, labels, q.RiskControl()).count() == 20000
+def test_query_equals_its_sql_where_cutoffs_are_chosen(spark, tmp_path, monkeypatch):
+    """20,000 labelled texts a stratum; ratios on a cutoff, below and above it."""
+    rnd = random.Random(8)
+    vocabulary = ["".join(rnd.choice("abcdefgh") for _ in range(rnd.randrange(2, 9))) for _ in range(4000)]
+    docs, labels = [], []
+    for i in range(40_000):
+        w = rnd.choices(vocabulary, k=50)
+        bad = i % 11 == 0
+        for _ in range(rnd.choice((5, 12, 40)) if bad else rnd.choice((0,) * 200 + (1, 2))):
+            w[rnd.randrange(50)] += "#"  # one in 50 words is the first cutoff itself
+        docs.append((i, " ".join(w) if i % 997 else None, ("en", None)[i % 2], "s", 0))
+        labels.append((i, int(not bad), 0))
+    docs += [(50_000, "repeated " * 60, "en", "s", 0), (None, docs[1][1], "en", "s", 0)]  # the SQL is for ids that do not repeat
+    for name, rows, schema in (("documents", docs, DOCS), ("labels", labels, "doc_id long, quality int, toxic int")):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / f"{name}.parquet"))
+    con = duckdb.connect()
+    for name in ("documents", "labels"):
+        con.execute(f"create view {name} as select * from '{tmp_path}/{name}.parquet/*.parquet'")
+    expected = con.execute(q.SQL).fetchall()
+    names = [d[0] for d in con.description]
+    assert sum(1 for r in expected if r[names.index("failed_rules")]) > 3000
+    got = [tuple(r[n] for n in names) for r in q.op6_quality_rules(spark, str(tmp_path)).collect()]
+    assert Counter(got) == Counter(map(tuple, expected))
 
 
 def corpus(spark, rows=4000):
@@ -87,7 +108,7 @@ def test_junk_goes_and_good_texts_stay(spark):
 
 def test_few_labels_give_no_cutoff_and_many_rejections_are_not_risked(spark):
     docs, labels = corpus(spark, 200)
-    assert q.choose_cutoffs(docs, labels).count() == 0
+    assert q.choose_cutoffs(q.measured_rows(docs, q.RiskControl()), labels).count() == 0
     # all texts are called good: a cutoff that rejects the junk would reject a fifth of them
     docs, labels = corpus(spark)
     every = labels.withColumn("quality", F.lit(1))
@@ -105,3 +126,7 @@ def test_edges(spark):
     assert not out.where("text is null and _kept").count()
     assert q.judge(docs.limit(0), labels).count() == 0
     assert q.judge(docs, labels.limit(0)).where("_kept").count() == 32 + 8
+    bare = q.verdicts(extra, marks)
+    assert bare.count() == 43 and q.verdicts(docs.limit(0), labels).count() == 0
+    both = out.select("doc_id", "_kept").exceptAll(bare.select("_id", "_kept"))
+    assert both.count() == 0
