@@ -382,12 +382,22 @@ def _doc_key() -> Column:
 
 
 PLACE = ("no_id", "doc_id", "text_hash", "word")
-GRAMS = "doc_id bigint, text_hash bigint, word bigint, line bigint, start bigint, end bigint, k1 bigint, k2 bigint"
+GRAMS = (
+    "doc_id bigint, text_hash bigint, seed bigint, word bigint, keys array<bigint>, lines array<int>, starts array<int>, ends array<int>"
+)
+
+
+def _lists(offsets: np.ndarray, values: np.ndarray, kind: pa.DataType) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
 
 
 def repeated_passages(docs: DataFrame, gone: DataFrame, banding: Banding | None = None, text: str = "text") -> DataFrame:
     """The spans of `min_words` words or more in succession that an earlier place has, with the columns of
-    `repeated_paragraphs`; paragraph is the line a span begins in. `gone` has the removed paragraphs."""
+    `repeated_paragraphs`; paragraph is the line a span begins in. `gone` has the removed paragraphs.
+
+    Runs in succession with one seed travel as a row, to the task of the seed: a run's key is its seed and 64
+    bits of all its words. There they are taken apart, and what an earlier place has is put together again
+    before it travels to the task of its text."""
     b = banding or Banding()
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text)
 
@@ -412,10 +422,9 @@ def repeated_passages(docs: DataFrame, gone: DataFrame, banding: Banding | None
             wanted, asked = batch.column(3), batch.column(4)
             values = wanted.flatten().to_numpy().view(np.uint64)
             key = lambda h, d: scramble(h + d.astype(np.uint64) * MIX)
-            place, k1 = s.grams(b.min_words, FACTORS[1])
+            place, k1 = s.grams(b.min_words, FACTORS[2])
             if not len(place):
                 continue
-            _, k2 = s.grams(b.min_words, FACTORS[2])
             # a run's own seed is the least of its parts: two equal runs have an equal one
             at, h = s.grams(width, FACTORS[1])
             own = _sliding(h, b.min_words - width + 1, np.minimum)[np.searchsorted(at, place)]
@@ -425,22 +434,44 @@ def repeated_passages(docs: DataFrame, gone: DataFrame, banding: Banding | None
                 for x in lines or []:
                     inside = (s.start[place[lo:hi]] >= x["start"]) & (s.end[place[lo:hi] + b.min_words - 1] <= x["start"] + x["length"])
                     use[lo:hi] &= ~inside
-            place, k1, k2 = place[use], k1[use], k2[use]
-            ids = [batch.column(i).take(pa.array(s.doc[place])) for i in (0, 1)]
-            ints = (place - s.first[s.doc[place]], s.line[place], s.start[place], s.end[place + b.min_words - 1], k1.view(np.int64), k2.view(np.int64))
-            yield pa.RecordBatch.from_arrays([*ids, *(pa.array(x.astype(np.int64)) for x in ints)], [c.split()[0] for c in GRAMS.split(", ")])
-
-    grams = joined.select("doc_id", "text_hash", text, "wanted", "gone").mapInArrow(runs, GRAMS)
-    # rows of a run pass in order of place, so a task holds one of them, however many there are
-    in_order = Window.partitionBy("k1", "k2").orderBy(*PLACE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    met = grams.withColumn("no_id", F.col("doc_id").isNull()).withColumn("first", F.first(F.struct(*PLACE, "line")).over(in_order))
+            place, k1, own = place[use], k1[use], own[use]
+            if not len(place):
+                continue
+            doc = s.doc[place]
+            new = np.concatenate([[True], (np.diff(place) != 1) | (own[1:] != own[:-1]) | (doc[1:] != doc[:-1])])
+            begin = np.flatnonzero(new)
+            # at most `min_words` runs in a row: they overlap or touch, so those that go are one span
+            new |= (np.arange(len(place)) - np.repeat(begin, np.diff(np.append(begin, len(place))))) % b.min_words == 0
+            begin = np.flatnonzero(new)
+            offsets, first = np.append(begin, len(place)), place[begin]
+            ids = [batch.column(i).take(pa.array(s.doc[first])) for i in (0, 1)]
+            ints = [pa.array(own[begin].view(np.int64)), pa.array(first - s.first[s.doc[first]])]
+            lists = [_lists(offsets, k1.view(np.int64), pa.int64())]
+            lists += [_lists(offsets, x, pa.int32()) for x in (s.line[place], s.start[place], s.end[place + b.min_words - 1])]
+            yield pa.RecordBatch.from_arrays([*ids, *ints, *lists], [c.split()[0] for c in GRAMS.split(", ")])
+
+    rows = joined.select("doc_id", "text_hash", text, "wanted", "gone").mapInArrow(runs, GRAMS)
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), docs.sparkSession.sparkContext.defaultParallelism)
+    apart = F.posexplode(F.arrays_zip("keys", "lines", "starts", "ends")).alias("nth", "run")
+    grams = rows.repartition(parts, "seed").select("doc_id", "text_hash", "seed", F.col("word").alias("from"), apart)
+    grams = grams.select(
+        "doc_id", "text_hash", "seed", "from", F.col("doc_id").isNull().alias("no_id"), (F.col("from") + F.col("nth")).alias("word"),
+        F.col("run.keys").alias("key"), F.col("run.lines").alias("line"), F.col("run.starts").alias("start"), F.col("run.ends").alias("end"),
+    )
+    # equal runs pass in order of place, so a task holds one of them, however many there are
+    in_order = Window.partitionBy("seed", "key").orderBy(*PLACE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    met = grams.withColumn("first", F.first(F.struct(*PLACE, "line")).over(in_order))
     same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
     later = met.where(~same | (F.col("word") - F.col("first.word") >= b.min_words))
-    later = later.select("doc_id", "text_hash", "word", "line", "start", "end", F.struct("first.doc_id", "first.line").alias("first"))
-    of_text = Window.partitionBy("doc_id", "text_hash").orderBy("word")
-    new = (F.col("word") - F.lag("word").over(of_text) <= b.min_words).eqNullSafe(F.lit(True))
+    span = [
+        F.min(F.struct("word", "line", "start", F.struct("first.doc_id", "first.line").alias("first"))).alias("x"),
+        F.max("end").alias("end"), F.max("word").alias("to"),
+    ]
+    later = later.groupBy("seed", "doc_id", "text_hash", "from").agg(*span)
+    of_text = Window.partitionBy("doc_id", "text_hash").orderBy("x.word")
+    new = (F.col("x.word") - F.lag("to").over(of_text) <= b.min_words).eqNullSafe(F.lit(True))
     later = later.withColumn("span", F.sum((~new).cast("int")).over(of_text))
-    spans = later.groupBy("doc_id", "text_hash", "span").agg(F.min(F.struct("word", "line", "start", "first")).alias("x"), F.max("end").alias("end"), F.max("word").alias("to"))
+    spans = later.groupBy("doc_id", "text_hash", "span").agg(F.min("x").alias("x"), F.max("end").alias("end"), F.max("to").alias("to"))
     return spans.select(
         "doc_id",
         "text_hash",
