@@ -382,8 +382,10 @@ def _doc_key() -> Column:
 
 
 PLACE = ("no_id", "doc_id", "text_hash", "word")
+STEP = 20_000  # places of a row are told from its first one, in 16 bits
 GRAMS = (
-    "doc_id bigint, text_hash bigint, seed bigint, word bigint, keys array<bigint>, lines array<int>, starts array<int>, ends array<int>"
+    "doc_id bigint, text_hash bigint, seed bigint, word bigint, line int, start int, end int, "
+    "keys array<bigint>, lines array<smallint>, starts array<smallint>, ends array<smallint>"
 )
 
 
@@ -405,13 +407,18 @@ def repeated_passages(docs: DataFrame, gone: DataFrame, banding: Banding | None
         for batch in slices(batches, 1):
             s = Stretches(batch.column(1))
             at, h = seeds(s, b.min_words)
-            key = batch.column(0).to_numpy()[s.doc[at]]
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(key)], ["seed", "doc_key"])
-
-    found = rows.select(_doc_key().alias("doc_key"), text).mapInArrow(sown, "seed bigint, doc_key bigint")
+            doc = s.doc[at]
+            order = np.lexsort((h, doc))  # a text names each of its seeds once
+            h, doc = h[order], doc[order]
+            first = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])])) if len(h) else order
+            n = np.diff(np.append(first, len(h)))
+            key = batch.column(0).to_numpy()[doc[first]]
+            yield pa.RecordBatch.from_arrays([pa.array(h[first].view(np.int64)), pa.array(key), pa.array(n, pa.int32())], ["seed", "doc_key", "n"])
+
+    found = rows.select(_doc_key().alias("doc_key"), text).mapInArrow(sown, "seed bigint, doc_key bigint, n int")
     found = pinned(found, "seeds")
-    shared = found.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("seed")
-    wanted = found.join(shared, "seed").groupBy("doc_key").agg(F.collect_set("seed").alias("wanted"))
+    shared = found.groupBy("seed").agg(F.sum("n").alias("n")).where("n > 1").select("seed")
+    wanted = found.select("seed", "doc_key").join(shared, "seed").groupBy("doc_key").agg(F.collect_set("seed").alias("wanted"))
     lines = gone.groupBy(_doc_key().alias("doc_key")).agg(F.collect_set(F.struct("start", "length")).alias("gone"))
     joined = rows.withColumn("doc_key", _doc_key()).join(pinned(wanted.join(lines, "doc_key", "left"), "shared-seeds"), "doc_key")
 
@@ -438,7 +445,10 @@ def repeated_passages(docs: DataFrame, gone: DataFrame, banding: Banding | None
             if not len(place):
                 continue
             doc = s.doc[place]
+            places = s.line[place], s.start[place], s.end[place + b.min_words - 1]
             new = np.concatenate([[True], (np.diff(place) != 1) | (own[1:] != own[:-1]) | (doc[1:] != doc[:-1])])
+            for x in places:
+                new[1:] |= x[1:] // STEP != x[:-1] // STEP
             begin = np.flatnonzero(new)
             # at most `min_words` runs in a row: they overlap or touch, so those that go are one span
             new |= (np.arange(len(place)) - np.repeat(begin, np.diff(np.append(begin, len(place))))) % b.min_words == 0
@@ -446,17 +456,18 @@ def repeated_passages(docs: DataFrame, gone: DataFrame, banding: Banding | None
             offsets, first = np.append(begin, len(place)), place[begin]
             ids = [batch.column(i).take(pa.array(s.doc[first])) for i in (0, 1)]
             ints = [pa.array(own[begin].view(np.int64)), pa.array(first - s.first[s.doc[first]])]
+            ints += [pa.array(x[begin], pa.int32()) for x in places]
             lists = [_lists(offsets, k1.view(np.int64), pa.int64())]
-            lists += [_lists(offsets, x, pa.int32()) for x in (s.line[place], s.start[place], s.end[place + b.min_words - 1])]
+            lists += [_lists(offsets, x - np.repeat(x[begin], np.diff(offsets)), pa.int16()) for x in places]
             yield pa.RecordBatch.from_arrays([*ids, *ints, *lists], [c.split()[0] for c in GRAMS.split(", ")])
 
     rows = joined.select("doc_id", "text_hash", text, "wanted", "gone").mapInArrow(runs, GRAMS)
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), docs.sparkSession.sparkContext.defaultParallelism)
     apart = F.posexplode(F.arrays_zip("keys", "lines", "starts", "ends")).alias("nth", "run")
-    grams = rows.repartition(parts, "seed").select("doc_id", "text_hash", "seed", F.col("word").alias("from"), apart)
+    grams = rows.repartition(parts, "seed").select("doc_id", "text_hash", "seed", F.col("word").alias("from"), "line", "start", "end", apart)
     grams = grams.select(
         "doc_id", "text_hash", "seed", "from", F.col("doc_id").isNull().alias("no_id"), (F.col("from") + F.col("nth")).alias("word"),
-        F.col("run.keys").alias("key"), F.col("run.lines").alias("line"), F.col("run.starts").alias("start"), F.col("run.ends").alias("end"),
+        F.col("run.keys").alias("key"), *[(F.col(c) + F.col(f"run.{c}s")).alias(c) for c in ("line", "start", "end")],
     )
     # equal runs pass in order of place, so a task holds one of them, however many there are
     in_order = Window.partitionBy("seed", "key").orderBy(*PLACE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
