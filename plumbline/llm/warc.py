@@ -206,7 +206,9 @@ def read_chunks(splits: DataFrame, folder: str, chunk: int = CHUNK, payload: boo
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types.types)], schema=types)
 
-    return splits.select("archive", "offset", "size").repartition("archive", "offset").mapInArrow(read, CHUNKS)
+    # rows of splits are tiny: without a number they would be merged into one task that reads all archives
+    tasks = max(1, splits.count())
+    return splits.select("archive", "offset", "size").repartition(tasks, "archive", "offset").mapInArrow(read, CHUNKS)
 
 
 def archive(pages: DataFrame, folder: str, revisit_bytes: int = 0) -> DataFrame:

@@ -66,3 +66,12 @@ def test_small_payloads_stay_responses(spark):
     df = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abc"), (4, "u", "abc")], PAGES)
     got = {r.page_id: r.refers_to for r in w.classify(df, revisit_bytes=3).collect()}
     assert got == {1: None, 2: None, 3: None, 4: 3}
+
+
+def test_splits_are_read_by_many_tasks(spark):
+    df = spark.range(160).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.concat(F.lit("page "), "id").alias("html")).repartition(4)
+    where = scratch_path(spark, "warc")
+    splits = w.splits_of(w.write_archives(w.classify(df), where), 500)
+    rows = w.read_chunks(splits, where).withColumn("task", F.spark_partition_id())
+    n, tasks, pages = splits.count(), rows.select("task").distinct().count(), rows.where("last").select("page_id").distinct().count()
+    assert n >= 80 and tasks > n // 2 and pages == 160
