@@ -123,14 +123,20 @@ def _add(total: np.ndarray, text: np.ndarray, values: np.ndarray, rows: np.ndarr
             total[text[first], lang] += np.add.reduceat(values[:, lang][rows], first)
 
 
+def is_drawn(piece: Column, doc_id: str, total: Column, params: Ppm) -> Column:
+    """Whether a piece of a language of `total` characters teaches. A quotient, as the product of the totals of
+    a large corpus and a hash leaves the range of a long."""
+    slot = F.pmod(F.xxhash64(doc_id, piece), F.lit(1 << 30))
+    return slot < F.lit(float(params.sample_chars) * (1 << 30)) / F.greatest(total, F.lit(1))
+
+
 def sample(texts: DataFrame, params: Ppm) -> DataFrame:
     """(lang, piece): about sample_chars characters of each language, all of one that has less."""
     size = F.col("lang"), F.length("text").cast("bigint").alias("n")
     sizes = texts.select(*size).groupBy("lang").agg(F.sum("n").alias("total"))
-    slot = lambda i: F.pmod(F.xxhash64("doc_id", i), F.lit(1 << 30))
     known = join_sized(texts, pinned(sizes, "language-sizes"), "lang", ["doc_id"])
-    share = F.lit(float(params.sample_chars) * (1 << 30))
-    drawn = F.filter(F.sequence(F.lit(0), F.floor((F.length("text") - 1) / PIECE).cast("int")), lambda i: slot(i) * F.col("total") < share)
+    pieces = F.sequence(F.lit(0), F.floor((F.length("text") - 1) / PIECE).cast("int"))
+    drawn = F.filter(pieces, lambda i: is_drawn(i, "doc_id", F.col("total"), params))
     cut = F.transform(drawn, lambda i: F.substring(F.col("text"), i * PIECE + 1, F.lit(PIECE)))
     return known.where(F.length("text") > 0).select("lang", F.explode(cut).alias("piece"))
 

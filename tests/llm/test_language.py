@@ -87,3 +87,12 @@ def test_query_and_edges(spark, monkeypatch):
     assert g.train(df.limit(0)).languages.size == 0
     assert {r.lang_pred for r in g.identify(df, g.train(df.limit(0))).collect()} == {"und"}
     assert g.identify(df.limit(0), g.train(df)).count() == 0
+
+
+def test_large_languages_are_sampled(spark):
+    """A language of 2 * 10 ** 10 characters: the bound on the sample holds, and nothing overflows."""
+    params = g.Ppm()
+    rows = spark.range(2_000_000).select(g.is_drawn(F.lit(0), "id", F.lit(20_000_000_000), params).alias("drawn"))
+    share = rows.agg(F.avg(F.col("drawn").cast("int"))).first()[0]
+    assert 0.3 < share / (params.sample_chars / 2e10) < 3
+    assert spark.range(100).where(g.is_drawn(F.lit(0), "id", F.lit(0), params)).count() == 100
