@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-GROUPS = ("statistics", "documents", "changes", "search", "evaluation", "lookups", "answers", "traces")
+GROUPS = ("statistics", "documents", "changes", "search", "evaluation", "lookups", "answers", "traces", "files")
 
 
 def _load() -> None:
