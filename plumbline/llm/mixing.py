@@ -5,17 +5,20 @@ come from slot floor(j / w) on and has to be placed before slot ceil((j + 1) / w
 the released block with the earliest deadline keeps every source, after any number of slots, less than
 one block away from its weight times that number.
 
-Weights are multiples of 1 / period, so the schedule repeats every `period` slots. One period is worked
-out (period x sources steps, however many rows there are); a block's slot is then its place in the
-period plus whole periods. The mix ends when every source has been through once: a source whose weight
-asks for more than it has starts over (epoch 1, 2, ...), none loses a document.
+The schedule of `period` slots is worked out from the weights as they are (period x sources steps, however
+many rows there are) and then repeats; a block's slot is its place in the period plus whole periods. So after t
+slots a source is less than 1 + t // period blocks away from its weight times t, within the first period less
+than one. Blocks are always full: a pass through a source ends inside a block, and its next pass goes on there.
+The mix ends when every source has been through once: a source whose weight asks for more than it has starts
+over (epoch 1, 2, ...), none loses a document.
 
 Everything is a DataFrame expression: no Python runs on the rows. Documents are numbered per source by
 counts of (source, hash range), so a source that holds most rows is spread over many tasks.
 
 Defined results: a null source is a source of its own. A source that `weights` does not name, or gives
 0, is left out; names without documents are ignored. Repeated rows are documents of their own. Without
-weights, a source of n documents weighs n ** temperature. An empty table gives an empty mix.
+weights, a source of n documents weighs n ** temperature, but at least a block a period. An empty table gives
+an empty mix. Texts are carried along, whatever their length.
 """
 
 from __future__ import annotations
@@ -35,11 +38,12 @@ RANGE_ROWS = 5000  # rows of a source that are numbered together, about
 @dataclass(frozen=True)
 class Mix:
     """weights: source to weight (any positive numbers). temperature: see above. period: slots after which
-    the schedule repeats, raised to eight times the number of sources. block_rows: documents of a block."""
+    the schedule repeats, raised to eight times the number of sources and until the smallest of the given
+    weights has a block of its own. block_rows: documents of a block."""
 
     weights: dict | None = None
     temperature: float = 0.9
-    period: int = 1000
+    period: int = 10_000
     block_rows: int = 32
     source: str = "source"
 
@@ -49,70 +53,83 @@ def _key(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit("null"))
 
 
-def targets(sizes: DataFrame, mix: Mix) -> tuple[DataFrame, int]:
-    """(_key, n, quota), and the period: how many of its slots each source gets; at least one."""
+def targets(sizes: DataFrame, mix: Mix) -> DataFrame:
+    """(_key, n, w, period): the weights as shares of one, and the slots after which the schedule repeats."""
     if mix.weights is None:
         weighted = sizes.withColumn("w", F.pow(F.col("n"), mix.temperature))
     else:
         named = [x for s, w in mix.weights.items() for x in (F.lit("null") if s is None else F.lit(f"={s}"), F.lit(float(w)))]
-        weighted = sizes.withColumn("w", F.create_map(*named).getItem(F.col("_key")) if named else F.lit(None).cast("double"))
-    weighted = weighted.where("w > 0")
-    period = max(mix.period, 8 * weighted.count())
+        weighted = sizes.withColumn("w", F.element_at(F.create_map(*named), F.col("_key")) if named else F.lit(None).cast("double"))
     all_rows = Window.partitionBy(F.lit(0))  # over sources, not rows
-    share = weighted.withColumn("w", F.col("w") / F.sum("w").over(all_rows))
-    rare = F.sum((F.col("w") * period < 1).cast("int")).over(all_rows)
-    share = share.withColumn("x", F.col("w") * (period - rare))
-    share = share.withColumn("quota", F.greatest(F.lit(1), F.floor("x")).cast("bigint"))
-    rest = period - F.sum("quota").over(all_rows)
-    by_rest = Window.partitionBy(F.lit(0)).orderBy((F.col("x") - F.col("quota")).desc(), "_key")
-    share = share.withColumn("rest", rest).withColumn("rank", F.row_number().over(by_rest))
-    return share.select("_key", "n", (F.col("quota") + (F.col("rank") <= F.col("rest")).cast("bigint")).alias("quota")), period
+    share = weighted.where("w > 0").withColumn("w", F.col("w") / F.sum("w").over(all_rows))
+    slots = F.greatest(F.lit(mix.period), 8 * F.count(F.lit(1)).over(all_rows))
+    if mix.weights is None:  # the rarest sources weigh a block a period
+        share = share.withColumn("_slots", slots).withColumn("w", F.greatest("w", 1 / F.col("_slots")))
+        share = share.withColumn("_sum", F.sum("w").over(all_rows))
+        period = F.ceil(F.col("_slots") * F.col("_sum"))
+        share = share.withColumn("period", period).withColumn("w", F.col("w") / F.col("_sum"))
+    else:
+        share = share.withColumn("period", F.greatest(slots, F.ceil(1 / F.min("w").over(all_rows))))
+    return share.select("_key", "n", "w", F.col("period").cast("bigint").alias("period"))
+
+
+CHUNK = 1000  # slots that are gathered in one array while it grows
 
 
-def one_period(quotas: Column, period: int) -> Column:
-    """Which source (its place in the array of quotas) gets each slot of a period: earliest deadline first."""
+def one_period(weights: Column, period: Column) -> Column:
+    """Which source (its place in the array of weights) gets each slot of a period: earliest deadline first."""
 
     def slot(state: Column, t: Column) -> Column:
-        def bid(quota: Column, s: Column) -> Column:
+        def bid(w: Column, s: Column) -> Column:
             placed = F.get(state["placed"], s)
-            deadline = F.ceil((placed + 1) * period / quota)
-            return F.when(placed * period < (t + 1) * quota, F.struct(deadline.alias("deadline"), s.alias("s")))
+            early = F.floor(placed / w) > t  # not yet released
+            return F.struct(early.alias("early"), F.ceil((placed + 1) / w).alias("deadline"), s.alias("s"))
 
         return let(
-            F.array_min(F.transform(quotas, bid))["s"],
+            F.array_min(F.transform(weights, bid))["s"],
             lambda best: F.struct(
                 F.transform(state["placed"], lambda n, s: n + (s == best).cast("bigint")).alias("placed"),
                 F.array_append(state["order"], best).alias("order"),
             ),
         )
 
-    start = F.struct(F.transform(quotas, lambda _: F.lit(0).cast("bigint")).alias("placed"), F.array().cast("array<int>").alias("order"))
-    return F.aggregate(F.sequence(F.lit(0), F.lit(period - 1)), start, slot)["order"]
+    def chunk(state: Column, c: Column) -> Column:
+        begin = F.struct(state["placed"].alias("placed"), F.array().cast("array<int>").alias("order"))
+        slots = F.sequence(c * CHUNK, F.least((c + 1) * CHUNK, period) - 1)
+        return let(
+            F.aggregate(slots, begin, slot),
+            lambda done: F.struct(done["placed"].alias("placed"), F.array_append(state["chunks"], done["order"]).alias("chunks")),
+        )
+
+    nothing = F.transform(weights, lambda _: F.lit(0).cast("bigint"))
+    start = F.struct(nothing.alias("placed"), F.array().cast("array<array<int>>").alias("chunks"))
+    chunks = F.sequence(F.lit(0).cast("bigint"), F.floor((period - 1) / CHUNK))
+    return F.flatten(F.aggregate(chunks, start, chunk)["chunks"])
 
 
 def plan(sizes: DataFrame, mix: Mix) -> DataFrame:
-    """Per source: _key, quota, period, slots (of its blocks in a period), blocks (in one pass), total (in the mix)."""
-    shares, period = targets(sizes, mix)
-    gathered = shares.agg(F.array_sort(F.collect_list(F.struct("_key", "n", "quota"))).alias("all"))  # one entry per source
-    order = one_period(F.col("all.quota"), period)
+    """Per source: _key, n, w, period, slots (of its blocks in a period), quota (their number), rows (in the mix)."""
+    shares = targets(sizes, mix)
+    entries = F.array_sort(F.collect_list(F.struct("_key", "n", "w")))  # one entry per source
+    gathered = shares.agg(entries.alias("all"), F.max("period").alias("period"))
+    order = one_period(F.col("all.w"), F.col("period"))
     slots = (
         gathered.where(F.size("all") > 0)
-        .select("all", F.posexplode(order).alias("slot", "s"))
+        .select("all", "period", F.posexplode(order).alias("slot", "s"))
         .groupBy("s")
-        .agg(F.array_sort(F.collect_list(F.col("slot").cast("bigint"))).alias("slots"), F.first("all").alias("all"))
-        .select(F.get("all", F.col("s")).alias("x"), "slots")
-        .select("x.*", "slots", F.lit(period).cast("bigint").alias("period"))
+        .agg(F.array_sort(F.collect_list(F.col("slot").cast("bigint"))).alias("slots"), F.first("all").alias("all"), F.first("period").alias("period"))
+        .select(F.get("all", F.col("s")).alias("x"), "slots", "period", F.size("slots").cast("bigint").alias("quota"))
+        .select("x.*", "slots", "period", "quota")
     )
-    blocks = F.ceil(F.col("n") / mix.block_rows)
-    last = F.col("blocks") - 1
+    last = F.ceil(F.col("n") / mix.block_rows) - 1  # the block in which the first pass ends
     ends = slot_of(last, F.col("quota"), F.col("slots"), F.col("period")) + 1
     end = F.max(ends).over(Window.partitionBy(F.lit(0)))
     inside = F.size(F.filter("slots", lambda x: x < F.col("end") % F.col("period")))
     return (
-        slots.withColumn("blocks", blocks)
-        .withColumn("end", end)
+        slots.withColumn("end", end)
         .withColumn("total", F.floor(F.col("end") / F.col("period")) * F.col("quota") + inside)
-        .select("_key", "n", "quota", "period", "slots", "blocks", "total")
+        .withColumn("rows", F.when(ends == end, F.col("n")).otherwise(F.col("total") * mix.block_rows))
+        .select("_key", "n", "w", "quota", "period", "slots", "rows")
     )
 
 
@@ -142,20 +159,22 @@ def _scheduled(docs: DataFrame, mix: Mix) -> DataFrame:
     numbered = keyed.withColumn("_nth", F.row_number().over(within) - 1).join(offsets, ["_key", "_range"])
     numbered = numbered.withColumn("_nth", F.col("_nth") + F.col("_before"))
     # the plan has a row per source and a slot number per slot of the period: bounded by the period
-    planned = numbered.join(F.broadcast(sources.withColumnRenamed("_key", "_plan_key").select("_plan_key", F.struct("quota", "period", "slots", "blocks", "total").alias("_plan"))), F.col("_key") == F.col("_plan_key"))
-    first = F.floor(F.col("_nth") / mix.block_rows)
+    packed = sources.select(F.col("_key").alias("_plan_key"), F.struct("n", "w", "quota", "period", "slots", "rows").alias("_plan"))
+    planned = numbered.join(F.broadcast(packed), F.col("_key") == F.col("_plan_key"))
     p = lambda c: F.col(f"_plan.{c}")
-    epochs = F.floor((p("total") - 1 - first) / p("blocks"))
+    epochs = F.floor((p("rows") - 1 - F.col("_nth")) / p("n"))
     each = planned.withColumn("_epoch", F.explode(F.sequence(F.lit(0).cast("bigint"), epochs)))
-    block = first + F.col("_epoch") * p("blocks")
+    at = F.col("_nth") + F.col("_epoch") * p("n")  # place in the endless repetition of the source
+    block = F.floor(at / mix.block_rows)
+    round_, turn = F.floor(block / p("quota")) * p("period"), block % p("quota")
     found = F.struct(
         slot_of(block, p("quota"), p("slots"), p("period")).alias("slot"),
-        (F.col("_nth") % mix.block_rows).alias("place"),
+        (at % mix.block_rows).alias("place"),
         F.col("_epoch").alias("epoch"),
         block.alias("block"),
-        F.floor(block * p("period") / p("quota")).alias("release"),
-        F.ceil((block + 1) * p("period") / p("quota")).alias("deadline"),
-        (p("quota") / p("period")).alias("weight"),
+        (round_ + F.floor(turn / p("w"))).alias("release"),
+        (round_ + F.ceil((turn + 1) / p("w"))).alias("deadline"),
+        p("w").alias("weight"),
     )
     return each.select("_row", found.alias("_mix"))
 
