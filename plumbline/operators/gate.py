@@ -100,7 +100,9 @@ def health_problems(runs: DataFrame, label: str = "run", limits=HEALTH_LIMITS) -
 
 
 def decision(runs: DataFrame, label: str = "run") -> DataFrame:
-    """One row: promoted, kept, or inconclusive when a run was not healthy."""
+    """One row: promoted, kept, or inconclusive when a run was not healthy. Runs are scored once: a row each,
+    written down for both questions."""
+    runs = pinned(runs, "runs")
     problems = health_problems(runs, label).agg(F.count(F.lit(1))).scalar()
     return gate_checks(runs).agg(F.bool_and("passed").alias("passed"), F.count(F.lit(1)).alias("checks")).select(
         F.when(problems > 0, "inconclusive").when(F.col("passed"), "promoted").otherwise("kept").alias("decision"),

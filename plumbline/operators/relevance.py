@@ -172,14 +172,15 @@ def metrics_long(rows: DataFrame, ks: tuple[int, ...] = KS) -> DataFrame:
 def context_cost(pool: DataFrame, rankings: DataFrame, depth: int = DEPTH) -> DataFrame:
     """Per configuration: pool size, upper median of its tokens, mean tokens in the top rows.
 
-    `pool` has (config, token_count).
+    `pool` has (config, token_count). Rankings that carry a token_count, as stored passages do, need no text.
     """
+    tokens = F.col("token_count") if "token_count" in rankings.columns else token_count(F.col("text"))
     sizes = pool.groupBy("config").agg(
         F.count(F.lit(1)).alias("n_chunks"), upper_median("token_count").alias("median_chunk_tokens")
     )
     read = (
         rankings.groupBy("config", "question_id")
-        .agg(F.sum(F.when(F.col("rank") <= depth, token_count(F.col("text"))).otherwise(0)).alias("_tokens"))
+        .agg(F.sum(F.when(F.col("rank") <= depth, tokens).otherwise(0)).alias("_tokens"))
         .groupBy("config")
         .agg(F.avg("_tokens").alias("mean_tokens_top5"))
     )

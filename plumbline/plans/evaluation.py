@@ -11,6 +11,7 @@ from plumbline.functions.text import token_count
 from plumbline.operators import relevance
 from plumbline.plans.base import query, table
 from plumbline.plans.documents import token_sql
+from plumbline.session import pinned
 
 STEPS = {"far": 7, "near": 3}  # both coprime with 10: each gives every rank once
 
@@ -34,18 +35,20 @@ def questions_and_labels(spark: SparkSession, folder: str) -> tuple[DataFrame, D
     return questions, labels.unionByName(labels.withColumn("doc_id", F.col("doc_id") + 1))
 
 
-def rankings(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").select("doc_id", "text")
+def ranked_ids(spark: SparkSession, folder: str) -> DataFrame:
     ids = table(spark, folder, "labels").select(F.col("doc_id").alias("question_id"))
     orders = F.array(*[F.struct(F.lit(n).alias("config"), F.lit(s).alias("step")) for n, s in STEPS.items()])
     grid = ids.select("question_id", F.inline(orders)).withColumn("off", F.explode(F.sequence(F.lit(0), F.lit(9))))
-    ranked = grid.select(
+    return grid.select(
         "config",
         "question_id",
         ((F.col("step") * F.col("off") + F.col("question_id")) % 10 + 1).cast("int").alias("rank"),
         (F.col("question_id") + F.col("off") - 4).alias("doc_id"),
     )
-    return ranked.join(docs, "doc_id")
+
+
+def rankings(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_ids(spark, folder).join(table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
 
 
 def norm_sql(c: str) -> str:
@@ -189,6 +192,8 @@ TOKENS = token_sql(r"len(regexp_extract_all(text, '\S+'))")
       group by config, n_chunks, median_chunk_tokens""",
 )
 def evr_context_cost(spark, folder):
+    """Tokens are counted once per text; rankings carry the number, not the text."""
     names = F.array(*[F.lit(n) for n in STEPS])
-    pool = table(spark, folder, "documents").select(F.explode(names).alias("config"), token_count(F.col("text")).alias("token_count"))
-    return rounded(relevance.context_cost(pool, rankings(spark, folder)))
+    counted = pinned(table(spark, folder, "documents").select("doc_id", token_count(F.col("text")).alias("token_count")), "token-counts")
+    pool = counted.select(F.explode(names).alias("config"), "token_count")
+    return rounded(relevance.context_cost(pool, ranked_ids(spark, folder).join(counted, "doc_id")))

@@ -12,7 +12,7 @@ from plumbline.operators import waits
 from plumbline.operators.shape import ROW_CAP, top_rows
 from plumbline.plans.base import day, longs, query, table
 from plumbline.plans.statistics import JUDGED, kept_waits
-from plumbline.session import scratch_path
+from plumbline.session import pinned, scratch_path
 from plumbline.sources import tables
 
 ALIASES = {"%urgent%": ("now", "soon"), "%medium%": ("middle", "mid")}
@@ -34,7 +34,7 @@ def sites(spark: SparkSession, folder: str) -> DataFrame:
 def latest(spark: SparkSession, folder: str) -> DataFrame:
     """The latest-month table as it is served: written once, read by every call."""
     path = scratch_path(spark, "latest_waits")
-    tables.overwrite(waits.latest_waits(kept_waits(spark, folder)), path)
+    tables.overwrite(waits.latest_waits(pinned(kept_waits(spark, folder), "kept")), path)
     return tables.read(spark, path)
 
 

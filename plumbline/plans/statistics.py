@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from plumbline.operators import quality, waits
 from plumbline.operators.shape import only_ids, top_rows
 from plumbline.plans.base import day, query, spread, table
-from plumbline.session import scratch_path
+from plumbline.session import pinned, scratch_path
 from plumbline.sources import files
 from plumbline.sources.tables import conform
 
@@ -193,7 +193,8 @@ def jon_lookup_precedence(spark, folder):
       and board_name is not null and number_waiting is not null""",
 )
 def flt_latest_month(spark, folder):
-    return waits.latest_waits(kept_waits(spark, folder)).withColumn("month_ending", day("month_ending"))
+    # two scans, of the newest month and of its rows: what they read is judged once
+    return waits.latest_waits(pinned(kept_waits(spark, folder), "kept")).withColumn("month_ending", day("month_ending"))
 
 
 RESULT_ROWS = " union all ".join(

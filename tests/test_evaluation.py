@@ -71,6 +71,8 @@ def test_context_cost(spark):
     ranked = ranks(spark, [("a", "q1", i, "d", "one two three four five") for i in range(1, 8)])
     row = relevance.context_cost(pool, ranked).first()
     assert (row["n_chunks"], row["median_chunk_tokens"], row["mean_tokens_top5"]) == (4, 3, 30.0)
+    counted = ranked.selectExpr("config", "question_id", "rank", "6 as token_count")
+    assert relevance.context_cost(pool, counted).first() == row
 
 
 def test_runs_are_logged(spark, setup):
