@@ -9,8 +9,8 @@ A bucket is not expanded into pairs. Each of its nodes is paired with a leader,
 that differs from bucket to bucket, and the pair is verified by the exact Jaccard similarity of the
 sets of word shingles. Nodes that are unlike their leader, and not connected with it through other
 buckets, are then compared with all of the bucket's other components, in the task that holds the bucket;
-in a bucket of very many nodes only with those that share a second bucket, too. Verified pairs make
-components; a component keeps its first paragraph (smallest document id, then position) and loses the
+a bucket of very many nodes is parted by the nodes' rarest shingles, of which similar nodes share one, so no
+pair is lost. Verified pairs make components; a component keeps its first paragraph (smallest document id, then position) and loses the
 others.
 
 Passages inside longer lines, or over several short ones, are found by their words, across line ends: every
@@ -52,7 +52,8 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 @dataclass(frozen=True)
 class Banding:
     """min_words: the shortest paragraph looked at. shingle: words of a shingle. similarity: least Jaccard.
-    bucket_rows: nodes of a bucket that a task compares at once; those of a larger one are parted first."""
+    bucket_rows: nodes of a bucket that a task compares at once; a larger one is parted first, with the same
+    pairs."""
 
     min_words: int = 50
     shingle: int = 5
@@ -254,15 +255,42 @@ def _shingle_sets(docs: DataFrame, places: DataFrame, b: Banding, text: str) ->
     return joined.select(text, "wanted").mapInArrow(sets, "node binary, shingles array<bigint>").dropDuplicates(["node"])
 
 
-def _parted(rows: DataFrame, nodes: DataFrame, bucket_rows: int) -> DataFrame:
-    """`rows` with those of larger buckets under one key for every other band of the node instead: similar
-    nodes share one of these with a probability of 0.997, nodes that have only a passage in common seldom."""
+def first_shingles(sets: DataFrame, similarity: float) -> DataFrame:
+    """(node, shingle): of each set as many of the rarest shingles (equally rare ones by hash) as it has more
+    than a similar set must share, and one. Two sets of at least that similarity have one of these in common."""
+    each = sets.select("node", F.explode("shingles").alias("shingle"), F.size("shingles").alias("size"))
+    counts = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
+    ordered = each.join(counts, "shingle").groupBy("node", "size").agg(F.sort_array(F.collect_list(F.struct("n", "shingle"))).alias("rarest"))
+    enough = F.col("size") - F.ceil(F.lit(similarity) * F.col("size") - F.lit(1e-6)) + 1
+    return ordered.select("node", F.explode(F.slice("rarest", F.lit(1), enough.cast("int"))["shingle"]).alias("shingle"))
+
+
+def _parted(rows: DataFrame, sets: DataFrame, b: Banding) -> DataFrame:
+    """`rows` with those of buckets of more than `bucket_rows` under other keys, that lose no similar pair: one for
+    each of the node's first shingles. Where a key still has more rows, its open nodes and all its nodes are dealt
+    into blocks of about `bucket_rows`, and each block of open nodes has a key with each block of all."""
     sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("rows"))
     sized = rows.join(sizes, "key")
-    large = sized.where(F.col("rows") > bucket_rows).join(nodes.select("node", "bands"), "node")
-    others = F.array_except("bands", F.array("key"))
-    large = large.select(F.explode(others).alias("other"), *rows.columns).withColumn("key", F.xxhash64("key", "other"))
-    return sized.where(F.col("rows") <= bucket_rows).select(*rows.columns).unionByName(large.drop("other"))
+    small = sized.where(F.col("rows") <= b.bucket_rows).select(*rows.columns)
+    large = pinned(sized.where(F.col("rows") > b.bucket_rows).select(*rows.columns), "large-buckets")
+    if large.isEmpty():
+        return small
+    first = first_shingles(sets.join(large.select("node").distinct(), "node"), b.similarity)
+    shared = large.join(first, "node").withColumn("key", F.xxhash64("key", "shingle")).select(*rows.columns)
+    shared = pinned(shared, "shared-shingles")
+    blocks = lambda n: F.ceil(n / b.bucket_rows).cast("int")
+    groups = shared.groupBy("key").agg(
+        blocks(F.count(F.lit(1))).alias("all"),
+        blocks(F.count_if("open")).alias("opened"),
+        (F.min("component") != F.max("component")).alias("mixed"),
+    )
+    dealt = pinned(shared.join(groups.where("mixed and opened > 0").drop("mixed"), "key"), "shared-by-open")
+    block = lambda n: F.pmod(F.xxhash64("node", F.lit("block")), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    asking = dealt.where("all > 1 and open").select("*", every("all").alias("j")).withColumn("i", block("opened"))
+    asked = dealt.where("all > 1").select("*", every("opened").alias("i")).withColumn("j", block("all")).withColumn("open", F.lit(False))
+    tiles = asking.unionByName(asked).withColumn("key", F.xxhash64("key", "i", "j"))
+    return small.unionByName(dealt.where("all = 1").select(*rows.columns)).unionByName(tiles.select(*rows.columns))
 
 
 def similar_nodes(docs: DataFrame, found: DataFrame, b: Banding, text: str) -> DataFrame:
@@ -289,7 +317,7 @@ def similar_nodes(docs: DataFrame, found: DataFrame, b: Banding, text: str) -> D
     keys = rows.where("open").select("key").distinct()
     leaders = rows.select("key", F.col("leader").alias("node"), F.col("leads").alias("component"), F.lit(False).alias("open")).distinct()
     rows = rows.select("key", "node", "component", "open").unionByName(leaders).join(keys, "key", "left_semi")
-    settled = _settled(_parted(rows, nodes, b.bucket_rows).join(sets, "node"), b.similarity)
+    settled = _settled(_parted(rows, sets, b).join(sets, "node"), b.similarity)
     return tree.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(settled)
 
 

@@ -94,6 +94,43 @@ def test_a_large_group_of_near_copies_is_one_class(spark):
     assert len(rows) == 1500 and {r.kept_doc_id for r in rows} == {0} and sum(r.removed for r in rows) == 1499
 
 
+def test_large_buckets_lose_no_pair(spark):
+    """Fillings of one form, unlike each other, with pairs of near copies among them: one bucket, parted or not."""
+    rnd = random.Random(4)
+    form = [f"form{i}" for i in range(60)]
+    docs = []
+    for d in range(240):
+        own = [f"d{d}x{i}" for i in range(14)]
+        docs.append((d, " ".join(form + own)))
+        if d % 3 == 0:
+            own[rnd.randrange(14)] = "else"
+            docs.append((1000 + d, " ".join(form + own)))
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in docs], DOCS).repartition(4)
+    expected = plain(docs)
+    assert len(expected) == 160
+    for size in (3, 40, 10**6):  # tiles of blocks, keys of shingles, whole buckets
+        banding = p.Banding(bands=8, rows=1, bucket_rows=size)
+        got = {(r.doc_id, r.paragraph): (r.kept_doc_id, r.kept_paragraph) for r in p.repeated_paragraphs(df, banding).collect()}
+        assert got == expected
+
+
+def test_first_shingles_meet(spark):
+    rnd = random.Random(9)
+    sets = []
+    for k in range(120):
+        x = rnd.sample(range(60), rnd.randrange(1, 30))
+        y = [v for v in x if rnd.random() > 0.07] + ([rnd.randrange(60)] if rnd.random() < 0.5 else [])
+        sets += [(2 * k, sorted(set(x))), (2 * k + 1, sorted(set(y or x)))]
+    df = spark.createDataFrame(sets, "node long, shingles array<long>")
+    first = {}
+    for r in p.first_shingles(df, 0.8).collect():
+        first.setdefault(r.node, set()).add(r.shingle)
+    pairs = [(i, j) for i, x in sets for j, y in sets if i < j and len(set(x) & set(y)) >= 0.8 * len(set(x) | set(y))]
+    assert len(pairs) > 50 and all(first[i] & first[j] for i, j in pairs)
+    for i, x in sets:
+        assert len(first[i]) == len(x) - -(-4 * len(x) // 5) + 1
+
+
 def test_edges(spark):
     long = " ".join(f"w{i}" for i in range(60))
     df = spark.createDataFrame([(None, long, None, None, None), (7, long, "en", "s", 1), (7, long, "en", "s", 1), (8, long, "en", "s", 1)], DOCS)
