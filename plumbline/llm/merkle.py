@@ -1,11 +1,11 @@
 """Document fingerprints as Merkle trees over sections and paragraphs.
 
-A text is cut into sections at empty lines and sections into paragraphs at line breaks. A paragraph's
-digest is the SHA-256 of its text, a section's that of its paragraphs' digests, the root's that of the
-sections' digests. Equal roots mean equal texts; where roots differ, only sections and paragraphs with
-different digests have to be looked at, which locates an edit. Below the paragraphs a tree keeps the
-hashes of pieces of a few words, from the start of each paragraph, so that the likeness of two trees
-(the Dice coefficient of their distinct pieces) also sees an edit inside one.
+A text is cut into sections at empty lines, sections into paragraphs at line breaks and paragraphs into pieces
+of a few words, which end after each word whose own hash says so: an edit changes the pieces it touches and
+no others, wherever it stands. The leaves are the SHA-256 of the pieces; a paragraph's digest is that of
+its leaves, a section's that of its paragraphs' digests, the root's that of the sections' digests. Equal
+roots mean equal texts; where roots differ, only sections and paragraphs with different digests have to be
+looked at, which locates an edit. The likeness of two trees is the Dice coefficient of their distinct leaves.
 
 Everything is a DataFrame expression: no Python runs on the rows.
 
@@ -16,8 +16,9 @@ more than one range.
 
 Defined results: a null text is the empty text. Two empty texts are alike (1), an empty and another
 are not (0). Null ids come first. Documents with the same id follow each other in the order of a hash
-of their text. The last document's successor is the first, a single document is its own. An empty
-table gives an empty result.
+of their text. The last document's successor is the first, a single document is its own. A word of more than
+64 characters counts as several, in scripts without blanks every character as one. A very long text is one
+row and one tree. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -32,30 +33,44 @@ from plumbline.functions.text import let
 from plumbline.llm.base import BLANK, partitions_for, query, table
 from plumbline.operators.shape import with_once
 
-WORDS = 5  # words of a piece
 WORD = 64  # characters after which a word is cut
+BORDER = "4"  # a word whose MD5 in hex is lower ends a piece: one in four
+SINGLE = r"\x{2E80}-\x{D7AF}\x{F900}-\x{FAFF}"  # characters of scripts without blanks between words
+OTHERS = BLANK.replace("[", "[^").replace("]", SINGLE + "]")
 RANGE_BYTES = 8 << 20  # text of one range of ids
+TREE = ("root", "sections", "leaves")
 FIRST = -(1 << 63)  # where null ids stand
 
 
-def pieces(text: Column, words: int = WORDS) -> Column:
-    """The distinct hashes of the pieces of a text."""
-    no_blank = BLANK.replace("[", "[^")
-    pattern = F.lit(f"(?:{no_blank}{{1,{WORD}}}+{BLANK}*+){{1,{words}}}+|{BLANK}++")
-    of = lambda p: F.transform(F.regexp_extract_all(p, pattern, F.lit(0)), lambda x: F.xxhash64(x))
-    return F.array_distinct(F.flatten(F.transform(F.split(text, "\n", -1), of)))
+def pieces(paragraph: Column) -> Column:
+    """The pieces of a paragraph, which together are the paragraph."""
+    pattern = F.lit(f"(?:[{SINGLE}]|{OTHERS}{{1,{WORD}}}+){BLANK}*+|{BLANK}++")
+    # the paragraph has no line break, so one can mark the borders
+    marked = lambda w: F.when(F.md5(w.cast("binary")) < BORDER, F.concat(w, F.lit("\n"))).otherwise(w)
+    words = F.transform(F.regexp_extract_all(paragraph, pattern, F.lit(0)), marked)
+    return F.filter(F.split(F.array_join(words, ""), "\n", -1), lambda x: x != "")
 
 
 def tree(text: Column) -> Column:
-    """root, and for each section its digest and the digests of its paragraphs."""
+    """root, for each section its digest and the digests of its paragraphs, and 64 bits of the distinct leaves."""
     digest = lambda parts: F.sha2(F.array_join(parts, ""), 256)
 
     def section(s: Column) -> Column:
-        leaves = F.transform(F.split(s, "\n", -1), lambda p: F.sha2(p, 256))
-        return let(leaves, lambda x: F.struct(digest(x).alias("digest"), x.alias("paragraphs")))
+        leaves = F.transform(F.split(s, "\n", -1), lambda p: F.transform(pieces(p), lambda x: F.sha2(x, 256)))
 
-    sections = F.transform(F.split(text, "\n\n", -1), section)
-    return let(sections, lambda s: F.struct(digest(F.transform(s, lambda x: x["digest"])).alias("root"), s.alias("sections")))
+        def above(x: Column) -> Column:
+            node = lambda d: F.struct(digest(d).alias("digest"), d.alias("paragraphs"))
+            return F.struct(let(F.transform(x, digest), node).alias("node"), F.flatten(x).alias("leaves"))
+
+        return let(leaves, above)
+
+    def whole(s: Column) -> Column:
+        root = digest(F.transform(s, lambda x: x["node"]["digest"])).alias("root")
+        leaves = F.transform(F.flatten(F.transform(s, lambda x: x["leaves"])), lambda x: F.xxhash64(x))
+        nodes = F.transform(s, lambda x: x["node"])
+        return F.struct(root, nodes.alias("sections"), F.array_distinct(leaves).alias("leaves"))
+
+    return let(F.transform(F.split(text, "\n\n", -1), section), whole)
 
 
 def first_difference(a: Column, b: Column) -> Column:
@@ -80,13 +95,13 @@ def first_difference(a: Column, b: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Dice coefficient of two sets of pieces."""
+    """Dice coefficient of the leaves of two trees."""
     both = F.size(a) + F.size(b)
     return F.when(both == 0, F.lit(1.0)).otherwise(2 * F.size(F.array_intersect(a, b)) / both)
 
 
 def with_next(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(_id, _text, _pieces, _next, _next_pieces): every document with the text that follows by id."""
+    """(_id, _text, _root, _sections, _leaves, _next, _next_leaves): every document, its tree's parts, with the text that follows by id."""
     ids = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(FIRST)).alias("_key"))
     n = partitions_for(docs, text, RANGE_BYTES)
     shares = [i / n for i in range(1, n)]
@@ -116,24 +131,29 @@ def with_next(docs: DataFrame, text: str = "text") -> DataFrame:
     leads = F.col("_key") == F.get(first, F.col("_own"))
     places = F.when(leads, F.array(own, place(F.get(before, F.col("_own")), 1))).otherwise(F.array(own))
     placed = rows.select("_id", "_key", "_text", F.inline(places)).repartition("_range")
-    placed = with_once(placed, _pieces=pieces(F.col("_text")))
+    placed = with_once(placed, _tree=tree(F.col("_text")))
+    # columns of their own: fields of a struct that passes a generator are lost when a count prunes them
+    placed = placed.select("*", *[F.col(f"_tree.{c}").alias(f"_{c}") for c in TREE]).drop("_tree")
     order = Window.partitionBy("_range").orderBy("_copy", "_key", F.xxhash64("_text"))
     return (
         placed.withColumn("_next", F.lead("_text").over(order))
-        .withColumn("_next_pieces", F.lead("_pieces").over(order))
+        .withColumn("_next_leaves", F.lead("_leaves").over(order))
         .where("_copy = 0")
-        .select("_id", "_text", "_pieces", "_next", "_next_pieces")
+        .select("_id", "_text", *[f"_{c}" for c in TREE], "_next", "_next_leaves")
     )
 
 
 PIECES_SQL = (
-    "list_distinct(flatten(list_transform(string_split({0}, chr(10)), "
-    f"lambda p: regexp_extract_all(p, '(?:{BLANK.replace('[', '[^')}{{{{1,{WORD}}}}}{BLANK}*){{{{1,{WORDS}}}}}|{BLANK}+'))))"
-)
-SECTIONS_SQL = (
+    "list_filter(string_split(coalesce(array_to_string(list_transform("
+    f"regexp_extract_all({{0}}, '(?:[{SINGLE}]|{OTHERS}{{1,{WORD}}}){BLANK}*|{BLANK}+'), "
+    f"lambda w: case when md5(w) < '{BORDER}' then w || chr(10) else w end), ''), ''), chr(10)), lambda x: x <> '')"
+).replace("{0}", "p")
+LEAVES_SQL = (
     "list_transform(string_split({0}, chr(10) || chr(10)), lambda s: "
-    "list_transform(string_split(s, chr(10)), lambda p: sha256(p)))"
+    f"list_transform(string_split(s, chr(10)), lambda p: list_transform({PIECES_SQL.replace('{', '{{').replace('}', '}}')}, lambda x: sha256(x))))"
 )
+DIGESTS_SQL = "list_transform({0}, lambda s: list_transform(s, lambda p: sha256(coalesce(array_to_string(p, ''), ''))))"
+SET_SQL = "list_distinct(flatten(flatten({0})))"
 UNLIKE_SQL = "nullif(coalesce(list_position(list_transform(range(1, greatest(len({0}), len({1})) + 1), lambda k: coalesce({0}[k] = {1}[k], false)), false), 0) - 1, -1)"
 
 
@@ -144,8 +164,9 @@ def _dice_sql(a: str, b: str) -> str:
 SQL = f"""with d as (select doc_id, coalesce(text, '') as t from documents),
   n as (select *, coalesce(lead(t) over (order by doc_id), first_value(t) over (order by doc_id)) as following, length(t) as n_chars from d),
   e as (select *, substr(t, 1, n_chars - n_chars // 2) || substr(following, 1, n_chars // 2) as edited from n),
-  x as (select *, {SECTIONS_SQL.format('t')} as a, {SECTIONS_SQL.format('edited')} as b,
-    {PIECES_SQL.format('t')} as ps, {PIECES_SQL.format('edited')} as es, {PIECES_SQL.format('following')} as fs from e),
+  l as (select *, {LEAVES_SQL.format('t')} as la, {LEAVES_SQL.format('edited')} as lb, {LEAVES_SQL.format('following')} as lc from e),
+  x as (select *, {DIGESTS_SQL.format('la')} as a, {DIGESTS_SQL.format('lb')} as b,
+    {SET_SQL.format('la')} as ps, {SET_SQL.format('lb')} as es, {SET_SQL.format('lc')} as fs from l),
   y as (select *, list_transform(a, lambda s: sha256(array_to_string(s, ''))) as da, list_transform(b, lambda s: sha256(array_to_string(s, ''))) as db from x),
   z as (select *, {UNLIKE_SQL.format('da', 'db')} as edit_section from y),
   s as (select *, coalesce(a[edit_section + 1], []) as sa, coalesce(b[edit_section + 1], []) as sb from z)
@@ -160,16 +181,16 @@ def op4_merkle(spark, folder):
     n = F.length("_text")
     half = F.floor(n / 2).cast("int")
     rows = with_once(rows, _edited=F.concat(F.substring(F.col("_text"), F.lit(1), n - half), F.substring(F.col("_next"), F.lit(1), half)))
-    rows = with_once(rows, _edited_pieces=pieces(F.col("_edited")), _tree=tree(F.col("_text")), _edited_tree=tree(F.col("_edited")))
-    rows = with_once(rows, _edit=first_difference(F.col("_tree"), F.col("_edited_tree")))
+    rows = with_once(rows, _edited_tree=tree(F.col("_edited")))
+    rows = with_once(rows, _edit=first_difference(F.struct(*[F.col(f"_{c}").alias(c) for c in TREE]), F.col("_edited_tree")))
     return rows.select(
         F.col("_id").alias("doc_id"),
         F.length("_text").cast("bigint").alias("n_chars"),
         F.sha2("_edited", 256).alias("edited_sha256"),
-        F.col("_tree.root").alias("fingerprint"),
+        F.col("_root").alias("fingerprint"),
         F.col("_edited_tree.root").alias("edited_fingerprint"),
-        likeness(F.col("_pieces"), F.col("_edited_pieces")).alias("near_edited"),
-        likeness(F.col("_pieces"), F.col("_next_pieces")).alias("near_next"),
+        likeness(F.col("_leaves"), F.col("_edited_tree.leaves")).alias("near_edited"),
+        likeness(F.col("_leaves"), F.col("_next_leaves")).alias("near_next"),
         F.col("_edit.section").alias("edit_section"),
         F.col("_edit.paragraph").alias("edit_paragraph"),
     )

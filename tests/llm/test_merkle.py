@@ -11,18 +11,22 @@ DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
 
 
-def plain_root(text):
-    sections = ["".join(sha(p) for p in s.split("\n")) for s in text.split("\n\n")]
-    return sha("".join(sha(s) for s in sections))
+def plain_pieces(line):
+    out, piece = [], ""
+    for w in re.findall(r"(?:[\u2E80-\uD7AF\uF900-\uFAFF]|[^\x20\x09-\x0D\u2E80-\uD7AF\uF900-\uFAFF]{1,64})[\x20\x09-\x0D]*|[\x20\x09-\x0D]+", line):
+        piece += w
+        if hashlib.md5(w.encode()).hexdigest()[0] in "0123":
+            out, piece = [*out, piece], ""
+    return [*out, piece] if piece else out
 
 
-def plain_pieces(text):
-    pattern = r"(?:[^\x20\x09-\x0D]{1,64}[\x20\x09-\x0D]*){1,5}|[\x20\x09-\x0D]+"
-    return {p for line in text.split("\n") for p in re.findall(pattern, line)}
+def plain_root(text):
+    paragraph = lambda p: sha("".join(sha(x) for x in plain_pieces(p)))
+    return sha("".join(sha("".join(paragraph(p) for p in s.split("\n"))) for s in text.split("\n\n")))
 
 
 def dice(a, b):
-    a, b = plain_pieces(a), plain_pieces(b)
+    a, b = ({x for line in t.split("\n") for x in plain_pieces(line)} for t in (a, b))
     return 2 * len(a & b) / (len(a) + len(b)) if a or b else 1.0
 
 
@@ -64,3 +68,28 @@ def test_edges(spark, monkeypatch):
     assert m.op4_merkle(spark, "").count() == 1
     monkeypatch.setattr(m, "table", lambda *_: df.limit(0))
     assert m.op4_merkle(spark, "").count() == 0
+
+
+def test_an_edit_changes_only_the_pieces_it_touches(spark):
+    latin = " ".join(f"word{i}" for i in range(400))
+    han = "".join(chr(0x4E00 + i * 37 % 5000) for i in range(400))
+    pairs = [(latin, latin.replace("word2 ", "word2 more ")), (han, han[:3] + "多" + han[3:]), (latin, latin[:-7]), ("", ""), ("", "a")]
+    df = spark.createDataFrame(pairs, "a string, b string").select("a", m.tree(F.col("a")).alias("x"), m.tree(F.col("b")).alias("y"))
+    got = df.select(m.likeness(F.col("x.leaves"), F.col("y.leaves"))).collect()
+    assert min(r[0] for r in got[:3]) > 0.95 and [r[0] for r in got[3:]] == [1.0, 0.0]
+
+
+def test_the_sql_is_the_query(spark, monkeypatch, tmp_path):
+    import duckdb
+
+    rnd = random.Random(2)
+    parts = ["ab", "é", "多", "한", " ", " ", "\t", "\n", "\n\n", "word", "𝔘", "x" * 70]
+    docs = [(i, "".join(rnd.choice(parts) for _ in range(rnd.randrange(80)))) for i in range(200)] + [(900, None), (901, "")]
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in docs], DOCS)
+    df.coalesce(1).write.parquet(f"{tmp_path}/d")
+    monkeypatch.setattr(m, "table", lambda *_: df)
+    rows = m.op4_merkle(spark, "")
+    db = duckdb.connect()
+    db.execute(f"create view documents as select * from '{tmp_path}/d/*.parquet'")
+    expected = db.execute(f"select {', '.join(rows.columns)} from ({m.SQL})").fetchall()
+    assert sorted(map(tuple, rows.collect())) == sorted(expected)
