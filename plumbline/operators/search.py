@@ -32,7 +32,10 @@ SCORE_DIGITS = 6  # scores compare, and tie, at this precision; ties go to the l
 QUERY_BLOCK = 4096  # queries one task holds as a matrix
 CORPUS_BLOCK = 16_384  # corpus rows one cell of the grid holds
 TILE_QUERIES, TILE_ROWS = 512, 4096  # what is scored at once
-BLOCK_DOCS, BLOCK_TERMS = 1024, 500_000  # documents of a block of postings, and their terms (one longer document is a block)
+BLOCK_DOCS, BLOCK_TERMS = 1024, 100_000  # documents of a block of postings, and their terms (one longer document is a block)
+# Blocks are wide rows, and Spark's reader holds up to 4096 rows of a row group at once: row groups are small, and
+# their size is looked at after every row, not after a hundred.
+BLOCK_STORAGE = {"parquet.block.size": 4 << 20, "parquet.page.size.row.check.min": 1, "parquet.page.size.row.check.max": 1}
 BM25_K1, BM25_B = 1.2, 0.75
 RRF_CONSTANT = 60
 QUERY_TERMS = 100_000  # terms of the queries one task holds
@@ -295,7 +298,7 @@ def keyword_index(corpus: DataFrame) -> DataFrame:
 
     numbers = ", ".join(f"{n} array<int>" for n in ("peaks", "counts", "docs", "tfs"))
     schema = f"least int, ids array<{kind.simpleString()}>, lengths array<int>, terms array<string>, {numbers}"
-    return pinned(words.mapInArrow(pack, schema), "keyword-index")
+    return pinned(words.mapInArrow(pack, schema), "keyword-index", **BLOCK_STORAGE)
 
 
 def _query_blocks(queries: DataFrame) -> Iterator[list[tuple]]:

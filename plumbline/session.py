@@ -45,11 +45,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def pinned(df: DataFrame, name: str) -> DataFrame:
+def pinned(df: DataFrame, name: str, **options) -> DataFrame:
     """The rows of `df`, written once below the shared folder: what reads them repeats nothing,
     sees no later change of the sources, and survives the loss of executors."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

@@ -1,4 +1,5 @@
 import math
+import random
 import tracemalloc
 
 import numpy as np
@@ -256,3 +257,16 @@ def test_hits_and_norms(spark):
     assert hit["page"] == 7 and hit["title"] == "" and hit["score"] == 0.5
     df = spark.createDataFrame([([3.0, 4.0],), ([0.0, 0.0],)], "v array<float>")
     assert [r[0] for r in df.select(vectors.l2_normalise(F.col("v"))).collect()] == [[0.6, 0.8], [0.0, 0.0]]
+
+
+def test_blocks_and_row_groups_are_small(spark):
+    """Spark's reader holds a row group of wide rows at once: that must not be the whole partition."""
+    import pyarrow.parquet as pq
+
+    rnd = random.Random(2)
+    texts = [(i, " ".join(f"t{rnd.randrange(50_000)}" for _ in range(400))) for i in range(3000)]
+    index = search.keyword_index(spark.createDataFrame(texts, "id long, text string").coalesce(1))
+    assert index.selectExpr("max(size(docs)) as n").first()["n"] <= search.BLOCK_TERMS <= 100_000
+    files = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in index.inputFiles()]
+    groups = [f.row_group(i).num_rows for f in files for i in range(f.num_row_groups)]
+    assert sum(groups) == index.count() >= 12 and len(groups) > len(files)
