@@ -89,20 +89,31 @@ def unanswerable(questions: DataFrame, labels: DataFrame, passages: DataFrame) -
     return questions.join(found, questions["id"] == found["question_id"], "left_anti")
 
 
-def per_question(questions: DataFrame, labels: DataFrame, rankings: DataFrame, depth: int = DEPTH, configs: list[str] | None = None) -> DataFrame:
+def _verdicts(labels: DataFrame, passages: DataFrame) -> DataFrame:
+    """(_q, _d, _holds): whether a text of the labelled document holds the evidence, once per question and document."""
+    own = labels.select(F.col("question_id").alias("_q"), "doc_id", "evidence").where("doc_id is not null")
+    met = join_sized(passages.select("doc_id", "text"), own, "doc_id", spread=["text"])
+    judged = met.select("_q", F.col("doc_id").alias("_d"), contains_evidence(F.col("text"), F.col("evidence")).alias("_holds"))
+    return judged.groupBy("_q", "_d").agg(F.bool_or("_holds").alias("_holds"))
+
+
+def per_question(
+    questions: DataFrame, labels: DataFrame, rankings: DataFrame, depth: int = DEPTH, configs: list[str] | None = None, passages: DataFrame | None = None
+) -> DataFrame:
     """First relevant rank, document hit and top documents per configuration and question.
 
     Questions without any ranked row stay in, as misses. Name the configurations to spare the
-    pass that looks for them.
+    pass that looks for them. Name the `passages` (doc_id, text) and rankings need no text: a text meets the
+    labels of its document once, not every ranked row, and rows of documents without a passage are no rows.
     """
-    pair = labels.select(
-        F.col("question_id").alias("_q"), F.col("doc_id").alias("_d"), "evidence"
-    )
-    met = rankings.join(
-        pair, (F.col("question_id") == F.col("_q")) & (F.col("doc_id") == F.col("_d")), "left"
-    )
-    # texts of unlabelled documents, most of them, are not normalised at all
-    holds = F.when(F.col("_d").isNotNull(), contains_evidence(F.col("text"), F.col("evidence"))).otherwise(F.lit(False))
+    if passages is None:
+        pair = labels.select(F.col("question_id").alias("_q"), F.col("doc_id").alias("_d"), "evidence")
+        # texts of unlabelled documents, most of them, are not normalised at all
+        holds = F.when(F.col("_d").isNotNull(), contains_evidence(F.col("text"), F.col("evidence"))).otherwise(F.lit(False))
+    else:
+        pair, holds = _verdicts(labels, passages), F.when(F.col("_d").isNotNull(), F.col("_holds")).otherwise(F.lit(False))
+        rankings = rankings.join(passages.select("doc_id"), "doc_id", "left_semi")
+    met = rankings.join(pair, (F.col("question_id") == F.col("_q")) & (F.col("doc_id") == F.col("_d")), "left")
     per_rank = met.groupBy("config", "question_id", "rank").agg(
         F.any_value("doc_id").alias("doc_id"),
         F.bool_or(F.col("_d").isNotNull()).alias("doc_match"),

@@ -59,6 +59,21 @@ def test_kinds_and_configs_are_apart(spark, setup):
     assert recalls == sorted(recalls)
 
 
+def test_rankings_without_texts(spark, setup):
+    """Texts met by label give what texts in every ranked row give; a document without a passage has no row."""
+    questions, labels = setup
+    texts = [("d9", "within 6 months"), ("d1", "Normally within **6 months**."), ("d1", "x"), ("d2", None), ("d3", "the HC2 form"), (None, "y")]
+    passages = spark.createDataFrame(texts, "doc_id string, text string")
+    ids = [("a", "q1", 1, "d9"), ("a", "q1", 2, "d1"), ("a", "q1", 3, "d2"), ("a", "q2", 1, "gone"), ("a", "q2", 2, "d3"), ("b", "q2", 6, "d3"), ("b", None, 1, "d1")]
+    ranked = spark.createDataFrame(ids, "config string, question_id string, rank int, doc_id string")
+    labels = labels.unionByName(labels).unionByName(spark.createDataFrame([("q2", None, "HC2")], labels.schema))
+    with_texts = relevance.per_question(questions, labels, ranked.join(passages, "doc_id"), depth=5, configs=["a", "b"])
+    without = relevance.per_question(questions, labels, ranked, depth=5, configs=["a", "b"], passages=passages)
+    columns = ["config", "question_id", "first_relevant_rank", "doc_hit_at_5"]
+    found = sorted(without.select(columns).collect(), key=str)
+    assert found == sorted(with_texts.select(columns).collect(), key=str) and found[0]["first_relevant_rank"] == 2
+
+
 def test_answerable(spark, setup):
     questions, labels = setup
     passages = spark.createDataFrame([("d2", "about half a  year"), ("d3", "no code")], "doc_id string, text string")
