@@ -4,6 +4,7 @@ raw files, and read back, loaded and stored by the operators under test."""
 from __future__ import annotations
 
 import datetime as dt
+import math
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,10 +40,19 @@ LEAFLET = """concat('---\n', 'doc_id: "supplier-', s_suppkey, '"\n', 'title: '''
   '# About\nBalance ', cast(floor(s_acctbal) as bigint), '.\n\n## Place\nNation ', s_nationkey, ' ')"""
 
 
+FILES_PER_TASK = 250  # leaflets that one task writes, in a folder of its own
+
+
 def leaflets(spark: SparkSession, folder: str) -> DataFrame:
+    """A file per supplier key, written by many tasks: a folder is committed, and listed, per task and not per file."""
     root = scratch_path(spark, "leaflets")
     rows = table(spark, folder, "supplier").select("s_suppkey", F.expr(LEAFLET).alias("text"))
-    rows.write.partitionBy("s_suppkey").text(f"{root}/leaflets")
+    # what has one key is one file, line after line
+    lines = F.collect_list(F.coalesce("text", F.lit("")))
+    whole = rows.groupBy("s_suppkey").agg(F.array_join(lines, "\n").alias("text"))
+    tasks = max(1, math.ceil(rows.count() / FILES_PER_TASK))
+    dealt = whole.repartition(tasks, "s_suppkey").select(F.spark_partition_id().alias("task"), "text")
+    dealt.write.partitionBy("task").option("maxRecordsPerFile", 1).text(f"{root}/leaflets")
     return files.read_files(spark, root, {"leaflets": ".TXT", "missing": ".pdf"})
 
 
