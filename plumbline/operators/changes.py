@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.session import pinned
+
 STATUS = ("new", "changed", "unchanged", "removed")
 
 
@@ -77,7 +79,8 @@ def change_feed(before: DataFrame, after: DataFrame, key: str = "chunk_id") -> D
     def digests(df: DataFrame) -> DataFrame:
         return df.select(key, F.sha2(F.to_json(F.struct(*columns)), 256).alias("_digest"))
 
-    diff = classify(digests(before), digests(after), key, "_digest").select(key, "status")
+    diff = classify(digests(before), digests(after), key, "_digest").select(key, "status").where("status <> 'unchanged'")
+    diff = pinned(diff, "feed-diff")
 
     def rows(df: DataFrame, names: dict[str, str]) -> DataFrame:
         kinds = F.coalesce(*[F.when(F.col("status") == s, F.lit(kind)) for s, kind in names.items()])

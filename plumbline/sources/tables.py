@@ -113,7 +113,26 @@ def replace_changed(stored_path: str, incoming: DataFrame, diff: DataFrame, buck
         if exists(spark, stored_path)
         else with_bucket(incoming.limit(0), buckets, key)
     )
-    state = apply_diff(stored, with_bucket(incoming, buckets, key), diff, key)
+    _rewrite(stored_path, apply_diff(stored, with_bucket(incoming, buckets, key), diff, key), touched)
+
+
+def replace_rows(stored_path: str, rows: DataFrame, buckets: int = BUCKETS, key: str = "doc_id") -> None:
+    """Put rows, one per key, in the place of those with their keys: `replace_changed` where all rows are changed
+    ones. The rows are the diff, so they are not met with one; stored rows alone are."""
+    spark = rows.sparkSession
+    rows = with_bucket(rows.where(F.col(key).isNotNull()), buckets, key)
+    touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]  # at most `buckets` numbers
+    if not touched:
+        return
+    state = rows
+    if exists(spark, stored_path):
+        stored = spark.read.parquet(stored_path).where(F.col(BUCKET).isin(touched))
+        state = stored.join(rows.select(key), key, "left_anti").unionByName(rows, allowMissingColumns=True)
+    _rewrite(stored_path, state, touched)
+
+
+def _rewrite(stored_path: str, state: DataFrame, touched: list[int]) -> None:
+    spark = state.sparkSession
     folders = {b: f"{stored_path}/{BUCKET}={b}" for b in touched}
     before = {b: _files(spark, folder) for b, folder in folders.items()}
     # Dynamic overwrite stages the new files and swaps directories when the job commits, so the
@@ -183,5 +202,5 @@ def store_run(layout: Layout, documents: DataFrame, chunks: DataFrame, quarantin
 
 __all__ = [
     "DDL", "Layout", "append", "conform", "create", "exists", "log_run", "overwrite", "read", "replace_changed",
-    "schema_of", "store_run", "stored_digest", "with_bucket",
+    "replace_rows", "schema_of", "store_run", "stored_digest", "with_bucket",
 ]

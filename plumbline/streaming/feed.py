@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.operators.search import PUBLISHED_COLUMNS
-from plumbline.session import pinned
-from plumbline.sources.tables import BUCKET, BUCKETS, exists, read, replace_changed, with_bucket
+from plumbline.session import is_small, pinned
+from plumbline.sources.tables import BUCKET, BUCKETS, exists, read, replace_rows, with_bucket
 
 VERSION = "_version"
 DELETED = "_deleted"
@@ -31,21 +31,17 @@ def sync(spark: SparkSession, feed: str, target: str, checkpoint: str, key: str
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         lasting = F.col("_change_type") != "delete"
-        # of two changes in one version the row that stays wins: a feed holds an update as a pair
-        newest = (
-            batch.where(F.col("_change_type") != "update_preimage")
-            .groupBy(key)
-            .agg(F.max_by(F.struct(VERSION, (~lasting).alias(DELETED), *published), F.struct(VERSION, lasting)).alias("r"))
-            .select(key, "r.*")
-        )
-        newest = pinned(with_bucket(newest, buckets, key), "changes")
+        # a tombstone has no columns to carry
+        kept = [F.when(lasting, F.col(c)).alias(c) for c in published]
+        changes = batch.where(F.col("_change_type") != "update_preimage").select(key, VERSION, (~lasting).alias(DELETED), *kept)
+        newest = pinned(with_bucket(_newest(changes, key), buckets, key), "changes")
         if exists(spark, target):
             touched = [r[0] for r in newest.select(BUCKET).distinct().collect()]  # at most `buckets` numbers
             held = read(spark, target).where(F.col(BUCKET).isin(touched)).select(key, F.col(VERSION).alias("_held"))
-            newest = newest.join(held, key, "left").where(F.col("_held").isNull() | (F.col(VERSION) >= F.col("_held"))).drop("_held")
+            stale = newest.select(key, VERSION).join(held, key).where(~F.coalesce(F.col(VERSION) >= F.col("_held"), F.lit(False)) & F.col("_held").isNotNull())
+            newest = _without(newest, pinned(stale.select(key).distinct(), "stale"), key)
         newest = newest.drop(BUCKET)
-        rows = newest.select(key, VERSION, DELETED, *[F.when(~F.col(DELETED), F.col(c)).alias(c) for c in published])
-        replace_changed(target, rows, newest.select(key, F.lit("changed").alias("status")), buckets, key)
+        replace_rows(target, newest.select(key, VERSION, DELETED, *published), buckets, key)
 
     query = (
         spark.readStream.schema(schema)
@@ -58,6 +54,26 @@ def sync(spark: SparkSession, feed: str, target: str, checkpoint: str, key: str
     query.awaitTermination()
 
 
+def _without(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is not listed; few keys are broadcast, so the rows stay where they are."""
+    return rows.join(F.broadcast(keys) if is_small(keys) else keys, key, "left_anti")
+
+
+def _newest(changes: DataFrame, key: str) -> DataFrame:
+    """The newest change per key; of two changes in one version the row that stays wins: a feed holds an update as
+    a pair. Keys alone are counted first: where few occur twice, only their rows are shuffled."""
+    rest = [c for c in changes.columns if c != key]
+    twice = changes.groupBy(F.col(key).alias("_twice")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    twice = pinned(twice.select("_twice"), "twice")
+    several, once = changes, None
+    if is_small(twice):
+        same = F.col(key).eqNullSafe(F.col("_twice"))
+        several = changes.join(F.broadcast(twice), same, "left_semi")
+        once = changes.join(F.broadcast(twice), same, "left_anti")
+    reduced = several.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(VERSION, ~F.col(DELETED))).alias("r")).select(key, "r.*")
+    return reduced if once is None else reduced.unionByName(once)
+
+
 def current(spark: SparkSession, target: str) -> DataFrame:
     """The published rows, without tombstones."""
     return read(spark, target).where(~F.col(DELETED)).drop(BUCKET, VERSION, DELETED)

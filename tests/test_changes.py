@@ -159,3 +159,13 @@ def test_older_versions_change_nothing(spark):
     assert publish(8, ("b", "8", "insert")) == {"a": "6", "b": "8", "c": "7", "d": "6"}
     feeds.sync(spark, feed, target, scratch_path(spark, "again"), buckets=4)  # all changes in one batch
     assert {r["chunk_id"]: r["text"] for r in feeds.current(spark, target).collect()} == {"a": "6", "b": "8", "c": "7", "d": "6"}
+
+
+def test_newest_of_few_repeated_keys(spark):
+    """Keys that occur once keep their row as it is, repeated ones are reduced; a null key is a key."""
+    from plumbline.streaming import feed as feeds
+
+    rows = [("a", 1, False, "x"), ("b", 1, False, "x"), ("b", 2, True, None), ("c", 1, True, None), ("c", 1, False, "y"), (None, 1, False, "p"), (None, 2, False, "q")]
+    changes = spark.createDataFrame(rows, f"chunk_id string, {feeds.VERSION} long, {feeds.DELETED} boolean, text string")
+    found = {tuple(r) for r in feeds._newest(changes, "chunk_id").collect()}
+    assert found == {("a", 1, False, "x"), ("b", 2, True, None), ("c", 1, False, "y"), (None, 2, False, "q")}
