@@ -31,7 +31,7 @@ PUBLISHED_COLUMNS = (
 SCORE_DIGITS = 6  # scores compare, and tie, at this precision; ties go to the lower id
 QUERY_BLOCK = 4096  # queries one task holds as a matrix
 CORPUS_BLOCK = 16_384  # corpus rows one cell of the grid holds
-TILE_QUERIES, TILE_ROWS = 512, 4096  # what is scored at once
+TILE_QUERIES, TILE_ROWS = 512, 1024  # what is scored at once
 BLOCK_DOCS, BLOCK_TERMS = 1024, 100_000  # documents of a block of postings, and their terms (one longer document is a block)
 # Blocks are wide rows, and Spark's reader holds up to 4096 rows of a row group at once: row groups are small, and
 # their size is looked at after every row, not after a hundred.
@@ -226,7 +226,10 @@ def sketch_index(corpus: DataFrame, words: int | None = None) -> DataFrame:
 
 def _signs(column: pa.Array) -> np.ndarray:
     raw = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
-    return np.unpackbits(raw, axis=1) * 2.0 - 1.0
+    sides = np.unpackbits(raw, axis=1).astype(np.float64)
+    sides *= 2.0
+    sides -= 1.0
+    return sides
 
 
 def approximate_topk(queries: DataFrame, corpus: DataFrame, k: int, index: DataFrame | None = None, candidates: int | None = None) -> DataFrame:
@@ -235,11 +238,11 @@ def approximate_topk(queries: DataFrame, corpus: DataFrame, k: int, index: DataF
     The sketches are scanned like an exact search: a query's distances to the planes
     times the sides of a row estimate the cosine. Only the best `candidates` rows of a query (by default
     `candidates_for`) are fetched by id and compared by their vectors. A stored `index` of the corpus spares
-    making the sketches.
+    making the sketches; else they are written once, so that the workers that make them are gone when others scan.
     """
     corpus = corpus.select("id", "vector").where(F.col("vector").isNotNull())
     n = corpus.count()
-    index = sketch_index(corpus, sketch_words(n)) if index is None else index
+    index = pinned(sketch_index(corpus, sketch_words(n)), "sketches") if index is None else index
 
     def distances(vectors: np.ndarray) -> np.ndarray:
         sides = planes(8 * width, vectors.shape[1])

@@ -270,3 +270,14 @@ def test_blocks_and_row_groups_are_small(spark):
     files = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in index.inputFiles()]
     groups = [f.row_group(i).num_rows for f in files for i in range(f.num_row_groups)]
     assert sum(groups) == index.count() >= 12 and len(groups) > len(files)
+
+
+def test_signs_are_made_in_place():
+    """A tile of sketches becomes one matrix of numbers, not two at a time."""
+    sketches = pa.array([bytes([i % 256]) * 320 for i in range(search.TILE_ROWS)], pa.binary())
+    tracemalloc.start()
+    signs = search._signs(sketches)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert signs.shape == (search.TILE_ROWS, 2560) and set(np.unique(signs)) == {-1.0, 1.0}
+    assert peak < 1.5 * signs.nbytes <= 1.5 * (32 << 20)
