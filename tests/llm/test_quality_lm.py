@@ -105,3 +105,18 @@ def test_edges(spark):
     assert q.classify(docs.limit(0), labels).count() == 0
     none = q.classify(docs, labels.limit(0)).collect()
     assert len(none) == 404 and all(r.threshold is None and r.kept == (r.n_tokens > 1) for r in none)
+
+
+def test_every_trusted_document_teaches_and_shards_answer_the_whole_model(spark):
+    """5,000 trusted documents, each with a word of its own: with a sample of them most of these words stay unknown."""
+    docs = spark.range(5000).selectExpr("id as doc_id", "concat('ab cd w', id, ' ef') as text", "'en' as lang")
+    labels = docs.selectExpr("doc_id", "1 as quality", "0 as toxic")
+    out = q.classify(docs, labels, q.KneserNey(block_bytes=20_000), keep=["doc_id", "text"])
+    held = F.pmod(F.xxhash64("doc_id", F.lit("held out")), F.lit(5)) == 0
+    rows = out.withColumn("held", held).collect()
+    plain = Plain([r.text.split() for r in rows if not r.held])
+    assert len(rows) == 5000 and len({round(r.perplexity, 4) for r in rows if not r.held}) == 1
+    for r in [r for r in rows if r.held][:5] + [r for r in rows if not r.held][:5]:
+        w = ["^", "^", *r.text.split(), "$"]
+        wanted = -sum(math.log10(plain.p(g)) for g in zip(w, w[1:], w[2:])) / 5
+        assert math.isclose(math.log10(r.perplexity), wanted, rel_tol=1e-4)
