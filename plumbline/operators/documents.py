@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.text import (
-    LINE_BREAK,
     SPACE,
+    break_lines,
     file_name,
     file_stem,
     let,
@@ -127,7 +127,7 @@ def heading_sections(body: Column, title: Column) -> Column:
             lambda at: let(paths(lines, at), lambda path_of: build(lines, at, path_of)),
         )
 
-    return let(F.split(body, LINE_BREAK), split_at_headings)
+    return let(break_lines(body), split_at_headings)
 
 
 def _findings_of(text: Column, kind: Kind, width: int) -> Column:

@@ -281,3 +281,29 @@ def test_no_break_spaces_in_page_lines(spark):
     df = spark.createDataFrame([(x,) for x in lines], "line string")
     got = df.select(pages.is_heading(F.col("line")), pages.is_noise_line(F.col("line"))).collect()
     assert [tuple(r) for r in got] == [(True, False), (False, True), (True, True), (False, True), (False, False)]
+
+
+def test_units_carry_the_words_they_have_without_markers(spark):
+    """Words are counted once, in the sentence: a paragraph that fits has the words of its sentences."""
+    texts = [
+        "One two. Three ⟦p2⟧ four.\n\nFive.⟦p3⟧ Six! ⟦p4⟧ Seven eight nine ten eleven. Twelve  of\tthem?",
+        "w " * 40 + "end. Next one. " + "⟦p7⟧" + "x " * 9,
+        "a\x1cb. C　d\n \n" + "long " * 11 + ".",
+        "", " \n\n ",
+    ]
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    for budget in (4, 13, 60):
+        for r in df.select(passages.counted_units(F.col("x"), budget).alias("u"), passages.units(F.col("x"), budget).alias("t")).collect():
+            assert [u["text"] for u in r["u"]] == list(r["t"])
+            counted = [(u["n"], one(spark, u["text"], tx.word_count(tx.drop_markers(F.col("x"))))) for u in r["u"]]
+            assert all(a == b for a, b in counted), counted
+
+
+@pytest.mark.parametrize("text", ["a\nb\n\nc", "a\r\nb\rc", "a\x0bb\x0cc\x1cd\x1de\x1ef", "a\x85b c ", "", "\n", "a\x1fb"])
+def test_lines_break_as_the_pattern_says(spark, text):
+    assert one(spark, text, tx.break_lines(F.col("x"))) == one(spark, text, F.split("x", tx.LINE_BREAK))
+
+
+@pytest.mark.parametrize(("line", "expected"), [("draft", True), ("oﬀicial", True), ("confidential　", False), ("Page 3 of 9 　", True), ("Introduction ... 12\x1c", False), ("a long line of text that ends in a number 7", False), ("٣", True)])
+def test_noise_is_told_by_the_end_of_a_line(spark, line, expected):
+    assert bool(one(spark, line, pages.is_noise_line(F.col("x")))) is expected
