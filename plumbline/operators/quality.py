@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.session import pinned
+from plumbline.session import is_small, pinned
 
 KEY = ("month_ending", "hbt", "patient_type", "specialty")
 MAX_AGE_DAYS = 120
@@ -73,6 +73,20 @@ def order_of(df: DataFrame) -> str | None:
     return next((c for c in ORDERS if c in df.columns), None)
 
 
+def last_rows(df: DataFrame, key: Sequence[str], order: str | None, among: Column) -> tuple[DataFrame, DataFrame]:
+    """(the rows with `_among` and a `_number` of their own, written once; the numbers of the last row per key `among` them)."""
+    held = df.withColumns({"_among": among, "_number": F.monotonically_increasing_id()})
+    held = pinned(held, "numbered")
+    place = F.struct(*[F.col(order)] if order else [], "_number")
+    last = held.where("_among").groupBy(*key).agg(F.max(place).alias("_last"))
+    return held, last.select(F.col("_last._number").alias("_number"), F.lit(True).alias("_stays"))
+
+
+def _marked(held: DataFrame, last: DataFrame, columns: Sequence[str]) -> DataFrame:
+    joined = held.join(last, "_number", "left")
+    return joined.select(*columns, (F.col("_among") & F.col("_stays").isNull()).alias("_superseded"))
+
+
 def mark_superseded(df: DataFrame, key: Sequence[str], order: str | None, among: Column) -> DataFrame:
     """Add `_superseded`: a later row with the same key exists `among` the same rows.
 
@@ -80,13 +94,7 @@ def mark_superseded(df: DataFrame, key: Sequence[str], order: str | None, among:
     null (before all others), equal or not given, the number decides. The last row per key is a partial
     aggregate; rows find it by that number, so a key that holds a third of all rows is no hot partition.
     """
-    held = df.withColumns({"_among": among, "_number": F.monotonically_increasing_id()})
-    held = pinned(held, "numbered")
-    place = F.struct(*[F.col(order)] if order else [], "_number")
-    last = held.where("_among").groupBy(*key).agg(F.max(place).alias("_last"))
-    last = last.select(F.col("_last._number").alias("_number"), F.lit(True).alias("_stays"))
-    joined = held.join(last, "_number", "left")
-    return joined.select(*df.columns, (F.col("_among") & F.col("_stays").isNull()).alias("_superseded"))
+    return _marked(*last_rows(df, key, order, among), df.columns)
 
 
 def keep_last(df: DataFrame, key: Sequence[str], order: str | None) -> DataFrame:
@@ -100,12 +108,29 @@ def judge(df: DataFrame, rules: Sequence[Rule], key: Sequence[str] = KEY, order:
     Duplicates are looked for among rows that pass all drop rules only; the last one stays, by `order` or
     what `order_of` finds.
     """
-    marked = mark_superseded(with_reasons(df, rules), key, order or order_of(df), F.col(REASONS) == "")
+    return _judged(mark_superseded(with_reasons(df, rules), key, order or order_of(df), F.col(REASONS) == ""))
+
+
+def _judged(marked: DataFrame) -> DataFrame:
     return marked.withColumn(
         REASONS, F.when(F.col("_superseded"), F.lit(UNIQUE)).otherwise(F.col(REASONS))
     ).drop("_superseded")
 
 
+def judge_once(df: DataFrame, rules: Sequence[Rule], key: Sequence[str] = KEY, order: str | None = None) -> DataFrame:
+    """What `judge` gives, without the columns that order rows, for several readers: none of them judges again.
+
+    Where the rows that stay were measured and are few, their numbers are written, and each reader marks the rows
+    by broadcast; otherwise the judged rows are written.
+    """
+    rows = with_reasons(df, rules)
+    held, last = last_rows(rows, key, order or order_of(df), F.col(REASONS) == "")
+    last = pinned(last, "last-rows")
+    few = is_small(last)
+    judged = _judged(_marked(held, F.broadcast(last) if few else last, [c for c in rows.columns if c not in ORDERS]))
+    return judged if few else pinned(judged, "judged")
+
+
 def kept(judged: DataFrame) -> DataFrame:
     return judged.where(F.col(REASONS) == "").drop(REASONS)
 

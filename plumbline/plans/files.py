@@ -266,7 +266,7 @@ def raw_files(spark: SparkSession, folder: str) -> dict[str, str]:
     nation, region, orders = (table(spark, folder, t) for t in ("nation", "region", "orders"))
     specialties = orders.where("o_orderpriority not like '4%'").selectExpr("left(o_orderpriority, 1) as Specialty", "substr(o_orderpriority, 3) as SpecialtyName")
     sources = {
-        "ongoing_waits": raw_waits(spark, folder).orderBy("_id"),
+        "ongoing_waits": raw_waits(spark, folder, ordered=True),
         "health_boards": nation.selectExpr("concat('N', n_nationkey) as HB", "n_name as HBName"),
         "special_boards": region.selectExpr("concat('N', r_regionkey) as SHB", "r_name as SHBName"),
         "specialties": specialties.distinct(),
@@ -327,6 +327,6 @@ def job_digest(spark, folder):
         split = files.source_digest(spark, path)
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
-    changed = files.source_digest(spark, csv(raw_waits(spark, folder).where("_id > 1").orderBy("_id"), scratch_path(spark, "changed")))
+    changed = files.source_digest(spark, csv(raw_waits(spark, folder, ordered=True).where("_id > 1"), scratch_path(spark, "changed")))
     flags = {"stored": stored is not None, "same_split": split == stored, "same_changed": changed == stored}
     return tables.read(spark, bronze).agg(F.count("*").alias("rows")).withColumns({k: F.lit(v) for k, v in flags.items()})

@@ -34,8 +34,8 @@ def load_waits(
     """Monthly file -> bronze, silver, rejects, quality history and latest-month table.
 
     The whole load is skipped when the file is the one loaded last. All history is rebuilt, as
-    past months are revised. The judged rows are written once, for silver, rejects, results and the report,
-    which is returned, to share. Of two rows with one key the later in the file stays.
+    past months are revised. The rows are judged once, for silver, rejects, results and the report, which is
+    returned, to share. Of two rows with one key the later in the file stays.
     """
     bronze_path = layout.path("bronze_ongoing_waits")
     digest = files.source_digest(spark, sources["ongoing_waits"])
@@ -50,10 +50,10 @@ def load_waits(
     rules = quality.waits_rules(today)
     silver = waits.to_silver(raw, boards, specialties)
 
-    judged = pinned(quality.judge(silver, rules), "judged")
+    judged = quality.judge_once(silver, rules)
     stamp = {"run_id": run_id, "loaded_at": run_at}
     silver_path = layout.path("silver_ongoing_waits")
-    stored = waits.whole_counts(judged).drop(*quality.ORDERS)
+    stored = waits.whole_counts(judged)
     tables.overwrite(waits.with_lineage(quality.kept(stored), **stamp), silver_path)
     tables.overwrite(waits.with_lineage(quality.rejects(stored), run_id=run_id), layout.path("ops_rejects"))
     history = pinned(

@@ -18,8 +18,15 @@ from plumbline.sources.tables import conform
 TODAY = dt.date(2001, 3, 31)
 
 
-def raw_waits(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(table(spark, folder, "orders"), "o_orderkey").selectExpr(
+def raw_waits(spark: SparkSession, folder: str, ordered: bool = False) -> DataFrame:
+    """The raw columns; `ordered` by `_id`, in which case orders are sorted, and their texts are made once."""
+    orders = table(spark, folder, "orders")
+    if ordered:
+        read = ("o_orderkey", "o_orderdate", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
+        orders = orders.select(*read).orderBy("o_orderkey")
+    else:
+        orders = spread(orders, "o_orderkey")
+    return orders.selectExpr(
         "o_orderkey as _id",
         "date_format(last_day(o_orderdate), if(o_custkey % 53 = 0, 'yyyy-MM-dd', 'yyyyMMdd')) as MonthEnding",
         "case when o_custkey % 27 = 0 then 'S92000003' when o_custkey % 101 = 0 then '' "

@@ -64,8 +64,12 @@ def read_sites(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
 
 
+PLAIN = r"\A[!-~]*\z"  # visible ASCII: nothing that `_clean` would change
+
+
 def _clean(c: Column) -> Column:
-    return F.btrim(F.translate(c, "\xa0", " "), F.lit(SPACE_CHARS))
+    """No-break spaces as blanks, and none at the ends. Few cells have any; trimming costs more than to see that."""
+    return F.when(c.rlike(PLAIN), c).otherwise(F.btrim(F.translate(c, "\xa0", " "), F.lit(SPACE_CHARS)))
 
 
 def text_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from plumbline.operators import joins, quality, waits
 from plumbline.operators.joins import join_sized, skew_safe_join
+from plumbline.plans.statistics import raw_waits
 from plumbline.sources import files
 
 TODAY = dt.date(2026, 10, 9)
@@ -245,3 +246,44 @@ def test_hot_keys_are_parted_by_their_size(spark, monkeypatch):
     assert out.where("key = 'hot'").count() == 4000 and out.where("key = 'warm'").count() == 120
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "_salt" in plan
+
+
+def test_judging_once_writes_few_last_rows_and_gives_what_judge_gives(spark, monkeypatch):
+    from pathlib import Path
+
+    from plumbline.session import shared_dir
+
+    df = spark.range(400).selectExpr(
+        "id as _id", "date'2001-01-31' as month_ending", "if(id % 7 = 0, '', concat('N', id % 3)) as hbt", "'a' as patient_type", "'1' as specialty",
+        "double(id) as number_waiting", "0d as waiting_over_12_weeks", "1d as median_wait_days", "2d as p90_wait_days", "'b' as board_name",
+        "'s' as specialty_name", "false as is_all_specialties",
+    )
+    rules = quality.waits_rules(TODAY)
+    rows = lambda x: sorted(map(str, x.drop("_id").collect()))
+    written = lambda: len(list(Path(shared_dir(spark)).glob("judged-*")))
+    expected, before = rows(quality.judge(df, rules)), written()
+    once = quality.judge_once(df, rules)
+    assert rows(once) == expected and "_id" not in once.columns and written() == before
+    assert quality.kept(once).count() == 3 and quality.rejects(once).count() == 397
+    monkeypatch.setattr(quality, "is_small", lambda x: False)
+    assert rows(quality.judge_once(df, rules)) == expected and written() == before + 1
+
+
+def test_orders_are_sorted_before_their_texts_are_made(spark, tmp_path):
+    """Only the columns of orders that are used are sorted, not the fifteen raw ones."""
+    orders = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate date, o_orderpriority string, o_comment string"
+    data = [(k, k, "F", 100.0 * k, dt.date(2001, 1, 5), "1-URGENT", "c") for k in (5, 3, 9, 1)]
+    spark.createDataFrame(data, orders).write.parquet(f"{tmp_path}/orders.parquet")
+    ordered = raw_waits(spark, str(tmp_path), ordered=True)
+    assert [r["_id"] for r in ordered.collect()] == [1, 3, 5, 9]
+    assert sorted(map(str, ordered.collect())) == sorted(map(str, raw_waits(spark, str(tmp_path)).collect()))
+    plan = ordered._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("MonthEnding") < plan.index("Sort [")
+
+
+def test_only_cells_that_need_it_are_trimmed(spark):
+    cells = ["", "a", "a b", " a", "a ", "\xa0", "a\xa0b", " é　", "é", "a\n", "\n", "\x00", "\x7f", "12.5", "\x1ca"]
+    df = spark.createDataFrame([(c,) for c in cells], "c string")
+    wanted = [c.replace("\xa0", " ").strip("".join(files.SPACE_CHARS)) for c in cells]
+    assert [r[0] for r in df.select(files._clean(F.col("c"))).collect()] == wanted
+    assert "RLIKE" in str(files._clean(F.col("c"))).upper()
